@@ -141,8 +141,8 @@ def best_matches(left: DataFrame, right: DataFrame, block: Sequence[str], thresh
     scored = (candidate_pairs(left, right, block, threshold)
               .withColumn("score", scorer(F.col("l_text"), F.col("r_text")))
               .filter(F.col("score") >= threshold))
-    winner = F.max_by(F.struct("score", F.col("r_ein").alias("ein"), F.col("r_key").alias("key")),
-                      F.struct(F.col("score").alias("s"), (-F.col("r_ord")).alias("o")))
+    winner = F.min_by(F.struct("score", F.col("r_ein").alias("ein"), F.col("r_key").alias("key")),
+                      F.struct((-F.col("score")).alias("s"), F.col("r_ord").alias("o")))
     return (scored.groupBy(*block, F.col("l_text").alias("text")).agg(winner.alias("w"))
             .select(*block, "text", "w.score", "w.ein", "w.key"))
 
@@ -157,7 +157,7 @@ def with_clean_recipients(grants: DataFrame) -> DataFrame:
 
 
 def clean_registry(registry: DataFrame) -> DataFrame:
-    """``(state, zip, key, ein, ord)`` rows; ``ord`` must be a total order of the registry."""
+    """``(state, zip, key, ein, ord)`` rows; ``ord`` of any sortable type must be a total order of the registry."""
     return registry.select(
         X.clean_state(F.col("STATE")).alias("state"), X.clean_zip(F.col("ZIP")).alias("zip"),
         X.lookup_key(X.clean_name(F.col("NAME")), X.clean_city(F.col("CITY"))).alias("key"),

@@ -7,7 +7,7 @@ such element; a dataset left without a subroot for a form yields no rows there.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 NAMESPACE = "http://www.irs.gov/efile"
 METADATA = {"ein": "EIN", "tax_yr": "TaxYr", "form": "ReturnTypeCd"}
@@ -24,7 +24,7 @@ class Spec:
 
     name: str
     subroots: Mapping[str, str]
-    fields: Mapping[str, Mapping[str, str]] = field(hash=False)
+    fields: Mapping[str, Mapping[str, str]]
     keep_empty: bool = False
 
 
