@@ -17,29 +17,29 @@ from almsflow.functions.text import sorted_tokens
 _CELLS = 4_000_000  # mask cells held at once by one batch slice
 
 
-def _codes(texts: list[str], width: int) -> np.ndarray:
-    """Code points as an (n, width) matrix, zero-padded; 0 never occurs in a text as a real match."""
+def _codes(texts: list[str], lengths: np.ndarray, width: int) -> np.ndarray:
+    """Code points plus one as an (n, width) matrix, padded with 0."""
     out = np.zeros((len(texts), width), dtype=np.uint32)
-    for i, t in enumerate(texts):
-        out[i, : len(t)] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) + 1
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out[np.arange(width) < lengths[:, None]] = flat + 1
     return out
 
 
 def _lcs_slice(short: list[str], long: list[str]) -> np.ndarray:
     n = len(short)
-    len_s = np.array([len(t) for t in short])
-    ws, wl = max(1, len_s.max()), max(1, max(len(t) for t in long))
+    len_s, len_l = (np.array([len(t) for t in side]) for side in (short, long))
+    ws, wl = max(1, len_s.max()), max(1, len_l.max())
     words = (ws + 63) // 64
-    a, b = _codes(short, ws), _codes(long, wl)
-    alphabet, inverse = np.unique(np.concatenate([a.ravel(), b.ravel()]), return_inverse=True)
-    a_ids, b_ids = inverse[: a.size].reshape(a.shape), inverse[a.size:].reshape(b.shape)
-    pad = 0 if alphabet[0] == 0 else -1
+    a, b = _codes(short, len_s, ws), _codes(long, len_l, wl)
+    used = np.zeros(int(max(a.max(), b.max())) + 1, dtype=bool)
+    used[a], used[b], used[0] = True, True, True
+    dense = np.cumsum(used) - 1  # padding keeps number 0
+    a_ids, b_ids = dense[a], dense[b]
     rows = np.arange(n)
-    masks = np.zeros((words, n, len(alphabet)), dtype=np.uint64)
+    masks = np.zeros((words, n, int(dense[-1]) + 1), dtype=np.uint64)
     for pos in range(ws):
         masks[pos // 64, rows, a_ids[:, pos]] |= np.uint64(1 << (pos % 64))
-    if pad == 0:
-        masks[:, :, 0] = 0
+    masks[:, :, 0] = 0
     state = np.full((words, n), np.uint64(0xFFFFFFFFFFFFFFFF))
     for pos in range(wl):
         carry = np.zeros(n, dtype=np.uint64)

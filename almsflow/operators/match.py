@@ -21,9 +21,12 @@ al. 2008):
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from almsflow.functions import text as X
 from almsflow.functions.similarity import indel_score
@@ -36,65 +39,72 @@ CLEAN_KEY = ["clean_recipient_name", "clean_recipient_city", "clean_recipient_st
 _COMMON_FIRST = "ETAOINSRHLDCUMFPGWYBVKXJQZ"  # letters by frequency in English
 _LOWEST_PRUNABLE = 75  # below this a string may have no gram that must survive
 
+# Code points of ASCII, with letters and separators moved above everything
+# else so that numeric order runs from rare to common.
+_RANKED = np.arange(128, dtype=np.int64)
+for _i, _c in enumerate("| " + _COMMON_FIRST):
+    _RANKED[ord(_c)] = 0x10FFFF - _i
 
-def _rarity(c: Column) -> Column:
-    """Replace letters so that code-point order runs from rare to common."""
-    ranks = "".join(chr(0xE100 - i) for i in range(len(_COMMON_FIRST)))
-    return F.translate(c, _COMMON_FIRST + "| ", ranks + "")
 
-
-def _most_broken(n: Column, threshold: float) -> Column:
+def _most_broken(n: int, threshold: float) -> int:
     """Most grams of an n-character string a partner at the threshold can break."""
     t = float(threshold)
-    shortest = F.ceil(n * t / (200 - t) - 1e-9)
-    longest = F.floor(n * (200 - t) / t + 1e-9)
-
-    def broken(m: Column) -> Column:
-        return 2 * n + m - 3 * F.ceil((n + m) * t / 200 - 1e-9)
-
-    return F.array_max(F.transform(F.sequence(shortest, longest), broken))
+    partners = range(math.ceil(n * t / (200 - t) - 1e-9), math.floor(n * (200 - t) / t + 1e-9) + 1)
+    return max((2 * n + m - 3 * math.ceil((n + m) * t / 200 - 1e-9) for m in partners), default=0)
 
 
-def _gram_columns(sorted_text: Column, threshold: float) -> dict[str, Column]:
-    """Length, prefix and sketch of a string.
+def _shape(texts: list[str], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix grams (flat, with row offsets) and two 64-bit sketch halves of each text.
 
-    Repeated grams are told apart by their occurrence number, so the count
-    bound holds for multisets.
+    A gram is its two ranked characters, their order and its occurrence number,
+    packed into one integer that sorts rare first. Occurrence numbers make the
+    count bound hold for multisets.
     """
-    n = F.length(sorted_text)
-    ranked = _rarity(sorted_text)
-
-    def two(i: Column) -> Column:
-        a, b = F.substring(ranked, i, F.lit(1)), F.substring(ranked, i + 1, F.lit(1))
-        return F.concat(F.least(a, b), F.greatest(a, b), F.when(a <= b, F.lit("")).otherwise(F.lit("<")))
-
-    grams = F.array_sort(F.transform(F.sequence(F.lit(1), n - 1), two))
-    # The one-element array binds the sorted grams once for the inner lambda.
-    tagged = F.transform(F.array(grams), lambda g: F.transform(
-        g, lambda x, i: F.concat(x, (i - F.array_position(g, x)).cast("string"))))[0]
-    all_grams = F.when(n > 1, tagged).otherwise(F.array().cast("array<string>"))
-    return {"n": n, "grams": all_grams, "reach": _most_broken(n, threshold).cast("int")}
-
-
-def _sketch(grams: Column, half: int) -> Column:
-    """64 of the 128 sketch bits; every gram sets exactly one bit of the two halves."""
-    def mark(acc: Column, g: Column) -> Column:
-        slot = F.pmod(F.xxhash64(g), F.lit(128)).cast("int")
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot % 64)
-        return F.when(F.floor(slot / 64) == half, acc.bitwiseOR(bit)).otherwise(acc)
-
-    return F.aggregate(grams, F.lit(0).cast("bigint"), mark)
+    n_rows = len(texts)
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    codes = np.where(codes < 128, _RANKED[np.minimum(codes, 127)], codes)
+    owner = np.repeat(np.arange(n_rows), lengths)
+    inside = np.flatnonzero(owner[1:] == owner[:-1])
+    x, y, row = codes[inside], codes[inside + 1], owner[inside]
+    grams = (np.minimum(x, y) << 42) | (np.maximum(x, y) << 21) | ((x > y).astype(np.int64) << 20)
+    order = np.lexsort((grams, row))
+    grams, row = grams[order], row[order]
+    index = np.arange(len(grams))
+    fresh = np.ones(len(grams), dtype=bool)
+    fresh[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+    grams = grams | np.minimum(index - np.maximum.accumulate(np.where(fresh, index, 0)), (1 << 20) - 1)
+    slot = (grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
+    bits = np.uint64(1) << (slot % np.uint64(64))
+    sketch = np.zeros((2, n_rows), dtype=np.uint64)
+    np.bitwise_or.at(sketch, ((slot // np.uint64(64)).astype(np.int64), row), bits)
+    reach = {n: _most_broken(n, threshold) for n in np.unique(lengths).tolist()}
+    counts = np.bincount(row, minlength=n_rows)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    kept = np.minimum(counts, np.array([reach[n] + 1 for n in lengths.tolist()], dtype=np.int64))
+    prefix = grams[index - starts[row] < kept[row]] if len(grams) else grams
+    return prefix, np.concatenate([[0], np.cumsum(kept)]).astype(np.int32), sketch.view(np.int64)
+
+
+def _shaped(side: DataFrame, threshold: float) -> DataFrame:
+    """``side`` with length, gram prefix and sketch of its ``text`` (whole Arrow batches at a time)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            prefix, offsets, sketch = _shape(texts, threshold)
+            added = [pa.array([len(t) for t in texts], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)), pa.array(sketch[0]), pa.array(sketch[1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "n", "prefix", "s0", "s1"])
+
+    extra = T.StructType.fromDDL("n int, prefix array<bigint>, s0 bigint, s1 bigint")
+    return side.mapInArrow(run, T.StructType([*side.schema.fields, *extra.fields]))
 
 
 def _postings(side: DataFrame, block: Sequence[str], threshold: float, tag: str) -> DataFrame:
     """One row per prefix gram of each distinct string, carrying what the join tests."""
-    shaped = side.withColumns(_gram_columns(F.col("text"), threshold)).withColumns({
-        "prefix": F.slice("grams", 1, F.col("reach") + 1),
-        "s0": _sketch(F.col("grams"), 0), "s1": _sketch(F.col("grams"), 1),
-    })
     kept = [c for c in side.columns if c not in block]
     named = [F.col(c).alias(f"{tag}_{c}") for c in (*kept, "n", "prefix", "s0", "s1")]
-    return shaped.select(*block, F.explode("prefix").alias("gram"), *named)
+    return _shaped(side, threshold).select(*block, F.explode("prefix").alias("gram"), *named)
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
@@ -138,7 +148,10 @@ def best_matches(left: DataFrame, right: DataFrame, block: Sequence[str], thresh
     ``right`` carries ``(ord, key, ein)``; equal scores go to the lowest
     ``ord``. The arg-max aggregates before its shuffle.
     """
-    scored = (candidate_pairs(left, right, block, threshold)
+    # Scoring costs far more than a row's bytes suggest: spread the pairs evenly
+    # (an explicit width is not coalesced), also out of a hot block.
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = (candidate_pairs(left, right, block, threshold).repartition(width, "l_text", "r_text")
               .withColumn("score", scorer(F.col("l_text"), F.col("r_text")))
               .filter(F.col("score") >= threshold))
     winner = F.min_by(F.struct("score", F.col("r_ein").alias("ein"), F.col("r_key").alias("key")),
@@ -184,10 +197,11 @@ def match_recipients(recipients: DataFrame, registry: DataFrame, threshold: floa
     ``ord`` column. Passes, each over what the one before left:
     ZIP pass -> exact words in the state -> fuzzy in the state.
     """
-    who = recipients.select(
+    # Both feed several steps below; written once, the grants are read once.
+    who = cut_lineage(recipients.select(
         *CLEAN_KEY, F.col(CLEAN_KEY[2]).alias("state"), F.col(CLEAN_KEY[3]).alias("zip"),
-        X.sorted_tokens(X.lookup_key(F.col(CLEAN_KEY[0]), F.col(CLEAN_KEY[1]))).alias("text"))
-    rows = clean_registry(registry)
+        X.sorted_tokens(X.lookup_key(F.col(CLEAN_KEY[0]), F.col(CLEAN_KEY[1]))).alias("text")))
+    rows = cut_lineage(clean_registry(registry))
     by_state = last_wins(rows, ["state", "key"])
     # A ZIP's key takes the state-wide identifier of that key, but its own first position.
     by_zip = (rows.filter("zip <> ''").groupBy("state", "zip", "key").agg(F.min("ord").alias("ord"))

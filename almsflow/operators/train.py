@@ -101,7 +101,7 @@ def _list(matrix: np.ndarray) -> pa.Array:
 def _trainer(s: Settings, epoch: int):
     names = ["side", "id", "vec", "m", "v", "t", "weight", "loss"]
 
-    def train_block(key, table: pa.Table) -> pa.Table:
+    def train_block(key, table):  # annotations would switch Spark to another signature
         kind = table.column("side").to_numpy(zero_copy_only=False)
         donors, receivers = (_Side(table.filter(pa.array(kind == k)), s.dim) for k in ("d", "r"))
         samples = table.filter(pa.array(kind == "s"))
