@@ -89,6 +89,11 @@ def lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(lcs_lengths(left.tolist(), right.tolist()), dtype="int32")
 
 
+# The optimizer copies a deterministic expression into every filter that uses its
+# column and moves those below shuffles; this one is too costly to run twice.
+lcs = lcs.asNondeterministic()
+
+
 def indel_score(left: Column, right: Column) -> Column:
     """Normalised indel similarity, 0-100; two empty strings are equal."""
     both = F.length(left) + F.length(right)
