@@ -85,7 +85,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool
         vec = F.col("vec").cast("array<double>").alias("vec")
         return (df.select(F.col("id").cast("bigint").alias("id"), vec)
                 .withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))))
+                .repartition(q_blocks * c_blocks, "qb", "cb"))
 
     q = spread(queries, "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
     c = spread(candidates, "cb", c_blocks, "qb", q_blocks).groupBy("qb", "cb")

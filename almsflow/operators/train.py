@@ -127,7 +127,7 @@ def _trainer(s: Settings, epoch: int):
         parts = [pa.table([pa.array([k] * len(x.ids)), pa.array(x.ids), _list(x.vec), _list(x.m), _list(x.v),
                            pa.array(x.t), pa.array(x.weight), pa.nulls(len(x.ids), pa.float64())], names=names)
                  for k, x in both]
-        nothing = pa.nulls(1, pa.list_(pa.float32()))
+        nothing = _list(np.zeros((1, 0)))
         parts.append(pa.table([pa.array(["loss"]), pa.array([0]), nothing, nothing, nothing, pa.array([0]),
                                pa.array([len(y)]), pa.array([loss])], names=names))
         return pa.concat_tables(parts)
@@ -178,9 +178,14 @@ def _stratum(state: DataFrame, placed: DataFrame, parts: dict[tuple[int, int], i
     copies = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
     mine = placed.filter(F.pmod(F.col("rb") - F.col("db"), F.lit(p)) == shift)
     spread = F.pmod(F.xxhash64("id", "other"), _parts_of(cuts, F.col("db"), F.col("rb"), p)).cast("int")
-    rows = mine.select(F.lit("s").alias("side"), "id", "other", "label", F.col("db").alias("task"), spread.alias("part"))
-    return (copies.unionByName(rows, allowMissingColumns=True).groupBy("task", "part")
-            .applyInArrow(_trainer(s, epoch * p + shift), _STEP))
+    # Empty rather than null vectors: Arrow transfer of null lists is very slow.
+    none = F.array().cast("array<float>")
+    rows = mine.select(F.lit("s").alias("side"), "id", "other", "label", F.col("db").alias("task"), spread.alias("part"),
+                       *[none.alias(c) for c in ("vec", "m", "v")])
+    # One partition per task; without a width the small rows would be folded into few tasks.
+    width = p + sum(n - 1 for n in cuts.values())
+    return (copies.unionByName(rows, allowMissingColumns=True).repartition(width, "task", "part")
+            .groupBy("task", "part").applyInArrow(_trainer(s, epoch * p + shift), _STEP))
 
 
 def evaluate(samples: DataFrame, state: DataFrame) -> DataFrame:
