@@ -9,8 +9,9 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from almsflow.plans.specs import METADATA, NAMESPACE, SPECS, Spec
 
@@ -22,8 +23,13 @@ _NS = f"{{{NAMESPACE}}}"
 _BATCH_ROWS, _BATCH_CHARS = 2000, 32_000_000  # what is handed to Arrow at a time
 
 
+def _descendants(root: ET.Element, name: str) -> Iterator[ET.Element]:
+    """Elements of that name at any depth below ``root``, in document order."""
+    return (e for e in root.iter(_NS + name) if e is not root)
+
+
 def _first(root: ET.Element, name: str) -> ET.Element | None:
-    return root.find(f".//{_NS}{name}")
+    return next(_descendants(root, name), None)
 
 
 def filing_rows(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) -> list[dict]:
@@ -38,7 +44,7 @@ def filing_rows(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) ->
     form, out = key["form"], []
     for spec in specs:
         start = spec.subroots.get(form)
-        for seq, record in enumerate(root.iterfind(f".//{_NS}{start}") if start else ()):
+        for seq, record in enumerate(_descendants(root, start) if start else ()):
             elements = {c: _first(record, by_form[form]) if by_form.get(form) else None
                         for c, by_form in spec.fields.items()}
             if spec.keep_empty or any(e is not None for e in elements.values()):
@@ -57,17 +63,25 @@ def _rows_or_error(zip_name: str, member: str, xml: str | None, error: str | Non
         return [{"zip_name": zip_name, "member": member, "error": f"{type(problem).__name__}: {problem}"[:300]}]
 
 
-def _frames(rows: Iterable[dict], schema: str) -> Iterator[pd.DataFrame]:
-    columns = [part.split()[0] for part in re.split(r",\s+", schema)]
+def _record_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def pack(batch: list[dict]) -> pa.RecordBatch:
+        columns = []
+        for f in schema:
+            values = [row.get(f.name) for row in batch]
+            if pa.types.is_map(f.type):
+                values = [None if v is None else list(v.items()) for v in values]
+            columns.append(pa.array(values, f.type))
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
     batch, chars = [], 0
     for row in rows:
-        batch.append([row.get(c) for c in columns])
+        batch.append(row)
         chars += len(row.get("xml") or "")
         if len(batch) == _BATCH_ROWS or chars >= _BATCH_CHARS:
-            yield pd.DataFrame(batch, columns=columns, dtype=object)
+            yield pack(batch)
             batch, chars = [], 0
     if batch:
-        yield pd.DataFrame(batch, columns=columns, dtype=object)
+        yield pack(batch)
 
 
 def read_member(archive: zipfile.ZipFile, name: str) -> tuple[str | None, str | None]:
@@ -97,10 +111,12 @@ def archive_documents(zip_name: str, source, members: Sequence[str] | None = Non
 
 
 def in_batches(make: Callable[[dict], Iterable[dict]], schema: str):
-    """A ``mapInPandas`` function from a row -> rows generator."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (row for pdf in frames for record in pdf.to_dict("records") for row in make(record))
-        yield from _frames(rows, schema)
+    """A ``mapInArrow`` function from a row -> rows generator."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for record in batch.to_pylist() for row in make(record))
+        yield from _record_batches(rows, arrow)
 
     return run
 
@@ -110,7 +126,7 @@ def documents(archives: DataFrame) -> DataFrame:
     def members(row: dict) -> Iterator[dict]:
         yield from archive_documents(row["path"].rsplit("/", 1)[-1], io.BytesIO(row["content"]))
 
-    return archives.select("path", "content").mapInPandas(in_batches(members, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
+    return archives.select("path", "content").mapInArrow(in_batches(members, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
 
 
 def extract(docs: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:
@@ -122,7 +138,7 @@ def extract(docs: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:
         return _rows_or_error(doc["zip_name"], doc["member"], doc["xml"], doc["error"], specs)
 
     return (docs.select("zip_name", "member", "xml", "error")
-            .mapInPandas(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA))
+            .mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA))
 
 
 def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], specs: Sequence[Spec] = SPECS) -> DataFrame:
@@ -141,7 +157,7 @@ def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], sp
             for doc in archive_documents(zip_name, source, list(chunk["members"])):
                 yield from _rows_or_error(doc["zip_name"], doc["member"], doc["xml"], doc["error"], specs)
 
-    return chunks.select("path", "members").mapInPandas(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA)
+    return chunks.select("path", "members").mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA)
 
 
 def quarantined(extracted: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almsflow.operators.ids import positions
 from almsflow.operators.relational import union_all, without_pairs
+from almsflow.runtime import cut_lineage
 
 PRIME = 2147483647
 
@@ -20,30 +21,33 @@ def draw(a: Column, b: Column, seed: int) -> Column:
     integer arithmetic: the same on every engine and every retry.
     """
     x = (F.pmod(a, F.lit(PRIME)) * 48271 + F.pmod(b, F.lit(PRIME)) * 16807 + seed) % PRIME
-    square = F.transform(F.array(x.cast("bigint")), lambda v: F.struct(v.alias("v"), (v * v % PRIME).alias("q")))
-    return F.transform(square, lambda s: s["q"] * s["q"] % PRIME * s["v"] % PRIME)[0]
+    square = x * x % PRIME
+    return square * square % PRIME * x % PRIME
 
 
-def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries: int = 3, seed: int = 42,
-                     chunk: int = 4096) -> DataFrame:
-    """``(donor_id, receiver_id)`` rows that are not real pairs, repeats allowed.
+def _misses(donors: DataFrame, pairs: DataFrame, tried: Column, n_receivers: int, seed: int, chunk: int) -> DataFrame:
+    """Attempts ``0 .. tried-1`` of each donor that hit none of its real pairs.
 
-    A donor with n pairs makes up to ``n*ratio*tries`` attempts and keeps the
-    first ``n*ratio`` that miss its real pairs. Attempts are handled in fixed
-    chunks spread over the cluster; only the per-chunk hit counts of a donor
-    meet in one place, so a donor holding a third of all pairs stays cheap.
+    Attempts are generated in fixed chunks spread over the cluster, so a donor
+    with very many of them is not one task's work.
     """
-    if n_receivers > PRIME:
-        raise ValueError("more receivers than the generator can address")
-    donors = pairs.groupBy("donor_id").agg((F.count(F.lit(1)) * ratio).alias("want"))
-    total = F.col("want") * tries
-    chunks = (donors.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((total - 1) / chunk))))
+    last = F.floor((F.col("tried") - 1) / chunk)
+    chunks = (donors.withColumn("tried", tried)
+              .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
               .repartition("donor_id", "chunk"))
-    attempts = chunks.select(
-        "donor_id", "want", "chunk",
-        F.explode(F.sequence(F.col("chunk") * chunk, F.least((F.col("chunk") + 1) * chunk, total) - 1)).alias("attempt"))
+    end = F.least((F.col("chunk") + 1) * chunk, F.col("tried")) - 1
+    attempts = chunks.select("donor_id", "want", "total", "tried", "chunk",
+                             F.explode(F.sequence(F.col("chunk") * chunk, end)).alias("attempt"))
     drawn = attempts.withColumn("receiver_id", draw(F.col("donor_id"), F.col("attempt"), seed) % n_receivers)
-    misses = without_pairs(drawn, pairs, ["donor_id", "receiver_id"])
+    return without_pairs(drawn, pairs, ["donor_id", "receiver_id"])
+
+
+def _first_wanted(misses: DataFrame) -> DataFrame:
+    """The first ``want`` misses of each donor, by attempt.
+
+    Only per-chunk counts of a donor meet in one place; rows are numbered
+    inside their chunk.
+    """
     earlier = Window.partitionBy("donor_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = (misses.groupBy("donor_id", "chunk").agg(F.count(F.lit(1)).alias("hits"))
               .select("donor_id", "chunk", F.coalesce(F.sum("hits").over(earlier), F.lit(0)).alias("before")))
@@ -54,6 +58,32 @@ def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries:
             .select("donor_id", "receiver_id"))
 
 
+def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries: int = 3, seed: int = 42,
+                     chunk: int = 4096) -> DataFrame:
+    """``(donor_id, receiver_id)`` rows that are not real pairs, repeats allowed.
+
+    A donor with n pairs makes up to ``n*ratio*tries`` attempts and keeps the
+    first ``n*ratio`` that miss its real pairs. A first round makes about as
+    many attempts as the donor's odds call for; the few donors that fall short
+    go through all of theirs.
+    """
+    if n_receivers > PRIME:
+        raise ValueError("more receivers than the generator can address")
+    want, n = F.col("want"), F.col("n")
+    donors = (pairs.groupBy("donor_id").agg(F.count(F.lit(1)).alias("n"))
+              .select("donor_id", "n", (n * ratio).alias("want"), (n * ratio * tries).alias("total")))
+    odds = F.greatest(1 - n / F.lit(float(n_receivers)), F.lit(1.0 / tries))
+    likely = F.least(F.col("total"), F.ceil(want / odds * 1.05 + 8))
+    first = cut_lineage(_misses(donors, pairs, likely, n_receivers, seed, chunk))
+    got = first.groupBy("donor_id").agg(F.count(F.lit(1)).alias("got"))
+    short = (donors.withColumn("tried", likely).join(got, "donor_id", "left")
+             .filter((F.coalesce("got", F.lit(0)) < want) & (F.col("tried") < F.col("total")))
+             .select("donor_id", "want", "total"))
+    again = _misses(short, pairs, F.col("total"), n_receivers, seed, chunk)
+    settled = first.join(short.select("donor_id"), "donor_id", "left_anti")
+    return _first_wanted(settled.unionByName(again))
+
+
 def training_set(pairs: DataFrame, negatives: DataFrame) -> DataFrame:
     """Real pairs labelled 1 and sampled ones labelled 0; columns only one side has stay null."""
     return union_all(pairs.withColumn("label", F.lit(1)), negatives.withColumn("label", F.lit(0)))

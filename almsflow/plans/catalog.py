@@ -624,7 +624,7 @@ def _(spark, sf):
     return R.union_all(*[vec.join(i, "id").select(F.lit(side).alias("side"), "id", "ein", F.col("vec")[0].cast("double").alias("x")) for side, vec, i in both])
 
 
-_SMALL = TR.Settings(dim=16, epochs=2, batch=256, learning_rate=0.02, blocks=2)
+_SMALL = TR.Settings(dim=16, epochs=2, batch=512, learning_rate=0.02, blocks=4)
 
 
 def _trained(spark, sf):

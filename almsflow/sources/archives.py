@@ -50,7 +50,7 @@ def member_chunks(archives: DataFrame) -> DataFrame:
     files = archives.select("path").repartition(min(width, 10_000), "path")
     # The count is explicit so that adaptive execution, which sees only the
     # tiny chunk rows, does not fold the reading work into few tasks.
-    return files.mapInPandas(in_batches(_chunks, CHUNK_SCHEMA), CHUNK_SCHEMA).repartition(width, "path", "chunk")
+    return files.mapInArrow(in_batches(_chunks, CHUNK_SCHEMA), CHUNK_SCHEMA).repartition(width, "path", "chunk")
 
 
 def zip_listing(spark: SparkSession, directory: str) -> DataFrame:
@@ -68,7 +68,7 @@ def scan_documents(spark: SparkSession, directory: str) -> DataFrame:
             yield from archive_documents(zip_name, source, list(row["members"]))
 
     chunks = member_chunks(zip_listing(spark, directory))
-    return chunks.mapInPandas(in_batches(read, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
+    return chunks.mapInArrow(in_batches(read, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
 
 
 def extract_archives(archives: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:

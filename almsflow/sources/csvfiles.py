@@ -28,7 +28,7 @@ def layouts(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list
     """Header -> files with that header. Only first lines are read; the driver
     sees what its own file listing already holds, one path per file."""
     files = landed(listing(spark, directory, pattern)).select("path")
-    heads = files.mapInPandas(in_batches(_header, _HEADER_SCHEMA), _HEADER_SCHEMA)
+    heads = files.mapInArrow(in_batches(_header, _HEADER_SCHEMA), _HEADER_SCHEMA)
     rows = heads.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("paths")).collect()
     return sorted((tuple(r["header"]), list(r["paths"])) for r in rows)
 

@@ -46,4 +46,4 @@ def page_links(pages: DataFrame) -> DataFrame:
             yield {"page_id": page["page_id"], "pos": pos, "href": href,
                    "full_url": _absolute(page["url"] or "", href), "kind": link_kind(href)}
 
-    return pages.select("page_id", "url", "html").mapInPandas(in_batches(links, LINK_SCHEMA), LINK_SCHEMA)
+    return pages.select("page_id", "url", "html").mapInArrow(in_batches(links, LINK_SCHEMA), LINK_SCHEMA)
