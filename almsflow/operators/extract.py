@@ -23,32 +23,40 @@ _NS = f"{{{NAMESPACE}}}"
 _BATCH_ROWS, _BATCH_CHARS = 2000, 32_000_000  # what is handed to Arrow at a time
 
 
-def _descendants(root: ET.Element, name: str) -> Iterator[ET.Element]:
-    """Elements of that name at any depth below ``root``, in document order."""
-    return (e for e in root.iter(_NS + name) if e is not root)
-
-
-def _first(root: ET.Element, name: str) -> ET.Element | None:
-    return next(_descendants(root, name), None)
+def _first_by_tag(root: ET.Element) -> dict[str, ET.Element]:
+    """Tag -> its first element at any depth below ``root``, in document order."""
+    found: dict[str, ET.Element] = {}
+    below = root.iter()
+    next(below)  # the root itself is not its own descendant
+    for element in below:
+        found.setdefault(element.tag, element)
+    return found
 
 
 def filing_rows(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) -> list[dict]:
     """All dataset rows of one filing. Raises ValueError when it cannot be keyed."""
     root = ET.fromstring(xml)
-    found = {column: _first(root, element) for column, element in METADATA.items()}
+    top = _first_by_tag(root)
+    found = {column: top.get(_NS + element) for column, element in METADATA.items()}
     absent = [c for c, e in found.items() if e is None]
     if absent:
         raise ValueError(f"missing {', '.join(absent)}")
     stem = re.sub(r"(?<=.)\.[^.]*$", "", member.rsplit("/", 1)[-1])
     key = {c: e.text for c, e in found.items()} | {"filing_number": stem.split("_")[0], "zip_name": zip_name}
-    form, out = key["form"], []
+    form, out, indexed = key["form"], [], {}
     for spec in specs:
-        start = spec.subroots.get(form)
-        for seq, record in enumerate(_descendants(root, start) if start else ()):
-            elements = {c: _first(record, by_form[form]) if by_form.get(form) else None
-                        for c, by_form in spec.fields.items()}
-            if spec.keep_empty or any(e is not None for e in elements.values()):
-                fields = {c: None if e is None else e.text for c, e in elements.items()}
+        tag = _NS + spec.subroots.get(form, "")
+        if tag not in top:
+            continue
+        names = [(column, _NS + by_form.get(form, "")) for column, by_form in spec.fields.items()]
+        for seq, record in enumerate(e for e in root.iter(tag) if e is not root):
+            # Datasets may share a record (one form body serves two of them).
+            below = indexed.get(record)
+            if below is None:
+                below = indexed[record] = _first_by_tag(record)
+            elements = [(column, below.get(name)) for column, name in names]
+            if spec.keep_empty or any(e is not None for _, e in elements):
+                fields = {c: None if e is None else e.text for c, e in elements}
                 out.append(key | {"dataset": spec.name, "seq": seq, "fields": fields, "member": member, "error": None})
     return out
 
@@ -106,7 +114,7 @@ def archive_documents(zip_name: str, source, members: Sequence[str] | None = Non
             for name in names:
                 xml, error = read_member(archive, name)
                 yield {"zip_name": zip_name, "member": name, "xml": xml, "error": error}
-    except (zipfile.BadZipFile, OSError) as problem:
+    except (zipfile.BadZipFile, OSError, ValueError) as problem:
         yield {"zip_name": zip_name, "member": None, "xml": None, "error": f"unreadable_archive: {problem}"}
 
 

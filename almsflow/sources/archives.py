@@ -29,7 +29,7 @@ def _chunks(row: dict) -> Iterator[dict]:
     try:
         with open_path(path) as source, zipfile.ZipFile(source) as archive:
             infos = xml_members(archive)
-    except (zipfile.BadZipFile, OSError) as problem:
+    except (zipfile.BadZipFile, OSError, ValueError) as problem:
         yield {"path": path, "chunk": 0, "error": f"unreadable_archive: {problem}"}
         return
     chunk, names, size = 0, [], 0

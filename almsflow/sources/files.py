@@ -11,7 +11,10 @@ LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def listing(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """``(path, modificationTime, length)`` of a folder's files; contents are never read."""
+    """``(path, modificationTime, length)`` of a folder's files; contents are never read.
+
+    Spark's file scan leaves out empty files by itself.
+    """
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
             .select("path", "modificationTime", "length"))
 
