@@ -153,7 +153,7 @@ def recommend_one(ein: int, query_ids: DataFrame, query_vectors: DataFrame, cand
         raise ValueError(f"identifier {ein} is not in the training data")
     scored = score_against(candidate_vectors, embedding_of(query_vectors, row["id"]))
     best = scored.orderBy(F.desc(F.round("score", _DIGITS)), "id").limit(k).select("id", F.round("score", _DIGITS).alias("score"))
-    ranked = ranked_within(best.withColumn("query_ein", F.lit(ein)), "query_ein", [F.desc("score"), F.asc("id")])
+    ranked = ranked_within(best.withColumn("query_ein", F.lit(ein).cast("bigint")), "query_ein", [F.desc("score"), F.asc("id")])
     return ranked.join(candidate_ids, "id").select("query_ein", "rank", "ein", "score")
 
 

@@ -34,15 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     driver and the executors are one machine.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
+    named = sc.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
         return named
     if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="almsflow-"))
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="almsflow-"))
     return sc.getCheckpointDir()
 
 
