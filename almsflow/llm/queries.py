@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from almsflow.llm import decontaminate, language, mixing, neardup, shards
+from almsflow.llm import decontaminate, fingerprints, htmltext, language, licenses, lines, mixing, neardup, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,70 @@ def source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_language_id")
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
+
+
+@query("op6_substring_dedup", r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS MATERIALIZED (
+  SELECT doc_id, p, md5(array_to_string(ws[p:p + 49], ' ')) AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM d WHERE len(ws) >= 50)),
+owner AS (SELECT win, min(doc_id) AS first FROM w GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, q FROM (SELECT w.doc_id, unnest(range(w.p, w.p + 50)) AS q FROM w JOIN owner USING (win) WHERE w.doc_id > first)),
+each AS (SELECT doc_id, list(q) AS qs FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, len(ws) AS n_words, coalesce(len(qs), 0) AS n_removed,
+         CASE WHEN qs IS NULL THEN ws ELSE list_select(ws, list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(qs, i))) END AS k
+  FROM d LEFT JOIN each USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+""")
+def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.repeated_substrings(table(spark, sf, "documents"))
+
+
+@query("op2_html_extraction")
+def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf, "pages"))
+
+
+@query("op3_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf, "documents"))
+
+
+def _license_sql() -> str:
+    """The same sentences and rules as literals of the SQL text."""
+    known = {s: name for name, texts in licenses.SENTENCES.items() for s in texts}
+    cases = " ".join(f"WHEN '{s}' THEN '{name}'" for s, name in known.items())
+    rewritten = "array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '')"
+    for sequence, name in licenses.RULES:
+        rewritten = f"replace({rewritten}, '{''.join(f'<{i}>' for i in sequence)}', '[{name}]')"
+    return rf"""
+WITH s AS (
+  SELECT doc_id, list_transform(string_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), '{_UP}', '{_DOWN}'),
+    '[.!?]+(?:\s+|$)|\n', chr(1), 'g'), '[^a-z0-9\x01]+', ' ', 'g'), chr(1)), lambda x: trim(x)) AS ss FROM documents),
+i AS (SELECT doc_id, list_filter(list_transform(ss, lambda x: CASE x {cases} END), lambda x: x IS NOT NULL) AS ids FROM s),
+r AS (SELECT doc_id, ids, regexp_extract_all({rewritten}, '\[([^\]]+)\]', 1) AS found FROM i)
+SELECT doc_id, len(ids) AS n_known, array_to_string(ids, ',') AS sentence_ids,
+       array_to_string(list_filter(found, lambda x, k: list_position(found, x) = k), ',') AS licenses
+FROM r"""
+
+
+@query("op4_license_scan", _license_sql())
+def license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf, "documents"))
+
+
+@query("op8_line_dedup", r"""
+WITH l AS MATERIALIZED (
+  SELECT doc_id, source, pos, line FROM (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents WHERE text IS NOT NULL)),
+spread AS (SELECT trim(line, ' ') AS t FROM l WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 8),
+m AS (SELECT l.*, trim(line, ' ') <> '' AS counted, s.t IS NOT NULL AS gone FROM l LEFT JOIN spread s ON s.t = trim(line, ' '))
+SELECT d.doc_id, coalesce(count(*) FILTER (WHERE counted), 0) AS n_lines, coalesce(count(*) FILTER (WHERE gone), 0) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id
+""")
+def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = lines.without_spread_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
