@@ -12,9 +12,10 @@ into common buckets.
    pairs far below the threshold go, the rest is verified on the full sets. Confirmed links
    give first components.
 3. A bucket whose members are all in one component needs no more work, so a group of near copies
-   costs one pair per member and not all pairs. For other buckets, the shingles that a set shares
-   with any other unsettled set bound its overlap from above; pairs of different components
-   that this exact bound and the estimate leave over are verified in the same way.
+   costs one pair per member and not all pairs. In other buckets, a set most of whose shingles no
+   other unsettled set has can have no link and goes. What is left of connected buckets is a
+   cluster; its sets are compared exactly, chunk by chunk, and only links between components
+   come out, never pairs.
 
 With 25 buckets of five registers a pair at the threshold of 0.85 is missed with probability below
 1e-6, one at 0.9 below 1e-9. The estimate drops pairs six standard errors below the threshold.
@@ -29,6 +30,7 @@ an empty result; only doc_id and text are read, other columns may have any name.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ _M1, _M2, _M3 = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F), _U64(0x16566
 #: Odd multipliers, one hash function each.
 _FACTORS = np.random.default_rng(125).integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * _U64(2) + _U64(1)
 _BLOCK = 16_384
+#: Documents and text bytes of one side of a comparison group.
+CHUNK, CHUNK_BYTES = 256, 4_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -233,6 +237,75 @@ def _sharable(texts: DataFrame, size: int) -> DataFrame:
               .where(F.col("doc_id") == F.col("_other")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
 
 
+def _undecided(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of groups whose members are in more than one component."""
+    split = cut_lineage(rows.groupBy(group).agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high").select(group))
+    return rows.join(split, group)
+
+
+def linked_across(rows: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """One link for each two components among ``(id, component, set)`` rows that any link joins.
+
+    Intersections are counted exactly, as products of 0/1 matrices over slices of the shared shingles.
+    """
+    sizes = np.array([len(s) for _, _, s in rows])
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    _, place, count = np.unique(np.concatenate([s for _, _, s in rows]), return_inverse=True, return_counts=True)
+    shared = count[place] > 1
+    enough = 100 * np.bincount(owner[shared], minlength=len(rows)) >= percent * sizes
+    kept = np.flatnonzero(enough)
+    roots = np.array([r for _, r, _ in rows])[kept]
+    if len(kept) < 2 or (roots == roots[0]).all():
+        return []
+    use = shared & enough[owner]
+    columns, column = np.unique(place[use], return_inverse=True)
+    line = np.searchsorted(kept, owner[use])
+    both = np.zeros((len(kept), len(kept)), np.float32)
+    for begin in range(0, len(columns), 4096):
+        own = (column >= begin) & (column < begin + 4096)
+        matrix = np.zeros((len(kept), min(4096, len(columns) - begin)), np.float32)
+        matrix[line[own], column[own] - begin] = 1
+        both += matrix @ matrix.T
+    n = sizes[kept]
+    linked = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (roots[:, None] < roots[None, :])
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    for i, j in zip(*np.nonzero(linked)):
+        found.setdefault((roots[i], roots[j]), (rows[kept[i]][0], rows[kept[j]][0]))
+    return list(found.values())
+
+
+def _cross_links(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between the components of each cluster, from ``(doc_id, root, cluster)``.
+
+    A cluster is dealt into chunks of about ``CHUNK`` documents or ``CHUNK_BYTES`` of text; every two chunks
+    meet in one task group, so a cluster of any size is compared whole and no group grows with it.
+    """
+    held = cut_lineage(_undecided(placed, "cluster").join(texts.withColumn("_n", F.octet_length("text")), "doc_id"))
+    total = cut_lineage(held.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("_n") / CHUNK_BYTES)).cast("int").alias("_k")))
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("_k")).cast("int")
+    others = F.when(F.col("_k") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: j != F.col("_c")))
+    dealt = (held.join(total, "cluster").withColumn("_c", chunk).withColumn("_j", F.explode(others))
+             .select(F.xxhash64("cluster", F.least("_c", "_j"), F.greatest("_c", "_j")).alias("meet"), "doc_id", "root", "text"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            out = []
+            for k, i, r, raw in zip(batch.column("meet").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("root").to_pylist(), utf8(batch.column("text"))):
+                if k != key:
+                    out += linked_across(rows, percent) if len(rows) > 1 else []
+                    key, rows = k, []
+                rows.append((i, r, shingles(raw, size)))
+            yield _links(out)
+        yield _links(linked_across(rows, percent) if len(rows) > 1 else [])
+
+    return dealt.repartition("meet").sortWithinPartitions("meet").mapInArrow(meet, "a long, b long")
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per document: node (its id or stand-in), n_shingles, root (smallest node reachable)."""
     least = percent / 100
@@ -259,22 +332,18 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     first = components(links)
 
     home = shared.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    split = home.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high").select("key")
-    open_keys = cut_lineage(home.join(split, "key"))
+    open_keys = cut_lineage(_undecided(home, "key"))
     unsettled = texts.join(open_keys.select("doc_id").distinct(), "doc_id")
     alone = _sharable(unsettled, size)
-    sizes = reps.select("doc_id", "size").groupBy("doc_id").agg(F.max("size").alias("n"), F.min("size").alias("n_low"))
-    bounded = (open_keys.join(sizes, "doc_id").join(alone, "doc_id", "left")
-               .withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0)))
-               .where((F.col("s") >= least * F.col("n_low"))).select("key", "doc_id", "root", "n", "n_low", "s"))
-    bounded = cut_lineage(bounded)
-    other = bounded.select("key", *[F.col(c).alias(f"{c}_") for c in ("doc_id", "root", "n", "n_low", "s")])
-    # |x and y| >= t/(1+t) * (|x| + |y|) is what the threshold asks for.
-    asked = least / (1 + least) * (F.col("n_low") + F.col("n_low_")) - 1e-6
-    rest = (bounded.join(other, "key").where((F.col("doc_id") > F.col("doc_id_")) & (F.col("root") != F.col("root_"))
-                                            & (F.least("s", "s_") >= asked))
-            .select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b")).distinct())
-    more = _verified(cut_lineage(_likely(rest, reps, least)), texts, size, percent)
+    sizes = reps.groupBy("doc_id").agg(F.max("size").alias("n"), F.min("size").alias("n_low"))
+    # Most shingles of a linked set are in another set too.
+    possible = (open_keys.join(sizes, "doc_id").join(alone, "doc_id", "left")
+                .where(F.col("n") - F.coalesce("alone", F.lit(0)) >= least * F.col("n_low")).select("key", "doc_id", "root"))
+    possible = cut_lineage(_undecided(possible, "key"))
+    hub = possible.groupBy("key").agg(F.min("doc_id").alias("b"))
+    clusters = components(possible.join(hub, "key").select(F.col("doc_id").alias("a"), "b"))
+    placed = possible.select("doc_id", "root").distinct().join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("root", "cluster"), "doc_id", "left")
+    more = _cross_links(placed.withColumn("cluster", F.coalesce("cluster", "doc_id")), texts, size, percent)
 
     roots = components(links.union(more))
     return members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
