@@ -26,7 +26,7 @@ def grant_edges(grants: DataFrame) -> DataFrame:
 
 def pair_totals(edges: DataFrame) -> DataFrame:
     """Total per donor and receiver, summed as decimals so the order of rows cannot matter."""
-    total = F.sum(F.col("grant_amt").cast("decimal(24,2)")).cast("double")
+    total = F.sum(F.col("grant_amt").cast("decimal(28,6)")).cast("double")
     return edges.groupBy("donor_ein", "receiver_ein").agg(total.alias("grant_amt"))
 
 
@@ -35,7 +35,7 @@ def largest_first(totals: DataFrame) -> DataFrame:
 
 
 def grand_total(edges: DataFrame) -> DataFrame:
-    return edges.agg(F.sum(F.col("grant_amt").cast("decimal(24,2)")).cast("double").alias("grant_total"))
+    return edges.agg(F.sum(F.col("grant_amt").cast("decimal(28,6)")).cast("double").alias("grant_total"))
 
 
 def entity_counts(edges: DataFrame, approximate: bool = False) -> DataFrame:

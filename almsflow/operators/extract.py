@@ -8,9 +8,10 @@ import xml.etree.ElementTree as ET
 import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from almsflow.plans.specs import METADATA, NAMESPACE, SPECS, Spec
@@ -68,7 +69,7 @@ def _rows_or_error(zip_name: str, member: str, xml: str | None, error: str | Non
             raise ValueError(error or "no content")
         return filing_rows(zip_name, member, xml, specs)
     except (ET.ParseError, ValueError) as problem:
-        return [{"zip_name": zip_name, "member": member, "error": f"{type(problem).__name__}: {problem}"[:300]}]
+        return [{"zip_name": zip_name, "member": member, "error": f"{type(problem).__name__}: {problem}"}]
 
 
 def _record_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -173,10 +174,35 @@ def quarantined(extracted: DataFrame) -> DataFrame:
 
 
 def dataset(extracted: DataFrame, spec: Spec, schema: T.StructType | None = None, strict: bool = False) -> DataFrame:
-    """The rows of one dataset with its columns, as strings or cast to ``schema``."""
+    """The rows of one dataset with its columns, as strings or cast to ``schema``.
+
+    With a schema, the tokens a CSV reader treats as missing become null, and
+    rows whose filing key the types cannot hold are left to :func:`bad_keys`.
+    """
     from almsflow.functions.columns import cast_to
+    from almsflow.functions.text import na_to_null
+    from almsflow.schemas import FILING_KEY
+
+    rows = extracted.filter(F.col("dataset") == spec.name)
+    if schema is None:
+        return rows.select(*FILING_KEY, *[F.col("fields")[c].alias(c) for c in spec.fields])
+    kept = rows.filter(_whole_key(schema)).select(*FILING_KEY, *[na_to_null(F.col("fields")[c]).alias(c) for c in spec.fields])
+    return cast_to(kept, schema, strict)
+
+
+def _whole_key(schema: T.StructType) -> Column:
+    """All parts of the filing key are there and fit their types."""
+    from almsflow.functions.text import na_to_null
+    from almsflow.schemas import FILING_KEY
+
+    fits = [na_to_null(F.col(c).cast("string")).try_cast(schema[c].dataType).isNotNull() for c in FILING_KEY]
+    return reduce(lambda a, b: a & b, fits)
+
+
+def bad_keys(extracted: DataFrame, spec: Spec, schema: T.StructType) -> DataFrame:
+    """Rows of one dataset that :func:`dataset` leaves out, with the reason, like :func:`quarantined`."""
     from almsflow.schemas import FILING_KEY
 
-    rows = extracted.filter(F.col("dataset") == spec.name).select(
-        *FILING_KEY, *[F.col("fields")[c].alias(c) for c in spec.fields])
-    return cast_to(rows, schema, strict) if schema else rows
+    key = F.to_json(F.struct(*FILING_KEY))
+    return (extracted.filter((F.col("dataset") == spec.name) & ~_whole_key(schema))
+            .select("zip_name", "member", F.concat(F.lit(f"bad_key: {spec.name} "), key).alias("error")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from almsflow.functions import text as X
-from almsflow.functions.similarity import indel_score
+from almsflow.functions.similarity import indel_score, levenshtein_score
 from almsflow.operators.relational import nonempty
 from almsflow.runtime import cut_lineage
 
@@ -37,7 +37,8 @@ Scorer = Callable[[Column, Column], Column]
 
 CLEAN_KEY = ["clean_recipient_name", "clean_recipient_city", "clean_recipient_state", "clean_recipient_zip"]
 _COMMON_FIRST = "ETAOINSRHLDCUMFPGWYBVKXJQZ"  # letters by frequency in English
-_LOWEST_PRUNABLE = 75  # below this a string may have no gram that must survive
+_LOWEST_PRUNABLE = 75  # below this a long string may have no gram that must survive
+_LONGEST_SHORT = 64  # strings without a surviving gram at a prunable threshold are far shorter
 
 # Code points of ASCII, with letters and separators moved above everything
 # else so that numeric order runs from rare to common.
@@ -107,14 +108,32 @@ def _postings(side: DataFrame, block: Sequence[str], threshold: float, tag: str)
     return _shaped(side, threshold).select(*block, F.explode("prefix").alias("gram"), *named)
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+def _short_lengths(threshold: float) -> list[int]:
+    """Lengths at which a partner at the threshold can break every gram, so no gram join finds it."""
+    return [n for n in range(_LONGEST_SHORT) if n - 1 <= _most_broken(n, threshold)]
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float,
+                    prune: bool = True) -> DataFrame:
     """Every pair of a block that could reach the threshold, each once.
 
     Both sides hold distinct ``(block, text)`` rows plus payload columns; the
     result has the block columns and both payloads prefixed ``l_`` / ``r_``.
+    ``prune`` uses bounds of the indel score; without it, and for thresholds
+    below 1, all pairs of a block come out, which is quadratic in a block.
     """
+    if not prune or threshold < 1:
+        return _pairs_of_block(left, right, block)
     if threshold < _LOWEST_PRUNABLE:
         return _pairs_by_length(left, right, block, threshold)
+    short = F.length("text").isin(_short_lengths(float(threshold)))
+    return (_pairs_by_gram(left.filter(~short), right.filter(~short), block, threshold)
+            .unionByName(_pairs_by_length(left.filter(short), right, block, threshold))
+            .unionByName(_pairs_by_length(left.filter(~short), right.filter(short), block, threshold)))
+
+
+def _pairs_by_gram(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """Pairs that share a prefix gram and pass the length and sketch bounds."""
     t = float(threshold)
     a, b = _postings(left, block, t, "l"), _postings(right, block, t, "r")
     ln, rn = F.col("l_n"), F.col("r_n")
@@ -128,17 +147,32 @@ def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
     return pairs.drop("gram", "l_prefix", "r_prefix", "l_s0", "l_s1", "r_s0", "r_s1", "l_n", "r_n")
 
 
+def _payloads(left: DataFrame, right: DataFrame, block: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    return ([F.col(c).alias(f"l_{c}") for c in left.columns if c not in block],
+            [F.col(c).alias(f"r_{c}") for c in right.columns if c not in block])
+
+
+def _pairs_of_block(left: DataFrame, right: DataFrame, block: Sequence[str]) -> DataFrame:
+    of_left, of_right = _payloads(left, right, block)
+    return left.select(*block, *of_left).join(right.select(*block, *of_right), [*block], "inner")
+
+
 def _pairs_by_length(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """Thresholds too low for the gram bound: join on block and every compatible length."""
-    t = max(float(threshold), 1.0)
+    """Join on block and every compatible length: for low thresholds and short strings."""
+    t = float(threshold)
     n = F.length("text")
+    of_left, of_right = _payloads(left, right, block)
     a = left.withColumn("len", F.explode(F.sequence(F.ceil(n * t / (200 - t) - 1e-9),
                                                     F.floor(n * (200 - t) / t + 1e-9))))
     b = right.withColumn("len", n.cast("bigint"))
-    payload_l = [F.col(c).alias(f"l_{c}") for c in left.columns if c not in block]
-    payload_r = [F.col(c).alias(f"r_{c}") for c in right.columns if c not in block]
-    return (a.select(*block, "len", *payload_l)
-            .join(b.select(*block, "len", *payload_r), [*block, "len"], "inner").drop("len"))
+    return (a.select(*block, "len", *of_left)
+            .join(b.select(*block, "len", *of_right), [*block, "len"], "inner").drop("len"))
+
+
+#: Scorers that never exceed the indel score, so its bounds lose nothing. The Levenshtein score of
+#: strings with m = max(a, b): an alignment at distance d keeps at least m - d characters, so the longest
+#: common subsequence is no shorter, and 200 * LCS / (a + b) >= 200 * (m - d) / (2 m) = 100 * (1 - d / m).
+_BOUNDED = (indel_score, levenshtein_score)
 
 
 def best_matches(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float,
@@ -146,12 +180,13 @@ def best_matches(left: DataFrame, right: DataFrame, block: Sequence[str], thresh
     """Per left ``(block, text)``: the best-scoring right row at or above the threshold.
 
     ``right`` carries ``(ord, key, ein)``; equal scores go to the lowest
-    ``ord``. The arg-max aggregates before its shuffle.
+    ``ord``. The arg-max aggregates before its shuffle. Any other scorer than
+    those of ``_BOUNDED`` is tried on all pairs of a block.
     """
     # Scoring costs far more than a row's bytes suggest: spread the pairs evenly
     # (an explicit width is not coalesced), also out of a hot block.
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = (candidate_pairs(left, right, block, threshold).repartition(width, "l_text", "r_text")
+    scored = (candidate_pairs(left, right, block, threshold, scorer in _BOUNDED).repartition(width, "l_text", "r_text")
               .withColumn("score", scorer(F.col("l_text"), F.col("r_text")))
               .filter(F.col("score") >= threshold))
     winner = F.min_by(F.struct("score", F.col("r_ein").alias("ein"), F.col("r_key").alias("key")),

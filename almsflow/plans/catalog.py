@@ -779,7 +779,7 @@ def _(spark, sf):
     path = fresh_path(spark, "registry")
     rows = load(spark, sf, "part").selectExpr("p_partkey AS EIN", "p_name AS NAME", "p_size AS ICO", "p_brand AS CITY", "left(p_type, 2) AS STATE", "'01234' AS ZIP")
     csvfiles.write_csv(rows.sort("EIN").coalesce(1), f"{path}/1")
-    registry = csvfiles.read_registry(spark, f"{path}/*")
+    registry, _ = csvfiles.read_registry(spark, f"{path}/*")
     keyed = registry.filter("ZIP = '01234'").select("STATE", X.lookup_key(F.col("NAME"), F.col("CITY")).alias("k"), F.col("EIN").alias("ein"), "ord")
     return M.last_wins(keyed, ["STATE", "k"]).drop("ord")
 

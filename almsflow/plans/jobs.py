@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -121,10 +122,15 @@ def run_extract(spark: SparkSession, landing: str, output: str, dataset_specs: S
 
 
 def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
-    """Compile all datasets. Organisations are written first and read back, since four datasets need them."""
-    from almsflow.operators.extract import dataset
+    """Compile all datasets. Organisations are written first and read back, since four datasets need them.
+
+    Unreadable documents and rows without a whole filing key go to ``quarantined``.
+    """
+    from almsflow.operators.extract import bad_keys, dataset, quarantined
 
     rows = spark.read.parquet(extracted)
+    write_table(reduce(DataFrame.unionByName, [quarantined(rows), *(bad_keys(rows, spec, schema) for spec, schema in EXTRACTED)]),
+                f"{output}/quarantined")
     tables = {spec.name: dataset(rows, spec, schema) for spec, schema in EXTRACTED}
     first = f"{output}/organization_details_compiled"
     write_table(compile_organizations(
@@ -142,8 +148,11 @@ def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
 
 def run_infer_recipients(spark: SparkSession, grants_path: str, registry_dir: str, output: str,
                          threshold: float = 85) -> None:
+    """Resolve recipients; rejected registry records are written next to the output."""
     grants = read_table(spark, grants_path)
-    write_table(match.infer_recipients(grants, read_registry(spark, registry_dir), threshold), output)
+    registry, rejected = read_registry(spark, registry_dir)
+    write_table(rejected, f"{output.rstrip('/')}_rejected")
+    write_table(match.infer_recipients(grants, registry, threshold), output)
 
 
 def run_train(spark: SparkSession, grants_path: str, model_dir: str, settings: Settings = Settings(),

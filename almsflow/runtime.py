@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="almsflow-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -18,19 +19,20 @@ _CORRUPT = "_corrupt"
 
 
 def _header(row: dict) -> Iterator[dict]:
-    with open_path(row["path"]) as source:
-        line = source.read(1 << 16).decode("utf-8-sig", errors="ignore").split("\n", 1)[0].rstrip("\r")
-    if line.strip():
-        yield {"path": row["path"], "header": next(csv.reader([line]))}
+    """The first record that is not blank, whatever its length; null for a file without one."""
+    with open_path(row["path"]) as source, io.TextIOWrapper(source, "utf-8-sig", errors="replace", newline="") as text:
+        header = next((r for r in csv.reader(text) if any(c.strip() for c in r)), None)
+    yield {"path": row["path"], "header": header}
 
 
 def layouts(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list[tuple[tuple[str, ...], list[str]]]:
-    """Header -> files with that header. Only first lines are read; the driver
-    sees what its own file listing already holds, one path per file."""
+    """Header -> files with that header; the empty header stands for files without one.
+    Only first records are read; the driver sees what its own file listing
+    already holds, one path per file."""
     files = landed(listing(spark, directory, pattern)).select("path")
     heads = files.mapInArrow(in_batches(_header, _HEADER_SCHEMA), _HEADER_SCHEMA)
     rows = heads.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("paths")).collect()
-    return sorted((tuple(r["header"]), list(r["paths"])) for r in rows)
+    return sorted((tuple(r["header"] or ()), list(r["paths"])) for r in rows)
 
 
 def _raw(spark: SparkSession, header: Sequence[str], paths: list[str], schema: T.StructType,
@@ -71,11 +73,14 @@ def read_csv(spark: SparkSession, directory: str, schema: T.StructType, pattern:
     """
     if bad_file_policy not in ("quarantine", "skip_file"):
         raise ValueError(f"unknown policy {bad_file_policy!r}")
-    found = layouts(spark, directory, pattern)
+    listed = layouts(spark, directory, pattern)
+    found = [(header, paths) for header, paths in listed if header]
+    headless = [(path, "no header") for header, paths in listed if not header for path in paths]
+    headless = spark.createDataFrame(headless, "file string, record string")
     required = [f.name for f in schema.fields if f.name in required]
     if not found:
         empty = spark.createDataFrame([], schema)
-        return empty, spark.createDataFrame([], "file string, record string")
+        return empty, headless
     raw = reduce(DataFrame.unionByName, [_raw(spark, h, p, schema, multi_line) for h, p in found])
     marked = raw.withColumn("_bad", F.coalesce(_is_bad(schema, required), F.lit(False)))
     bad = marked.filter("_bad")
@@ -86,13 +91,16 @@ def read_csv(spark: SparkSession, directory: str, schema: T.StructType, pattern:
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     record = F.coalesce(_CORRUPT, F.to_json(F.struct(*schema.fieldNames())))
     return (good.select(*columns, *(["ord"] if with_order else [])),
-            bad.select(F.col("ord.file").alias("file"), record.alias("record")))
+            bad.select(F.col("ord.file").alias("file"), record.alias("record")).union(headless))
 
 
-def read_registry(spark: SparkSession, directory: str, pattern: str = "*.csv") -> DataFrame:
-    """All regional registry files as one table with ``ord``; an organisation may repeat."""
-    rows, _ = read_csv(spark, directory, REGISTRY, pattern, required=("EIN",), multi_line=False, with_order=True)
-    return rows
+def read_registry(spark: SparkSession, directory: str, pattern: str = "*.csv",
+                  multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of all regional registry files, rows with ``ord``; an organisation may repeat.
+
+    Names may hold line breaks; without any, ``multi_line=False`` lets large files be split.
+    """
+    return read_csv(spark, directory, REGISTRY, pattern, required=("EIN",), multi_line=multi_line, with_order=True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -118,3 +119,22 @@ def test_pluggable_scorer(spark):
                               "EIN long, NAME string, CITY string, STATE string, ZIP string, ord long")
     row = M.infer_recipients(g, r, 50, S.levenshtein_score).first()
     assert row.inferred_ein == 5 and row.match_type == "state_fuzzy"
+
+
+def test_short_strings_and_low_thresholds_lose_nothing(spark):
+    texts = ["".join(t) for n in range(1, 5) for t in itertools.product("AB|", repeat=n)] + ["A|ELYX", "ALPHA|ELY", "A" * 9]
+    left = spark.createDataFrame([("S", t) for t in texts], "state string, text string")
+    right = spark.createDataFrame([("S", t, t, i, i) for i, t in enumerate(texts)], "state string, text string, key string, ein long, ord long")
+    for threshold in (0, 60, 75, 76, 79, 80, 81, 85):
+        pairs = M.candidate_pairs(left, right, ["state"], threshold).select("l_text", "r_text")
+        found = pairs.withColumn("s", S.indel_score(F.col("l_text"), F.col("r_text"))).filter(F.col("s") >= threshold)
+        every = (left.select(F.col("text").alias("l_text")).join(right.select(F.col("text").alias("r_text")), how="full", on=F.lit(True))
+                 .withColumn("s", S.indel_score(F.col("l_text"), F.col("r_text"))).filter(F.col("s") >= threshold))
+        assert sorted(found.collect()) == sorted(every.collect())
+
+
+def test_a_foreign_scorer_is_tried_on_all_pairs(spark):
+    left = spark.createDataFrame([("S", "ALPHA|ELY")], "state string, text string")
+    right = spark.createDataFrame([("S", "ALPHA BETA GAMMA DELTA OMEGA|ELY", "k", 7, 0)], "state string, text string, key string, ein long, ord long")
+    for threshold in (50, 85):
+        assert M.best_matches(left, right, ["state"], threshold, lambda a, b: F.lit(100.0)).first().ein == 7

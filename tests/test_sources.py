@@ -20,7 +20,7 @@ def folder(tmp_path):
 def test_columns_matched_by_name_and_bad_rows_set_aside(spark, folder):
     good, bad = csvfiles.read_csv(spark, str(folder), SCHEMA, required=("ein",))
     assert sorted(map(tuple, good.collect())) == [(1, 'x, "q"\ny', 2.5), (2, None, None), (3, "none", 7.0)]
-    assert [r.file.endswith("b.csv") for r in bad.collect()] == [True]
+    assert sorted((r.file.rsplit("/", 1)[-1], r.record == "no header") for r in bad.collect()) == [("b.csv", False), ("blank.csv", True)]
 
 
 def test_skip_file_policy(spark, folder):
@@ -33,7 +33,7 @@ def test_skip_file_policy(spark, folder):
 def test_registry_order_decides_the_last_row(spark, tmp_path):
     (tmp_path / "r1.csv").write_text("EIN,NAME,ICO,CITY,STATE,ZIP\n1,A,,X,CT,06510-1\n2,A,,X,CT,6510\n")
     (tmp_path / "r2.csv").write_text("EIN,NAME,ICO,CITY,STATE,ZIP\n3,A,,X,CT,06510\n")
-    rows = csvfiles.read_registry(spark, str(tmp_path)).orderBy("ord").collect()
+    rows = csvfiles.read_registry(spark, str(tmp_path))[0].orderBy("ord").collect()
     assert [(r.EIN, r.ZIP) for r in rows] == [(1, "06510-1"), (2, "6510"), (3, "06510")]
 
 
@@ -65,3 +65,14 @@ def test_incremental(spark):
 
 def test_scratch_paths_never_repeat(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x") and fresh_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_blank_first_line_long_header_and_headless_files(spark, tmp_path):
+    wide = ",".join(["EIN", "NAME", "CITY", "STATE", "ZIP", *(f"c{i:06d}" for i in range(9000))])
+    (tmp_path / "a.csv").write_text("\n\nEIN,NAME,CITY,STATE,ZIP\n1,A,B,NY,10001\n")
+    (tmp_path / "b.csv").write_text(wide + "\n2,A,B,NY,10001" + "," * 9000 + "\n")
+    (tmp_path / "c.csv").write_text("\n \n")
+    (tmp_path / "d.csv").write_text('EIN,NAME,CITY,STATE,ZIP\n3,"two\nlines",B,NY,10001\nx,bad,B,NY,1\n')
+    rows, rejected = csvfiles.read_registry(spark, str(tmp_path))
+    assert sorted(r.EIN for r in rows.collect()) == [1, 2, 3]
+    assert {r.file.rsplit("/", 1)[-1] for r in rejected.collect()} == {"c.csv", "d.csv"}
