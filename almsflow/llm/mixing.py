@@ -32,7 +32,8 @@ MAX_SOURCES = 50_000
 MAX_BLOCKS = 32_768
 MIN_BLOCK_WORDS = 2_000
 MAX_COPIES = 3
-OUTPUT_SHARDS = 16
+#: Words of the mix in one output shard, so that a shard stays as large as a task can sort; 16 shards at least.
+SHARD_WORDS, MIN_SHARDS = 8_000_000, 16
 SEED = 9
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -88,7 +89,7 @@ def _block(blocks: Column) -> Column:
     return F.least(F.floor(F.col("_u") * blocks), blocks - 1).cast("int")
 
 
-def plan(docs: DataFrame, weights=None, shards: int = OUTPUT_SHARDS, seed: int = SEED) -> Plan:
+def plan(docs: DataFrame, weights=None, shards: int | None = None, seed: int = SEED) -> Plan:
     """Decide every draw. ``weights(sources)`` gives each source's weight; by default 1, 2, 3, repeating."""
     spark, compact = docs.sparkSession, _compact(docs)
     found = compact.groupBy("_source").agg(F.sum("_words").alias("words")).limit(MAX_SOURCES + 1).collect()
@@ -97,6 +98,7 @@ def plan(docs: DataFrame, weights=None, shards: int = OUTPUT_SHARDS, seed: int =
     sizes = {r["_source"]: r["words"] for r in sorted(found, key=lambda r: (r["_source"] is None, r["_source"] or ""))}
     weight = weights(list(sizes)) if weights else {s: float(1 + i % 3) for i, s in enumerate(sizes)}
     goal, total = targets(sizes, weight), sum(sizes.values())
+    shards = shards or max(MIN_SHARDS, -(-total // SHARD_WORDS))
     block_words = max(MIN_BLOCK_WORDS, -(-total // MAX_BLOCKS))
     n_blocks = {s: max(1, -(-size // block_words)) for s, size in sizes.items()}
     if not sizes:
