@@ -191,11 +191,10 @@ def dataset(extracted: DataFrame, spec: Spec, schema: T.StructType | None = None
 
 
 def _whole_key(schema: T.StructType) -> Column:
-    """All parts of the filing key are there and fit their types."""
+    """The identifying parts of the filing key are there and fit their types."""
     from almsflow.functions.text import na_to_null
-    from almsflow.schemas import FILING_KEY
 
-    fits = [na_to_null(F.col(c).cast("string")).try_cast(schema[c].dataType).isNotNull() for c in FILING_KEY]
+    fits = [na_to_null(F.col(c).cast("string")).try_cast(schema[c].dataType).isNotNull() for c in ("filing_number", "ein", "tax_yr")]
     return reduce(lambda a, b: a & b, fits)
 
 

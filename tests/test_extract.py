@@ -115,10 +115,10 @@ def test_bad_keys_and_missing_tokens_on_the_job_path(spark):
     schema = dict((spec.name, kind) for spec, kind in J.EXTRACTED)["grant_details"]
     spec = BY_NAME["grant_details"]
     fields = lambda **own: {c: own.get(c) for c in spec.fields}
-    name, person = spec.fields[0], spec.fields[1]
-    rows = [("z", f"m{i}", "grant_details", 0, str(i), "12" if i == 3 else "bad", "2020", fields(**{name: "N/A", person: "Jane"}), None) for i in range(4)]
+    name, person = list(spec.fields)[:2]
+    rows = [("z", f"m{i}", "grant_details", 0, str(i), "12" if i == 3 else "bad", "2020", "990", fields(**{name: "N/A", person: "Jane"}), None) for i in range(4)]
     extracted = spark.createDataFrame(rows, "zip_name string, member string, dataset string, seq int, filing_number string, ein string, "
-                                            "tax_yr string, fields map<string,string>, error string")
+                                            "tax_yr string, form string, fields map<string,string>, error string")
     kept = E.dataset(extracted, spec, schema).collect()
     assert [r[name] for r in kept] == [None] and len(kept) == 1
     assert E.bad_keys(extracted, spec, schema).count() == 3
