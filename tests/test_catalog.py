@@ -2,6 +2,7 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from almsflow.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 QUICK = ["zip5", "clean_name_docs", "clean_city_docs", "placeholder_filter", "pair_row", "pair_melt_join", "keep_latest",
@@ -17,5 +18,5 @@ def test_query_equals_its_sql_twin(spark, name):
 
 def test_contract(spark):
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"train_blocks", "train_and_recommend", "inventory"}
+    assert set(catalog.QUERIES) - set(oracle_sql()) == {"train_blocks", "train_and_recommend", "inventory"}
     assert entry(spark).columns == ["donor_ein", "receiver_ein", "grant_amt"]
