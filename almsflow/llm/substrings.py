@@ -8,9 +8,9 @@ document with a smaller doc_id. Suffixes of all documents are far too many to sh
    count once: all windows of a later copy are repeats anyhow.
 2. The suffixes of windows with such anchors are dealt out by prefix: the anchor's 25 words. Text is
    shipped as slices that hold the run of neighbouring windows with one anchor. A group's suffixes
-   are sorted; runs of neighbours that share 50 words are the deep internal nodes of the
+   are sorted to a depth of 50 words; equal neighbours hang below one deep internal node of the
    group's suffix tree. The smallest doc_id below a node keeps its words.
-3. Where a prefix group is too large for a task (``GROUP`` documents), its suffixes get a longer
+3. Where a prefix group is too large for a task (``GROUP`` suffixes), its suffixes get a longer
    prefix, all 50 words of the window; the smallest doc_id per prefix is then a sum-like
    aggregate that is combined before the shuffle, whatever the size of the group.
 
@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,8 @@ from almsflow.llm.tables import arrow_map, utf8, words
 from almsflow.runtime import cut_lineage
 
 WINDOW = 50
-#: Documents of one prefix group that a task holds at once.
-GROUP = 2_000
+#: Suffixes of one prefix group that a task holds at once, 50 words of each.
+GROUP = 25_000
 LAST_ID = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
@@ -122,6 +124,9 @@ def _deal_out(joined: DataFrame, window: int) -> DataFrame:
                         k = np.frombuffer(hashlib.blake2b(b" ".join(found[p:p + window]), digest_size=16).digest(), np.int64)
                         rows.append((_WINDOW, ids[i], t1s[i], int(k[0]), int(k[1]), p, None, None, None, None))
                         n += 64
+                        if len(rows) >= 50_000:
+                            yield _work_batches(rows, schema)
+                            rows = []
                     marked = marked | often
                 if marked.any():
                     rows.append((_HELD, ids[i], t1s[i], None, None, None, None, None, None, raw))
@@ -142,28 +147,23 @@ def subtree_marks(slices: list[tuple[int, int, int, bytes]], window: int) -> lis
     """Repeated windows of one prefix group: ``(id, t1, first, end)`` runs of window starts.
 
     ``slices`` are ``(id, t1, position, text)``. Sorted suffixes stand like the leaves of a suffix
-    tree; neighbours whose common prefix reaches ``window`` words share a deep node.
+    tree; those that agree in ``window`` words share a deep node.
     """
-    suffixes: list[tuple[bytes, int, int, int]] = []
+    suffixes: list[tuple[bytes, int, int]] = []
     for number, (_, _, _, text) in enumerate(slices):
         text += b" "
         ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1
         starts = np.concatenate([[0], ends[:-1]])
-        for d in range(len(ends) - window + 1):
-            suffixes.append((text[starts[d]:], int(ends[d + window - 1] - starts[d]), number, d))
+        # No deeper than a window: a long run of one word would else cost the square of its length.
+        suffixes += [(text[a:b], number, d) for d, (a, b) in enumerate(zip(starts.tolist(), ends[window - 1:].tolist()))]
     suffixes.sort()
     marks: dict[int, list[int]] = {}
-    at = 0
-    while at < len(suffixes):
-        head, stop = suffixes[at][0][:suffixes[at][1]], at + 1
-        while stop < len(suffixes) and suffixes[stop][0].startswith(head):
-            stop += 1
-        if stop - at > 1:
-            owner = min(slices[s[2]][0] for s in suffixes[at:stop])
-            for _, _, number, d in suffixes[at:stop]:
-                if slices[number][0] > owner:
-                    marks.setdefault(number, []).append(slices[number][2] + d)
-        at = stop
+    for _, below in groupby(suffixes, key=itemgetter(0)):
+        leaves = [(number, d) for _, number, d in below]
+        owner = min(slices[number][0] for number, _ in leaves)
+        for number, d in leaves:
+            if slices[number][0] > owner:
+                marks.setdefault(number, []).append(slices[number][2] + d)
     out = []
     for number, found in marks.items():
         found.sort()
@@ -176,7 +176,7 @@ _MARKS = "id long, t1 long, first int, end int"
 
 
 def _cold_marks(work: DataFrame, window: int) -> DataFrame:
-    """Marks of the prefix groups; every group is one run of a sorted partition and bounded by ``GROUP`` documents."""
+    """Marks of the prefix groups; every group is one run of a sorted partition and bounded by ``GROUP`` suffixes."""
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, slices, out = None, [], []
@@ -229,13 +229,14 @@ def repeated_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROU
                         F.xxhash64("text").alias("t1"), F.coalesce(F.octet_length("text"), F.lit(-1)).alias("len"), "text")
 
     def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [np.unique(anchors(words(raw), window)) for raw in utf8(batch.column("text"))]
-        owner = np.repeat(batch.column("t1").to_numpy(zero_copy_only=False), [len(a) for a in own])
-        flat = np.concatenate(own) if own else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owner, pa.int64())], names=["key", "t1"])
-
-    placed = arrow_map(keyed.select("t1", "text"), emit, "key long, t1 long")
-    shared = cut_lineage(placed.groupBy("key").agg(F.min("t1").alias("_a"), F.max("t1").alias("_b"), F.count(F.lit(1)).alias("_n"))
+        own = [np.unique(anchors(words(raw), window), return_counts=True) for raw in utf8(batch.column("text"))]
+        owner = np.repeat(batch.column("t1").to_numpy(zero_copy_only=False), [len(a) for a, _ in own])
+        flat = np.concatenate([np.empty(0, np.uint64), *(a for a, _ in own)])
+        count = np.concatenate([np.empty(0, np.int64), *(n for _, n in own)])
+        return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owner, pa.int64()), pa.array(count, pa.int32())], names=["key", "t1", "n"])
+
+    placed = arrow_map(keyed.select("t1", "text"), emit, "key long, t1 long, n int")
+    shared = cut_lineage(placed.groupBy("key").agg(F.min("t1").alias("_a"), F.max("t1").alias("_b"), F.sum("n").alias("_n"))
                          .where(F.col("_a") != F.col("_b")).select("key", (F.col("_n") > group).alias("_hot")))
     own = placed.join(shared, "key").groupBy("t1").agg(
         F.collect_set(F.when(~F.col("_hot"), F.col("key"))).alias("shared"), F.collect_set(F.when(F.col("_hot"), F.col("key"))).alias("hot"))

@@ -122,6 +122,11 @@ def test_substrings_equal_a_plain_version(odd, odd_rows, nothing, group):
     assert substrings.repeated_substrings(nothing).count() == 0
 
 
+def test_long_runs_of_one_word_stay_small():
+    slices = [(i, i, 0, b" ".join([b"again"] * 20_000)) for i in range(3)]
+    assert substrings.subtree_marks(slices, 50) == [(1, 1, 0, 19_951), (2, 2, 0, 19_951)]
+
+
 def test_decontamination_spans_parts_and_columns(spark, odd, odd_rows, nothing):
     passage = odd_rows[40][1].split("\n")[0].split()[60:]
     items = [(1, " ".join(passage[:40])), (2, "TWO words"), (3, None), (None, " ".join(passage[20:60])), (2, "..."), (10, " ".join(passage[:13]))]
