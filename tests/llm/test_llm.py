@@ -2,12 +2,16 @@
 
 import hashlib
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from almsflow.runtime import cut_lineage
 from almsflow.llm import decontaminate, fingerprints, htmltext, language, licenses, lines, mixing, neardup, queries, shards, substrings
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -285,7 +289,88 @@ def test_page_rows(spark):
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
-def test_pipeline_stages(spark):
+def plain_hit_share(text, windows):
+    """Hit words and words, by looking every window up at every place."""
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    hit = {q for k, own in windows.items() for p in range(len(found) - k + 1) if tuple(found[p:p + k]) in own for q in range(p, p + k)}
+    return len(hit), len(found)
+
+
+def plain_windows(items):
+    windows = {}
+    for t in items:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        k = min(13, len(w))
+        for p in range(len(w) - k + 1 if w else 0):
+            windows.setdefault(k, set()).add(tuple(w[p:p + k]))
+    return windows
+
+
+def plain_targets(sizes):
+    """Shares by weight 1, 2, 3; what a source cannot take (3 times its size) goes to the others, until nothing is left to give."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + i % 3 for i, s in enumerate(order)}
+    full, total = set(), sum(sizes.values())
+    while True:
+        left, share = total - sum(3 * sizes[s] for s in full), sum(weight[s] for s in order if s not in full)
+        over = {s for s in order if s not in full and weight[s] * left > 3 * sizes[s] * share}
+        if not over:
+            return {s: 3 * sizes[s] if s in full else weight[s] * left / share for s in order}
+        full |= over
+
+
+def test_pipeline_stages_against_plain_versions(spark, odd_rows):
+    """Every stage on what the stage before kept, row for row where the stage has one right answer, else by its law."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = cut_lineage(given.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
+                       .union(table(spark, [(None if r[0] is None else r[0] + 1_000_000, *r[1:]) for r in odd_rows])))
+    bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    steps = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in docs.collect()]
+        docs = cut_lineage(stage(spark, docs, SF))
+        steps[name] = before, [tuple(r) for r in docs.collect()]
+        if name != "sharding":
+            assert docs.columns == given.columns
+    assert list(steps) == ["language_id", "near_dedup", "decontamination", "mixing", "sharding"]
+
+    before, after = steps["language_id"]
+    assert Counter(after) == Counter(r for r in before if any(c.isalpha() for c in r[1] or "")) and len(after) < len(before)
+
+    before, after = steps["near_dedup"]
+    groups = plain_groups(before, 5, 80)
+    firsts = {r[2] for r in groups if r[2] is not None}
+    assert Counter(after) == Counter(set(r for r, g in zip(before, groups) if r[0] in firsts or g[2] is None)) and len(after) < len(before)
+
+    before, after = steps["decontamination"]
+    windows = plain_windows(bench)
+    clean = [r for r in before for hit, n in [plain_hit_share(r[1], windows)] if not (hit and 20 * hit >= n)]
+    assert Counter(after) == Counter(clean) and len(after) < len(before)
+
+    before, after = steps["mixing"]
+    words = {r: len((r[1] or "").encode().split()) for r in before}
+    copies, sizes, taken, largest = Counter(after), Counter(), Counter(), Counter()
+    assert set(copies) <= set(before) and max(copies.values()) <= 3
+    for r in before:
+        sizes[r[3]] += words[r]
+        taken[r[3]] += words[r] * copies[r]
+        largest[r[3]] = max(largest[r[3]], words[r])
+    for s, goal in plain_targets(sizes).items():
+        assert abs(taken[s] - goal) <= largest[s]
+
+    before, after = steps["sharding"]
+    assert Counter(r[:-2] for r in after) == Counter(before)
+    assert docs.columns == [*given.columns, "shard", "slot"]
+    size, slots = Counter(), {}
+    for r in after:
+        size[r[-2]] += len((r[1] or "").encode()) + 8
+        slots.setdefault(r[-2], []).append(r[-1])
+    assert set(slots) == set(range(24)) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    even, top = sum(size.values()) / 24, max(len((r[1] or "").encode()) + 8 for r in after)
+    assert all(abs(x - even) <= 5 * top for x in size.values())  # one cut per level, each off by half a document at most
+
+
+def test_pipeline_run(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [*docs.columns, "shard", "slot"] and out.where("shard IS NULL").count() == 0
