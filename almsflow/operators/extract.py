@@ -151,12 +151,15 @@ def extract(docs: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:
 
 
 def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], specs: Sequence[Spec] = SPECS) -> DataFrame:
-    """Like :func:`extract`, reading ``(path, members)`` chunks straight from
-    storage, so document text never passes through the JVM."""
+    """Like :func:`extract`, reading ``(path, members, error)`` chunks straight from
+    storage, so document text never passes through the JVM. A chunk with an error becomes one error row."""
     specs = tuple(specs)
 
     def rows(chunk: dict) -> Iterator[dict]:
         zip_name = chunk["path"].rsplit("/", 1)[-1]
+        if chunk["error"]:
+            yield {"zip_name": zip_name, "error": chunk["error"]}
+            return
         try:
             source = open_archive(chunk["path"])
         except OSError as problem:
@@ -166,7 +169,7 @@ def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], sp
             for doc in archive_documents(zip_name, source, list(chunk["members"])):
                 yield from _rows_or_error(doc["zip_name"], doc["member"], doc["xml"], doc["error"], specs)
 
-    return chunks.select("path", "members").mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA)
+    return chunks.select("path", "members", "error").mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA)
 
 
 def quarantined(extracted: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from almsflow.functions.text import upper_strip
+from almsflow.functions.text import SPACE
 from almsflow.schemas import FILING_KEY
 
 # Openings of descriptions that only point elsewhere.
@@ -34,8 +34,9 @@ def of_survivors(details: DataFrame, filings: DataFrame, keys: Sequence[str] = F
 
 
 def is_placeholder(description: Column) -> Column:
-    text = upper_strip(description)
-    return reduce(lambda a, b: a | b, [text.startswith(p) for p in PLACEHOLDERS])
+    # Only as many characters as the longest phrase has are put in upper case.
+    opening = F.upper(F.regexp_extract(description, f"(?Us)^{SPACE}*(.{{0,{max(map(len, PLACEHOLDERS))}}})", 1))
+    return reduce(lambda a, b: a | b, [opening.startswith(p) for p in PLACEHOLDERS])
 
 
 def drop_placeholders(df: DataFrame, description: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from almsflow.functions import vectors as V
 from almsflow.operators.aggregates import split_metrics
 from almsflow.operators.recommend import pair_scores
-from almsflow.runtime import cut_lineage
+from almsflow.runtime import cut_lineage, fresh_path
 
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
 KEPT_EPOCHS = (1, 5, 10, 15, 20)  # fixed values: epochs whose state is saved
@@ -147,14 +147,17 @@ def _merged(state: DataFrame, dim: int) -> DataFrame:
 
 
 def _samples_in_parts(samples: DataFrame, s: Settings) -> tuple[DataFrame, dict[tuple[int, int], int]]:
-    """Samples with their block pair, and into how many parts each pair is cut.
+    """Samples with their block pair, written by stratum, and into how many parts each pair is cut.
 
-    The size table has at most blocks squared rows, so the driver may hold it.
+    A stratum reads only its own folder. The size table has at most blocks squared rows, so the driver may hold it.
     """
     placed = samples.select(
         F.col("donor_id").cast("bigint").alias("id"), F.col("receiver_id").cast("bigint").alias("other"),
         F.col("label").cast("int").alias("label"), _block(F.col("donor_id"), s.blocks).alias("db"),
-        _block(F.col("receiver_id"), s.blocks).alias("rb"))
+        _block(F.col("receiver_id"), s.blocks).alias("rb")).withColumn("shift", F.pmod(F.col("rb") - F.col("db"), F.lit(s.blocks)))
+    path = fresh_path(samples.sparkSession, "samples")
+    placed.write.partitionBy("shift").parquet(path)
+    placed = samples.sparkSession.read.schema(placed.schema).parquet(path)
     sizes = placed.groupBy("db", "rb").count().collect()
     return placed, {(x["db"], x["rb"]): -(-x["count"] // s.part_rows) for x in sizes}
 
@@ -176,7 +179,7 @@ def _stratum(state: DataFrame, placed: DataFrame, parts: dict[tuple[int, int], i
     vectors = state.withColumn("task", task)
     n_parts = _parts_of(cuts, F.col("task"), F.pmod(F.col("task") + shift, F.lit(p)), p)
     copies = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-    mine = placed.filter(F.pmod(F.col("rb") - F.col("db"), F.lit(p)) == shift)
+    mine = placed.filter(F.col("shift") == shift)
     spread = F.pmod(F.xxhash64("id", "other"), _parts_of(cuts, F.col("db"), F.col("rb"), p)).cast("int")
     # Empty rather than null vectors: Arrow transfer of null lists is very slow.
     none = F.array().cast("array<float>")
@@ -211,7 +214,6 @@ def train(train_set: DataFrame, val_set: DataFrame, donors: DataFrame, receivers
     ``(epoch, train_loss, val_loss, accuracy)`` with one row per epoch."""
     s, spark = settings, train_set.sparkSession
     placed, parts = _samples_in_parts(train_set, s)
-    placed = cut_lineage(placed)
     state = cut_lineage(init_vectors(donors, "d", s).unionByName(init_vectors(receivers, "r", s)))
     history, best = [], float("inf")
     for epoch in range(1, s.epochs + 1):

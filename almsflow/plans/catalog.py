@@ -386,7 +386,8 @@ def _sites(spark, sf):
 
 
 _PLACE_SQL = ", ".join(f"{e} AS {n.lower()}" for n, e in _PLACE.items())
-MATCH_SQL = f"""
+def match_sql(threshold: int) -> str:
+    return f"""
 raw AS (SELECT page_id, url LIKE 'https:%' AS registered, {_PLACE_SQL} FROM pages),
 clean AS (SELECT page_id, registered, {sql_name('name')} AS n, {sql_city('city')} AS c, left(upper(trim(state)), 2) AS st,
           regexp_extract(zip, '(\\d{{5}})', 1) AS z FROM raw),
@@ -394,17 +395,20 @@ keyed AS (SELECT *, n || '|' || c AS k, {sql_sorted("n || '|' || c")} AS t FROM
 who AS (SELECT * FROM keyed WHERE NOT registered AND n <> '' AND st <> ''),
 org AS (SELECT *, max_by(page_id, page_id) OVER (PARTITION BY st, k) AS ein FROM (SELECT * FROM keyed WHERE registered)),
 pairs AS (SELECT DISTINCT w.st, w.t AS wt, o.t AS ot FROM who w JOIN org o ON w.st = o.st
-          WHERE least(length(w.t), length(o.t)) * 115 >= greatest(length(w.t), length(o.t)) * 85),
+          WHERE least(length(w.t), length(o.t)) * {200 - threshold} >= greatest(length(w.t), length(o.t)) * {threshold}),
 scored AS (SELECT st, wt, ot, 200.0 * {sql_lcs("wt", "os")} / (length(wt) + length(ot)) AS score
            FROM (SELECT *, string_split(ot, '') AS os FROM pairs)),
 hits AS (SELECT w.n, w.c, w.st, w.z, o.ein, o.z = w.z AND w.z <> '' AS same_zip, s.score,
          row_number() OVER (PARTITION BY w.n, w.c, w.st, w.z ORDER BY o.z = w.z AND w.z <> '' DESC, s.score DESC, o.page_id) AS rank
          FROM (SELECT DISTINCT n, c, st, z, t FROM who) w JOIN scored s ON s.st = w.st AND s.wt = w.t JOIN org o ON o.st = s.st AND o.t = s.ot
-         WHERE s.score >= 85),
+         WHERE s.score >= {threshold}),
 matched AS (SELECT w.page_id, w.n AS clean_recipient_name, w.c AS clean_recipient_city, w.st AS clean_recipient_state, w.z AS clean_recipient_zip,
             h.ein AS inferred_ein, coalesce(h.score, CASE WHEN w.st IN (SELECT st FROM org) THEN 0 END) AS match_score,
             CASE WHEN h.same_zip THEN 'zip+fuzzy' WHEN h.ein IS NOT NULL THEN 'state_fuzzy' WHEN w.st IN (SELECT st FROM org) THEN 'no_match' END AS match_type
             FROM who w LEFT JOIN hits h ON h.rank = 1 AND h.n = w.n AND h.c = w.c AND h.st = w.st AND h.z = w.z)"""
+
+
+MATCH_SQL = match_sql(85)
 _MATCH_COLS = ["page_id", *M.CLEAN_KEY, "inferred_ein", "match_score", "match_type"]
 _ROUNDED = "page_id, clean_recipient_name, clean_recipient_city, clean_recipient_state, clean_recipient_zip, inferred_ein, round(match_score, 6) AS match_score, match_type"
 
@@ -429,6 +433,28 @@ def _(spark, sf):
     return _matched(spark, sf).filter("match_type <> 'zip+fuzzy'")
 
 
+@query("fuzzy_low_threshold", f"WITH {match_sql(75)} SELECT {_ROUNDED} FROM matched")
+def _(spark, sf):
+    found = M.infer_recipients(*_sites(spark, sf), threshold=75).select(*_MATCH_COLS)
+    return found.withColumn("match_score", F.round("match_score", 6))
+
+
+@query("run_infer_flow", f"WITH {MATCH_SQL} SELECT {_ROUNDED} FROM matched UNION ALL "
+                         "SELECT count(*), match_type, '', '', '', 0, 0, 'report' FROM matched WHERE match_type IS NOT NULL GROUP BY 2")
+def _(spark, sf):
+    """The job from files to files: a grants table, registry files in EIN order, the resolved table and its report."""
+    grants, registry = _sites(spark, sf)
+    path = fresh_path(spark, "infer")
+    tables.write_table(grants, f"{path}/grants")
+    csvfiles.write_csv(registry.select("EIN", "NAME", "CITY", "STATE", "ZIP").sort("EIN"), f"{path}/registry")
+    J.run_infer_recipients(spark, f"{path}/grants", f"{path}/registry", f"{path}/resolved")
+    resolved = tables.read_table(spark, f"{path}/resolved", _MATCH_COLS).withColumn("match_score", F.round("match_score", 6))
+    report = tables.read_table(spark, f"{path}/resolved_report")
+    return resolved.unionByName(report.select(
+        F.col("n").alias("page_id"), F.col("match_type").alias(M.CLEAN_KEY[0]), *[F.lit("").alias(c) for c in M.CLEAN_KEY[1:]],
+        F.lit(0).cast("long").alias("inferred_ein"), F.lit(0.0).alias("match_score"), F.lit("report").alias("match_type")))
+
+
 @query("match_rate", f"WITH {MATCH_SQL} SELECT count(inferred_ein) AS matched, count(*) AS total, round(count(inferred_ein) / count(*) * 100, 1) AS percent FROM matched")
 def _(spark, sf):
     return A.match_rate(_matched(spark, sf))
@@ -758,6 +784,46 @@ def _(spark, sf):
     return J.compile_activities(t["direct_charitable_activity_details"], dedupe.latest_filings(t["filing_details"]))
 
 
+_COMPILED = {
+    "organization_details_compiled": ("compile_orgs_flow", ["foundation_name", "foundation_address", "foundation_city", "foundation_zip",
+                                      "organization_mission_pt1_990_only", "organization_mission_pt2_990_only"],
+                                      ["contribution_amt", "grant_amt", "managed_assets_at_eoy", "daf_contribution_amt", "daf_grant_amt",
+                                       "daf_managed_assets_at_eoy", "daf_count_at_eoy"]),
+    "grant_details_compiled": ("compile_grants_job", ["recipient_ein", "recipient_name", "recipient_address", "recipient_city",
+                               "recipient_state", "recipient_zip", "grant_purpose"], ["grant_amt"]),
+    "independent_contractor_details_compiled": ("compile_contractors_flow", ["contractor_name", "contractor_address", "contractor_city",
+                                                "contractor_state", "contractor_zip", "service_description"], ["compensation_amt"]),
+    "program_related_investments_compiled": ("compile_investments_flow", ["DescriptionTxt"], ["ExpensesAmt"]),
+    "direct_charitable_activity_details_compiled": ("compile_activities_flow", ["DescriptionTxt"], ["ExpensesAmt"]),
+}
+
+
+def _row_text(texts: list[str], amounts: list[str]) -> str:
+    """A whole compiled row as one text, the same expression in both engines."""
+    shown = [f"CAST({c} AS STRING)" for c in [*S.FILING_KEY, *texts]] + [f"CAST(CAST({c} AS DECIMAL(24, 2)) AS STRING)" for c in amounts]
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}, '~')" for c in shown) + ")"
+
+
+def _run_compile_sql() -> str:
+    parts = [f"SELECT '{name}' AS dataset, {_row_text(texts, amounts)} AS content FROM ({ORACLES[flow]}) AS t"
+             for name, (flow, texts, amounts) in _COMPILED.items()]
+    return " UNION ALL ".join([*parts, "SELECT 'quarantined', 'broken.zip'"])
+
+
+@query("run_compile_flow", _run_compile_sql())
+def _(spark, sf):
+    """The jobs from archive files to compiled tables: all nine datasets, one broken archive, every compiled row whole."""
+    path = fresh_path(spark, "jobs")
+    FD.write_archives(_docs(spark, sf), f"{path}/landing")
+    files.write_path(f"{path}/landing/broken.zip", b"no archive")
+    J.run_extract(spark, f"{path}/landing", f"{path}/extracted")
+    J.run_compile(spark, f"{path}/extracted", f"{path}/compiled")
+    parts = [tables.read_table(spark, f"{path}/compiled/{name}").select(F.lit(name).alias("dataset"), F.expr(_row_text(texts, amounts)).alias("content"))
+             for name, (_, texts, amounts) in _COMPILED.items()]
+    bad = tables.read_table(spark, f"{path}/compiled/quarantined").select(F.lit("quarantined").alias("dataset"), F.col("zip_name").alias("content"))
+    return R.union_all(*parts, bad)
+
+
 # --- sources and sinks ------------------------------------------------------------------------------
 
 @query("csv_roundtrip", """SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'none' ELSE c_mktsegment || ', "x"' || chr(10) || 'y' END AS note,
@@ -778,7 +844,7 @@ def _(spark, sf):
     """Regional registry files with an extra column; later files win."""
     path = fresh_path(spark, "registry")
     rows = load(spark, sf, "part").selectExpr("p_partkey AS EIN", "p_name AS NAME", "p_size AS ICO", "p_brand AS CITY", "left(p_type, 2) AS STATE", "'01234' AS ZIP")
-    csvfiles.write_csv(rows.sort("EIN").coalesce(1), f"{path}/1")
+    csvfiles.write_csv(rows.repartitionByRange(4, "EIN").sortWithinPartitions("EIN"), f"{path}/1")
     registry, _ = csvfiles.read_registry(spark, f"{path}/*")
     keyed = registry.filter("ZIP = '01234'").select("STATE", X.lookup_key(F.col("NAME"), F.col("CITY")).alias("k"), F.col("EIN").alias("ein"), "ord")
     return M.last_wins(keyed, ["STATE", "k"]).drop("ord")

@@ -16,9 +16,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from almsflow.plans.specs import NAMESPACE, SPECS, Spec
+from almsflow.sources.files import write_path
 
 BASE_SQL = """
-SELECT o_orderkey AS filing_number, concat('batch_', o_orderstatus, '.zip') AS zip_name, o_custkey AS ein,
+SELECT o_orderkey AS filing_number, concat('batch_', o_orderstatus, '_', CAST(CAST(floor(o_orderkey / 4000) AS BIGINT) AS STRING), '.zip') AS zip_name, o_custkey AS ein,
        CAST(year(o_orderdate) AS BIGINT) AS tax_yr,
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '990' WHEN '2' THEN '990PF' WHEN '3' THEN '990EZ'
             WHEN '4' THEN '990T' ELSE '990' END AS form,
@@ -148,6 +149,19 @@ def zipped(docs: DataFrame) -> DataFrame:
     return docs.select("member", "xml").mapInPandas(pack, "path string, content binary")
 
 
+def write_archives(docs: DataFrame, directory: str) -> None:
+    """One archive file per zip name; a name covers a bounded range of orders."""
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for member, xml in zip(pdf["member"], pdf["xml"], strict=True):
+                archive.writestr(member, xml)
+        write_path(f"{directory}/{pdf['zip_name'].iloc[0]}", buffer.getvalue())
+        return pd.DataFrame({"members": [len(pdf)]})
+
+    docs.select("zip_name", "member", "xml").groupBy("zip_name").applyInPandas(pack, "members long").agg(F.sum("members")).collect()
+
+
 def _sql_base() -> str:
     return BASE_SQL.format(orders="orders", customer="customer")
 

@@ -11,7 +11,7 @@ from almsflow import schemas as S
 from almsflow.functions.columns import first_present, select_renamed
 from almsflow.functions.text import zip5
 from almsflow.operators import dedupe, match, relational as R, reshape
-from almsflow.operators.aggregates import grant_edges
+from almsflow.operators.aggregates import grant_edges, match_breakdown, match_rate
 from almsflow.operators.ids import dense_ids, with_ids
 from almsflow.operators.recommend import recommend
 from almsflow.operators.sampling import negative_samples, training_set, with_split
@@ -148,11 +148,14 @@ def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
 
 def run_infer_recipients(spark: SparkSession, grants_path: str, registry_dir: str, output: str,
                          threshold: float = 85) -> None:
-    """Resolve recipients; rejected registry records are written next to the output."""
+    """Resolve recipients; rejected registry records and the match report are written next to the output."""
     grants = read_table(spark, grants_path)
     registry, rejected = read_registry(spark, registry_dir)
     write_table(rejected, f"{output.rstrip('/')}_rejected")
     write_table(match.infer_recipients(grants, registry, threshold), output)
+    resolved = read_table(spark, output)
+    write_table(match_rate(resolved), f"{output.rstrip('/')}_rate")
+    write_table(match_breakdown(resolved), f"{output.rstrip('/')}_report")
 
 
 def run_train(spark: SparkSession, grants_path: str, model_dir: str, settings: Settings = Settings(),

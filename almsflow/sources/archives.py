@@ -19,8 +19,10 @@ from almsflow.operators.extract import DOCUMENT_SCHEMA, archive_documents, extra
 from almsflow.plans.specs import SPECS, Spec
 from almsflow.sources.files import landed, listing, open_path
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 128 << 20
 CHUNK_MEMBERS = 4000
+#: Reading tasks per slot of the cluster at most; beyond that a task reads several chunks.
+TASKS_PER_SLOT = 64
 CHUNK_SCHEMA = "path string, chunk int, members array<string>, error string"
 
 
@@ -46,8 +48,9 @@ def _chunks(row: dict) -> Iterator[dict]:
 def member_chunks(archives: DataFrame) -> DataFrame:
     """``(path, chunk, members, error)`` of listed archives, spread for reading."""
     total = archives.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    width = max(archives.sparkSession.sparkContext.defaultParallelism, math.ceil(total / CHUNK_BYTES))
-    files = archives.select("path").repartition(min(width, 10_000), "path")
+    slots = archives.sparkSession.sparkContext.defaultParallelism
+    width = min(max(4 * slots, math.ceil(total / CHUNK_BYTES)), TASKS_PER_SLOT * slots)
+    files = archives.select("path").repartition(width, "path")
     # The count is explicit so that adaptive execution, which sees only the
     # tiny chunk rows, does not fold the reading work into few tasks.
     return files.mapInArrow(in_batches(_chunks, CHUNK_SCHEMA), CHUNK_SCHEMA).repartition(width, "path", "chunk")
@@ -72,9 +75,8 @@ def scan_documents(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def extract_archives(archives: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:
-    """Dataset rows of listed archives: members are read and parsed in one pass."""
-    chunks = member_chunks(archives)
-    good = extract_members(chunks.filter("error IS NULL"), open_path, specs)
-    bad = chunks.filter("error IS NOT NULL").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("zip_name"), "error")
-    return good.unionByName(bad, allowMissingColumns=True)
+    """Dataset rows of listed archives, and a row with ``error`` for each that cannot be read.
+
+    Directories are read once, members are read and parsed in one pass.
+    """
+    return extract_members(member_chunks(archives), open_path, specs)

@@ -34,11 +34,22 @@ def inventory(spark: SparkSession, directory: str, pattern: str = "*") -> DataFr
                         megabytes(F.col("length")).alias("size_mb"), F.col("modificationTime").alias("modified"))
 
 
-def open_path(path: str):
-    """Seekable file on whatever store a Spark path names (local, HDFS, S3, GCS)."""
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
     scheme, _, rest = path.partition(":")
     if not rest or scheme == "file":
-        store, inner = pafs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
-    else:
-        store, inner = pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+        return pafs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+
+
+def open_path(path: str):
+    """Seekable file on whatever store a Spark path names (local, HDFS, S3, GCS)."""
+    store, inner = _store(path)
     return store.open_input_file(inner)
+
+
+def write_path(path: str, content: bytes) -> None:
+    """Write a whole file, replacing one of that name, so that a repeated task does no harm."""
+    store, inner = _store(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(inner) as out:
+        out.write(content)
