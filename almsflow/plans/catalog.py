@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from almsflow import schemas as S
@@ -439,6 +441,18 @@ def _(spark, sf):
     return found.withColumn("match_score", F.round("match_score", 6))
 
 
+@query("fuzzy_custom_scorer", """WITH l AS (SELECT DISTINCT p_brand, p_name AS text FROM part), r AS (SELECT p_brand, p_type AS t, min(p_partkey) AS ein FROM part GROUP BY ALL)
+    SELECT l.p_brand, text, 100 - 10 * CAST(abs(length(text) - length(t)) AS DOUBLE) AS score, ein FROM l JOIN r ON l.p_brand = r.p_brand
+    WHERE abs(length(text) - length(t)) <= 5 QUALIFY row_number() OVER (PARTITION BY l.p_brand, text ORDER BY score DESC, ein) = 1""")
+def _(spark, sf):
+    """A scorer that has nothing to do with common characters: no pair may be pruned by their bounds."""
+    part = load(spark, sf, "part")
+    texts = part.select("p_brand", F.col("p_name").alias("text")).distinct()
+    known = part.groupBy("p_brand", F.col("p_type").alias("text")).agg(F.min("p_partkey").alias("ein")).withColumns({"ord": F.col("ein"), "key": F.col("text")})
+    scorer = lambda a, b: 100 - 10 * F.abs(F.length(a) - F.length(b)).cast("double")
+    return M.best_matches(texts, known, ["p_brand"], 50, scorer).drop("key")
+
+
 @query("run_infer_flow", f"WITH {MATCH_SQL} SELECT {_ROUNDED} FROM matched UNION ALL "
                          "SELECT count(*), match_type, '', '', '', 0, 0, 'report' FROM matched WHERE match_type IS NOT NULL GROUP BY 2")
 def _(spark, sf):
@@ -673,6 +687,24 @@ def _(spark, sf):
     return RC.top_k(donors, receivers, 10)
 
 
+@query("train_invariants", f"""WITH {PAIRS_SQL} SELECT 'epochs' AS item, CAST({_SMALL.epochs} AS BIGINT) AS n, true AS holds UNION ALL SELECT 'donors', count(*), true FROM d_ids
+    UNION ALL SELECT 'receivers', count(*), true FROM r_ids UNION ALL SELECT 'ranked', (SELECT count(*) FROM d_ids) * least(10, count(*)), true FROM r_ids""")
+def _(spark, sf):
+    """What must hold of any training: falling loss, one finite vector per id and side, full ranked lists of known receivers."""
+    history, path = _trained(spark, sf)
+    donors, receivers = TR.load_vectors(spark, path)
+    finite = F.forall("vec", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf"))) & (F.size("vec") == _SMALL.dim)
+    sides = [v.agg(F.lit(name).alias("item"), F.countDistinct("id").alias("n"), (F.bool_and(finite) & (F.count(F.lit(1)) == F.countDistinct("id"))).alias("holds"))
+             for name, v in (("donors", donors), ("receivers", receivers))]
+    top = RC.top_k(donors, receivers, 10)
+    ranked = top.join(receivers.select("id", F.lit(True).alias("known")), "id", "left").agg(
+        F.lit("ranked").alias("item"), F.countDistinct("query_id", "rank").alias("n"),
+        (F.bool_and(F.coalesce("known", F.lit(False))) & (F.countDistinct("query_id", "id") == F.count(F.lit(1)))).alias("holds"))
+    epochs = history.agg(F.lit("epochs").alias("item"), F.countDistinct("epoch").alias("n"),
+                         (F.bool_and(F.col("val_loss") < float(np.log(2))) & (F.max_by("train_loss", "epoch") < F.min_by("train_loss", "epoch"))).alias("holds"))
+    return R.union_all(epochs, *sides, ranked)
+
+
 # --- extraction and compile jobs -----------------------------------------------------------------
 
 _BASE_SQL = FD.BASE_SQL.format(orders="orders", customer="customer")
@@ -824,6 +856,18 @@ def _(spark, sf):
     return R.union_all(*parts, bad)
 
 
+@query("job_bad_keys", f"SELECT filing_number, CASE WHEN ein % 3 = 0 THEN 'bad_key' ELSE 'kept' END AS fate FROM ({_BASE_SQL}) WHERE form <> '990T'")
+def _(spark, sf):
+    """A third of the filings has an identifier that is no number; none of them is lost or merged."""
+    spec, schema = J.EXTRACTED[0]
+    rows = E.extract(_docs(spark, sf), [spec]).withColumn("ein", F.expr("CASE WHEN ein % 3 = 0 THEN concat('E', ein) ELSE ein END"))
+    rows = cut_lineage(rows)
+    kept = E.dataset(rows, spec, schema).select("filing_number", F.lit("kept").alias("fate"))
+    bad = E.bad_keys(rows, spec, schema).select(F.regexp_extract("member", r"^(\d+)_", 1).cast("long").alias("filing_number"),
+                                                F.regexp_extract("error", "^([a-z_]+)", 1).alias("fate"))
+    return kept.unionByName(bad)
+
+
 # --- sources and sinks ------------------------------------------------------------------------------
 
 @query("csv_roundtrip", """SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'none' ELSE c_mktsegment || ', "x"' || chr(10) || 'y' END AS note,
@@ -839,6 +883,21 @@ def _(spark, sf):
     return csvfiles.read_csv(spark, f"{path}/*", schema, required=("c_custkey",))[0]
 
 
+@query("csv_blank_first_line", "SELECT c_custkey, c_name FROM customer")
+def _(spark, sf):
+    """Files of a thousand customers each, with blank lines above the header."""
+    path = fresh_path(spark, "csv")
+
+    def put(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = pdf["part"].iloc[0]
+        files.write_path(f"{path}/{n}.csv", ("\n" * (n % 3) + pdf[["c_custkey", "c_name"]].to_csv(index=False)).encode())
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    rows = load(spark, sf, "customer").selectExpr("CAST(floor(c_custkey / 1000) AS BIGINT) AS part", "c_custkey", "c_name")
+    rows.groupBy("part").applyInPandas(put, "n long").agg(F.sum("n")).collect()
+    return csvfiles.read_csv(spark, path, T.StructType([T.StructField("c_custkey", S.LONG), T.StructField("c_name", S.STR)]), required=("c_custkey",))[0]
+
+
 @query("registry_scan", """SELECT st AS "STATE", k, max_by(p_partkey, p_partkey) AS ein FROM (SELECT p_partkey, left(p_type, 2) AS st, p_name || '|' || p_brand AS k FROM part) GROUP BY ALL""")
 def _(spark, sf):
     """Regional registry files with an extra column; later files win."""
