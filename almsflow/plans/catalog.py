@@ -1,6 +1,7 @@
 """Every checked query: a Spark plan over the given tables and, where SQL can say it, its SQL twin.
 
-All queries read whole tables and whole texts.
+All queries read whole tables. The matching queries take the title and address of a page for an
+organisation's name and place.
 """
 
 from __future__ import annotations
