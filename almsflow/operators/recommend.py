@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from almsflow.functions import vectors as V
 from almsflow.operators.ids import ranked_within
 
-_DIGITS = 9  # scores equal to this many decimals count as ties
-
 
 def embedding_of(vectors: DataFrame, id_: int) -> list[float]:
     """The vector of one id (a single pruned row)."""
@@ -37,60 +35,103 @@ def pair_scores(pairs: DataFrame, donors: DataFrame, receivers: DataFrame) -> Da
             .withColumn("score", V.dot(F.col("_d"), F.col("_r"))).drop("_d", "_r"))
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = table.column("id").to_numpy()
-    values = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+_BEST = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+
+
+def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    ids = batch.column("id").to_numpy()
+    values = batch.column("vec").flatten().to_numpy(zero_copy_only=False)
     return ids, values.astype(np.float64).reshape(len(ids), -1)
 
 
-def _block_top_k(k: int, exclude_self: bool):
-    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
-
-    def best(key, queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        if not len(queries) or not len(candidates):
-            return schema.empty_table()
-        q_ids, q = _matrix(queries)
-        c_ids, c = _matrix(candidates)
-        rows, picked, scores = [], [], []
-        step = max(1, 8_000_000 // len(c_ids))  # cells of one score slice
-        for start in range(0, len(q_ids), step):
-            block = np.round(q[start:start + step] @ c.T, _DIGITS)
-            if exclude_self:
-                block[q_ids[start:start + step, None] == c_ids[None, :]] = -np.inf
-            for i, row in enumerate(block):
-                # Everything tied with the k-th score stays in until ids decide.
-                floor = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                near = np.flatnonzero((row >= floor) & (row > -np.inf))
-                top = near[np.lexsort((c_ids[near], -row[near]))[:k]]
-                rows.append(np.full(len(top), q_ids[start + i]))
-                picked.append(c_ids[top])
-                scores.append(row[top])
-        return pa.table([np.concatenate(rows), np.concatenate(picked), np.concatenate(scores)], schema=schema)
+def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Row-wise dot products, added in index order, so equal vectors score equal wherever they stand."""
+    total = np.zeros(len(q))
+    for i in range(q.shape[1]):
+        total += q[:, i] * c[:, i]
+    return total
+
+
+def _best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int, exclude_self: bool) -> pa.RecordBatch:
+    """The k best candidates of each query; ``c_ids`` ascend.
+
+    The matrix product only preselects, with room for its rounding error; the order is decided on exact scores.
+    """
+    found = []
+    step = max(1, 8_000_000 // len(c_ids))  # cells of one score slice
+    longest = np.sqrt((c * c).sum(axis=1)).max()
+    for start in range(0, len(q_ids), step):
+        own_ids, own = q_ids[start:start + step], q[start:start + step]
+        cells = own @ c.T
+        if exclude_self:
+            cells[own_ids[:, None] == c_ids[None, :]] = -np.inf
+        floor = np.full(len(own), -np.inf)
+        if len(c_ids) > k:
+            room = np.sqrt((own * own).sum(axis=1)) * longest * own.shape[1] * 2.0**-50
+            floor = np.partition(cells, len(c_ids) - k, axis=1)[:, len(c_ids) - k] - room
+        row, col = np.nonzero((cells >= floor[:, None]) & (cells > -np.inf))
+        score = _exact(own[row], c[col])
+        order = np.lexsort((c_ids[col], -score, row))
+        row, col, score = row[order], col[order], score[order]
+        top = np.arange(len(row)) - np.searchsorted(row, row) < k
+        found.append((own_ids[row[top]], c_ids[col[top]], score[top]))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=_BEST)
+
+
+def _cells_top_k(k: int, exclude_self: bool):
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, block = None, [], None
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+            for a, b in zip(bounds, bounds[1:]):
+                if a == b:
+                    continue
+                if cells[a] != cell:
+                    cell, held, block = cells[a], [], None
+                rows = batch.slice(a, b - a)
+                asks = rows.column("asks").to_numpy(zero_copy_only=False)
+                n_held = int((~asks).sum())  # the candidates of a cell come first
+                if n_held:
+                    held.append(_matrix(rows.slice(0, n_held)))
+                if n_held < len(asks) and held:
+                    if block is None:
+                        ids, values = (np.concatenate(x) for x in zip(*held))
+                        order = np.argsort(ids, kind="stable")
+                        block = ids[order], values[order]
+                    yield _best_of_block(*_matrix(rows.slice(n_held)), *block, k, exclude_self)
 
     return best
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool = False,
-          query_block: int = 4096, candidate_block: int = 65536) -> DataFrame:
+          candidate_block: int = 1 << 18) -> DataFrame:
     """``(query_id, rank, id, score)``: the k best dot products per query, ties to the lower id.
 
-    Both sides are cut into blocks of bounded size. Every block pair is one
-    task that multiplies two matrices and returns k rows per query, so scored
-    pairs never become rows; a second top-k merges the block results.
+    The candidates are cut into blocks of bounded size and enter the shuffle once; the queries
+    stream through every block batch by batch, so no task holds more than a block and a batch.
+    A block returns k rows per query, never the scored pairs, and a second top-k merges them.
+    Where there are fewer blocks than slots, the queries are dealt over copies of these few blocks.
     """
-    q_blocks = max(1, math.ceil(queries.count() / query_block))
+    slots = queries.sparkSession.sparkContext.defaultParallelism
     c_blocks = max(1, math.ceil(candidates.count() / candidate_block))
-
-    def spread(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        vec = F.col("vec").cast("array<double>").alias("vec")
-        return (df.select(F.col("id").cast("bigint").alias("id"), vec)
-                .withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))))
-                .repartition(q_blocks * c_blocks, "qb", "cb"))
-
-    q = spread(queries, "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
-    c = spread(candidates, "cb", c_blocks, "qb", q_blocks).groupBy("qb", "cb")
-    local = q.cogroup(c).applyInArrow(_block_top_k(k, exclude_self), "query_id long, id long, score double")
+    deals = max(1, slots // c_blocks)
+    float_both = all(df.schema["vec"].dataType.simpleString() == "array<float>" for df in (queries, candidates))
+    vec = F.col("vec").cast("array<float>" if float_both else "array<double>").alias("vec")
+    id_ = F.col("id").cast("bigint").alias("id")
+
+    def share(n: int):
+        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+
+    def copies(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+
+    held = candidates.select(id_, vec, F.lit(False).alias("asks"), share(c_blocks).alias("cb"), copies(deals).alias("qb"))
+    asked = queries.select(id_, vec, F.lit(True).alias("asks"), share(deals).alias("qb"), copies(c_blocks).alias("cb"))
+    cell = (F.col("cb") * deals + F.col("qb")).alias("cell")
+    dealt = held.unionByName(asked).select("id", "vec", "asks", cell)
+    local = (dealt.repartitionById(c_blocks * deals, F.col("cell")).sortWithinPartitions("cell", "asks")
+             .mapInArrow(_cells_top_k(k, exclude_self), "query_id long, id long, score double"))
     order = [F.desc("score"), F.asc("id")]
     return (ranked_within(local, "query_id", order).filter(F.col("rank") <= k)
             .select("query_id", "rank", "id", "score"))
@@ -152,11 +193,23 @@ def recommend_one(ein: int, query_ids: DataFrame, query_vectors: DataFrame, cand
     if row is None:
         raise ValueError(f"identifier {ein} is not in the training data")
     scored = score_against(candidate_vectors, embedding_of(query_vectors, row["id"]))
-    best = scored.orderBy(F.desc(F.round("score", _DIGITS)), "id").limit(k).select("id", F.round("score", _DIGITS).alias("score"))
+    best = scored.orderBy(F.desc("score"), "id").limit(k).select("id", "score")
     ranked = ranked_within(best.withColumn("query_ein", F.lit(ein).cast("bigint")), "query_ein", [F.desc("score"), F.asc("id")])
     return ranked.join(candidate_ids, "id").select("query_ein", "rank", "ein", "score")
 
 
+def analyse(ein: int, ids: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
+    """Vector profile of one identifier with its most similar entities, ``(ein, id, mean, std, norm, head, similar)``.
+
+    ``similar`` is an ordered array of ``(rank, ein, score)``. An unknown identifier gives an empty result.
+    """
+    own = ids.filter(F.col("ein") == ein)
+    best = similar(vectors, k, wanted=own).join(ids, "id").groupBy(F.col("query_id").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct("rank", "ein", "score"))).alias("similar"))  # k rows
+    return own.select("ein", "id").join(vector_profile(vectors), "id").join(best, "id", "left").select(
+        "ein", "id", "mean", "std", "norm", "head", F.coalesce("similar", F.array()).alias("similar"))
+
+
 def display_lines(results: DataFrame, label: str = "Receiver") -> DataFrame:
     """Results as fixed-width text lines."""
     line = F.format_string(f"%2d. {label} EIN %12d | Score: %7.4f", F.col("rank"), F.col("ein"), F.col("score"))

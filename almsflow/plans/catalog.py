@@ -530,11 +530,11 @@ def _dot_sql(a: str, b: str) -> str:
     return _DOT.format(a=a, b=b)
 
 
-def _top_sql(k: int, condition: str = "TRUE") -> str:
-    return f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, round({_dot_sql('q.embedding', 'c.embedding')}, 9) AS score
+def _top_sql(k: int, condition: str = "TRUE", digits: int = 6) -> str:
+    return f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, {_dot_sql('q.embedding', 'c.embedding')} AS score
         FROM embeddings q JOIN embeddings c ON {condition}),
     r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank, id, score FROM s)
-    SELECT * FROM r WHERE rank <= {k}"""
+    SELECT query_id, rank, id, round(score, {digits}) AS score FROM r WHERE rank <= {k}"""
 
 
 def _six(df: DataFrame) -> DataFrame:
@@ -588,24 +588,31 @@ def _(spark, sf):
 @query("top_k_d2r", _top_sql(10))
 def _(spark, sf):
     v = vectors(spark, sf)
-    return RC.top_k(v, v, 10)
+    return _six(RC.top_k(v, v, 10))
 
 
 @query("top_k_r2d", _top_sql(20))
 def _(spark, sf):
     v = vectors(spark, sf)
-    return RC.top_k(v, v, 20)
+    return _six(RC.top_k(v, v, 20))
 
 
 @query("top_k_candidates", _top_sql(10, "c.label = 3"))
 def _(spark, sf):
     v = vectors(spark, sf)
-    return RC.top_k_among(v, v, v.filter("label = 3"), 10)
+    return _six(RC.top_k_among(v, v, v.filter("label = 3"), 10))
+
+
+@query("top_k_first", _top_sql(10, "c.vec_id < 1000"))
+def _(spark, sf):
+    """The quick look over the lowest ids is the feature."""
+    v = vectors(spark, sf)
+    return _six(RC.top_k(v, RC.first_ids(v, 1000), 10))
 
 
 @query("similar_entities", _top_sql(5, "q.vec_id <> c.vec_id"))
 def _(spark, sf):
-    return RC.similar(vectors(spark, sf))
+    return _six(RC.similar(vectors(spark, sf)))
 
 
 _ID_MAP = "ids AS (SELECT vec_id AS id, vec_id * 1000 + 7 AS ein FROM embeddings)"
@@ -630,11 +637,12 @@ def _(spark, sf):
 @query("recommend_single", f"""WITH {_ID_MAP}, top AS ({_top_sql(10)}) SELECT q.ein AS query_ein, rank, c.ein AS ein, score FROM top JOIN ids q ON q.id = query_id JOIN ids c ON c.id = top.id
     WHERE query_id = (SELECT max(vec_id) FROM embeddings)""")
 def _(spark, sf):
-    _, _, ids, v = _with_eins(spark, sf)
-    return RC.recommend_one(ids.agg(F.max("ein")).first()[0], ids, v, ids, v, 10)
+    v = vectors(spark, sf)
+    ids = v.select((F.col("id") * 1000 + 7).alias("ein"), "id")
+    return _six(RC.recommend_one(ids.agg(F.max("ein")).first()[0], ids, v, ids, v, 10))
 
 
-@query("format_results", f"""WITH {_ID_MAP}, top AS ({_top_sql(3)}) SELECT q.ein AS query_ein, rank, printf('%2d. Receiver EIN %12d | Score: %7.4f', rank, c.ein, score) AS line
+@query("format_results", f"""WITH {_ID_MAP}, top AS ({_top_sql(3, digits=15)}) SELECT q.ein AS query_ein, rank, printf('%2d. Receiver EIN %12d | Score: %7.4f', rank, c.ein, score) AS line
     FROM top JOIN ids q ON q.id = query_id JOIN ids c ON c.id = top.id""")
 def _(spark, sf):
     return RC.display_lines(_with_eins(spark, sf)[1])

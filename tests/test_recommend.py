@@ -17,21 +17,42 @@ def expected_top(queries, candidates, k, exclude_self=False):
     q, c = ({r.id: np.array(r.vec) for r in df.collect()} for df in (queries, candidates))
     out = set()
     for a, v in q.items():
-        best = sorted((-round(float(v @ w), 9), b) for b, w in c.items() if not (exclude_self and a == b))[:k]
+        best = sorted((-round(float(v @ w), 12), b) for b, w in c.items() if not (exclude_self and a == b))[:k]
         out |= {(a, rank, b) for rank, (_, b) in enumerate(best, 1)}
     return out
 
 
-@pytest.mark.parametrize("blocks", [(1000, 1000), (7, 5)])
-def test_top_k_equals_full_scan_for_any_blocking(spark, blocks):
+@pytest.mark.parametrize("block", [1000, 5, 2])
+def test_top_k_equals_full_scan_for_any_blocking(spark, block):
     q, c = vecs(spark, 20), vecs(spark, 33, seed=2).union(vecs(spark, 3, seed=2).withColumn("id", F.col("id") + 100))
-    got = {(r.query_id, r.rank, r.id) for r in RC.top_k(q, c, 6, query_block=blocks[0], candidate_block=blocks[1]).collect()}
+    got = {(r.query_id, r.rank, r.id) for r in RC.top_k(q, c, 6, candidate_block=block).collect()}
     assert got == expected_top(q, c, 6)  # copies of a vector: lower id first
     alike = {(r.query_id, r.rank, r.id) for r in RC.similar(q, 5).collect()}
     assert alike == expected_top(q, q, 5, exclude_self=True)
     assert {r.id for r in RC.similar(q, 5, among_first=4).collect()} <= {0, 1, 2, 3}
 
 
+def test_top_k_ranks_on_exact_scores(spark):
+    """Scores that differ in the eleventh decimal are no tie; ids decide only between equal scores."""
+    v = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0 + 1e-11, 0.0]), (2, [1.0, 0.0])], "id long, vec array<double>")
+    assert [r.id for r in RC.top_k(v.filter("id = 0"), v, 3).orderBy("rank").collect()] == [1, 0, 2]
+
+
+def test_top_k_ships_candidates_once(spark):
+    slots = spark.sparkContext.defaultParallelism
+    c = vecs(spark, 8 * slots).withColumn("id", F.col("id"))
+    plan = RC.top_k(vecs(spark, 3), c, 2, candidate_block=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # of the queries
+
+
+def test_analysis_of_one_entity(spark):
+    ids = spark.createDataFrame([(10 + i, i) for i in range(6)], "ein long, id long")
+    v = vecs(spark, 6)
+    row = RC.analyse(12, ids, v, 3).first()
+    assert [(2, x.rank, x.ein - 10) for x in row.similar] == sorted(x for x in expected_top(v, v, 3, True) if x[0] == 2)
+    assert (row.ein, row.id) == (12, 2) and RC.analyse(99, ids, v).count() == 0
+
+
 def test_dense_ids(spark):
     rows = [(d, d * 7 % 5, float(d % 4)) for d in range(50)]
     df = spark.createDataFrame(rows, "donor_ein long, receiver_ein long, grant_amt double")
