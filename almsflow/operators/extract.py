@@ -187,9 +187,11 @@ def dataset(extracted: DataFrame, spec: Spec, schema: T.StructType | None = None
     from almsflow.schemas import FILING_KEY
 
     rows = extracted.filter(F.col("dataset") == spec.name)
+    # Written rows have a column per field, rows straight from extraction a map.
+    field = {c: F.col("fields")[c] if "fields" in extracted.columns else F.col(c) for c in spec.fields}
     if schema is None:
-        return rows.select(*FILING_KEY, *[F.col("fields")[c].alias(c) for c in spec.fields])
-    kept = rows.filter(_whole_key(schema)).select(*FILING_KEY, *[na_to_null(F.col("fields")[c]).alias(c) for c in spec.fields])
+        return rows.select(*FILING_KEY, *[f.alias(c) for c, f in field.items()])
+    kept = rows.filter(_whole_key(schema)).select(*FILING_KEY, *[na_to_null(f).alias(c) for c, f in field.items()])
     return cast_to(kept, schema, strict)
 
 

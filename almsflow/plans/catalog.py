@@ -865,6 +865,24 @@ def _(spark, sf):
     return R.union_all(*parts, bad)
 
 
+@query("run_extract_flow", FD.expected_sql())
+def _(spark, sf):
+    """Archives land in two lots, the second run takes only the new ones, a third is forced: no row is lost or doubled."""
+    path, docs = fresh_path(spark, "jobs"), cut_lineage(_docs(spark, sf))
+    second = F.col("zip_name").like("batch_F%")
+    FD.write_archives(docs.filter(~second), f"{path}/landing")
+    J.run_extract(spark, f"{path}/landing", f"{path}/extracted")
+    FD.write_archives(docs.filter(second), f"{path}/landing")
+    added = J.run_extract(spark, f"{path}/landing", f"{path}/extracted")
+    if not added.filter("name NOT LIKE 'batch_F%'").isEmpty():
+        raise AssertionError("an archive was extracted twice without being asked for")
+    J.run_extract(spark, f"{path}/landing", f"{path}/extracted", force=True)
+    rows = J.read_extracted(spark, f"{path}/extracted")
+    shown = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in sorted({f for s in SPECS for f in s.fields})]))
+    return (rows.select("dataset", F.col("filing_number").cast("bigint").alias("filing_number"), shown.alias("x"))
+            .select("dataset", "filing_number", "x.field", "x.value").filter("value IS NOT NULL"))
+
+
 @query("job_bad_keys", f"SELECT filing_number, CASE WHEN ein % 3 = 0 THEN 'bad_key' ELSE 'kept' END AS fate FROM ({_BASE_SQL}) WHERE form <> '990T'")
 def _(spark, sf):
     """A third of the filings has an identifier that is no number; none of them is lost or merged."""
@@ -925,9 +943,24 @@ def _(spark, sf):
     return tables.read_table(spark, path, ["o_orderkey", "o_totalprice", "o_orderstatus"]).filter("o_orderstatus = 'F'")
 
 
-@query("inventory")
+@query("inventory", """SELECT 'o_' || (o_orderkey // 2000) || '.txt' AS name, CAST(sum(length(o_comment_) + 1) AS BIGINT) AS size_bytes,
+    round(sum(length(o_comment_) + 1) / 1048576.0, 2) AS size_mb, true AS valid
+    FROM (SELECT o_orderkey, o_orderkey || '|' || o_orderpriority || '|' || o_orderstatus AS o_comment_ FROM orders) GROUP BY 1
+    UNION ALL SELECT 'empty.txt', 0, 0.0, false""")
 def _(spark, sf):
-    return files.inventory(spark, sf, "*.parquet").filter("size_bytes > 0")
+    """Files of known sizes, written from the orders, and an empty one, which is listed and not valid."""
+    path = fresh_path(spark, "files")
+    lines = load(spark, sf, "orders").select(
+        F.concat(F.lit("o_"), F.floor(F.col("o_orderkey") / 2000).cast("string"), F.lit(".txt")).alias("name"),
+        F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderpriority", "o_orderstatus").alias("line"))
+
+    def put(pdf: pd.DataFrame) -> pd.DataFrame:
+        files.write_path(f"{path}/{pdf['name'].iloc[0]}", "".join(f"{x}\n" for x in pdf["line"]).encode())
+        return pd.DataFrame({"lines": [len(pdf)]})
+
+    lines.groupBy("name").applyInPandas(put, "lines long").agg(F.sum("lines")).collect()
+    files.write_path(f"{path}/empty.txt", b"")
+    return files.inventory(spark, path).select("name", "size_bytes", "size_mb", "valid")
 
 
 @query("incremental_batch", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")

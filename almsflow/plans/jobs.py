@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +22,9 @@ from almsflow.plans import specs
 from almsflow.runtime import cut_lineage
 from almsflow.sources.archives import extract_archives, zip_listing
 from almsflow.sources.csvfiles import read_registry
-from almsflow.sources.tables import load_ids, read_table, save_ids, write_table
+from almsflow.sources.files import file_name
+from almsflow.sources.incremental import committed, pending
+from almsflow.sources.tables import load_ids, read_or_empty, read_table, save_ids, write_extracted, write_table
 
 _AMOUNTS = ["contribution_amt", "grant_amt", "managed_assets_at_eoy", "daf_contribution_amt", "daf_grant_amt",
             "daf_managed_assets_at_eoy", "daf_count_at_eoy"]
@@ -115,10 +119,37 @@ def compile_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def run_extract(spark: SparkSession, landing: str, output: str, dataset_specs: Sequence[specs.Spec] = specs.SPECS) -> None:
-    """Extract every archive of a folder; rows land partitioned by dataset."""
-    rows = extract_archives(zip_listing(spark, landing), dataset_specs)
-    write_table(rows.withColumn("dataset", F.coalesce("dataset", F.lit("quarantined"))), output, ["dataset"])
+MANIFEST = "name string, length long, modificationTime timestamp, run string, committed_at timestamp"
+
+
+def run_extract(spark: SparkSession, landing: str, output: str, dataset_specs: Sequence[specs.Spec] = specs.SPECS,
+                force: bool = False, store_all: bool = False) -> DataFrame:
+    """Extract the archives of a folder that are new or have changed; with ``force`` all of them.
+
+    Rows land in a folder of this run and count only once the manifest names the run, which is
+    written last: a run that died leaves nothing behind that a reader sees. ``store_all`` keeps
+    records without any wanted element. Returns the manifest rows of this run.
+    """
+    if store_all:
+        dataset_specs = [replace(s, keep_empty=True) for s in dataset_specs]
+    known = read_or_empty(spark, f"{output}/manifest", MANIFEST)
+    listed = zip_listing(spark, landing).withColumn("name", file_name())
+    # Written, so that what is extracted is what gets committed, whatever lands meanwhile.
+    todo = cut_lineage(pending(listed, known, ["name", "length", "modificationTime"], force))
+    run = uuid.uuid4().hex
+    names = list(dict.fromkeys(f for s in dataset_specs for f in s.fields))
+    write_extracted(extract_archives(todo, dataset_specs), f"{output}/rows", run, names)
+    done = cut_lineage(committed(todo, "name", "length", "modificationTime")
+                       .select("name", "length", "modificationTime", F.lit(run).alias("run"), "committed_at"))
+    done.write.mode("append").parquet(f"{output}/manifest")
+    return done
+
+
+def read_extracted(spark: SparkSession, output: str) -> DataFrame:
+    """Extracted rows; of an archive extracted more than once, those of its latest run."""
+    latest = (read_or_empty(spark, f"{output}/manifest", MANIFEST)
+              .groupBy(F.col("name").alias("zip_name")).agg(F.max_by("run", F.struct("committed_at", "run")).alias("run")))
+    return spark.read.parquet(f"{output}/rows").join(latest, ["zip_name", "run"], "left_semi")
 
 
 def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
@@ -128,7 +159,7 @@ def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
     """
     from almsflow.operators.extract import bad_keys, dataset, quarantined
 
-    rows = spark.read.parquet(extracted)
+    rows = read_extracted(spark, extracted)
     write_table(reduce(DataFrame.unionByName, [quarantined(rows), *(bad_keys(rows, spec, schema) for spec, schema in EXTRACTED)]),
                 f"{output}/quarantined")
     tables = {spec.name: dataset(rows, spec, schema) for spec, schema in EXTRACTED}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,9 +31,16 @@ def file_name(path: str = "path"):
 
 
 def inventory(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    files = listing(spark, directory, pattern)
-    return files.select(file_name().alias("name"), F.col("length").alias("size_bytes"),
-                        megabytes(F.col("length")).alias("size_mb"), F.col("modificationTime").alias("modified"))
+    """Every file of a folder with its size, and whether it holds anything.
+
+    The entries come from the store's own listing, because Spark's file scan leaves out empty files.
+    """
+    store, inner = _store(directory)
+    entries = [(e.base_name, e.size, e.mtime) for e in store.get_file_info(pafs.FileSelector(inner))
+               if e.type == pafs.FileType.File and fnmatch(e.base_name, pattern) and not e.base_name.startswith((".", "_"))]
+    found = spark.createDataFrame(entries, "name string, size_bytes long, modified timestamp")
+    return found.select("name", "size_bytes", megabytes(F.col("size_bytes")).alias("size_mb"), "modified",
+                        (F.col("size_bytes") > 0).alias("valid"))
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -41,6 +50,11 @@ def _store(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
 
 
+def exists(path: str) -> bool:
+    store, inner = _store(path)
+    return store.get_file_info(inner).type != pafs.FileType.NotFound
+
+
 def open_path(path: str):
     """Seekable file on whatever store a Spark path names (local, HDFS, S3, GCS)."""
     store, inner = _store(path)

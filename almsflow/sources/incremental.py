@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
-MANIFEST_SCHEMA = "name string, committed_at timestamp"
 
 
-def pending(inputs: DataFrame, manifest: DataFrame, key: str = "name", force: bool = False) -> DataFrame:
+def pending(inputs: DataFrame, manifest: DataFrame, key: str | Sequence[str] = "name", force: bool = False) -> DataFrame:
     """Inputs the manifest does not list; with ``force`` all of them.
 
-    A name enters the manifest only after its output is committed, so a run that
-    died half-way is repeated, not taken for done.
+    A single key is compared with the manifest's ``name``, several with its columns of the same
+    names. An input enters the manifest only after its output is committed, so a run that died
+    half-way is repeated, not taken for done.
     """
-    return inputs if force else inputs.join(manifest.select(F.col("name").alias(key)), key, "left_anti")
+    if force:
+        return inputs
+    if isinstance(key, str):
+        return inputs.join(manifest.select(F.col("name").alias(key)), key, "left_anti")
+    return inputs.join(manifest.select(*key), [*key], "left_anti")
 
 
-def committed(processed: DataFrame, key: str = "name") -> DataFrame:
+def committed(processed: DataFrame, key: str = "name", *carried: str) -> DataFrame:
     """Manifest rows for inputs whose output has been written."""
-    return processed.select(F.col(key).alias("name")).distinct().withColumn("committed_at", F.current_timestamp())
+    return (processed.select(F.col(key).alias("name"), *carried).distinct()
+            .withColumn("committed_at", F.current_timestamp()))

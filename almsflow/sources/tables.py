@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from almsflow.sources.files import exists
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -29,6 +31,18 @@ def load_ids(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return tuple(read_table(spark, f"{path}/{name}_ids", schema=schema) for name in ("donor", "receiver"))
 
 
-def write_extracted(rows: DataFrame, path: str) -> None:
-    """Extracted rows of one dataset, one folder per archive."""
-    rows.write.mode("append").partitionBy("zip_name").parquet(path)
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or an empty one where nothing has been written yet."""
+    return spark.read.schema(schema).parquet(path) if exists(path) else spark.createDataFrame([], schema)
+
+
+def write_extracted(rows: DataFrame, path: str, run: str, fields: Sequence[str]) -> None:
+    """Extracted rows as one folder per run and dataset, every field a column of its own.
+
+    A dataset's rows are null in the fields of others, which Parquet stores for next to nothing,
+    and a reader of one dataset reads only its folders and the columns it names.
+    """
+    own = [F.col("fields")[f].alias(f) for f in fields]
+    named = rows.withColumns({"dataset": F.coalesce("dataset", F.lit("quarantined")), "run": F.lit(run)})
+    (named.select("seq", "filing_number", "zip_name", "ein", "tax_yr", "form", "member", "error", *own, "run", "dataset")
+     .write.mode("append").partitionBy("run", "dataset").parquet(path))

@@ -18,5 +18,5 @@ def test_query_equals_its_sql_twin(spark, name):
 
 def test_contract(spark):
     assert set(oracle_sql()) <= set(queries())
-    assert set(catalog.QUERIES) - set(oracle_sql()) == {"train_blocks", "train_and_recommend", "inventory"}
+    assert set(catalog.QUERIES) - set(oracle_sql()) == {"train_blocks", "train_and_recommend"}
     assert entry(spark).columns == ["donor_ein", "receiver_ein", "grant_amt"]

@@ -89,6 +89,13 @@ def test_archives_on_disk_jobs_and_stream(spark, tmp_path):
     assert archives.scan_documents(spark, str(land)).filter("xml IS NOT NULL").count() == 5
 
     J.run_extract(spark, str(land), str(tmp_path / "extracted"))
+    assert J.run_extract(spark, str(land), str(tmp_path / "extracted")).count() == 0
+    (land / "b.zip").write_bytes(archive({"8_public.xml": GOOD}))  # a repaired archive is taken in again
+    assert [r.name for r in J.run_extract(spark, str(land), str(tmp_path / "extracted")).collect()] == ["b.zip"]
+    assert J.run_extract(spark, str(land), str(tmp_path / "extracted"), force=True).count() == 2
+    got = [r.filing_number for r in J.read_extracted(spark, str(tmp_path / "extracted")).filter("dataset = 'grant_details'").collect()]
+    assert sorted(got) == ["1", "2", "8"]
+    (land / "b.zip").write_bytes(archive({}, True))
     J.run_compile(spark, str(tmp_path / "extracted"), str(tmp_path / "compiled"))
     grants = spark.read.parquet(str(tmp_path / "compiled/grant_details_compiled"))
     assert [(r.filing_number, r.grant_amt) for r in grants.collect()] == []  # no filer fields, so no surviving filing

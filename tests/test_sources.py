@@ -39,7 +39,8 @@ def test_registry_order_decides_the_last_row(spark, tmp_path):
 
 def test_inventory(spark, folder):
     rows = {r.name: r for r in files.inventory(spark, str(folder)).collect()}
-    assert set(rows) == {"a.csv", "b.csv", "blank.csv"}  # a file scan skips empty files
+    assert set(rows) == {"a.csv", "b.csv", "blank.csv", "empty.csv"}
+    assert [n for n, r in rows.items() if not r.valid] == ["empty.csv"]
     assert rows["blank.csv"].size_bytes == 1 and rows["a.csv"].size_mb == 0.0
     assert files.landed(files.listing(spark, str(folder))).count() == 3
     scan = files.listing(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
