@@ -138,3 +138,33 @@ def test_a_foreign_scorer_is_tried_on_all_pairs(spark):
     right = spark.createDataFrame([("S", "ALPHA BETA GAMMA DELTA OMEGA|ELY", "k", 7, 0)], "state string, text string, key string, ein long, ord long")
     for threshold in (50, 85):
         assert M.best_matches(left, right, ["state"], threshold, lambda a, b: F.lit(100.0)).first().ein == 7
+
+
+@pytest.mark.parametrize("known", [0, 7, 10_000])
+def test_any_gram_order_finds_the_same_pairs(spark, known):
+    """The order only decides how many pairs are tried: grams it does not name count as rarest."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 9))) for _ in range(40)]
+    texts = [" ".join(rnd.sample(words, rnd.randint(1, 4))) for _ in range(150)]
+    texts += [t[:-1] for t in texts[:60]]
+    side = spark.createDataFrame([("x", t) for t in dict.fromkeys(texts)], "b string, text string")
+    order = M.gram_order(side)
+    assert len(order) > 7
+    left, right = side, side.withColumn("id", F.length("text"))
+    pairs = M.candidate_pairs(left, right, ["b"], 85, order=order[len(order) - min(known, len(order)):])
+    got = {(r.l_text, r.r_text) for r in pairs.withColumn("s", M.indel_score(F.col("l_text"), F.col("r_text"))).filter("s >= 85").collect()}
+    full = M.candidate_pairs(left, right, ["b"], 85, prune=False)
+    assert got == {(r.l_text, r.r_text) for r in full.withColumn("s", M.indel_score(F.col("l_text"), F.col("r_text"))).filter("s >= 85").collect()}
+
+
+def test_few_candidates_of_page_titles(spark):
+    """Less than a twentieth of the pairs inside a state are scored, of titles made of few syllables."""
+    from almsflow.functions import text as X
+    from almsflow.plans import catalog
+
+    grants, registry = catalog._sites(spark, "/root/testdata/sf0.01")
+    who = M.with_clean_recipients(grants).select(F.col(M.CLEAN_KEY[2]).alias("state"), X.sorted_tokens(
+        X.lookup_key(F.col(M.CLEAN_KEY[0]), F.col(M.CLEAN_KEY[1]))).alias("text")).distinct()
+    known = M.clean_registry(registry).select("state", X.sorted_tokens(F.col("key")).alias("text")).distinct()
+    tried, all_pairs = M.candidate_pairs(who, known, ["state"], 85).count(), who.join(known, "state").count()
+    assert 0 < tried < all_pairs / 20
