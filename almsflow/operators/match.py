@@ -14,8 +14,8 @@ al. 2008):
   one global order, the two prefixes meet.
 * Grams are ordered rare to common as counted in the registry, which keeps the join groups
   small. Any order is lossless, so only the ``_COUNTED_GRAMS`` commonest are told apart.
-* A pair may meet in several grams; it is scored only at its first one, which
-  both sides can tell from the prefixes they carry. No distinct is needed.
+* A pair may meet in several grams; what is left of its meetings after the tests
+  below is reduced to one before the pair is scored.
 * A 1024-bit sketch of each gram set bounds the number of differing grams from
   below, nearly exactly, so most false candidates end inside the join itself.
 """
@@ -122,7 +122,7 @@ def _shaped(side: DataFrame, threshold: float, order: Broadcast) -> DataFrame:
 def _postings(side: DataFrame, block: Sequence[str], threshold: float, order: Broadcast, tag: str) -> DataFrame:
     """One row per prefix gram of each distinct string, carrying what the join tests."""
     kept = [c for c in side.columns if c not in block]
-    named = [F.col(c).alias(f"{tag}_{c}") for c in (*kept, "n", "prefix", *_SKETCH)]
+    named = [F.col(c).alias(f"{tag}_{c}") for c in (*kept, "n", *_SKETCH)]
     return _shaped(side, threshold, order).select(*block, F.explode("prefix").alias("gram"), *named)
 
 
@@ -161,9 +161,9 @@ def _pairs_by_gram(left: DataFrame, right: DataFrame, block: Sequence[str], thre
     # Differing grams of a pair: at most (2a+b-3L) + (2b+a-3L) with L >= t(a+b)/200.
     differing = sum((F.bit_count(F.col(f"l_{c}").bitwiseXOR(F.col(f"r_{c}"))) for c in _SKETCH), F.lit(0))
     close = differing <= (3 - 6 * t / 200) * (ln + rn) + 1e-6
-    first = F.element_at(F.array_intersect("l_prefix", "r_prefix"), 1) == F.col("gram")
-    pairs = a.join(b, [*block, "gram"], "inner").filter(fits & close).filter(first)
-    return pairs.drop("gram", *[f"{side}_{c}" for side in "lr" for c in ("prefix", "n", *_SKETCH)])
+    met = a.join(b, [*block, "gram"], "inner").filter(fits & close)
+    pairs = met.drop("gram", *[f"{side}_{c}" for side in "lr" for c in ("n", *_SKETCH)])
+    return pairs.dropDuplicates([*block, "l_text", "r_text"])
 
 
 def _payloads(left: DataFrame, right: DataFrame, block: Sequence[str]) -> tuple[list[Column], list[Column]]:

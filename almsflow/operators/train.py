@@ -13,7 +13,7 @@ a dense Adam would also move untouched rows by their momentum.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ from almsflow.operators.recommend import pair_scores
 from almsflow.runtime import cut_lineage, fresh_path
 
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8
+BLOCK_BYTES = 256 << 20  # vectors and both moments of one block
+FEWEST_BLOCKS = 8
 KEPT_EPOCHS = (1, 5, 10, 15, 20)  # fixed values: epochs whose state is saved
 
 _STATE = "side string, id long, vec array<float>, m array<float>, v array<float>, t long"
@@ -38,7 +40,7 @@ class Settings:
     batch: int = 1024
     learning_rate: float = 0.001
     init_std: float = 0.01
-    blocks: int = 8
+    blocks: int | None = None  # None: as many as keep a block within BLOCK_BYTES
     part_rows: int = 2_000_000  # most samples one task trains on
     seed: int = 42
 
@@ -47,6 +49,11 @@ def _uniform(*parts: Column) -> Column:
     return (F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1))
 
 
+def block_count(entities: int, s: Settings) -> int:
+    """Blocks per side, so that a task holds at most about ``BLOCK_BYTES`` of each side's state."""
+    return s.blocks or max(FEWEST_BLOCKS, -(-entities * s.dim * 12 // BLOCK_BYTES))
+
+
 def init_vectors(ids: DataFrame, side: str, s: Settings) -> DataFrame:
     """Normal(0, init_std) vectors as a pure function of side, id, dimension and seed."""
     def normal(i: Column) -> Column:
@@ -212,7 +219,8 @@ def train(train_set: DataFrame, val_set: DataFrame, donors: DataFrame, receivers
           model_path: str, settings: Settings = Settings()) -> DataFrame:
     """Train, save states by tag (``epoch_N``, ``best``, ``final``) and return
     ``(epoch, train_loss, val_loss, accuracy)`` with one row per epoch."""
-    s, spark = settings, train_set.sparkSession
+    spark = train_set.sparkSession
+    s = replace(settings, blocks=block_count(max(donors.count(), receivers.count()), settings))
     placed, parts = _samples_in_parts(train_set, s)
     state = cut_lineage(init_vectors(donors, "d", s).unionByName(init_vectors(receivers, "r", s)))
     history, best = [], float("inf")

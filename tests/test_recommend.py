@@ -105,3 +105,10 @@ def test_exact_split(spark):
     assert SM.with_exact_split(df).filter("split = 'val'").count() == 16
     a, b = (sorted(map(tuple, SM.with_split(d).collect())) for d in (df, df.repartition(5)))
     assert a == b
+
+
+def test_blocks_follow_the_number_of_entities():
+    s = TR.Settings(dim=64)
+    assert TR.block_count(1000, s) == TR.FEWEST_BLOCKS and TR.block_count(10, TR.Settings(blocks=3)) == 3
+    n = TR.block_count(100_000_000, s)
+    assert 100_000_000 / n * 64 * 12 <= TR.BLOCK_BYTES < 100_000_000 / (n - 1) * 64 * 12
