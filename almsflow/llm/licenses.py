@@ -1,9 +1,15 @@
 """Licence scan by sentence rules, in column expressions only.
 
-A text is cut into sentences, each sentence is normalised, and known licence sentences become
-identifiers in text order. Ordered rules then rewrite sequences of identifiers to licence names,
-the longer and more specific rules first; what a rule has used, later rules no longer see.
-Sentences, rules and names are data below; nothing is shuffled.
+A text is normalised, and known licence sentences become identifiers in text order. A sentence
+stands between two marks: a stop before white space or a line without letters or digits (hard), a
+line end with the comment signs that open the next line (wrap), a semicolon or colon before white
+space (pause). It may itself run over wraps and pauses, so a line and a wrapped sentence are both
+found; of sentences that start at one mark the longest counts. Ordered rules then rewrite sequences
+of identifiers to licence names, the longer and more specific rules first; what a rule has used,
+later rules no longer see. Sentences, rules and names are data below; nothing is shuffled.
+
+The SQL twin knows ``SENTENCES`` and ``RULES`` and one line at a time; wrapped texts and the
+families of ``MORE_SENTENCES`` are found here only.
 
 Defined cases: null and empty texts have no sentences and no licence; a sentence that occurs
 twice counts twice; equal rows give equal results; only the id and text columns are read.
@@ -52,30 +58,102 @@ RULES: list[tuple[tuple[str, ...], str]] = [
     (("reserved",), "All-Rights-Reserved"),
 ]
 
+_FSF = "as published by the free software foundation either"
+_LATER = "of the license or at your option any later version"
+_ONLY = "as published by the free software foundation"
+#: Further sentences. ``*`` stands for 1 to 12 words.
+MORE_SENTENCES: dict[str, list[str]] = {
+    "apache2-copy": ["you may obtain a copy of the license at", "you may obtain a copy of the license at https www apache org licenses license 2 0"],
+    "bsd-advert": ["all advertising materials mentioning features or use of this software must display the following acknowledgement"],
+    "bsd-endorse": ["neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+                    "neither the name of * nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "gpl2-free": [f"this {x} is free software you can redistribute it and or modify it under the terms of the gnu general public license {_FSF} version 2 {_LATER}" for x in ("program", "file", "software", "library")],
+    "gpl2-only": [f"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 {_ONLY}"],
+    "lgpl21-free": [f"this {x} is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license {_FSF} version 2 1 {_LATER}" for x in ("library", "program", "file", "software")],
+    "lgpl3-free": [f"this {x} is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license {_FSF} version 3 {_LATER}" for x in ("library", "program", "file", "software")],
+    "agpl3-free": [f"this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license {_FSF} version 3 {_LATER}"],
+    "mpl2": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
+    "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+                  "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "zlib-grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
+    "bsl1": ["distributed under the boost software license version 1 0"],
+    "bsl1-grant": ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following"],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "epl2": ["this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"],
+    "cc-by-sa4": ["licensed under cc by sa 4 0", "this work is licensed under cc by sa 4 0",
+                  "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+                  "this work is licensed under the creative commons attribution sharealike 4 0 international license"],
+    "cc-by4": ["this work is licensed under a creative commons attribution 4 0 international license", "this work is licensed under the creative commons attribution 4 0 international license"],
+    "cc-by-nc4": ["this work is licensed under a creative commons attribution noncommercial 4 0 international license", "this work is licensed under the creative commons attribution noncommercial 4 0 international license"],
+}
+#: Their rules, before the others.
+MORE_RULES: list[tuple[tuple[str, ...], str]] = [
+    (("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse"), "BSD-4-Clause"),
+    (("gpl2-free", "gpl-warranty"), "GPL-2.0-or-later"),
+    (("gpl2-free",), "GPL-2.0-or-later"),
+    (("gpl2-only",), "GPL-2.0-only"),
+    (("lgpl21-free",), "LGPL-2.1-or-later"),
+    (("lgpl3-free",), "LGPL-3.0-or-later"),
+    (("agpl3-free",), "AGPL-3.0-or-later"),
+    (("mpl2",), "MPL-2.0"),
+    (("isc-grant",), "ISC"),
+    (("zlib-grant",), "Zlib"),
+    (("bsl1",), "BSL-1.0"),
+    (("bsl1-grant",), "BSL-1.0"),
+    (("unlicense",), "Unlicense"),
+    (("epl2",), "EPL-2.0"),
+    (("cc-by-sa4",), "CC-BY-SA-4.0"),
+]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A sentence ends at a line end, or at a stop, question or exclamation mark before white space or the end.
-SENTENCE_END = r"[.!?]+(?:\s+|$)|\n"
-MARK = "\u0001"
+HARD, WRAP, PAUSE = "\u0001", "\u0002", "\u0003"
+#: In this order. Runs are single character classes, so that none of them nests.
+MARKS = [
+    (r"[.!?]+(?:\s+|$)", HARD),
+    ("\n[^a-z0-9\u0001]*\n", HARD),
+    ("\n[^a-z0-9\u0001]*", WRAP),
+    ("[;:]+\\s*\u0002", HARD),
+    (r"[;:]+(?:\s+|$)", PAUSE),
+    ("[^a-z0-9\u0001\u0002\u0003]+", " "),
+]
+INNER = "[ \u0002\u0003]+"
+
+
+def _known() -> dict[str, str]:
+    """Sentence -> identifier."""
+    return {s: name for data in (SENTENCES, MORE_SENTENCES) for name, texts in data.items() for s in texts}
+
+
+def _pattern(sentence: str) -> str:
+    return INNER.join("[a-z0-9]+(?:%s[a-z0-9]+){0,11}?" % INNER if w == "*" else w for w in sentence.split())
 
 
 def sentences(text: Column) -> Column:
-    """Normalised non-empty sentences in text order."""
-    marked = F.regexp_replace(F.translate(text, UPPER, LOWER), SENTENCE_END, MARK)
-    plain = F.regexp_replace(marked, "[^a-z0-9\u0001]+", " ")
-    return F.filter(F.transform(F.split(plain, MARK), lambda s: F.trim(s)), lambda s: s != "")
+    """Known sentences in text order, normalised."""
+    marked = F.translate(text, UPPER + WRAP + PAUSE, LOWER + "  ")
+    for pattern, mark in MARKS:
+        marked = F.regexp_replace(marked, pattern, mark)
+    any_known = "|".join(_pattern(s) for s in sorted(_known(), key=lambda s: (-len(s), s)))
+    found = F.regexp_extract_all(F.concat(F.lit(HARD), marked), F.lit(f"[\u0001-\u0003] ?({any_known})(?= ?(?:[\u0001-\u0003]|$))"), F.lit(1))
+    return F.transform(found, lambda s: F.regexp_replace(s, INNER, " "))
 
 
 def identifiers(found: Column) -> Column:
     """Identifiers of the known sentences, in order."""
-    known = {s: name for name, texts in SENTENCES.items() for s in texts}
-    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.transform(F.filter(found, lambda s: s.isin(*known)), lambda s: F.element_at(table, s))
+    plain = {s: name for s, name in _known().items() if "*" not in s}
+    table = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
+
+    def name_of(s: Column) -> Column:
+        names = [F.when(s.rlike(f"^(?:{_pattern(p)})$"), F.lit(name)) for p, name in _known().items() if "*" in p]
+        return F.coalesce(F.try_element_at(table, s), *names)
+
+    return F.transform(found, name_of)
 
 
 def apply_rules(ids: Column) -> Column:
     """Identifier sequence as text, every recognised run rewritten to ``[licence]``."""
     out = F.array_join(F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
-    for sequence, name in RULES:
+    for sequence, name in MORE_RULES + RULES:
         out = F.replace(out, F.lit("".join(f"<{i}>" for i in sequence)), F.lit(f"[{name}]"))
     return out
 

@@ -258,6 +258,71 @@ def test_licenses(spark, nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+"""
+BSD_FILE = """Copyright (c) 2011 A Company
+All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of A Company, Inc nor the names of its contributors may be used
+   to endorse or promote products derived from this software without specific
+   prior written permission.
+"""
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version %s of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def test_wrapped_licenses(spark):
+    """Licence files as they are shipped, plain and as comments of several languages."""
+    want = [(MIT_FILE, "MIT", 3), (APACHE_HEADER, "Apache-2.0", 3), (" ".join(APACHE_HEADER.split()), "Apache-2.0", 2), (BSD_FILE, "All-Rights-Reserved,BSD-3-Clause", 5),
+            (GPL_HEADER % 3, "GPL-3.0-or-later", 2), (GPL_HEADER % 2, "GPL-2.0-or-later", 2)]
+    texts, i = [], 0
+    for text, _, _ in want:
+        for opening in ("", "# ", " * ", "// ", ";; ", "-- "):
+            texts.append((i, "x = 1\n\n" + "".join(f"{opening}{x}\n" for x in text.splitlines()), "l", "s"))
+            i += 1
+    got = licenses.license_scan(table(spark, texts)).orderBy("doc_id").collect()
+    assert [(r.licenses, r.n_known) for r in got] == [(name, n) for _, name, n in want for _ in range(6)]
+
+
 def test_lines(odd, odd_rows, nothing):
     sites = {}
     for _, t, _, s in odd_rows:
