@@ -31,8 +31,9 @@ ROWS_PER_LANG = 160
 CHARS_PER_LANG = 40_000
 MAX_LANGS = 128
 PIECE = 512
-#: Symbols: 0 all that is not a letter, 1..62 the commonest letters, 63 any other letter.
-SYMBOLS = 64
+#: Symbols: 0 all that is not a letter, then the letters of the labelled sample, the commonest first, and last
+#: one for letters no label has. Symbols below ``DENSE`` have table columns, the others sorted keys.
+DENSE = 63
 UNKNOWN = "und"
 
 
@@ -65,9 +66,13 @@ def sample(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lang:
 
 
 class SuffixAutomaton:
-    """Of one symbol sequence; ``table[state, symbol]`` is the next state or -1."""
+    """Of one symbol sequence; ``table[state, symbol]`` is the next state or -1.
 
-    def __init__(self, symbols: list[int]):
+    Edges of symbols from ``DENSE`` on are ``targets`` of the ascending ``keys`` state * width + symbol;
+    the last table column is -1 and stands for all of these.
+    """
+
+    def __init__(self, symbols: list[int], width: int):
         following: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in symbols:
@@ -93,10 +98,20 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        self.table = np.full((len(following), SYMBOLS), -1, np.int32)
+        self.table = np.full((len(following), DENSE + 1), -1, np.int32)
+        self.root = np.zeros(width, np.int32)
+        rare = []
         for state, edges in enumerate(following):
             for c, to in edges.items():
-                self.table[state, c] = to
+                if c < DENSE:
+                    self.table[state, c] = to
+                else:
+                    rare.append((state * width + c, to))
+        for c, to in following[0].items():
+            self.root[c] = to
+        rare.sort()
+        self.keys = np.array([k for k, _ in rare], np.int64)
+        self.targets = np.array([to for _, to in rare], np.int32)
 
 
 def _collapse(symbols: np.ndarray) -> np.ndarray:
@@ -110,21 +125,20 @@ class Model:
     def __init__(self, texts: dict[str, str]):
         self.langs = sorted(texts)
         letters = Counter(c for t in texts.values() for c in t if c.isalpha())
-        self.symbol_of = np.zeros(0x110000, np.uint8)
+        self.other = max(DENSE, len(letters) + 1)
+        self.symbol_of = np.zeros(0x110000, np.min_scalar_type(self.other))
         for cp in range(0x110000):
             if chr(cp).isalpha():
-                self.symbol_of[cp] = SYMBOLS - 1
-        for number, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:SYMBOLS - 2]):
+                self.symbol_of[cp] = self.other
+        for number, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))):
             for form in {c, c.upper()}:
                 if len(form) == 1:
                     self.symbol_of[ord(form)] = number + 1
-        self.tables, self.roots, self.bits = [], [], []
+        self.automata, self.bits = [], []
         for lang in self.langs:
             symbols = self.symbols(texts[lang])
             symbols = symbols[_collapse(symbols)]
-            table = SuffixAutomaton(symbols.tolist()).table
-            self.tables.append(table.ravel())
-            self.roots.append(np.maximum(table[0], 0))
+            self.automata.append(SuffixAutomaton(symbols.tolist(), self.other + 1))
             self.bits.append(float(np.log2(max(2, len(symbols)))))
 
     def symbols(self, text: str) -> np.ndarray:
@@ -153,12 +167,20 @@ class Model:
         if not len(size):
             return out
         alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
-        for k, (table, root) in enumerate(zip(self.tables, self.roots)):
+        sparse = self.other > DENSE and bool((flat >= DENSE).any())
+        for k, automaton in enumerate(self.automata):
+            table, root = automaton.table.ravel(), automaton.root
+            keys = automaton.keys if sparse else ()
             state = np.zeros(len(size), np.int32)
             count = np.ones(len(size), np.int32)
             for j, n in enumerate(alive.tolist()):
                 c = flat[begin[:n] + j]
-                to = table[state[:n] * SYMBOLS + c]
+                to = table[state[:n] * (DENSE + 1) + (np.minimum(c, DENSE) if sparse else c)]
+                if len(keys):
+                    rare = np.flatnonzero(c >= DENSE)
+                    wanted = state[rare].astype(np.int64) * len(root) + c[rare]
+                    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    to[rare] = np.where(keys[place] == wanted, automaton.targets[place], -1)
                 ended = to < 0
                 count[:n] += ended
                 state[:n] = np.where(ended, root[c], to)

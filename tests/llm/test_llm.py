@@ -169,6 +169,32 @@ def test_language_parse_equals_a_plain_walk():
         assert model.phrases(symbols, np.array([len(text)]))[0, :2].tolist() == [phrases(texts["a"], text), phrases(texts["b"], text)]
 
 
+def test_language_letters_beyond_the_table():
+    """Languages that differ only in letters which are rare over all samples."""
+    rng = random.Random(7)
+    common = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0x3B1, 0x3CA))) + "".join(map(chr, range(0x430, 0x450)))
+    first, second = "".join(map(chr, range(0x4E00, 0x4E80))), "".join(map(chr, range(0x5200, 0x5280)))
+    texts = {"aa": prose(rng, 3000, common), "ja": prose(rng, 300, first), "zh": prose(rng, 300, second)}
+    model = language.Model(texts)
+    letters = sorted({c for t in texts.values() for c in t if c.isalpha()})
+    assert len(letters) > 300 and len({int(model.symbols(c)[0]) for c in letters}) == len(letters)
+    asked = [prose(rng, 40, alphabet) for alphabet in (first, second) for _ in range(10)] + ["\u0e01\u0e02", "no \u0e01"]
+    assert model.predict(asked[:20])[0] == ["ja"] * 10 + ["zh"] * 10
+
+    def phrases(ref, text):
+        n, held = 1, ""
+        for c in text:
+            if held + c in ref:
+                held += c
+            else:
+                n, held = n + 1, c if c in ref else ""
+        return n
+
+    for text in asked:
+        found = model.phrases(model.symbols(text), np.array([len(text)]))[0, :3].tolist()
+        assert found == [phrases(texts[x], text) for x in model.langs]
+
+
 def test_language_queries(spark, nothing, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = queries.QUERIES["op10_language_id"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").collect()
