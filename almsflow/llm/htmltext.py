@@ -5,7 +5,9 @@ name (menus, adverts, forms, comments and so on) are cut off. For every other el
 is its characters per tag, adjusted by how much of both is links. The element with the largest sum
 of its children's densities is the core; the smallest density on the path from the body to it is
 the threshold that elements beside the path must reach to count as text as well. If the core lies
-in an ``article`` or ``main`` element, that element bounds the text.
+in an ``article`` or ``main`` element, that element bounds the text: the path ends there, and what
+stands beside it counts as text if it reaches the threshold, is a first heading, or if at least half of
+its characters are outside links (short paragraphs and sections fall below the threshold, but are text).
 
 Defined cases: null or empty html gives empty text; a page without tags is one block; unclosed,
 misnested and stray tags are read as browsers mostly do; repeated pages give equal rows.
@@ -184,6 +186,22 @@ def _blocks(page: Page, chosen: list[bool], gone: list[bool]) -> str:
     return " ".join("".join(out).split())
 
 
+def _mostly_links(page: Page, top: int, gone: list[bool]) -> bool:
+    """Whether more than half of the element's characters stand in links."""
+    chars, linked, stack = 0, 0, [(top, False)]
+    while stack:
+        i, link = stack.pop()
+        link = link or page.tags[i] == "a"
+        for part in page.parts[i]:
+            if not isinstance(part, str):
+                if not gone[part]:
+                    stack.append((part, link))
+            elif n := len(" ".join(part.split())):
+                chars += n
+                linked += n if link else 0
+    return 2 * linked > chars
+
+
 def main_text(html: str | None) -> str:
     """The article of a page as one line of text."""
     if not html:
@@ -201,20 +219,19 @@ def main_text(html: str | None) -> str:
     path = [core]
     while page.parents[path[-1]] >= 0:
         path.append(page.parents[path[-1]])
-    inside = [i for i in path if page.tags[i] in ROOTS]
+    outer = max((place for place, i in enumerate(path) if page.tags[i] in ROOTS), default=None)
+    if outer is not None:
+        del path[outer + 1:]
+    # The root and the html element are no part of the path from the body.
+    floor = min((dense[i] for i in path if page.tags[i] not in ("#root", "html")), default=dense[core])
+    on_path = set(path)
+    beside = [i for i in live if i not in on_path and page.parents[i] in on_path - {core}]
+    tops = {core} | {i for i in beside if dense[i] >= floor or (outer is not None and (page.tags[i] == "h1" or not _mostly_links(page, i, gone)))}
     chosen = [False] * n
-    if inside:
-        tops = {inside[-1]}
-    else:
-        # The root and the html element are no part of the path from the body.
-        floor = min((dense[i] for i in path if page.tags[i] not in ("#root", "html")), default=dense[core])
-        on_path = set(path)
-        tops = {core} | {i for i in live if i not in on_path and page.parents[i] in on_path - {core} and dense[i] >= floor}
-        for i in on_path - {core}:  # text that stands directly on the path
-            chosen[i] = dense[i] >= floor
+    for i in on_path - {core}:  # text that stands directly on the path
+        chosen[i] = dense[i] >= floor
     for i in live:
-        chosen[i] = chosen[i] or i in tops or (page.parents[i] >= 0 and page.parents[i] not in path[1:] and chosen[page.parents[i]]) \
-            or (bool(inside) and page.parents[i] >= 0 and chosen[page.parents[i]])
+        chosen[i] = chosen[i] or i in tops or (page.parents[i] >= 0 and page.parents[i] not in path[1:] and chosen[page.parents[i]])
     return _blocks(page, chosen, gone)
 
 

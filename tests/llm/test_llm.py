@@ -374,6 +374,17 @@ def test_pages(html, text):
     assert htmltext.main_text(html) == text
 
 
+def test_links_beside_the_article_are_no_text():
+    links = "".join(f"<li><a href=/{i}>Other story {i}</a></li>" for i in range(8))
+    teaser = "<div class=box><h3><a href=/x>Next thing</a></h3><p><a href=/y>read it</a></p></div>"
+    first, second, last = "Words of the text here. " * 20, "More words of it here. " * 20, "Short end."
+    whole = " ".join(f"Title {first}{second}{last}".split())
+    article = f"<article><h1>Title</h1><p>{first}</p><p>{second}</p><p>{last}</p></article>"
+    assert htmltext.main_text(f"<body><main><ul>{links}</ul>{article}<ul>{links}</ul>{teaser}</main></body>") == whole
+    assert htmltext.main_text(f"<body><main><h1><a href=/>Title</a></h1><section><p>{first}</p><p>{second}</p></section><ul>{links}</ul>"
+                              f"<section><p>{last}</p></section></main></body>") == whole
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, None, "<p>" * 3000 + "deep"), (1, "u", None)], "page_id long, url string, html string")
     assert rows_of(htmltext.extract(pages)) == [(1, "u", "", 0), (1, None, "deep", 4)]
