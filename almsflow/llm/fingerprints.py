@@ -4,7 +4,13 @@ A text's prefix array holds the polynomial hash, modulo a prime, of every prefix
 It answers whether any two spans are equal in constant time, and binary search over spans
 finds the longest common extension of two places. A fingerprint keeps the hash of the whole text and,
 at geometrically spaced lengths, of its beginnings and of its ends; the same search over these
-kept lengths tells how much two texts share at both ends.
+kept lengths tells how much two texts share at both ends (``likeness``).
+
+The near columns know both texts and count the middle as well: spans of ``SPAN`` code points chosen by
+their content (the least hash of every ``SPAN`` places next to each other) are looked up in the other
+text and extended both ways by binary search, so every common span of ``2 * SPAN - 1`` code points or
+more is seen, wherever it stands (``shared``). The chosen spans follow from the text and are not
+written into the fingerprint, whose length stays logarithmic.
 
 Neighbours in doc_id order come together in one shuffle: quantiles of doc_id cut the table into
 ranges, every range also gets the first row of the next one, and each task streams its sorted
@@ -28,8 +34,11 @@ PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (1_000_003, 69_069_069)
 #: Kept lengths per doubling.
 PER_OCTAVE = 6
+#: Code points of a span that anchors a comparison, and places of which one is chosen.
+SPAN = 32
 LAST_ID = (1 << 63) - 1
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_inverses = np.ones(1, np.uint64)
 
 
 def powers(which: int, n: int) -> np.ndarray:
@@ -42,6 +51,16 @@ def powers(which: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def inverses(n: int) -> np.ndarray:
+    """``BASES[0] ** -i`` modulo the prime for i < n; grown by doubling."""
+    global _inverses
+    p = np.uint64(PRIMES[0])
+    while len(_inverses) < n:
+        step = np.uint64(pow(BASES[0], -len(_inverses), PRIMES[0]))
+        _inverses = np.concatenate([_inverses, _inverses * step % p])
+    return _inverses[:n]
+
+
 class PrefixHash:
     """Prefix arrays of one text under both primes."""
 
@@ -84,6 +103,72 @@ def longest_common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> in
     return low
 
 
+def longest_common_extension_back(a: PrefixHash, i: int, b: PrefixHash, j: int, most: int) -> int:
+    """How many code points agree before i and j, ``most`` at most."""
+    low, high = 0, min(i, j, most)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if spans_equal(a, i - middle, b, j - middle, middle):
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def anchors(h: PrefixHash) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the spans chosen by content, places ascending."""
+    n = h.n - SPAN + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    places = np.arange(n)
+    hashes = h.raw(0, places, places + SPAN) * inverses(n) % np.uint64(PRIMES[0])
+    keyed = hashes << np.uint64(32) | places.astype(np.uint64)
+    width = min(SPAN, n)
+    # Minimum of every ``width`` neighbours from running minima of blocks, forwards and backwards.
+    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max)
+    padded[:n] = keyed
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    least = np.minimum(behind[:n - width + 1], ahead[width - 1:n])
+    least = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64), least >> np.uint64(32)
+
+
+def shared(a: PrefixHash, b: PrefixHash, anchors_a=None, anchors_b=None) -> float:
+    """Share of the longer text that stands in both: common beginning, end, and spans around equal anchors."""
+    if not a.n or not b.n:
+        return float(a.n == b.n)
+    begin = longest_common_extension(a, 0, b, 0)
+    if begin == a.n == b.n:
+        return 1.0
+    end = longest_common_extension_back(a, a.n, b, b.n, min(a.n, b.n) - begin)
+    inside_a, inside_b = np.zeros(a.n, bool), np.zeros(b.n, bool)
+    inside_a[:begin] = inside_b[:begin] = True
+    inside_a[a.n - end:] = inside_b[b.n - end:] = True
+    at_a, hash_a = anchors_a or anchors(a)
+    at_b, hash_b = anchors_b or anchors(b)
+    order = np.argsort(hash_b, kind="stable")
+    sorted_b, sorted_at = hash_b[order], at_b[order]
+    first, last = np.searchsorted(sorted_b, hash_a, "left"), np.searchsorted(sorted_b, hash_a, "right")
+    done_a, done_b = begin, begin
+    for k in np.flatnonzero((last > first) & (at_a + SPAN > begin) & (at_a < a.n - end)).tolist():
+        i = int(at_a[k])
+        if i + SPAN <= done_a:
+            continue
+        # The first place not yet passed in the other text, else its first place.
+        same = sorted_at[first[k]:last[k]]
+        j = int(same[min(int(np.searchsorted(same, done_b - (done_a - i if done_a > i else 0))), len(same) - 1)])
+        if not spans_equal(a, i, b, j, SPAN):
+            continue
+        back = longest_common_extension_back(a, i, b, j, min(i, j))
+        on = longest_common_extension(a, i, b, j)
+        inside_a[i - back:i + on] = True
+        inside_b[j - back:j + on] = True
+        done_a, done_b = i + on, j + on
+    return min(int(inside_a.sum()), int(inside_b.sum())) / max(a.n, b.n)
+
+
 def kept_lengths(n: int) -> np.ndarray:
     """1, 2, 3, ... then ``PER_OCTAVE`` lengths per doubling, up to n."""
     if n == 0:
@@ -103,9 +188,9 @@ def _inverse_powers(k: int, exponents: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str) -> str:
+def fingerprint(text: str | PrefixHash) -> str:
     """``length.hash.beginnings.ends``; four hex digits per kept length."""
-    h = PrefixHash(text)
+    h = PrefixHash(text) if isinstance(text, str) else text
     lengths = kept_lengths(h.n)
     whole = "".join(f"{int(s[-1]):08x}" for s in h.sums)
     first = h.sums[0][lengths] & np.uint64(0xFFFF)
@@ -177,14 +262,15 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for part, lent, i, text in zip(*(batch.column(c).to_pylist() for c in ("_part", "_lent", "_id", "text"))):
             text = text or ""
-            own = fingerprint(text)
+            own = PrefixHash(text)
+            own_print, own_anchors = fingerprint(own), anchors(own)
             if held and held[0] == part:
-                _, before, before_text, before_print = held
-                changed = edited(before_text, text)
-                changed_print = fingerprint(changed)
-                out.append((before if before != LAST_ID else None, len(before_text), hashlib.sha256(changed.encode()).hexdigest(), before_print,
-                            changed_print, likeness(before_print, changed_print), likeness(before_print, own)))
-            held = None if lent else (part, i, text, own)
+                _, before, before_text, before_hash, before_print, before_anchors = held
+                changed_text = edited(before_text, text)
+                changed = PrefixHash(changed_text)
+                out.append((before if before != LAST_ID else None, len(before_text), hashlib.sha256(changed_text.encode()).hexdigest(), before_print,
+                            fingerprint(changed), shared(before_hash, changed, before_anchors), shared(before_hash, own, before_anchors, own_anchors)))
+            held = None if lent else (part, i, text, own, own_print, own_anchors)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=_OUT.names)
 

@@ -261,6 +261,23 @@ def test_fingerprint_parts():
     assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(a + "tail")) > 0.8
 
 
+def test_spans_between_edits_are_shared(spark):
+    rng = random.Random(12)
+    text = prose(rng, 400)
+    n = len(text)
+    both_ends = "A first" + text[20:n - 20] + "the end"
+    around = "Put before. " * 5 + text + "; put after" * 5
+    swapped = text[n // 2:] + text[:n // 2]
+    for other, least in ((both_ends, (n - 40) / n), (around, n / len(around)), (swapped, 0.97), (text[:50] + "?" + text[50:n - 70] + "!" + text[n - 70:], n / (n + 2))):
+        a, b = fingerprints.PrefixHash(text), fingerprints.PrefixHash(other)
+        assert least - 0.001 <= fingerprints.shared(a, b) <= 1 and least - 0.001 <= fingerprints.shared(b, a) <= 1
+    a, b = (fingerprints.PrefixHash(prose(rng, 400, x)) for x in ("abcd", "stuv"))
+    assert fingerprints.shared(a, b) < 0.05
+    docs = table(spark, [(1, text, "l", "s"), (2, both_ends, "l", "s"), (3, "", "l", "s")])
+    near = {r.doc_id: r.near_next for r in fingerprints.fingerprints(docs, 2).collect()}
+    assert near[1] > 0.95 and near[2] == 0 and near[3] == 0
+
+
 @pytest.mark.parametrize("ranges", [1, 4, 200])
 def test_fingerprints_follow_the_next_document(odd, odd_rows, nothing, ranges):
     order = sorted(((1 << 63) if i is None else i, t or "") for i, t, *_ in odd_rows)
