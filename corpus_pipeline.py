@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from almsflow.llm import decontaminate, language, mixing, neardup, shards
 from almsflow.runtime import cut_lineage
 
+#: At least so many shards, and as many more as keep a shard near the target.
 SHARDS = 24
+TARGET_BYTES = 256_000_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and their place in it."""
-    return shards.with_shards(docs, SHARDS)
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + shards.ROW_BYTES
+    total = docs.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    return shards.with_shards(docs, max(SHARDS, shards.shards_for(total, TARGET_BYTES)))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),

@@ -489,6 +489,13 @@ def test_pipeline_stages_against_plain_versions(spark, odd_rows):
     assert all(abs(x - even) <= 5 * top for x in size.values())  # one cut per level, each off by half a document at most
 
 
+def test_shards_of_the_pipeline_follow_the_size(spark, monkeypatch):
+    docs = table(spark, [(i, "x" * 92, "l", "s") for i in range(400)])
+    assert corpus_pipeline.sharding(spark, docs, SF).agg(F.countDistinct("shard")).first()[0] == 24
+    monkeypatch.setattr(corpus_pipeline, "TARGET_BYTES", 1_000)
+    assert corpus_pipeline.sharding(spark, docs, SF).agg(F.countDistinct("shard")).first()[0] == 40
+
+
 def test_pipeline_run(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
