@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from almsflow.llm import decontaminate, fingerprints, htmltext, language, licenses, lines, mixing, neardup, shards, substrings
+from almsflow.llm import decontaminate, divergence, fingerprints, htmltext, language, licenses, lines, mixing, neardup, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,3 +155,36 @@ FROM documents d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = lines.without_spread_lines(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op13_source_divergence", rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_DOWN}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(ws) AS term FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term FROM t GROUP BY lang, term HAVING count(*) >= 30),
+v AS MATERIALIZED (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS MATERIALIZED (
+  SELECT lang, source, coalesce(any_value(v.v), 0)::HUGEINT AS v, coalesce(any_value(s.n), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL) JOIN (SELECT lang, sum(n)::HUGEINT AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(x.value), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term) GROUP BY ALL) x
+    ON x.lang = a.lang AND x.source = a.source AND x.other = b.source GROUP BY ALL),
+term AS (SELECT p.lang, p.source, p.term AS item, p.p - l.q AS value FROM p JOIN l USING (lang, term) WHERE p.n > 0 AND p.p > l.q),
+o AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM term)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM o WHERE part = 'pair' OR rank <= 50
+""")
+def source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
