@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from almsflow.llm import decontaminate, divergence, fingerprints, htmltext, language, licenses, lines, mixing, neardup, shards, substrings
+from almsflow.llm import decontaminate, divergence, fingerprints, htmltext, language, lexical, licenses, lines, mixing, neardup, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,3 +188,25 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 """)
 def source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query("op12_lexical_search", rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_DOWN}'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS MATERIALIZED (
+  SELECT DISTINCT item_id, i, unnest(regexp_extract_all(translate(text, '{_UP}', '{_DOWN}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT item_id, text, row_number() OVER () AS i FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))),
+s AS (SELECT count(*) FILTER (WHERE len(ws) > 0) AS n, sum(len(ws))::HUGEINT AS l FROM d),
+t AS MATERIALIZED (
+  SELECT r, doc_id, len, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(ws) AS len, unnest(ws) AS term FROM d)
+  WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+x AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90::HUGEINT * len * n) // l))) AS v FROM t JOIN w USING (term), s),
+score AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(v)::BIGINT AS score FROM x JOIN b USING (term) GROUP BY i, r),
+o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10
+""")
+def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
