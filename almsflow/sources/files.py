@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from fnmatch import fnmatch
 
 import pyarrow.fs as pafs
@@ -67,3 +70,23 @@ def write_path(path: str, content: bytes) -> None:
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     with store.open_output_stream(inner) as out:
         out.write(content)
+
+
+@contextmanager
+def replace_file(path: str) -> Iterator:
+    """A stream whose content takes the place of ``path`` when it is closed without an error.
+
+    A task that is lost or repeated leaves either no file of that name or a whole one.
+    """
+    store, inner = _store(path)
+    folder, name = inner.rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    unfinished = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    try:
+        with store.open_output_stream(unfinished) as out:
+            yield out
+        store.move(unfinished, inner)
+    except BaseException:
+        if store.get_file_info(unfinished).type != pafs.FileType.NotFound:
+            store.delete_file(unfinished)
+        raise
