@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from almsflow.llm import decontaminate, divergence, fingerprints, htmltext, language, lexical, licenses, lines, mixing, neardup, shards, substrings
+from almsflow.llm import decontaminate, divergence, fingerprints, htmltext, language, lexical, licenses, lines, mixing, neardup, shards, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -210,3 +210,20 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10
 """)
 def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op11_warc_archives", """
+WITH p AS MATERIALIZED (
+  SELECT page_id, url, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS html FROM pages),
+o AS (SELECT html, max(page_id) AS owner FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN owner IS NOT NULL AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM p LEFT JOIN o ON o.html = p.html AND payload_bytes >= 1000
+""")
+def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    kind = pages.schema["page_id"].dataType
+    found = warc.round_trip(pages)
+    return found.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+                        F.col("refers_to").cast(kind).alias("refers_to"))
