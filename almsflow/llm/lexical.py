@@ -2,9 +2,10 @@
 
 A document is the sparse vector of its term impacts, a query the vector of its term weights; the score
 is their inner product. Every task builds ball trees over bounded chunks of its documents: a node has a
-centre and a radius, and no document below it scores more than ``<q, centre> + |q| * radius``
-(Cauchy-Schwarz, with both sides multiplied by the root of the term's weight, so that common terms hardly
-widen a ball). A query descends the tree best bound first and stops when the best bound left is
+centre and a radius, and no document below it scores more than ``<q, centre> + |q| * radius`` (Cauchy-Schwarz, with
+both sides multiplied by the root of the term's weight, so that common terms hardly widen a ball). The same holds
+in every range of terms by itself, so a node also has a radius for each of ``GROUPS`` ranges, the bound is the sum over the
+ranges where the query has terms, and what documents have elsewhere does not widen it. A query descends the tree best bound first and stops when the best bound left is
 below its k-th score so far; that score is carried from chunk to chunk. Bounds are widened by more than
 all rounding of doubles can take off; scores are sums of 64-bit integers at the leaves. The best k of every task are
 merged by one window over ``tasks * k`` rows a query.
@@ -37,6 +38,8 @@ from almsflow.runtime import cut_lineage
 MAX_TERMS = 32_768
 #: A tree holds so many documents or term entries; a leaf so many documents at most.
 CHUNK_DOCS, CHUNK_ENTRIES, LEAF = 8_192, 500_000, 48
+#: Term ranges with a radius of their own.
+GROUPS = 1_024
 #: Share by which squared radii and bounds are widened. Sums have at most ``MAX_TERMS`` terms or those of one
 #: query, and 2^-52 times a million is a quarter of this.
 SAFE = 1e-9
@@ -44,18 +47,20 @@ _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 class BallTree:
-    """Over sparse rows with values >= 0; ``order`` has the rows leaf by leaf.
+    """Over sparse rows with values >= 0 whose terms ascend; ``order`` has the rows leaf by leaf.
 
     Node k has children ``child[k]`` and ``child[k] + 1`` (0: a leaf) and the rows ``order[first[k]:last[k]]``.
-    The centres are kept by term, as postings, so that a query's product with all of them is one sum.
+    Centres are kept by term and radii by term range, as postings, so that a query's bounds for all nodes are two sums.
     """
 
     def __init__(self, at: np.ndarray, terms: np.ndarray, values: np.ndarray, width: int):
         self.at, self.terms, self.values, self.width = at, terms, values, width
         self.square = np.add.reduceat(values * values, at[:-1])
+        self.groups = min(GROUPS, width)
+        self.group = terms.astype(np.int64) * self.groups // width
         self.order = np.arange(len(at) - 1)
-        self.first, self.last, self.child, self.radius = [0], [len(self.order)], [0], [0.0]
-        nodes, ids, weights = [], [], []
+        self.first, self.last, self.child = [0], [len(self.order)], [0]
+        radius, centres, ranges = [], [], []
         node = 0
         while node < len(self.first):  # children are appended behind, level by level
             a, b = self.first[node], self.last[node]
@@ -63,13 +68,12 @@ class BallTree:
             flat, starts = self._entries(rows)
             own, value = terms[flat], values[flat]
             centre = np.bincount(own, value, width) / len(rows)
-            used = np.flatnonzero(centre)
             away = self._squares(rows, own, value, starts, centre)
-            self.radius[node] = float(np.sqrt(np.max(np.maximum(away, 0) + SAFE * (self.square[rows] + centre @ centre))))
-            nodes.append(np.full(len(used), node, np.int32))
-            ids.append(used.astype(np.int32))
-            weights.append(centre[used])
-            if len(rows) > LEAF and self.radius[node] > 0:
+            radius.append(np.sqrt(np.max(np.maximum(away, 0) + SAFE * (self.square[rows] + centre @ centre))))
+            used = np.flatnonzero(centre)
+            centres.append((np.full(len(used), node), used, centre[used]))
+            ranges.append((np.full(self.groups, node), np.arange(self.groups), self._radii(flat, starts, own, value, centre)))
+            if len(rows) > LEAF and radius[-1] > 0:
                 one = self._dense(rows[np.argmax(away)])
                 two = self._dense(rows[np.argmax(self._squares(rows, own, value, starts, one))])
                 along = np.add.reduceat(value * (one - two)[own], starts)
@@ -79,13 +83,9 @@ class BallTree:
                 self.first += [a, half]
                 self.last += [half, b]
                 self.child += [0, 0]
-                self.radius += [0.0, 0.0]
             node += 1
-        nodes, ids, weights = np.concatenate(nodes), np.concatenate(ids), np.concatenate(weights)
-        by_term = np.argsort(ids, kind="stable")
-        self.nodes, self.weights = nodes[by_term], weights[by_term]
-        self.posting = np.searchsorted(ids[by_term], np.arange(width + 1))
-        self.radius = np.array(self.radius)
+        self.radius = np.array(radius)
+        self.centres, self.ranges = self._postings(centres, width), self._postings(ranges, self.groups)
         flat, starts = self._entries(self.order)
         #: Entry places of the rows in leaf order, and where each row's entries begin.
         self.flat, self.starts = flat, np.append(starts, len(flat))
@@ -99,18 +99,43 @@ class BallTree:
         """Squared distances of the rows to a point."""
         return self.square[rows] + centre @ centre - 2 * np.add.reduceat(value * centre[own], starts)
 
+    def _radii(self, flat, starts, own, value, centre: np.ndarray) -> np.ndarray:
+        """Per term range the largest distance of a row to the centre within the range."""
+        group, weight = self.group[flat], centre[own]
+        base = np.bincount(np.arange(self.width) * self.groups // self.width, centre * centre, self.groups)
+        begins = np.concatenate([[True], group[1:] != group[:-1]])
+        begins[starts] = True
+        runs = np.flatnonzero(begins)
+        # A row without terms in the range is as far away as the centre is long.
+        shift, size = np.add.reduceat(value * (value - 2 * weight), runs), np.add.reduceat(value * value, runs)
+        out, held = base.copy(), group[runs]
+        np.maximum.at(out, held, base[held] + shift + SAFE * (base[held] + size))
+        return np.sqrt(np.maximum(out, 0))
+
     def _dense(self, row: int) -> np.ndarray:
         out = np.zeros(self.width)
         out[self.terms[self.at[row]:self.at[row + 1]]] = self.values[self.at[row]:self.at[row + 1]]
         return out
 
+    @staticmethod
+    def _postings(parts: list[tuple], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes and values by key, and where each key begins."""
+        nodes, keys, values = (np.concatenate(p) for p in zip(*parts))
+        used = np.flatnonzero(values)
+        order = used[np.argsort(keys[used], kind="stable")]
+        return nodes[order], values[order], np.searchsorted(keys[order], np.arange(width + 1))
+
+    def _products(self, postings: tuple, keys: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        nodes, values, begin = postings
+        slices = [slice(begin[k], begin[k + 1]) for k in keys]
+        return np.bincount(np.concatenate([nodes[s] for s in slices]), np.concatenate([values[s] * f for s, f in zip(slices, factors)]), len(self.radius))
+
     def bounds(self, terms: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Per node what no row below it can exceed in its product with the query."""
-        slices = [slice(self.posting[t], self.posting[t + 1]) for t in terms]
-        nodes = np.concatenate([self.nodes[s] for s in slices])
-        products = np.concatenate([self.weights[s] * v for s, v in zip(slices, values)])
-        total = np.bincount(nodes, products, len(self.radius)) + np.sqrt(values @ values) * self.radius
-        return total * (1 + SAFE)
+        in_range = np.sqrt(np.bincount(terms * self.groups // self.width, values * values, self.groups))
+        asked = np.unique(terms * self.groups // self.width)
+        spread = self._products(self.ranges, asked, in_range[asked])
+        return (self._products(self.centres, terms, values) + np.minimum(spread, np.sqrt(values @ values) * self.radius)) * (1 + SAFE)
 
 
 class Best:
