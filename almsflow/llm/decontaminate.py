@@ -19,6 +19,7 @@ left out by ``carry`` and may have any name.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from almsflow.llm.tables import arrow_map, utf8
+from almsflow.llm.tables import kept, utf8
 from almsflow.runtime import cut_lineage
 
 WINDOW = 13
@@ -117,17 +118,6 @@ def _word_offsets(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[np.flatnonzero(edge == 1)], points[np.flatnonzero(edge == -1)]
 
 
-_LOADED: dict[str, Matcher] = {}
-
-
-def _matcher(key: str, items: Broadcast) -> Matcher:
-    """One automaton per worker process and part."""
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Matcher(items.value)
-    return _LOADED[key]
-
-
 def _judge(raw: bytes, matcher: Matcher, before: dict | None) -> dict:
     found_words = normal_words(raw)
     hit, names = matcher.find(found_words)
@@ -146,18 +136,30 @@ def _judge(raw: bytes, matcher: Matcher, before: dict | None) -> dict:
     return {"n_words": len(found_words), "n_hit": 0 if hit is None else int(hit.sum()), "items": sorted(names), "spans": spans}
 
 
-def _parts(benchmark: DataFrame, max_words: int) -> list[Broadcast]:
-    """The items of each automaton, collected part by part; every part is bounded by ``max_words``."""
+def _parts(benchmark: DataFrame, max_words: int) -> Iterator[tuple[bool, list[tuple[str, bytes]]]]:
+    """The items of each automaton, one part after the other, and whether it is the last; ``max_words`` bounds a part."""
     sized = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text",
                              F.regexp_count("text", F.lit(_WORD)).alias("n")).where(F.col("text").isNotNull())
     total = sized.agg(F.sum("n")).first()[0] or 0
     n = -(-total // max_words) if total > max_words else 1
-    out = []
     for part in range(n):
         own = sized if n == 1 else sized.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == part)
-        items = [(r["item"], r["text"].encode()) for r in own.select("item", "text").collect()]
-        out.append(benchmark.sparkSession.sparkContext.broadcast(items))
-    return out
+        yield part == n - 1, [(r["item"], r["text"].encode()) for r in own.select("item", "text").collect()]
+
+
+def _found(shared: Broadcast, text, before):
+    """The column of what one automaton finds in ``text``, joined to what earlier ones found.
+
+    Only texts go to Python and only findings come back; the other columns stay where they are.
+    """
+    key = uuid.uuid4().hex
+
+    def judge(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        matcher = kept(key, lambda: Matcher(shared.value))
+        for texts, earlier in batches:
+            yield pa.array([_judge(raw, matcher, b) for raw, b in zip(utf8(texts), earlier.to_pylist())], _FOUND_ARROW)
+
+    return F.arrow_udf(judge, FOUND)(text, before)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, carry: list[str], into: str, text_col: str = "text",
@@ -166,23 +168,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, carry: list[str], into: str, tex
 
     ``spans`` holds runs of hit words, as word numbers and as code point offsets of the text.
     """
-    parts = _parts(benchmark, max_words)
-    out, kept = docs, list(dict.fromkeys(carry))
-    for number, items in enumerate(parts):
-        last, first = number == len(parts) - 1, number == 0
-        columns = kept if last else list(dict.fromkeys([*kept, text_col]))
-        read = list(dict.fromkeys([*columns, text_col, *([] if first else [into])]))
-        schema = T.StructType([out.schema[c] for c in columns] + [T.StructField(into, FOUND)])
-
-        def judge(batch: pa.RecordBatch, key=uuid.uuid4().hex, items=items, columns=columns, first=first) -> pa.RecordBatch:
-            matcher = _matcher(key, items)
-            before = [None] * batch.num_rows if first else batch.column(into).to_pylist()
-            found = [_judge(raw, matcher, b) for raw, b in zip(utf8(batch.column(text_col)), before)]
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found, _FOUND_ARROW)], [*columns, into])
-
-        out = arrow_map(out.select(*[F.col(f"`{c}`") for c in read]), judge, schema)
+    out, carried = docs, list(dict.fromkeys(carry))
+    before = F.lit(None).cast(FOUND)
+    for last, items in _parts(benchmark, max_words):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+        columns = carried if last else list(dict.fromkeys([*carried, text_col]))
+        out = out.select(*[F.col(f"`{c}`") for c in columns], _found(shared, F.col(f"`{text_col}`"), before).alias(into))
         if not last:
-            out = cut_lineage(out)
+            out, before = cut_lineage(out), F.col(f"`{into}`")
+            shared.unpersist()  # one part is alive at a time
     return out
 
 

@@ -10,31 +10,44 @@ their id, ``chars_per_lang`` symbols of them. Every text is predicted over its w
 text is walked in pieces of ``PIECE`` symbols so that many pieces advance together as numpy
 vectors, and the phrase counts of its pieces are added.
 
+The driver learns the automata, of one group of ``GROUP_LANGS`` labels at a time, and sends their edges; tasks lay these
+out as tables while they run. More labels make more groups, through which a text passes one after the other with its
+two lowest costs so far, so any number of labels is compared.
+
 Defined cases: null text or text without a letter is ``und`` with score 0; rows without label,
-text or id teach nothing; labels beyond ``max_langs`` are refused with an error; equal costs go
-to the label that sorts first; with one known language the score is 1; repeated rows get equal
-answers; without any labelled text every answer is ``und``.
+text or id teach nothing; equal costs go to the label that sorts first; with one known language the score is 1;
+repeated rows get equal answers; without any labelled text every answer is ``und``; other columns may have any name.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from almsflow.llm.tables import arrow_map, steps, uniform
+from almsflow.llm.tables import kept, row_struct, steps, uniform
+from almsflow.runtime import cut_lineage
 
 ROWS_PER_LANG = 160
 CHARS_PER_LANG = 40_000
-MAX_LANGS = 128
+#: Labels learned and sent together: about 1 MB of edges each.
+GROUP_LANGS = 128
 PIECE = 512
 #: Symbols: 0 all that is not a letter, then the letters of the labelled sample, the commonest first, and last
 #: one for letters no label has. Symbols below ``DENSE`` have table columns, the others sorted keys.
 DENSE = 63
 UNKNOWN = "und"
+#: Tables of so many languages stay laid out while a task runs, about 15 MB each; of more, one after the other.
+KEPT_TABLES = 8
+#: Characters parsed together.
+STEP_CHARS = 1_000_000
+#: A prediction with this score or more overrules a label.
+MARGIN = 0.4
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -42,16 +55,24 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG,
-           max_langs: int = MAX_LANGS) -> dict[str, str]:
-    """Labelled text per language, at most ``chars_per_lang`` characters each."""
-    usable = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
+def _usable(docs: DataFrame) -> DataFrame:
+    return docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
+
+
+def labels(docs: DataFrame, size: int = 0) -> list[list[str]]:
+    """The labels that have text to learn from, sorted, in groups."""
+    found = sorted(r["lang"] for r in _usable(docs).select("lang").distinct().collect())
+    size = size or GROUP_LANGS
+    return [found[i:i + size] for i in range(0, len(found), size)]
+
+
+def sample(docs: DataFrame, langs: list[str], rows_per_lang: int = ROWS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG) -> dict[str, str]:
+    """Labelled text of each of ``langs``, at most ``chars_per_lang`` characters."""
+    usable = _usable(docs).where(F.col("lang").isin(langs))
     first = Window.partitionBy("lang").orderBy("_draw", "doc_id")
     chosen = (usable.select("lang", "doc_id", uniform(F.col("doc_id"), 10).alias("_draw"))
               .withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= rows_per_lang)
-              .select("lang", "doc_id", "_rank").limit(rows_per_lang * (max_langs + 1)).collect())
-    if len({r["lang"] for r in chosen}) > max_langs:
-        raise ValueError(f"more than {max_langs} languages are labelled")
+              .select("lang", "doc_id", "_rank").collect())
     if not chosen:
         return {}
     picked = docs.sparkSession.createDataFrame(chosen, "lang string, doc_id long, _rank int").dropDuplicates(["lang", "doc_id"])
@@ -65,53 +86,53 @@ def sample(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, chars_per_lang:
     return out
 
 
+def automaton_edges(symbols: list[int]) -> tuple[int, np.ndarray]:
+    """The suffix automaton of one symbol sequence: how many states, and its edges as rows (state, symbol, next state)."""
+    following: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
+    for c in symbols:
+        new = len(following)
+        following.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        p = last
+        while p >= 0 and c not in following[p]:
+            following[p][c] = new
+            p = link[p]
+        if p >= 0:
+            q = following[p][c]
+            if length[q] == length[p] + 1:
+                link[new] = q
+            else:
+                twin = len(following)
+                following.append(dict(following[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and following[p].get(c) == q:
+                    following[p][c] = twin
+                    p = link[p]
+                link[q] = link[new] = twin
+        last = new
+    return len(following), np.array([(s, c, to) for s, edges in enumerate(following) for c, to in edges.items()], np.int32).reshape(-1, 3)
+
+
 class SuffixAutomaton:
-    """Of one symbol sequence; ``table[state, symbol]`` is the next state or -1.
+    """Edges laid out for walking; ``table[state, symbol]`` is the next state or -1.
 
     Edges of symbols from ``DENSE`` on are ``targets`` of the ascending ``keys`` state * width + symbol;
     the last table column is -1 and stands for all of these.
     """
 
-    def __init__(self, symbols: list[int], width: int):
-        following: list[dict[int, int]] = [{}]
-        link, length, last = [-1], [0], 0
-        for c in symbols:
-            new = len(following)
-            following.append({})
-            length.append(length[last] + 1)
-            link.append(0)
-            p = last
-            while p >= 0 and c not in following[p]:
-                following[p][c] = new
-                p = link[p]
-            if p >= 0:
-                q = following[p][c]
-                if length[q] == length[p] + 1:
-                    link[new] = q
-                else:
-                    twin = len(following)
-                    following.append(dict(following[q]))
-                    length.append(length[p] + 1)
-                    link.append(link[q])
-                    while p >= 0 and following[p].get(c) == q:
-                        following[p][c] = twin
-                        p = link[p]
-                    link[q] = link[new] = twin
-            last = new
-        self.table = np.full((len(following), DENSE + 1), -1, np.int32)
+    def __init__(self, states: int, edges: np.ndarray, width: int):
+        state, symbol, to = edges.T
+        self.table = np.full((states, DENSE + 1), -1, np.int32)
+        common = symbol < DENSE
+        self.table[state[common], symbol[common]] = to[common]
         self.root = np.zeros(width, np.int32)
-        rare = []
-        for state, edges in enumerate(following):
-            for c, to in edges.items():
-                if c < DENSE:
-                    self.table[state, c] = to
-                else:
-                    rare.append((state * width + c, to))
-        for c, to in following[0].items():
-            self.root[c] = to
-        rare.sort()
-        self.keys = np.array([k for k, _ in rare], np.int64)
-        self.targets = np.array([to for _, to in rare], np.int32)
+        self.root[symbol[state == 0]] = to[state == 0]
+        keys = state[~common].astype(np.int64) * width + symbol[~common]
+        order = np.argsort(keys)
+        self.keys, self.targets = keys[order], to[~common][order]
 
 
 def _collapse(symbols: np.ndarray) -> np.ndarray:
@@ -120,7 +141,7 @@ def _collapse(symbols: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """The automata of all languages over one table of symbols."""
+    """The automata of some languages over one table of symbols. Pickled, it is their edges only."""
 
     def __init__(self, texts: dict[str, str]):
         self.langs = sorted(texts)
@@ -134,13 +155,25 @@ class Model:
             for form in {c, c.upper()}:
                 if len(form) == 1:
                     self.symbol_of[ord(form)] = number + 1
-        self.automata, self.bits = [], []
+        self.edges, self.bits = [], []
         for lang in self.langs:
             symbols = self.symbols(texts[lang])
             symbols = symbols[_collapse(symbols)]
-            self.automata.append(SuffixAutomaton(symbols.tolist(), self.other + 1))
+            self.edges.append(automaton_edges(symbols.tolist()))
             self.bits.append(float(np.log2(max(2, len(symbols)))))
 
+    def automata(self) -> Iterator[SuffixAutomaton]:
+        """One language's table at a time where they are many, else all of them kept."""
+        if len(self.langs) > KEPT_TABLES:
+            yield from (SuffixAutomaton(*e, self.other + 1) for e in self.edges)
+            return
+        if not hasattr(self, "_tables"):
+            self._tables = [SuffixAutomaton(*e, self.other + 1) for e in self.edges]
+        yield from self._tables
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_tables"}
+
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
@@ -168,7 +201,7 @@ class Model:
             return out
         alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
         sparse = self.other > DENSE and bool((flat >= DENSE).any())
-        for k, automaton in enumerate(self.automata):
+        for k, automaton in enumerate(self.automata()):
             table, root = automaton.table.ravel(), automaton.root
             keys = automaton.keys if sparse else ()
             state = np.zeros(len(size), np.int32)
@@ -187,71 +220,85 @@ class Model:
             out[:, k] = np.bincount(piece_owner, count, len(lengths)).astype(np.int64)
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        if not self.langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        texts = [t or "" for t in texts]
-        joined = self.symbols("".join(texts))
-        found = self.phrases(joined, np.array([len(t) for t in texts], np.int64))
-        cost = found[:, :-1] * np.array(self.bits)
-        best = cost.argmin(axis=1)
-        low = cost[np.arange(len(texts)), best]
-        if len(self.langs) > 1:
-            rest = np.partition(cost, 1, axis=1)[:, 1]
-            score = np.where(rest > 0, 1 - low / np.where(rest > 0, rest, 1), 0.0)
-        else:
-            score = np.ones(len(texts))
-        known = found[:, -1] > 0
-        return [self.langs[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
-
-
-_MODELS: dict[str, Model] = {}
-
-
-def _model(key: str, texts: dict[str, str]) -> Model:
-    """One model per worker process."""
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(texts)
-    return _MODELS[key]
+    def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cost of every text in every language, and whether it has a letter."""
+        found = self.phrases(self.symbols("".join(texts)), np.array([len(t) for t in texts], np.int64))
+        return found[:, :-1] * np.array(self.bits), found[:, -1] > 0
+
+
+_SO_FAR = T.StructType([T.StructField("lang", T.StringType()), T.StructField("low", T.DoubleType()), T.StructField("next", T.DoubleType())])
+_SO_FAR_ARROW = pa.struct([("lang", pa.string()), ("low", pa.float64()), ("next", pa.float64())])
+
+
+def merged(langs: list[str], cost: np.ndarray, known: np.ndarray, before: list[dict | None]) -> list[dict | None]:
+    """The cheapest label with its cost and the cost of the next one, over these languages and those before."""
+    out: list[dict | None] = []
+    first = cost.argmin(axis=1)
+    two = np.partition(cost, 1, axis=1)[:, 1] if len(langs) > 1 else np.full(len(cost), np.inf)
+    for row, (k, second, b) in enumerate(zip(first.tolist(), two.tolist(), before)):
+        if not known[row]:
+            out.append(None)
+            continue
+        now = {"lang": langs[k], "low": float(cost[row, k]), "next": second}
+        if b:
+            best, other = (b, now) if b["low"] <= now["low"] else (now, b)
+            now = {"lang": best["lang"], "low": best["low"], "next": min(best["next"], other["low"])}
+        out.append(now)
+    return out
 
 
-def _predictor(docs: DataFrame, texts: dict[str, str]):
-    key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(texts)
+def _judged(shared: Broadcast, key: str, text: Column, before: Column) -> Column:
+    def judge(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        model = kept(key, lambda: shared.value)
+        for texts, earlier in batches:
+            texts, earlier = [t or "" for t in texts.to_pylist()], earlier.to_pylist()
+            out: list[dict | None] = []
+            for a, b in steps(texts, STEP_CHARS):
+                out += merged(model.langs, *model.costs(texts[a:b]), earlier[a:b])
+            yield pa.array(out, _SO_FAR_ARROW)
+        pa.default_memory_pool().release_unused()
 
-    def predict(column: pa.Array) -> tuple[list[str], list[float]]:
-        model, texts = _model(key, shared.value), column.to_pylist()
-        langs: list[str] = []
-        scores: list[float] = []
-        for a, b in steps([t or "" for t in texts]):
-            found, score = model.predict(texts[a:b])
-            langs += found
-            scores += score.tolist()
-        return langs, scores
+    return F.arrow_udf(judge, _SO_FAR)(text, before)
 
-    return predict
 
+def with_prediction(docs: DataFrame, *columns: Column, texts: dict[str, str] | None = None, group: int = 0) -> DataFrame:
+    """``columns`` of every document plus struct ``found``: lang_pred and score.
 
-def identify(docs: DataFrame, texts: dict[str, str] | None = None) -> DataFrame:
+    Only texts go to Python and only answers come back.
+    """
+    groups = [texts] if texts is not None else None
+    if groups is None:
+        groups = (sample(docs, langs) for langs in labels(docs, group))
+    rows = docs.select(F.struct(*columns).alias("kept"), "text", F.lit(None).cast(_SO_FAR).alias("best"))
+    seen = 0
+    for number, texts in enumerate(groups):
+        if not texts:
+            continue
+        if number:
+            rows = cut_lineage(rows)  # a group of labels is alive at a time
+        shared = docs.sparkSession.sparkContext.broadcast(Model(texts))
+        rows = rows.select("kept", "text", _judged(shared, uuid.uuid4().hex, F.col("text"), F.col("best")).alias("best"))
+        seen += len(texts)
+    score = F.lit(1.0) if seen == 1 else F.when(F.col("best.next") > 0, 1 - F.col("best.low") / F.col("best.next")).otherwise(0.0)
+    found = F.struct(F.coalesce("best.lang", F.lit(UNKNOWN)).alias("lang_pred"), F.when(F.col("best.lang").isNull(), 0.0).otherwise(score).alias("score"))
+    return rows.select("kept", found.alias("found"))
+
+
+def identify(docs: DataFrame, texts: dict[str, str] | None = None, group: int = 0) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score (margin of the winner over the runner-up)."""
-    predict = _predictor(docs, sample(docs) if texts is None else texts)
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
-                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    out = with_prediction(docs, F.col("doc_id").alias("doc_id"), held_out().alias("held_out"), texts=texts, group=group)
+    return out.select("kept.*", "found.*")
 
-    def label(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = predict(batch.column("text"))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                          names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return arrow_map(docs.select("doc_id", held_out().alias("held_out"), "text"), label, schema)
+def keep_identified(docs: DataFrame, texts: dict[str, str] | None = None, margin: float = MARGIN) -> DataFrame:
+    """The documents whose language is told and does not speak against their label, with all their columns.
 
-
-def keep_identified(docs: DataFrame, texts: dict[str, str] | None = None) -> DataFrame:
-    """The documents whose language could be told (not ``und``), all their columns unchanged."""
-    predict = _predictor(docs, sample(docs) if texts is None else texts)
-
-    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, _ = predict(batch.column("text"))
-        return batch.filter(pa.array([x != UNKNOWN for x in langs]))
-
-    return arrow_map(docs, keep, docs.schema)
+    A document goes if it is ``und``, or if its label differs from a prediction whose score is ``margin`` or more; a null
+    label becomes the prediction. Documents without a learned label, or with a label that nothing was learned of, keep it unless ``und``.
+    """
+    found = with_prediction(docs, row_struct(docs).alias("row"), texts=texts).select("kept.row", "found.*")
+    known = [lang for own in labels(docs) for lang in own] if texts is None else sorted(texts)
+    against = F.col("row.lang").isin(known) & (F.col("row.lang") != F.col("lang_pred")) & (F.col("score") >= margin)
+    stay = (F.col("lang_pred") != UNKNOWN) & ~F.coalesce(against, F.lit(False))
+    names = [F.coalesce("row.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns]
+    return found.where(stay).select(*names)

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from almsflow.llm.tables import uniform
+from almsflow.llm.tables import row_struct, uniform
 
 MAX_SOURCES = 50_000
 MAX_BLOCKS = 32_768
@@ -78,10 +78,10 @@ class Plan:
     draws: list[tuple]  # (source, block, copies of every document, shard of each draw, place up to which one more is drawn)
 
 
-def _compact(docs: DataFrame) -> DataFrame:
+def _compact(docs: DataFrame, *more: Column) -> DataFrame:
     """Source, words, and the two hashes that decide a document's block and its place in it."""
     ident = F.struct("doc_id", "text")
-    return docs.select(F.col("source").alias("_source"), n_words().alias("_words"),
+    return docs.select(*more, F.col("source").alias("_source"), n_words().alias("_words"),
                        uniform(ident, SEED).alias("_u"), uniform(ident, SEED + 1).alias("_place"))
 
 
@@ -157,31 +157,41 @@ def _cut_places(blocked: DataFrame, cut_at: dict[str | None, tuple[int, float]])
     return {r["_source"]: r["place"] for r in near.groupBy("_source").agg(F.max("_place").alias("place")).collect()}
 
 
-def with_draws(docs: DataFrame, mix: Plan) -> DataFrame:
-    """All rows and columns plus ``_shards``: the output shard of each copy the mix takes."""
-    spark, ident = docs.sparkSession, F.struct("doc_id", "text")
+def _placed(rows: DataFrame, mix: Plan) -> DataFrame:
+    """``rows`` of (row, _source, _u, _place) with ``_shards``: the output shard of each copy the mix takes."""
+    spark = rows.sparkSession
     blocks = F.broadcast(spark.createDataFrame([(s, n) for s, n in mix.n_blocks.items()], "_s string, _n int"))
     draws = F.broadcast(spark.createDataFrame(mix.draws, "_s2 string, _b2 int, _draws array<int>, _cut double"))
-    placed = (docs.withColumns({"_u": uniform(ident, SEED), "_place": uniform(ident, SEED + 1)})
-              .join(blocks, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("_block", _block(F.col("_n")))
-              .join(draws, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_block") == F.col("_b2")), "left"))
+    placed = (rows.join(blocks, F.col("_source").eqNullSafe(F.col("_s")), "left").withColumn("_block", _block(F.col("_n")))
+              .join(draws, F.col("_source").eqNullSafe(F.col("_s2")) & (F.col("_block") == F.col("_b2")), "left"))
     whole = F.coalesce("_draws", F.array().cast("array<int>"))
     taken = F.when(F.col("_cut").isNotNull() & (F.col("_place") > F.col("_cut")), F.slice(whole, 1, F.size(whole) - 1)).otherwise(whole)
-    return placed.withColumn("_shards", taken).drop("_u", "_place", "_s", "_n", "_block", "_s2", "_b2", "_draws", "_cut")
+    return placed.withColumn("_shards", taken)
+
+
+def with_draws(docs: DataFrame, mix: Plan) -> DataFrame:
+    """``(row, _shards)``: every document as one struct, so that its columns may have any name, and the shards of its copies."""
+    ident = F.struct("doc_id", "text")
+    rows = docs.select(row_struct(docs).alias("row"), F.col("source").alias("_source"), uniform(ident, SEED).alias("_u"), uniform(ident, SEED + 1).alias("_place"))
+    return _placed(rows, mix).select("row", "_shards")
 
 
 def report(docs: DataFrame, mix: Plan) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken, and how many copies the mix takes."""
     numbers = [(s, mix.sizes[s], mix.targets[s]) for s in mix.sizes]
     per_source = F.broadcast(docs.sparkSession.createDataFrame(numbers, "_source string, source_size long, target double"))
-    out = with_draws(docs.select("doc_id", "text", "source"), mix).withColumn("size", n_words())
-    return out.join(per_source, F.col("source").eqNullSafe(F.col("_source")), "left").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("_shards")).alias("taken"), F.size("_shards").alias("copies"))
+    compact = _compact(docs.select("doc_id", "text", "source"), F.col("doc_id").alias("doc_id"))
+    out = _placed(compact, mix).join(per_source.withColumnRenamed("_source", "_s3"), F.col("_source").eqNullSafe(F.col("_s3")), "left")
+    return out.select("doc_id", F.col("_words").alias("size"), "source_size", "target", (F.col("_words") * F.size("_shards")).alias("taken"), F.size("_shards").alias("copies"))
+
+
+def copies(docs: DataFrame, mix: Plan) -> DataFrame:
+    """A row per copy that the mix takes, with ``mix_copy`` and ``mix_shard``, not yet brought together."""
+    own = docs.drop("mix_copy", "mix_shard", "mix_order")
+    return with_draws(own, mix).select("row", F.posexplode("_shards").alias("mix_copy", "mix_shard")).select("row.*", "mix_copy", "mix_shard")
 
 
 def mixed(docs: DataFrame, mix: Plan) -> DataFrame:
     """The mix itself: a row per copy with ``mix_copy``, ``mix_shard`` and ``mix_order``, shuffled inside each shard."""
-    own = docs.drop("mix_copy", "mix_shard", "mix_order")
-    rows = with_draws(own, mix).select(*[F.col(f"`{c}`") for c in own.columns], F.posexplode("_shards").alias("mix_copy", "mix_shard"))
-    rows = rows.withColumn("mix_order", F.xxhash64(F.lit(SEED + 2), "doc_id", "text", "mix_copy"))
+    rows = copies(docs, mix).withColumn("mix_order", F.xxhash64(F.lit(SEED + 2), "doc_id", "text", "mix_copy"))
     return rows.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from almsflow.llm.components import components
-from almsflow.llm.tables import arrow_map, lowered, steps, utf8, words
+from almsflow.llm.tables import arrow_map, lowered, row_struct, steps, utf8, words
 from almsflow.runtime import cut_lineage
 
 BANDS, ROWS = 25, 5
@@ -68,7 +68,7 @@ class _WordHashes(dict):
     """Word -> 64-bit hash, remembered; forgotten as a whole when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -366,7 +366,8 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
 
     Of rows that repeat an id and its text one stays.
     """
-    first = grouped(docs, size, percent).where("node = root").select(F.col("node").alias("_node")).distinct()
-    turn = F.row_number().over(Window.partitionBy("_node", "_same").orderBy("_same"))
-    own = docs.withColumns({"_node": node(), "_same": F.xxhash64("text")}).join(first, "_node", "left_semi")
-    return own.withColumn("_turn", turn).where("_turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = grouped(docs, size, percent).where("node = root").select("node").distinct()
+    # The row travels as one struct, so that no column of the caller meets one of these names.
+    turn = F.row_number().over(Window.partitionBy("node", "same").orderBy("same"))
+    own = docs.select(node().alias("node"), F.xxhash64("text").alias("same"), row_struct(docs).alias("row")).join(first, "node", "left_semi")
+    return own.withColumn("turn", turn).where("turn = 1").select("row.*")

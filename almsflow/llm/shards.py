@@ -9,9 +9,9 @@ intervals. What comes to the driver is one row per cell, plus at most ``BINS`` s
 both are bounded by the number of shards, not by the data.
 
 Defined cases: null text has no bytes, and every row counts ``ROW_BYTES`` more; null coordinates
-sort first; ties in a dimension follow the text's crc32 and then doc_id, so equal texts stay
-together unless a cut must go through them; equal rows are placed one by one; an empty table
-gives an empty result; a table with fewer rows than shards leaves shards empty; existing
+sort first; equal texts are one point, at the least of their coordinates, and share a shard, unless their bytes
+alone are more than a quarter of a shard's: then they are dealt by doc_id, each row about a point of its own; ties in
+a dimension follow the text's hashes; equal rows are placed one by one; an empty table gives an empty result; a table with fewer rows than shards leaves shards empty; existing
 columns named ``shard`` or ``slot`` are replaced.
 """
 
@@ -21,12 +21,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from almsflow.llm.tables import row_struct
 from almsflow.operators.ids import positions
 from almsflow.runtime import cut_lineage
 
 ROW_BYTES = 8
 #: Sums per pass that come to the driver, over all cells together.
 BINS = 16_384
+#: Rows of one text are parted if they weigh more than this fraction of a shard.
+LARGE = 4
 
 
 def shards_for(total_bytes: int, target_bytes: int) -> int:
@@ -105,41 +108,78 @@ def kd_tree(points: DataFrame, ranks: list[str], shards: int) -> DataFrame:
     return points.withColumnRenamed("_cell", "shard")
 
 
-def assign(docs: DataFrame, dims: Sequence[Column], shards: int) -> DataFrame:
-    """Per document: doc_id, size, text_crc32, shard, and slot, its gapless place in the shard."""
+#: What tells texts apart: two hashes and the length.
+_SAME = ["text_crc32", "_hash", "size"]
+
+
+def _text_keys() -> list[Column]:
     text = F.coalesce("text", F.lit("")).cast("binary")
-    points = docs.select("doc_id", (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
-                         F.crc32(text).alias("text_crc32"), *[d.alias(f"_d{i}") for i, d in enumerate(dims)])
+    return [F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_hash"), (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size")]
+
+
+def _narrow(docs: DataFrame, dims: Sequence[Column]) -> DataFrame:
+    """doc_id, size, hashes and coordinates; the texts stay behind."""
+    return docs.select(F.col("doc_id").alias("doc_id"), *_text_keys(), *[d.alias(f"_d{i}") for i, d in enumerate(dims)])
+
+
+def _placed(rows: DataFrame, shards: int, order: Sequence[str]) -> DataFrame:
+    """Add shard and slot to rows of ``_narrow``; rows of a shard stand in the order of ``order``."""
+    dims = [c for c in rows.columns if c.startswith("_d")]
+    rows = cut_lineage(rows.withColumn("_salt", F.xxhash64("doc_id")))
+    # One point per text, however many rows have it; the least of their coordinates, null below all.
+    low = [F.min(F.struct(F.col(d).isNotNull(), F.col(d))).alias(d) for d in dims]
+    groups = cut_lineage(rows.groupBy(*_SAME).agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"), *low))
+    total = groups.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
+    # Only a text whose rows alone would unbalance a shard becomes about as many points as rows.
+    is_large = F.col("_bytes") > total / (LARGE * shards)
+    large = F.broadcast(groups.where(is_large & (F.col("_rows") > 1)).select(*_SAME, "_rows"))  # LARGE * shards at most
+    rows = rows.join(large, _SAME, "left")
+    rows = rows.withColumn("_split", F.coalesce(F.pmod(F.col("_salt"), F.col("_rows")) + 1, F.lit(0))).drop("_rows", "_salt", *dims)
+    parts = rows.where("_split > 0").groupBy(*_SAME, "_split").agg(F.sum("size").alias("_bytes"))
+    whole = groups.where(~(is_large & (F.col("_rows") > 1))).select(*_SAME, F.lit(0).cast("long").alias("_split"), "_bytes", *dims)
+    points = whole.unionByName(parts.join(groups.select(*_SAME, *dims), _SAME))
     ranks = []
-    for i in range(len(dims)):
-        points = positions(points, [F.col(f"_d{i}"), F.col("text_crc32"), F.col("doc_id")], f"_r{i}").drop(f"_d{i}")
+    for i, dim in enumerate(dims):
+        points = positions(points, [F.col(dim), *[F.col(c) for c in _SAME], F.col("_split")], f"_r{i}").drop(dim)
         ranks.append(f"_r{i}")
-    placed = positions(kd_tree(points, ranks, shards).drop(*ranks), [F.col("shard"), F.col("doc_id"), F.col("text_crc32")], "_at")
+    tree = kd_tree(points.withColumnsRenamed({"size": "_size", "_bytes": "size"}), ranks, shards).drop(*ranks, "size").withColumnRenamed("_size", "size")
+    placed = positions(rows.join(tree, [*_SAME, "_split"]), [F.col(c) for c in ("shard", *order)], "_at")
     # One row per shard.
     first = placed.groupBy("shard").agg(F.min("_at").alias("_first"))
-    return (placed.join(F.broadcast(first), "shard")
-            .select("doc_id", "size", "text_crc32", "shard", (F.col("_at") - F.col("_first")).cast("long").alias("slot")))
+    return placed.join(F.broadcast(first), "shard").withColumn("slot", (F.col("_at") - F.col("_first")).cast("long"))
+
+
+def assign(docs: DataFrame, dims: Sequence[Column], shards: int) -> DataFrame:
+    """Per document: doc_id, size, text_crc32, shard, and slot, its gapless place in the shard by doc_id."""
+    return _placed(_narrow(docs, dims), shards, ["doc_id", "text_crc32", "_hash"]).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def default_dims() -> list[Column]:
-    """Length, language and content hash: equal texts are equal points."""
+    """Length, language and content hash."""
     return [F.octet_length("text").cast("long"), F.col("lang"), F.crc32(F.col("text").cast("binary"))]
 
 
-def with_shards(docs: DataFrame, shards: int, dims: Sequence[Column] | None = None) -> DataFrame:
-    """All columns of the documents plus ``shard`` and ``slot``.
+def mixing_dims() -> list[Column]:
+    """Two draws from the text: every shard gets an even share of everything, and equal texts one shard."""
+    return [F.xxhash64(F.lit(seed), F.coalesce("text", F.lit(""))) for seed in (51, 52)]
+
+
+def with_shards(docs: DataFrame, shards: int, dims: Sequence[Column] | None = None, shuffled: bool = False) -> DataFrame:
+    """All columns of the documents plus ``shard`` and ``slot``; ``shuffled`` puts the rows of a shard into hashed order.
 
-    The texts are shuffled once, by identifier and checksum; rows that agree in both take the
+    The texts are shuffled once, by identifier and hash; rows that agree in both take the
     places of their group in turn.
     """
-    own = docs.drop("shard", "slot")
+    own, key = docs.drop("shard", "slot"), ["id", "text_crc32", "_hash", "size"]
     # A null identifier joins as text "null", which no number is.
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    places = (assign(docs, dims or default_dims(), shards).groupBy(key.alias("_id"), F.col("text_crc32").alias("_crc"))
-              .agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("_places")))
-    keyed = own.withColumns({"_id": key, "_crc": F.crc32(F.coalesce("text", F.lit("")).cast("binary"))})
-    joined = keyed.join(places, ["_id", "_crc"])
-    turn = F.row_number().over(Window.partitionBy("_id", "_crc").orderBy("_crc"))
-    place = F.element_at("_places", F.col("_turn"))
-    return (joined.withColumn("_turn", turn)
-            .select(*[F.col(f"`{c}`") for c in own.columns], place["shard"].alias("shard"), place["slot"].alias("slot")))
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id")
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy("size"))
+    rows, order = _narrow(docs, dims or default_dims()), ["doc_id", "text_crc32", "_hash"]
+    if shuffled:  # copies of a row are told apart by their turn, so hashed order parts them
+        rows = rows.withColumn("id", ident).withColumn("_turn", turn).withColumn("_order", F.xxhash64(F.lit(53), *key, "_turn")).drop("id", "_turn")
+        order = ["_order", *order]
+    places = _placed(rows, shards, order).select(ident, *key[1:], "shard", "slot").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("places"))
+    keyed = own.select(row_struct(own).alias("row"), ident, *_text_keys())
+    joined = keyed.join(places, key).withColumn("turn", turn)
+    place = F.element_at("places", F.col("turn"))
+    return joined.select("row.*", place["shard"].alias("shard"), place["slot"].alias("slot"))

@@ -13,14 +13,29 @@ STEP_BYTES = 4_000_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
-    """``mapInArrow`` with one function per record batch."""
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, build: Callable[[], object]):
+    """What ``build`` makes, once per worker process and key. A worker keeps one such thing at a time:
+    reused workers would otherwise hold what the operators before this one have loaded."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, keeps: object = None) -> DataFrame:
+    """``mapInArrow`` with one function per record batch; ``keeps`` is the key of what it takes from ``kept``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if keeps not in _KEPT:
+            _KEPT.clear()
         for batch in batches:
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -56,3 +71,8 @@ def uniform(column: Column, seed: int) -> Column:
     """A repeatable draw from [0, 1) for a key."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), column), 11)
     return bits.cast("double") / F.lit(float(1 << 53))
+
+
+def row_struct(df: DataFrame) -> Column:
+    """All columns of a row as one struct; ``select("row.*")`` gives them back unchanged."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
