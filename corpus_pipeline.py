@@ -13,7 +13,7 @@ TARGET_BYTES = 256_000_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go."""
+    """Documents whose language cannot be told, or whose text speaks clearly against their label, go; a missing label is filled in."""
     return language.keep_identified(docs)
 
 
@@ -29,14 +29,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mixing.mixed(docs, mixing.plan(docs)).select(*docs.columns)
+    return mixing.copies(docs, mixing.plan(docs)).drop("mix_copy", "mix_shard")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and their place in it."""
+    """The documents with their shard and their place in it.
+
+    The tree cuts along draws from the text, so every shard has the mix's shares, equal texts share a shard,
+    and the order inside is hashed, so that copies do not stand side by side.
+    """
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + shards.ROW_BYTES
     total = docs.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
-    return shards.with_shards(docs, max(SHARDS, shards.shards_for(total, TARGET_BYTES)))
+    return shards.with_shards(docs, max(SHARDS, shards.shards_for(total, TARGET_BYTES)), shards.mixing_dims(), shuffled=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),
