@@ -1,169 +1,25 @@
 """Resolve grant recipients to registry organisations by blocked fuzzy matching.
 
 A recipient takes the best registry name|city in its ZIP that scores at least
-the threshold, else the best in its state, else nothing. Comparing everything
-inside a state would be quadratic, so pairs come from a prefix filter that is
-lossless for the score (set-similarity join: Chaudhuri et al. 2006, Xiao et
-al. 2008):
-
-* Two strings of lengths a, b scoring >= t share a common subsequence of
-  L >= t(a+b)/200 characters. Of the a-1 adjacent character pairs ("grams") of
-  the first string at most 2(a-L) + (b-L) are broken.
-* So among any k+1 grams of a string, k being the most that can break over all
-  partner lengths, one is shared. If both sides take their k+1 first grams in
-  one global order, the two prefixes meet.
-* Grams are ordered rare to common as counted in the registry, which keeps the join groups
-  small. Any order is lossless, so only the ``_COUNTED_GRAMS`` commonest are told apart.
-* A pair may meet in several grams; what is left of its meetings after the tests
-  below is reduced to one before the pair is scored.
-* A 1024-bit sketch of each gram set bounds the number of differing grams from
-  below, nearly exactly, so most false candidates end inside the join itself.
+the threshold, else the best in its state, else nothing. The search inside a
+block is :mod:`almsflow.operators.nearest`.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from almsflow.functions import text as X
 from almsflow.functions.similarity import indel_score, levenshtein_score
+from almsflow.operators.nearest import search
 from almsflow.operators.relational import nonempty
 from almsflow.runtime import cut_lineage
 
 Scorer = Callable[[Column, Column], Column]
 
 CLEAN_KEY = ["clean_recipient_name", "clean_recipient_city", "clean_recipient_state", "clean_recipient_zip"]
-_LOWEST_PRUNABLE = 75  # below this a long string may have no gram that must survive
-_LONGEST_SHORT = 64  # strings without a surviving gram at a prunable threshold are far shorter
-
-_COUNTED_GRAMS = 1 << 16  # the order of grams is broadcast: half a megabyte at most
-_SKETCH = [f"s{i}" for i in range(16)]  # 64 bits each
-
-
-def _most_broken(n: int, threshold: float) -> int:
-    """Most grams of an n-character string a partner at the threshold can break."""
-    t = float(threshold)
-    partners = range(math.ceil(n * t / (200 - t) - 1e-9), math.floor(n * (200 - t) / t + 1e-9) + 1)
-    return max((2 * n + m - 3 * math.ceil((n + m) * t / 200 - 1e-9) for m in partners), default=0)
-
-
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Adjacent character pairs of all texts (flat), the row of each, and the texts' lengths."""
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    inside = np.flatnonzero(owner[1:] == owner[:-1])
-    return (codes[inside] << 41) | (codes[inside + 1] << 20), owner[inside], lengths
-
-
-def gram_order(texts: DataFrame) -> np.ndarray:
-    """The commonest grams of a ``text`` column, the rarest of them first."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gram, n = np.unique(_grams(batch.column("text").to_pylist())[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(n, pa.int64())], names=["gram", "n"])
-
-    counted = texts.select("text").filter("text IS NOT NULL").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "gram").limit(_COUNTED_GRAMS).select("gram").collect()
-    return np.array([r["gram"] for r in reversed(top)], dtype=np.int64)
-
-
-def _shape(texts: list[str], threshold: float, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix grams (flat, with row offsets) and the sketch words of each text.
-
-    A gram is its place in the order, or its two characters where it is too rare to have one, and
-    its occurrence number, packed into one integer that sorts rare first. Occurrence numbers make
-    the count bound hold for multisets.
-    """
-    n_rows = len(texts)
-    grams, row, lengths = _grams(texts)
-    if len(order):
-        sorter = np.argsort(order)
-        near = np.minimum(np.searchsorted(order, grams, sorter=sorter), len(order) - 1)
-        place = sorter[near]
-        grams = np.where(order[place] == grams, (1 << 62) | (place << 20), grams)
-    by_rarity = np.lexsort((grams, row))
-    grams, row = grams[by_rarity], row[by_rarity]
-    index = np.arange(len(grams))
-    fresh = np.ones(len(grams), dtype=bool)
-    fresh[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
-    grams = grams | np.minimum(index - np.maximum.accumulate(np.where(fresh, index, 0)), (1 << 20) - 1)
-    slot = (grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)
-    bits = np.uint64(1) << (slot % np.uint64(64))
-    sketch = np.zeros((len(_SKETCH), n_rows), dtype=np.uint64)
-    np.bitwise_or.at(sketch, ((slot // np.uint64(64)).astype(np.int64), row), bits)
-    reach = {n: _most_broken(n, threshold) for n in np.unique(lengths).tolist()}
-    counts = np.bincount(row, minlength=n_rows)
-    starts = np.concatenate([[0], np.cumsum(counts)])
-    kept = np.minimum(counts, np.array([reach[n] + 1 for n in lengths.tolist()], dtype=np.int64))
-    prefix = grams[index - starts[row] < kept[row]] if len(grams) else grams
-    return prefix, np.concatenate([[0], np.cumsum(kept)]).astype(np.int32), sketch.view(np.int64)
-
-
-def _shaped(side: DataFrame, threshold: float, order: Broadcast) -> DataFrame:
-    """``side`` with length, gram prefix and sketch of its ``text`` (whole Arrow batches at a time)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            prefix, offsets, sketch = _shape(texts, threshold, order.value)
-            added = [pa.array([len(t) for t in texts], pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)), *map(pa.array, sketch)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "n", "prefix", *_SKETCH])
-
-    extra = T.StructType.fromDDL("n int, prefix array<bigint>, " + ", ".join(f"{c} bigint" for c in _SKETCH))
-    return side.mapInArrow(run, T.StructType([*side.schema.fields, *extra.fields]))
-
-
-def _postings(side: DataFrame, block: Sequence[str], threshold: float, order: Broadcast, tag: str) -> DataFrame:
-    """One row per prefix gram of each distinct string, carrying what the join tests."""
-    kept = [c for c in side.columns if c not in block]
-    named = [F.col(c).alias(f"{tag}_{c}") for c in (*kept, "n", *_SKETCH)]
-    return _shaped(side, threshold, order).select(*block, F.explode("prefix").alias("gram"), *named)
-
-
-def _short_lengths(threshold: float) -> list[int]:
-    """Lengths at which a partner at the threshold can break every gram, so no gram join finds it."""
-    return [n for n in range(_LONGEST_SHORT) if n - 1 <= _most_broken(n, threshold)]
-
-
-def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float,
-                    prune: bool = True, order: np.ndarray | None = None) -> DataFrame:
-    """Every pair of a block that could reach the threshold, each once.
-
-    Both sides hold distinct ``(block, text)`` rows plus payload columns; the
-    result has the block columns and both payloads prefixed ``l_`` / ``r_``.
-    ``prune`` uses bounds of the indel score; without it, and for thresholds
-    below 1, all pairs of a block come out, which is quadratic in a block.
-    ``order`` is a :func:`gram_order`, by default that of ``right``.
-    """
-    if not prune or threshold < 1:
-        return _pairs_of_block(left, right, block)
-    if threshold < _LOWEST_PRUNABLE:
-        return _pairs_by_length(left, right, block, threshold)
-    short = F.length("text").isin(_short_lengths(float(threshold)))
-    order = gram_order(right) if order is None else order
-    return (_pairs_by_gram(left.filter(~short), right.filter(~short), block, threshold, order)
-            .unionByName(_pairs_by_length(left.filter(short), right, block, threshold))
-            .unionByName(_pairs_by_length(left.filter(~short), right.filter(short), block, threshold)))
-
-
-def _pairs_by_gram(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float, order: np.ndarray) -> DataFrame:
-    """Pairs that share a prefix gram and pass the length and sketch bounds."""
-    t, shared = float(threshold), left.sparkSession.sparkContext.broadcast(order)
-    a, b = _postings(left, block, t, shared, "l"), _postings(right, block, t, shared, "r")
-    ln, rn = F.col("l_n"), F.col("r_n")
-    fits = F.least(ln, rn) * (200 - t) >= F.greatest(ln, rn) * t
-    # Differing grams of a pair: at most (2a+b-3L) + (2b+a-3L) with L >= t(a+b)/200.
-    differing = sum((F.bit_count(F.col(f"l_{c}").bitwiseXOR(F.col(f"r_{c}"))) for c in _SKETCH), F.lit(0))
-    close = differing <= (3 - 6 * t / 200) * (ln + rn) + 1e-6
-    met = a.join(b, [*block, "gram"], "inner").filter(fits & close)
-    pairs = met.drop("gram", *[f"{side}_{c}" for side in "lr" for c in ("n", *_SKETCH)])
-    return pairs.dropDuplicates([*block, "l_text", "r_text"])
 
 
 def _payloads(left: DataFrame, right: DataFrame, block: Sequence[str]) -> tuple[list[Column], list[Column]]:
@@ -176,41 +32,39 @@ def _pairs_of_block(left: DataFrame, right: DataFrame, block: Sequence[str]) ->
     return left.select(*block, *of_left).join(right.select(*block, *of_right), [*block], "inner")
 
 
-def _pairs_by_length(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """Join on block and every compatible length: for low thresholds and short strings."""
-    t = float(threshold)
-    n = F.length("text")
-    of_left, of_right = _payloads(left, right, block)
-    a = left.withColumn("len", F.explode(F.sequence(F.ceil(n * t / (200 - t) - 1e-9),
-                                                    F.floor(n * (200 - t) / t + 1e-9))))
-    b = right.withColumn("len", n.cast("bigint"))
-    return (a.select(*block, "len", *of_left)
-            .join(b.select(*block, "len", *of_right), [*block, "len"], "inner").drop("len"))
-
-
 #: Scorers that never exceed the indel score, so its bounds lose nothing. The Levenshtein score of
 #: strings with m = max(a, b): an alignment at distance d keeps at least m - d characters, so the longest
 #: common subsequence is no shorter, and 200 * LCS / (a + b) >= 200 * (m - d) / (2 m) = 100 * (1 - d / m).
 _BOUNDED = (indel_score, levenshtein_score)
 
 
+def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float, prune: bool = True) -> DataFrame:
+    """Every pair of a block that could reach the threshold, each once, payloads prefixed ``l_`` / ``r_``.
+
+    ``prune`` uses bounds of the indel score; without it all pairs of a block come out, which is quadratic in a block.
+    """
+    if not prune:
+        return _pairs_of_block(left, right, block)
+    return search(left, right, block, threshold, best=False).withColumnRenamed("text", "l_text").drop("score")
+
+
 def best_matches(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float,
-                 scorer: Scorer = indel_score, order: np.ndarray | None = None) -> DataFrame:
+                 scorer: Scorer = indel_score) -> DataFrame:
     """Per left ``(block, text)``: the best-scoring right row at or above the threshold.
 
     ``right`` carries ``(ord, key, ein)``; equal scores go to the lowest
     ``ord``. The arg-max aggregates before its shuffle. Any other scorer than
     those of ``_BOUNDED`` is tried on all pairs of a block.
     """
-    # Scoring costs far more than a row's bytes suggest: spread the pairs evenly
-    # (an explicit width is not coalesced), also out of a hot block.
-    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = (candidate_pairs(left, right, block, threshold, scorer in _BOUNDED, order).repartition(width, "l_text", "r_text")
-              .withColumn("score", scorer(F.col("l_text"), F.col("r_text")))
-              .filter(F.col("score") >= threshold))
+    if scorer is indel_score:
+        scored = search(left, right, block, threshold)
+    else:
+        pairs = candidate_pairs(left, right, block, threshold, scorer in _BOUNDED)
+        scored = (pairs.withColumnRenamed("l_text", "text").withColumn("score", scorer(F.col("text"), F.col("r_text")))
+                  .filter(F.col("score") >= threshold))
     winner = F.min_by(F.struct("score", F.col("r_ein").alias("ein"), F.col("r_key").alias("key")),
                       F.struct((-F.col("score")).alias("s"), F.col("r_ord").alias("o")))
-    return (scored.groupBy(*block, F.col("l_text").alias("text")).agg(winner.alias("w"))
+    return (scored.groupBy(*block, "text").agg(winner.alias("w"))
             .select(*block, "text", "w.score", "w.ein", "w.key"))
 
 
@@ -256,8 +110,6 @@ def match_recipients(recipients: DataFrame, registry: DataFrame, threshold: floa
         *CLEAN_KEY, F.col(CLEAN_KEY[2]).alias("state"), F.col(CLEAN_KEY[3]).alias("zip"),
         X.sorted_tokens(X.lookup_key(F.col(CLEAN_KEY[0]), F.col(CLEAN_KEY[1]))).alias("text")))
     rows = cut_lineage(clean_registry(registry))
-    prunes = scorer in _BOUNDED and threshold >= _LOWEST_PRUNABLE
-    order = gram_order(rows.select(X.sorted_tokens(F.col("key")).alias("text"))) if prunes else None
     by_state = last_wins(rows, ["state", "key"])
     # A ZIP's key takes the state-wide identifier of that key, but its own first position.
     by_zip = (rows.filter("zip <> ''").groupBy("state", "zip", "key").agg(F.min("ord").alias("ord"))
@@ -267,16 +119,16 @@ def match_recipients(recipients: DataFrame, registry: DataFrame, threshold: floa
 
     zip_hits = cut_lineage(best_matches(
         who.filter("zip <> ''").select("state", "zip", "text").distinct(), zip_texts,
-        ["state", "zip"], threshold, scorer, order))
+        ["state", "zip"], threshold, scorer))
     left_over = who.join(zip_hits, ["state", "zip", "text"], "left_anti").select("state", "text").distinct()
     if scorer is indel_score:
         # Equal word strings score 100 and nothing scores more, so they need no search.
         exact = left_over.join(state_texts, ["state", "text"], "inner").select(
             "state", "text", F.lit(100.0).alias("score"), "ein", "key")
         rest = left_over.join(state_texts, ["state", "text"], "left_anti")
-        state_hits = exact.unionByName(best_matches(rest, state_texts, ["state"], threshold, scorer, order))
+        state_hits = exact.unionByName(best_matches(rest, state_texts, ["state"], threshold, scorer))
     else:
-        state_hits = best_matches(left_over, state_texts, ["state"], threshold, scorer, order)
+        state_hits = best_matches(left_over, state_texts, ["state"], threshold, scorer)
 
     # One row per two-letter state code, so it may go to every executor.
     known_states = rows.select("state").distinct().withColumn("known", F.lit(True))

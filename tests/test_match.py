@@ -1,11 +1,12 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from almsflow.functions import similarity as S
-from almsflow.operators import match as M
+from almsflow.operators import match as M, nearest as N
 
 
 def lcs_plain(a, b):
@@ -121,16 +122,65 @@ def test_pluggable_scorer(spark):
     assert row.inferred_ein == 5 and row.match_type == "state_fuzzy"
 
 
-def test_short_strings_and_low_thresholds_lose_nothing(spark):
-    texts = ["".join(t) for n in range(1, 5) for t in itertools.product("AB|", repeat=n)] + ["A|ELYX", "ALPHA|ELY", "A" * 9]
-    left = spark.createDataFrame([("S", t) for t in texts], "state string, text string")
-    right = spark.createDataFrame([("S", t, t, i, i) for i, t in enumerate(texts)], "state string, text string, key string, ein long, ord long")
-    for threshold in (0, 60, 75, 76, 79, 80, 81, 85):
-        pairs = M.candidate_pairs(left, right, ["state"], threshold).select("l_text", "r_text")
-        found = pairs.withColumn("s", S.indel_score(F.col("l_text"), F.col("r_text"))).filter(F.col("s") >= threshold)
-        every = (left.select(F.col("text").alias("l_text")).join(right.select(F.col("text").alias("r_text")), how="full", on=F.lit(True))
-                 .withColumn("s", S.indel_score(F.col("l_text"), F.col("r_text"))).filter(F.col("s") >= threshold))
-        assert sorted(found.collect()) == sorted(every.collect())
+def all_best(left, right, threshold):
+    """Every left row's best partners by scoring all pairs."""
+    out = set()
+    for i, x in enumerate(left):
+        scores = [100.0 if not x and not y else 200.0 * lcs_plain(x, y) / (len(x) + len(y)) for y in right]
+        top = max(scores, default=-1)
+        out |= {(i, j, s) for j, s in enumerate(scores) if s == top and s >= threshold}
+    return out
+
+
+def searched(left, right, threshold):
+    found = [np.concatenate(x) for x in zip(*N.candidates(left, right, threshold))]
+    assert len(set(zip(found[0].tolist(), found[1].tolist()))) == len(found[0])
+    l, r, score, tried = N.best_of(left, right, *found, threshold)
+    return set(zip(l.tolist(), r.tolist(), score.tolist())), tried
+
+
+@pytest.mark.parametrize("threshold", [-5, 0, 0.4, 20, 50, 60, 75, 76, 79.5, 80, 81, 85, 92, 100, 101])
+def test_search_of_short_strings_equals_all_pairs(threshold):
+    texts = ["".join(t) for n in range(0, 5) for t in itertools.product("AB|", repeat=n)] + ["A|ELYX", "ALPHA|ELY", "A" * 9, "ALPHAB|ELY"]
+    assert searched(texts, texts, threshold)[0] == all_best(texts, texts, threshold)
+
+
+@pytest.mark.parametrize("threshold", [0, 30, 60, 75, 85, 93, 100])
+@pytest.mark.parametrize("seed,expanded", [(1, 2_000_000), (2, 50), (3, 1)])
+def test_search_equals_all_pairs(seed, expanded, threshold, monkeypatch):
+    monkeypatch.setattr(N, "EXPANDED", expanded)
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 9))) for _ in range(30)]
+    texts = [" ".join(rnd.sample(words, rnd.randint(1, 5))) for _ in range(60)]
+    left = texts[:40] + [t[:-1] for t in texts[:20]] + [noisy(rnd, t.split()) for t in texts[:20]]
+    right = list(dict.fromkeys(texts + [t + "x" for t in texts[:10]] + ["a" * 70, "ab" * 90, ""]))
+    assert searched(left, right, threshold)[0] == all_best(left, right, threshold)
+    assert searched([], right, threshold) == (set(), 0) and searched(left, [], threshold) == (set(), 0)
+
+
+@pytest.mark.parametrize("chunk", [3, 50])
+def test_chunks_of_a_block_meet(spark, monkeypatch, chunk):
+    monkeypatch.setattr(N, "LEFT_CHUNK", chunk)
+    monkeypatch.setattr(N, "RIGHT_CHUNK", 2 * chunk)
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(2, 6))) for _ in range(12)]
+    texts = list(dict.fromkeys(" ".join(rnd.sample(words, rnd.randint(1, 4))) for _ in range(120)))
+    left = spark.createDataFrame([("S" if i % 4 else f"T{i % 16}", t) for i, t in enumerate(texts)], "state string, text string")
+    right = spark.createDataFrame([("S" if i % 3 else f"T{i % 16}", t[:-1], [i], i) for i, t in enumerate(texts)], "state string, text string, ids array<int>, ord long")
+    right = right.dropDuplicates(["state", "text"])
+    found = {(r.state, r.text, r.r_text, r.score) for r in N.search(left, right, ["state"], 70).collect()}
+    want, sides = set(), [{}, {}]
+    for held, side in zip(sides, (left, right)):
+        for r in side.collect():
+            held.setdefault(r.state, []).append(r.text)
+    for state in sides[0]:
+        own, other = sides[0][state], sides[1].get(state, [])
+        want |= {(state, own[i], other[j], s) for i, j, s in all_best(own, other, 70)}
+    best = {}
+    for state, text, _, s in found:
+        best[state, text] = max(best.get((state, text), 0), s)
+    # Every meeting of chunks gives its own best; the best of these are those of the block.
+    assert {f for f in found if f[3] == best[f[0], f[1]]} == want
 
 
 def test_a_foreign_scorer_is_tried_on_all_pairs(spark):
@@ -140,31 +190,22 @@ def test_a_foreign_scorer_is_tried_on_all_pairs(spark):
         assert M.best_matches(left, right, ["state"], threshold, lambda a, b: F.lit(100.0)).first().ein == 7
 
 
-@pytest.mark.parametrize("known", [0, 7, 10_000])
-def test_any_gram_order_finds_the_same_pairs(spark, known):
-    """The order only decides how many pairs are tried: grams it does not name count as rarest."""
-    rnd = random.Random(5)
-    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 9))) for _ in range(40)]
-    texts = [" ".join(rnd.sample(words, rnd.randint(1, 4))) for _ in range(150)]
-    texts += [t[:-1] for t in texts[:60]]
-    side = spark.createDataFrame([("x", t) for t in dict.fromkeys(texts)], "b string, text string")
-    order = M.gram_order(side)
-    assert len(order) > 7
-    left, right = side, side.withColumn("id", F.length("text"))
-    pairs = M.candidate_pairs(left, right, ["b"], 85, order=order[len(order) - min(known, len(order)):])
-    got = {(r.l_text, r.r_text) for r in pairs.withColumn("s", M.indel_score(F.col("l_text"), F.col("r_text"))).filter("s >= 85").collect()}
-    full = M.candidate_pairs(left, right, ["b"], 85, prune=False)
-    assert got == {(r.l_text, r.r_text) for r in full.withColumn("s", M.indel_score(F.col("l_text"), F.col("r_text"))).filter("s >= 85").collect()}
-
-
-def test_few_candidates_of_page_titles(spark):
-    """Less than a twentieth of the pairs inside a state are scored, of titles made of few syllables."""
+def test_few_page_titles_are_scored(spark):
+    """Less than a hundredth of the pairs inside a state are scored, of titles made of few syllables."""
     from almsflow.functions import text as X
     from almsflow.plans import catalog
 
-    grants, registry = catalog._sites(spark, "/root/testdata/sf0.01")
-    who = M.with_clean_recipients(grants).select(F.col(M.CLEAN_KEY[2]).alias("state"), X.sorted_tokens(
-        X.lookup_key(F.col(M.CLEAN_KEY[0]), F.col(M.CLEAN_KEY[1]))).alias("text")).distinct()
-    known = M.clean_registry(registry).select("state", X.sorted_tokens(F.col("key")).alias("text")).distinct()
-    tried, all_pairs = M.candidate_pairs(who, known, ["state"], 85).count(), who.join(known, "state").count()
-    assert 0 < tried < all_pairs / 20
+    grants, registry = catalog._sites(spark, "/root/testdata/sf0.1")
+    sides = [M.with_clean_recipients(grants).select(F.col(M.CLEAN_KEY[2]).alias("state"), X.sorted_tokens(
+        X.lookup_key(F.col(M.CLEAN_KEY[0]), F.col(M.CLEAN_KEY[1]))).alias("text")), M.clean_registry(registry).select("state", X.sorted_tokens(F.col("key")).alias("text"))]
+    held = []
+    for side in sides:
+        held.append({})
+        for r in side.distinct().collect():
+            held[-1].setdefault(r.state, []).append(r.text)
+    tried = pairs = 0
+    for state, own in held[0].items():
+        other = held[1].get(state, [])
+        pairs += len(own) * len(other)
+        tried += searched(own, other, 85)[1] if other else 0
+    assert 0 < tried < pairs / 100
