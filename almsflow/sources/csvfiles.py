@@ -2,52 +2,18 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from almsflow.functions.text import na_to_null
-from almsflow.operators.extract import in_batches
 from almsflow.schemas import REGISTRY
-from almsflow.sources.files import landed, listing, open_path
+from almsflow.sources.csvranges import RANGE_BYTES, records
 
-_HEADER_SCHEMA = "path string, header array<string>"
 _CORRUPT = "_corrupt"
 
 
-def _header(row: dict) -> Iterator[dict]:
-    """The first record that is not blank, whatever its length; null for a file without one."""
-    with open_path(row["path"]) as source, io.TextIOWrapper(source, "utf-8-sig", errors="replace", newline="") as text:
-        header = next((r for r in csv.reader(text) if any(c.strip() for c in r)), None)
-    yield {"path": row["path"], "header": header}
-
-
-def layouts(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list[tuple[tuple[str, ...], list[str]]]:
-    """Header -> files with that header; the empty header stands for files without one.
-    Only first records are read; the driver sees what its own file listing
-    already holds, one path per file."""
-    files = landed(listing(spark, directory, pattern)).select("path")
-    heads = files.mapInArrow(in_batches(_header, _HEADER_SCHEMA), _HEADER_SCHEMA)
-    rows = heads.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("paths")).collect()
-    return sorted((tuple(r["header"] or ()), list(r["paths"])) for r in rows)
-
-
-def _raw(spark: SparkSession, header: Sequence[str], paths: list[str], schema: T.StructType,
-         multi_line: bool) -> DataFrame:
-    declared = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(_CORRUPT, T.StringType())])
-    rows = (spark.read.schema(declared).option("header", True).option("enforceSchema", False)
-            .option("multiLine", multi_line).option("escape", '"').option("columnNameOfCorruptRecord", _CORRUPT)
-            .csv(paths))
-    position = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                        F.monotonically_increasing_id().alias("row"))
-    wanted = [na_to_null(F.col(f"`{f.name}`")).alias(f.name) if f.name in header else F.lit(None).cast("string").alias(f.name)
-              for f in schema.fields]
-    return rows.select(*wanted, _CORRUPT, position.alias("ord"))
-
-
 def _is_bad(schema: T.StructType, required: Sequence[str]) -> Column:
     """A record that does not fit: wrong field count, a value its type cannot
     hold, or a missing required value."""
@@ -63,8 +29,8 @@ def _is_bad(schema: T.StructType, required: Sequence[str]) -> Column:
 
 def read_csv(spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.csv",
              required: Sequence[str] = ("filing_number", "ein", "tax_yr"), bad_file_policy: str = "quarantine",
-             multi_line: bool = True, with_order: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(rows, rejected)`` of every non-empty CSV file in a folder.
+             with_order: bool = False, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of every non-empty CSV file in a folder; files are read in ranges of ``range_bytes``.
 
     Columns are found by header name, so files may order them differently or
     lack some. ``quarantine`` sets bad rows aside; ``skip_file`` drops every row
@@ -73,16 +39,11 @@ def read_csv(spark: SparkSession, directory: str, schema: T.StructType, pattern:
     """
     if bad_file_policy not in ("quarantine", "skip_file"):
         raise ValueError(f"unknown policy {bad_file_policy!r}")
-    listed = layouts(spark, directory, pattern)
-    found = [(header, paths) for header, paths in listed if header]
-    headless = [(path, "no header") for header, paths in listed if not header for path in paths]
-    headless = spark.createDataFrame(headless, "file string, record string")
     required = [f.name for f in schema.fields if f.name in required]
-    if not found:
-        empty = spark.createDataFrame([], schema)
-        return empty, headless
-    raw = reduce(DataFrame.unionByName, [_raw(spark, h, p, schema, multi_line) for h, p in found])
-    marked = raw.withColumn("_bad", F.coalesce(_is_bad(schema, required), F.lit(False)))
+    raw = records(spark, directory, schema.fieldNames(), pattern, range_bytes)
+    position = F.struct(F.col("_file").alias("file"), F.col("_first").alias("start"), F.col("_row").alias("row"))
+    named = raw.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in schema.fieldNames()], _CORRUPT, position.alias("ord"))
+    marked = named.withColumn("_bad", F.coalesce(_is_bad(schema, required), F.lit(False)))
     bad = marked.filter("_bad")
     good = marked.filter("NOT _bad")
     if bad_file_policy == "skip_file":
@@ -90,17 +51,12 @@ def read_csv(spark: SparkSession, directory: str, schema: T.StructType, pattern:
         good = good.join(files, F.col("ord.file") == F.col("_file"), "left_anti")
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     record = F.coalesce(_CORRUPT, F.to_json(F.struct(*schema.fieldNames())))
-    return (good.select(*columns, *(["ord"] if with_order else [])),
-            bad.select(F.col("ord.file").alias("file"), record.alias("record")).union(headless))
+    return good.select(*columns, *(["ord"] if with_order else [])), bad.select(F.col("ord.file").alias("file"), record.alias("record"))
 
 
-def read_registry(spark: SparkSession, directory: str, pattern: str = "*.csv",
-                  multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``(rows, rejected)`` of all regional registry files, rows with ``ord``; an organisation may repeat.
-
-    Names may hold line breaks; without any, ``multi_line=False`` lets large files be split.
-    """
-    return read_csv(spark, directory, REGISTRY, pattern, required=("EIN",), multi_line=multi_line, with_order=True)
+def read_registry(spark: SparkSession, directory: str, pattern: str = "*.csv", range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of all regional registry files, rows with ``ord``; an organisation may repeat."""
+    return read_csv(spark, directory, REGISTRY, pattern, required=("EIN",), with_order=True, range_bytes=range_bytes)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
