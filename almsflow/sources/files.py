@@ -33,16 +33,26 @@ def file_name(path: str = "path"):
     return F.regexp_extract(F.col(path), r"([^/]+)$", 1)
 
 
+def entries(directory: str, missing_ok: bool = False) -> list[tuple[str, int, object]]:
+    """Path, size and time of a folder's files as the store lists them, empty ones included."""
+    store, inner = _store(directory)
+    if missing_ok and store.get_file_info(inner).type == pafs.FileType.NotFound:
+        return []
+    head = directory.rstrip("/")
+    return [(f"{head}/{e.base_name}", e.size, e.mtime_ns) for e in store.get_file_info(pafs.FileSelector(inner))
+            if e.type == pafs.FileType.File and not e.base_name.startswith((".", "_"))]
+
+
 def inventory(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
     """Every file of a folder with its size, and whether it holds anything.
 
     The entries come from the store's own listing, because Spark's file scan leaves out empty files.
     """
     store, inner = _store(directory)
-    entries = [(e.base_name, e.size, e.mtime) for e in store.get_file_info(pafs.FileSelector(inner))
+    found = [(e.base_name, e.size, e.mtime) for e in store.get_file_info(pafs.FileSelector(inner))
                if e.type == pafs.FileType.File and fnmatch(e.base_name, pattern) and not e.base_name.startswith((".", "_"))]
-    found = spark.createDataFrame(entries, "name string, size_bytes long, modified timestamp")
-    return found.select("name", "size_bytes", megabytes(F.col("size_bytes")).alias("size_mb"), "modified",
+    listed = spark.createDataFrame(found, "name string, size_bytes long, modified timestamp")
+    return listed.select("name", "size_bytes", megabytes(F.col("size_bytes")).alias("size_mb"), "modified",
                         (F.col("size_bytes") > 0).alias("valid"))
 
 
