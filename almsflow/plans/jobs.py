@@ -13,7 +13,7 @@ from almsflow import schemas as S
 from almsflow.functions.columns import first_present, select_renamed
 from almsflow.functions.text import zip5
 from almsflow.operators import dedupe, match, relational as R, reshape
-from almsflow.operators.aggregates import grant_edges, match_breakdown, match_rate
+from almsflow.operators.aggregates import counted, grant_edges, match_breakdown, match_rate
 from almsflow.operators.ids import dense_ids, with_ids
 from almsflow.operators.recommend import recommend
 from almsflow.operators.sampling import negative_samples, training_set, with_split
@@ -21,10 +21,11 @@ from almsflow.operators.train import Settings, load_vectors, train
 from almsflow.plans import specs
 from almsflow.runtime import cut_lineage
 from almsflow.sources.archives import extract_archives, zip_listing
-from almsflow.sources.csvfiles import read_registry
+from almsflow.sources.csvfiles import read_csv, read_registry
 from almsflow.sources.files import file_name
 from almsflow.sources.incremental import committed, pending
-from almsflow.sources.tables import load_ids, read_or_empty, read_table, save_ids, write_extracted, write_table
+from almsflow.sources.tables import (add_to_report, export_files, load_ids, read_or_empty, read_table, save_ids, write_counted, write_extracted,
+                                     write_table)
 
 _AMOUNTS = ["contribution_amt", "grant_amt", "managed_assets_at_eoy", "daf_contribution_amt", "daf_grant_amt",
             "daf_managed_assets_at_eoy", "daf_count_at_eoy"]
@@ -122,51 +123,87 @@ def compile_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 MANIFEST = "name string, length long, modificationTime timestamp, run string, committed_at timestamp"
 
 
+def land_archives(listed: DataFrame, output: str, run: str, dataset_specs: Sequence[specs.Spec] = specs.SPECS, force: bool = False) -> DataFrame:
+    """Extract listed archives (path, length, modificationTime) and commit them as transaction ``run``; the one
+    way, for batch jobs and streams alike, in which archives become rows that readers see.
+
+    Archives the manifest already has, by name, size and time, are left out unless ``force``. Rows land in the
+    folder of the run and count only once its manifest file names the archives, which is written last: a run
+    that died leaves nothing behind that a reader sees, and one that is repeated under its name replaces what it left.
+    Returns the manifest rows of this run.
+    """
+    spark = listed.sparkSession
+    # A repeated transaction is no reason to leave its own archives out.
+    known = read_or_empty(spark, f"{output}/manifest", MANIFEST).filter(F.col("run") != run)
+    named = listed.select("path", "length", "modificationTime").withColumn("name", file_name())
+    # Written, so that what is extracted is what gets committed, whatever lands meanwhile.
+    todo = cut_lineage(pending(named, known, ["name", "length", "modificationTime"], force))
+    names = list(dict.fromkeys(f for s in dataset_specs for f in s.fields))
+    rows, seen = counted(extract_archives(todo, dataset_specs), f"extract_{run}")
+    write_extracted(rows, f"{output}/rows", run, names)
+    add_to_report(spark, f"{output}/report", "extract", {"rows": int(seen.get.get("rows", 0)), "archives": todo.count()})
+    commit_run(todo, output, run)
+    return spark.read.schema(MANIFEST).parquet(f"{output}/manifest").filter(F.col("run") == run)
+
+
+def commit_run(todo: DataFrame, output: str, run: str) -> None:
+    """The moment from which the rows of a run count."""
+    done = committed(todo, "name", "length", "modificationTime").select("name", "length", "modificationTime", "committed_at")
+    done.coalesce(1).write.mode("overwrite").parquet(f"{output}/manifest/run={run}")
+
+
 def run_extract(spark: SparkSession, landing: str, output: str, dataset_specs: Sequence[specs.Spec] = specs.SPECS,
                 force: bool = False, store_all: bool = False) -> DataFrame:
     """Extract the archives of a folder that are new or have changed; with ``force`` all of them.
 
-    Rows land in a folder of this run and count only once the manifest names the run, which is
-    written last: a run that died leaves nothing behind that a reader sees. ``store_all`` keeps
-    records without any wanted element. Returns the manifest rows of this run.
+    ``store_all`` keeps records without any wanted element. Returns the manifest rows of this run.
     """
     if store_all:
         dataset_specs = [replace(s, keep_empty=True) for s in dataset_specs]
-    known = read_or_empty(spark, f"{output}/manifest", MANIFEST)
-    listed = zip_listing(spark, landing).withColumn("name", file_name())
-    # Written, so that what is extracted is what gets committed, whatever lands meanwhile.
-    todo = cut_lineage(pending(listed, known, ["name", "length", "modificationTime"], force))
-    run = uuid.uuid4().hex
-    names = list(dict.fromkeys(f for s in dataset_specs for f in s.fields))
-    write_extracted(extract_archives(todo, dataset_specs), f"{output}/rows", run, names)
-    done = cut_lineage(committed(todo, "name", "length", "modificationTime")
-                       .select("name", "length", "modificationTime", F.lit(run).alias("run"), "committed_at"))
-    done.write.mode("append").parquet(f"{output}/manifest")
-    return done
+    return land_archives(zip_listing(spark, landing), output, f"batch-{uuid.uuid4().hex}", dataset_specs, force)
 
 
 def read_extracted(spark: SparkSession, output: str) -> DataFrame:
     """Extracted rows; of an archive extracted more than once, those of its latest run."""
     latest = (read_or_empty(spark, f"{output}/manifest", MANIFEST)
               .groupBy(F.col("name").alias("zip_name")).agg(F.max_by("run", F.struct("committed_at", "run")).alias("run")))
-    return spark.read.parquet(f"{output}/rows").join(latest, ["zip_name", "run"], "left_semi")
+    rows = spark.read.option("mergeSchema", True).parquet(f"{output}/rows")
+    return rows.join(latest, ["zip_name", "run"], "left_semi")
+
+
+def export_extracted(spark: SparkSession, output: str, path: str, form: str = "csv") -> DataFrame:
+    """Every extracted dataset as one file per archive; returns (dataset, zip_name, file, rows)."""
+    return export_files(read_extracted(spark, output), path, {spec.name: [*S.FILING_KEY, *spec.fields] for spec in specs.SPECS}, form)
+
+
+def read_exported(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The compiled datasets' tables from a folder of CSV files per archive, and the records that do not fit."""
+    found = {spec.name: read_csv(spark, path, schema, f"{spec.name}__*.csv") for spec, schema in EXTRACTED}
+    bad = [rejected.select(F.regexp_extract("file", r"__([^/]*)\.csv$", 1).alias("zip_name"), F.lit(None).cast("string").alias("member"),
+                           F.concat(F.lit(f"bad_record: {name} "), "record").alias("error")) for name, (_, rejected) in found.items()]
+    return {name: rows for name, (rows, _) in found.items()}, reduce(DataFrame.unionByName, bad)
 
 
-def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
+def run_compile(spark: SparkSession, extracted: str, output: str, form: str = "rows") -> None:
     """Compile all datasets. Organisations are written first and read back, since four datasets need them.
 
-    Unreadable documents and rows without a whole filing key go to ``quarantined``.
+    ``form`` says what ``extracted`` is: the output of :func:`run_extract` (``rows``), or a folder of ``csv`` files per dataset and
+    archive. Unreadable documents and rows without a whole filing key go to ``quarantined``, row counts to ``report``.
     """
     from almsflow.operators.extract import bad_keys, dataset, quarantined
 
-    rows = read_extracted(spark, extracted)
-    write_table(reduce(DataFrame.unionByName, [quarantined(rows), *(bad_keys(rows, spec, schema) for spec, schema in EXTRACTED)]),
-                f"{output}/quarantined")
-    tables = {spec.name: dataset(rows, spec, schema) for spec, schema in EXTRACTED}
+    report = f"{output}/report"
+    if form == "csv":
+        tables, bad = read_exported(spark, extracted)
+    else:
+        rows = read_extracted(spark, extracted)
+        bad = reduce(DataFrame.unionByName, [quarantined(rows), *(bad_keys(rows, spec, schema) for spec, schema in EXTRACTED)])
+        tables = {spec.name: dataset(rows, spec, schema) for spec, schema in EXTRACTED}
+    write_counted(bad, f"{output}/quarantined", report, "compile", "quarantined")
     first = f"{output}/organization_details_compiled"
-    write_table(compile_organizations(
+    write_counted(compile_organizations(
         tables["filing_details"], tables["contributions_grants_assets"], tables["donor_advised_fund_details"],
-        tables["exemption_and_service_description"]), first)
+        tables["exemption_and_service_description"]), first, report, "compile", "organization_details_compiled")
     organizations = read_table(spark, first, S.FILING_KEY)
     for name, build, source in [
         ("grant_details_compiled", compile_grants, "grant_details"),
@@ -174,19 +211,19 @@ def run_compile(spark: SparkSession, extracted: str, output: str) -> None:
         ("program_related_investments_compiled", compile_investments, "program_related_investments"),
         ("direct_charitable_activity_details_compiled", compile_activities, "direct_charitable_activity_details"),
     ]:
-        write_table(build(tables[source], organizations), f"{output}/{name}")
+        write_counted(build(tables[source], organizations), f"{output}/{name}", report, "compile", name)
 
 
 def run_infer_recipients(spark: SparkSession, grants_path: str, registry_dir: str, output: str,
-                         threshold: float = 85) -> None:
-    """Resolve recipients; rejected registry records and the match report are written next to the output."""
-    grants = read_table(spark, grants_path)
+                         threshold: float = 85, scorer: match.Scorer = match.indel_score) -> None:
+    """Resolve recipients; rejected registry records, the match report and row counts are written next to the output."""
+    base, grants = output.rstrip("/"), read_table(spark, grants_path)
     registry, rejected = read_registry(spark, registry_dir)
-    write_table(rejected, f"{output.rstrip('/')}_rejected")
-    write_table(match.infer_recipients(grants, registry, threshold), output)
+    write_counted(rejected, f"{base}_rejected", f"{base}_counts", "infer", "rejected")
+    write_counted(match.infer_recipients(grants, registry, threshold, scorer), output, f"{base}_counts", "infer", "resolved")
     resolved = read_table(spark, output)
-    write_table(match_rate(resolved), f"{output.rstrip('/')}_rate")
-    write_table(match_breakdown(resolved), f"{output.rstrip('/')}_report")
+    write_table(match_rate(resolved), f"{base}_rate")
+    write_table(match_breakdown(resolved), f"{base}_report")
 
 
 def run_train(spark: SparkSession, grants_path: str, model_dir: str, settings: Settings = Settings(),

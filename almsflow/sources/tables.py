@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.csv as pacsv
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from almsflow.sources.files import exists
+from almsflow.operators.aggregates import counted
+from almsflow.runtime import cut_lineage
+from almsflow.sources.files import exists, replace_file
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -20,6 +25,29 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+REPORT = "job string, dataset string, rows long, written_at timestamp"
+
+
+def write_counted(df: DataFrame, path: str, report: str, job: str, name: str) -> int:
+    """Write a table and add its number of rows, counted on the way, to the report table of the job's output."""
+    rows, seen = counted(df, f"{job}_{name}")
+    write_table(rows, path)
+    n = int(seen.get.get("rows", 0))  # a plan known to be empty has no counter
+    add_to_report(df.sparkSession, report, job, {name: n})
+    return n
+
+
+def add_to_report(spark: SparkSession, report: str, job: str, counts: Mapping[str, int]) -> None:
+    rows = spark.createDataFrame([(job, name, n) for name, n in counts.items()], "job string, dataset string, rows long")
+    rows.coalesce(1).withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(report)
+
+
+def last_report(spark: SparkSession, report: str) -> DataFrame:
+    """``(job, dataset, rows)`` as counted by the latest run of every job."""
+    rows = read_or_empty(spark, report, REPORT)
+    return rows.groupBy("job", "dataset").agg(F.max_by("rows", "written_at").alias("rows"))
+
+
 def save_ids(donors: DataFrame, receivers: DataFrame, path: str) -> None:
     """Both ``(ein, id)`` tables; the reverse map is the same table joined the other way."""
     write_table(donors, f"{path}/donor_ids")
@@ -40,9 +68,68 @@ def write_extracted(rows: DataFrame, path: str, run: str, fields: Sequence[str])
     """Extracted rows as one folder per run and dataset, every field a column of its own.
 
     A dataset's rows are null in the fields of others, which Parquet stores for next to nothing,
-    and a reader of one dataset reads only its folders and the columns it names.
+    and a reader of one dataset reads only its folders and the columns it names. A run that is
+    repeated replaces its folder.
     """
     own = [F.col("fields")[f].alias(f) for f in fields]
-    named = rows.withColumns({"dataset": F.coalesce("dataset", F.lit("quarantined")), "run": F.lit(run)})
-    (named.select("seq", "filing_number", "zip_name", "ein", "tax_yr", "form", "member", "error", *own, "run", "dataset")
-     .write.mode("append").partitionBy("run", "dataset").parquet(path))
+    named = rows.withColumn("dataset", F.coalesce("dataset", F.lit("quarantined")))
+    (named.select("seq", "filing_number", "zip_name", "ein", "tax_yr", "form", "member", "error", *own, "dataset")
+     .write.mode("overwrite").partitionBy("dataset").parquet(f"{path}/run={run}"))
+
+
+EXPORTED = "dataset string, zip_name string, file string, rows long"
+
+
+def export_files(rows: DataFrame, path: str, columns: Mapping[str, Sequence[str]], form: str = "csv") -> DataFrame:
+    """One file ``{dataset}__{archive}.csv`` (or ``.parquet``) per dataset and archive; returns what was written.
+
+    ``rows`` has dataset, zip_name, member, seq and the columns that ``columns`` lists per dataset, as text. Files are
+    written as a stream, in member order, and appear whole or not at all; a repeated export replaces them.
+    """
+    if form not in ("csv", "parquet"):
+        raise ValueError(f"unknown form {form!r}")
+    names = list(dict.fromkeys(c for own in columns.values() for c in own))
+    dealt = (rows.filter(F.col("dataset").isin(list(columns))).select("dataset", F.col("zip_name").alias("_archive"), "member", "seq", *[F.col(c).cast("string").alias(c) for c in names])
+             .repartition("dataset", "_archive").sortWithinPartitions("dataset", "_archive", "member", "seq"))
+
+    def export(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, count, open_file, sink = None, 0, None, None
+
+        def close() -> pa.RecordBatch:
+            sink.close()
+            open_file.__exit__(None, None, None)
+            return pa.RecordBatch.from_pylist([{"dataset": key[0], "zip_name": key[1], "file": file_of(key), "rows": count}],
+                                              pa.schema([("dataset", pa.string()), ("zip_name", pa.string()), ("file", pa.string()), ("rows", pa.int64())]))
+
+        def file_of(key: tuple[str, str]) -> str:
+            return f"{key[0]}__{key[1].removesuffix('.zip')}.{form}"
+
+        try:
+            for batch in batches:
+                keys = list(zip(batch.column("dataset").to_pylist(), batch.column("_archive").to_pylist()))
+                start = 0
+                for i in range(1, len(keys) + 1):
+                    if i < len(keys) and keys[i] == keys[start]:
+                        continue
+                    if keys[start] != key:
+                        if key is not None:
+                            yield close()
+                        key, count = keys[start], 0
+                        open_file = replace_file(f"{path}/{file_of(key)}")
+                        stream, schema = open_file.__enter__(), pa.schema([(c, pa.string()) for c in columns[key[0]]])
+                        sink = pacsv.CSVWriter(stream, schema) if form == "csv" else pq.ParquetWriter(stream, schema)
+                    part = pa.Table.from_batches([batch.slice(start, i - start).select(list(columns[key[0]]))])
+                    sink.write_table(part)
+                    count, start = count + i - start, i
+            if key is not None:
+                yield close()
+                key = None
+        except BaseException as problem:
+            if open_file is not None and key is not None:  # an unfinished file is never seen
+                try:
+                    open_file.__exit__(type(problem), problem, problem.__traceback__)
+                except BaseException:
+                    pass
+            raise
+
+    return cut_lineage(dealt.mapInArrow(export, EXPORTED))

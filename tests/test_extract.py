@@ -1,12 +1,12 @@
 import io
 import zipfile
 
-from pyspark.sql import functions as F
+import pytest
 
 from almsflow.operators import extract as E
 from almsflow.plans import jobs as J
 from almsflow.plans.specs import SPECS, Spec
-from almsflow.sources import archives
+from almsflow.sources import archives, tables
 from almsflow.streaming.ingest import ingest_archives
 
 BY_NAME = {s.name: s for s in SPECS}
@@ -103,11 +103,74 @@ def test_archives_on_disk_jobs_and_stream(spark, tmp_path):
     args = (spark, str(land), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     for _ in range(2):
         ingest_archives(*args).awaitTermination()
-    read = lambda: spark.read.parquet(str(tmp_path / "out/*")).filter(F.col("dataset") == "grant_details").count()
-    assert read() == 2
+    read = lambda: sorted(r.filing_number for r in J.read_extracted(spark, str(tmp_path / "out")).filter("dataset = 'grant_details'").collect())
+    assert read() == ["1", "2"]
     (land / "later.zip").write_bytes(archive({"9_public.xml": GOOD}))
     ingest_archives(*args).awaitTermination()
-    assert read() == 3
+    assert read() == ["1", "2", "9"]
+
+
+def test_batch_and_stream_share_one_manifest(spark, tmp_path, monkeypatch):
+    land, out, checkpoint = tmp_path / "land", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    land.mkdir()
+    seen = lambda: sorted(r.filing_number for r in J.read_extracted(spark, out).filter("dataset = 'grant_details'").collect())
+    (land / "a.zip").write_bytes(archive({"1_p.xml": GOOD}))
+    J.run_extract(spark, str(land), out)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    (land / "b.zip").write_bytes(archive({"2_p.xml": GOOD}))
+    commit = J.commit_run
+    monkeypatch.setattr(J, "commit_run", die)
+    with pytest.raises(RuntimeError, match="killed"):  # between the write and the commit
+        J.run_extract(spark, str(land), out)
+    assert seen() == ["1"] and spark.read.parquet(f"{out}/rows").filter("dataset = 'grant_details'").count() == 2
+    with pytest.raises(Exception, match="killed"):
+        ingest_archives(spark, str(land), out, checkpoint).awaitTermination()
+    assert seen() == ["1"]
+    monkeypatch.setattr(J, "commit_run", commit)
+    (land / "c.zip").write_bytes(archive({"3_p.xml": GOOD}))
+    ingest_archives(spark, str(land), out, checkpoint).awaitTermination()  # replays its batch, then takes what is new
+    assert seen() == ["1", "2", "3"]
+    (land / "d.zip").write_bytes(archive({"4_p.xml": GOOD}))
+    assert [r.name for r in J.run_extract(spark, str(land), out).collect()] == ["d.zip"]
+    ingest_archives(spark, str(land), out, checkpoint).awaitTermination()
+    assert seen() == ["1", "2", "3", "4"]
+    runs = {r.name: r.run.split("-")[0] for r in spark.read.schema(J.MANIFEST).parquet(f"{out}/manifest").collect()}
+    assert runs == {"a.zip": "batch", "b.zip": "stream", "c.zip": "stream", "d.zip": "batch"}
+
+
+def test_a_file_per_archive_and_compile_from_csv(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    body = ("<RecipientTable><RecipientBusinessName><BusinessNameLine1Txt>Food, \"Bank\"\nof Ely</BusinessNameLine1Txt></RecipientBusinessName>"
+            "<CashGrantAmt>5</CashGrantAmt></RecipientTable>")
+    named = lambda n: filing("990", body).replace("<EIN>12</EIN>", f"<EIN>{n}</EIN><BusinessNameLine1Txt>Giver {n}</BusinessNameLine1Txt><ZIPCd>123</ZIPCd>")
+    for k in range(3):
+        (land / f"y{k}.zip").write_bytes(archive({f"{10 * k + i}_p.xml": named(10 * k + i) for i in range(4)} | ({"x.xml": "<bad"} if k == 2 else {})))
+    out = str(tmp_path / "out")
+    J.run_extract(spark, str(land), out)
+    for form in ("csv", "parquet"):
+        written = J.export_extracted(spark, out, str(tmp_path / form), form).collect()
+        assert {(r.file, r.rows) for r in written if r.dataset == "grant_details"} == {(f"grant_details__y{k}.{form}", 4) for k in range(3)}
+        assert sorted(f.name for f in (tmp_path / form).iterdir()) == sorted(r.file for r in written)
+    assert J.export_extracted(spark, out, str(tmp_path / "csv")).count() == len(written)  # replaced, not added to
+    with pytest.raises(ValueError):
+        J.export_extracted(spark, out, str(tmp_path / "x"), "json")
+    grants = spark.read.parquet(str(tmp_path / "parquet/grant_details__y1.parquet"))
+    assert [r.filing_number for r in grants.collect()] == ["10", "11", "12", "13"]
+    J.run_compile(spark, out, str(tmp_path / "from_rows"))
+    (tmp_path / "csv/grant_details__zz.csv").write_text("filing_number,zip_name,ein,tax_yr,form\nbad,zz,1,2020,990\n")
+    J.run_compile(spark, str(tmp_path / "csv"), str(tmp_path / "from_csv"), form="csv")
+    for name in ("organization_details_compiled", "grant_details_compiled"):
+        both = [sorted(map(str, spark.read.parquet(str(tmp_path / form / name)).collect())) for form in ("from_rows", "from_csv")]
+        assert both[0] == both[1] and len(both[0]) == 12
+    bad = spark.read.parquet(str(tmp_path / "from_csv/quarantined")).collect()
+    assert [(r.zip_name, r.error.split(" ")[0]) for r in bad] == [("zz", "bad_record:")]
+    counts = {r.dataset: r.rows for r in tables.last_report(spark, str(tmp_path / "from_csv/report")).collect()}
+    assert counts == {"quarantined": 1, "organization_details_compiled": 12, "grant_details_compiled": 12, "independent_contractor_details_compiled": 0,
+                      "program_related_investments_compiled": 0, "direct_charitable_activity_details_compiled": 0}
 
 
 def test_chunks_split_a_large_archive(spark, tmp_path, monkeypatch):
