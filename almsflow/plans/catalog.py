@@ -20,7 +20,7 @@ from almsflow.operators import relational as R, reshape, sampling as SM, train a
 from almsflow.plans import filingdocs as FD, jobs as J
 from almsflow.plans.specs import SPECS, Spec
 from almsflow.runtime import cut_lineage, fresh_path
-from almsflow.sources import csvfiles, files, incremental, links, tables
+from almsflow.sources import archives, csvfiles, files, incremental, links, tables, zipsource
 from almsflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -659,6 +659,19 @@ def _(spark, sf):
                     *[F.col("head")[i].cast("double").alias(f"h{i + 1}") for i in range(10)])
 
 
+@query("analyse_entity", """WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), own AS (SELECT * FROM v WHERE id = (SELECT max(id) FROM v)),
+    near AS (SELECT v.id, row_number() OVER (ORDER BY list_dot_product(v.e, own.e) DESC, v.id) AS r FROM v, own WHERE v.id <> own.id)
+    SELECT id * 1000 + 7 AS ein, id, round(list_avg(e), 6) AS mean, round(list_stddev_samp(e), 6) AS std, round(sqrt(list_dot_product(e, e)), 6) AS norm,
+    (SELECT string_agg(r || ':' || (id * 1000 + 7), ',' ORDER BY r) FROM near WHERE r <= 5) AS similar FROM own""")
+def _(spark, sf):
+    """Profile of one entity, the last, with its five most similar among all."""
+    v = vectors(spark, sf)
+    ids = v.select((F.col("id") * 1000 + 7).alias("ein"), "id")
+    found = RC.analyse(ids.agg(F.max("ein")).first()[0], ids, v)
+    near = F.array_join(F.transform("similar", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["ein"].cast("string"))), ",")
+    return found.select("ein", "id", *[F.round(c, 6).alias(c) for c in ("mean", "std", "norm")], near.alias("similar"))
+
+
 @query("model_roundtrip", f"""SELECT 'd' AS side, vec_id AS id, vec_id * 1000 + 7 AS ein, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings
     UNION ALL SELECT 'r', vec_id, vec_id * 1000 + 7, CAST(embedding[64] AS DOUBLE) FROM embeddings""")
 def _(spark, sf):
@@ -845,10 +858,10 @@ def _row_text(texts: list[str], amounts: list[str]) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce({c}, '~')" for c in shown) + ")"
 
 
-def _run_compile_sql() -> str:
+def _run_compile_sql(bad: bool = True) -> str:
     parts = [f"SELECT '{name}' AS dataset, {_row_text(texts, amounts)} AS content FROM ({ORACLES[flow]}) AS t"
              for name, (flow, texts, amounts) in _COMPILED.items()]
-    return " UNION ALL ".join([*parts, "SELECT 'quarantined', 'broken.zip'"])
+    return " UNION ALL ".join([*parts, *(["SELECT 'quarantined', 'broken.zip'"] if bad else [])])
 
 
 @query("run_compile_flow", _run_compile_sql())
@@ -895,6 +908,63 @@ def _(spark, sf):
     return kept.unionByName(bad)
 
 
+@query("archive_source", f"""SELECT CAST(filing_number AS VARCHAR) AS filing_number, CAST(ein AS VARCHAR) AS ein, form,
+    {_expected('filing_details', 'BusinessNameLine1Txt')} AS name FROM ({_BASE_SQL}) WHERE form <> '990T'""")
+def _(spark, sf):
+    """The archives' documents through the data source, in partitions smaller than an archive."""
+    path = fresh_path(spark, "archives")
+    FD.write_archives(_docs(spark, sf), path)
+    zipsource.register(spark)
+    docs = spark.read.format(zipsource.FORMAT).option("partitionBytes", 64 << 10).load(path)
+    return E.dataset(E.extract(docs, SPECS[:1]), SPECS[0]).select("filing_number", "ein", "form", F.col("BusinessNameLine1Txt").alias("name"))
+
+
+@query("commit_flow", FD.expected_sql(SPECS[:1]))
+def _(spark, sf):
+    """A batch run takes a part, the next one dies between write and commit, a stream takes the rest, a last run nothing: every archive counts once."""
+    path, docs = fresh_path(spark, "jobs"), cut_lineage(_docs(spark, sf))
+    second = F.col("zip_name").like("batch_F%")
+    FD.write_archives(docs.filter(~second), f"{path}/landing")
+    J.run_extract(spark, f"{path}/landing", f"{path}/out", SPECS[:1])
+    FD.write_archives(docs.filter(second), f"{path}/landing")
+    # What a run that dies leaves behind: rows without a manifest entry.
+    tables.write_extracted(archives.extract_archives(archives.zip_listing(spark, f"{path}/landing"), SPECS[:1]), f"{path}/out/rows", "batch-dead", list(SPECS[0].fields))
+    ingest.ingest_archives(spark, f"{path}/landing", f"{path}/out", f"{path}/checkpoint", SPECS[:1]).awaitTermination()
+    if not J.run_extract(spark, f"{path}/landing", f"{path}/out", SPECS[:1]).isEmpty():
+        raise AssertionError("an archive was extracted twice without being asked for")
+    rows = J.read_extracted(spark, f"{path}/out")
+    shown = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in SPECS[0].fields]))
+    return (rows.select("dataset", F.col("filing_number").cast("bigint").alias("filing_number"), shown.alias("x"))
+            .select("dataset", "filing_number", "x.field", "x.value").filter("value IS NOT NULL"))
+
+
+def _landed(spark, sf) -> str:
+    path = fresh_path(spark, "jobs")
+    FD.write_archives(_docs(spark, sf), f"{path}/landing")
+    J.run_extract(spark, f"{path}/landing", f"{path}/extracted")
+    return path
+
+
+@query("compile_csv_flow", _run_compile_sql(bad=False))
+def _(spark, sf):
+    """Extracted datasets as one CSV file per archive, and all five tables compiled from these files."""
+    path = _landed(spark, sf)
+    J.export_extracted(spark, f"{path}/extracted", f"{path}/csv")
+    J.run_compile(spark, f"{path}/csv", f"{path}/compiled", form="csv")
+    return R.union_all(*[tables.read_table(spark, f"{path}/compiled/{name}").select(F.lit(name).alias("dataset"), F.expr(_row_text(texts, amounts)).alias("content"))
+                         for name, (_, texts, amounts) in _COMPILED.items()])
+
+
+@query("job_counts", " UNION ALL ".join([f"SELECT 'compile' AS job, '{name}' AS dataset, count(*) AS rows FROM ({ORACLES[flow]})" for name, (flow, _, _) in _COMPILED.items()]
+                                        + ["SELECT 'compile', 'quarantined', 0", f"SELECT 'extract', 'archives', count(DISTINCT zip_name) FROM ({_BASE_SQL})"]))
+def _(spark, sf):
+    """The row counts that the jobs themselves report, counted while they write."""
+    path = _landed(spark, sf)
+    J.run_compile(spark, f"{path}/extracted", f"{path}/compiled")
+    extract = tables.last_report(spark, f"{path}/extracted/report").filter("dataset = 'archives'")
+    return tables.last_report(spark, f"{path}/compiled/report").unionByName(extract)
+
+
 # --- sources and sinks ------------------------------------------------------------------------------
 
 @query("csv_roundtrip", """SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'none' ELSE c_mktsegment || ', "x"' || chr(10) || 'y' END AS note,
