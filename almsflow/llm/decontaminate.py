@@ -159,7 +159,8 @@ def _found(shared: Broadcast, text, before):
         for texts, earlier in batches:
             yield pa.array([_judge(raw, matcher, b) for raw, b in zip(utf8(texts), earlier.to_pylist())], _FOUND_ARROW)
 
-    return F.arrow_udf(judge, FOUND)(text, before)
+    # Else the optimizer runs it again in filters on its result.
+    return F.arrow_udf(judge, FOUND).asNondeterministic()(text, before)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, carry: list[str], into: str, text_col: str = "text",

@@ -258,7 +258,8 @@ def _judged(shared: Broadcast, key: str, text: Column, before: Column) -> Column
             yield pa.array(out, _SO_FAR_ARROW)
         pa.default_memory_pool().release_unused()
 
-    return F.arrow_udf(judge, _SO_FAR)(text, before)
+    # Else the optimizer runs it again in filters on its result.
+    return F.arrow_udf(judge, _SO_FAR).asNondeterministic()(text, before)
 
 
 def with_prediction(docs: DataFrame, *columns: Column, texts: dict[str, str] | None = None, group: int = 0) -> DataFrame:
