@@ -1,21 +1,28 @@
 """Main text of web pages by composite text density.
 
-The page becomes a tree of elements. Elements that are never article text by their kind, role or
-name (menus, adverts, forms, comments and so on) are cut off. For every other element the density
-is its characters per tag, adjusted by how much of both is links. The element with the largest sum
-of its children's densities is the core; the smallest density on the path from the body to it is
+The page becomes a tree of elements. Elements that are never article text by their kind (scripts, menus, footers and
+so on) are cut off. Elements that their name, role or a hidden state marks as menus, adverts, forms, comments and the
+like are marked down: they are left out of the densities, unless the text outside them is less than a quarter of the page's
+and has no ``article`` or ``main``; then those that hold most of it, comments excepted, are not noise but the page. A class counts only as a whole:
+``cookie-notice`` is a notice, ``notice-of-1848`` and ``with-sidebar`` are not.
+
+For every element left the density is its characters per tag, adjusted by how much of both is links. The element with the
+largest sum of its children's densities is the core; the smallest density on the path from the body to it is
 the threshold that elements beside the path must reach to count as text as well. If the core lies
 in an ``article`` or ``main`` element, that element bounds the text: the path ends there, and what
 stands beside it counts as text if it reaches the threshold, is a first heading, or if at least half of
-its characters are outside links (short paragraphs and sections fall below the threshold, but are text).
+its characters are outside links (short paragraphs and sections fall below the threshold, but are text). Without such an
+element, the same holds for what stands directly beside the core, below the body, and for first headings beside the path.
 
 Defined cases: null or empty html gives empty text; a page without tags is one block; unclosed,
-misnested and stray tags are read as browsers mostly do; repeated pages give equal rows.
+misnested and stray tags are read as browsers mostly do; of equal sums the element that comes first is the core; a very long or
+deeply nested page is read in full; repeated pages give equal rows; other columns may have any name and are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from math import e, log
 
@@ -28,14 +35,21 @@ from almsflow.llm.tables import arrow_map
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
             "head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
-NEVER = set("head script style noscript template nav footer aside form button select textarea input label iframe object embed svg canvas "
-            "audio video dialog menu map math title".split())
+NEVER = set("head script style noscript template nav footer aside button select textarea input iframe object embed svg canvas "
+            "audio video menu map title".split())
+#: Marked down by kind: they may wrap a whole page.
+KINDS = set("form dialog label".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form status tooltip".split())
 NAMES = set("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation "
             "menu submenu breadcrumb breadcrumbs sidebar aside widget widgets footer header masthead topbar cookie cookies consent gdpr notice "
             "notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
             "recommended recommendations comment comments commentlist disqus reply replies respond discussion copyright pagination pager toolbar "
             "skip hidden disclaimer tags paywall".split())
+REMARKS = set("comment comments commentlist disqus reply replies respond discussion".split())
+#: What may stand beside such a name in one class.
+BESIDE = set("area article bar block body bottom box center col column container content entry fixed form global group holder inner item items left "
+             "line link links list main mobile outer page panel post primary right row secondary section site sticky strip text thread title top "
+             "unit wrap wrapper zone".split())
 #: A block of the first kind ends an open block of the second.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
@@ -44,18 +58,26 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+_NOT_P = BLOCK - {"p"}
+
+
 class Page(HTMLParser):
     """Elements in page order; ``parts`` of each are texts and child numbers."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.parts, self.noise = ["#root"], [-1], [[]], [False]
-        self.open = [0]
+        self.tags, self.parents, self.parts = ["#root"], [-1], [[]]
+        #: Never text; marked down; marked down as readers' remarks.
+        self.never, self.doubtful, self.remarks = [False], [False], [False]
+        self.open, self.opened = [0], Counter()
 
     def _pop_to(self, place: int) -> None:
+        self.opened.subtract(self.tags[i] for i in self.open[place:])
         del self.open[place:]
 
     def _find(self, names: set[str], stop: set[str] | None = None) -> int | None:
+        if not any(self.opened[t] for t in names):  # else a search through a deep page for every tag
+            return None
         for place in range(len(self.open) - 1, 0, -1):
             tag = self.tags[self.open[place]]
             if tag in names:
@@ -69,7 +91,7 @@ class Page(HTMLParser):
             return
         if tag == "body" and (place := self._find({"head"})) is not None:
             self._pop_to(place)
-        if tag in BLOCK and (place := self._find({"p"}, BLOCK - {"p"})) is not None:
+        if tag in BLOCK and (place := self._find({"p"}, _NOT_P)) is not None:
             self._pop_to(place)
         if tag in HEADINGS and self.tags[self.open[-1]] in HEADINGS:
             self._pop_to(len(self.open) - 1)
@@ -82,15 +104,19 @@ class Page(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.parts.append([])
-        self.noise.append(self._is_noise(tag, dict(attrs)))
+        self.never.append(tag in NEVER)
+        doubtful, remarks = self._doubt(tag, dict(attrs))
+        self.doubtful.append(doubtful)
+        self.remarks.append(remarks)
         self.parts[parent].append(number)
         if tag not in VOID:
             self.open.append(number)
+            self.opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in ("svg", "path", "use", "circle", "rect", "g") and len(self.open) > 1:
-            self.open.pop()
+            self._pop_to(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if tag in VOID or tag in ("html", "body"):
@@ -102,30 +128,57 @@ class Page(HTMLParser):
     def handle_data(self, data):
         self.parts[self.open[-1]].append(data)
 
-    def _inside_article(self) -> bool:
-        return any(self.tags[i] in ROOTS for i in self.open)
-
-    def _is_noise(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag in NEVER:
-            return True
+    def _doubt(self, tag: str, attrs: dict[str, str | None]) -> tuple[bool, bool]:
+        """Whether kind, role, state or name speak against an element, and whether they say that readers wrote it."""
         if tag in ("html", "body", "main"):
-            return False
-        if not attrs and tag != "header":
-            return False
-        if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", (attrs.get("style") or "").lower()):
-            return True
-        if (attrs.get("role") or "").lower() in ROLES:
-            return True
-        inside = self._inside_article()
-        if tag == "header":
-            return not inside
-        names = {t.lower() for t in _TOKEN.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
+            return False, False
+        inside = any(self.opened[t] for t in ROOTS)
+        if tag in KINDS or (tag == "header" and not inside):
+            return True, False
+        if not attrs:
+            return False, False
+        hidden = "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", (attrs.get("style") or "").lower())
+        found = set()
+        for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+            words = {t.lower() for t in _TOKEN.findall(name) if not t.isdigit()}
+            known = words & NAMES
+            if known == {"header"} and (inside or not words <= {"header", "site", "page", "global", "top", "main"}):
+                continue
+            if known == {"tags"} and inside:
+                continue
+            if known and words <= NAMES | BESIDE:
+                found |= known
         if tag == "article":
-            return bool(names & {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related"})
-        found = names & NAMES
-        if inside:
-            found -= {"header", "tags"} if not names & {"site", "page"} else set()
-        return bool(found)
+            found &= REMARKS | {"ad", "ads", "advert", "sponsored", "promo", "related"}
+        return bool(hidden or found or (attrs.get("role") or "").lower() in ROLES), bool(found & REMARKS)
+
+
+def _cut(page: Page) -> list[bool]:
+    """Which elements are no part of the page's text."""
+    n = len(page.tags)
+    plain, linked, never = [0] * n, [False] * n, list(page.never)
+    for i in range(1, n):
+        linked[i] = linked[page.parents[i]] or page.tags[i] == "a"
+        never[i] = never[i] or never[page.parents[i]]
+    for i in range(n - 1, -1, -1):  # children have larger numbers than their parents
+        if not never[i]:
+            plain[i] += 0 if linked[i] else sum(len(" ".join(p.split())) for p in page.parts[i] if isinstance(p, str))
+            if i:
+                plain[page.parents[i]] += plain[i]
+
+    def without(marked: list[bool]) -> tuple[list[bool], int]:
+        gone, left = list(never), plain[0]
+        for i in range(1, n):
+            if not gone[i] and marked[i] and not gone[page.parents[i]]:
+                left -= plain[i]
+            gone[i] = gone[i] or marked[i] or gone[page.parents[i]]
+        return gone, left
+
+    gone, left = without(page.doubtful)
+    marked = any(page.tags[i] in ROOTS and plain[i] and not gone[i] for i in range(n))
+    if 4 * left < plain[0] and not marked:
+        gone, _ = without([d and (page.remarks[i] or 2 * plain[i] < plain[0]) for i, d in enumerate(page.doubtful)])
+    return gone
 
 
 def densities(page: Page, gone: list[bool]) -> tuple[list[float], list[float]]:
@@ -209,10 +262,7 @@ def main_text(html: str | None) -> str:
     page = Page()
     page.feed(html)
     page.close()
-    n = len(page.tags)
-    gone = list(page.noise)
-    for i in range(1, n):
-        gone[i] = gone[i] or gone[page.parents[i]]
+    n, gone = len(page.tags), _cut(page)
     dense, sums = densities(page, gone)
     live = [i for i in range(n) if not gone[i]]
     core = max(live, key=lambda i: (sums[i], -i))
@@ -226,7 +276,9 @@ def main_text(html: str | None) -> str:
     floor = min((dense[i] for i in path if page.tags[i] not in ("#root", "html")), default=dense[core])
     on_path = set(path)
     beside = [i for i in live if i not in on_path and page.parents[i] in on_path - {core}]
-    tops = {core} | {i for i in beside if dense[i] >= floor or (outer is not None and (page.tags[i] == "h1" or not _mostly_links(page, i, gone)))}
+    # What bounds the text: an article, or else the element round the core.
+    near = on_path if outer is not None else {i for i in path[1:2] if page.tags[i] not in ("body", "html", "#root")}
+    tops = {core} | {i for i in beside if dense[i] >= floor or ((page.tags[i] == "h1" or page.parents[i] in near) and (page.tags[i] == "h1" or not _mostly_links(page, i, gone)))}
     chosen = [False] * n
     for i in on_path - {core}:  # text that stands directly on the path
         chosen[i] = dense[i] >= floor
