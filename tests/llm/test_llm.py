@@ -1,6 +1,7 @@
 """Each operator against a plain version, and on nulls, empty texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -402,6 +403,86 @@ def test_links_beside_the_article_are_no_text():
                               f"<section><p>{last}</p></section></main></body>") == whole
 
 
+FIRST, SECOND = "Words of the text here. " * 12, "More words of it are here. " * 12
+
+
+@pytest.mark.parametrize("opening", ['<div id="main" class="content with-sidebar">', '<div class="post hidden-xs">', '<div class="entry topic-social-science">', "<form>", '<div role="form">',
+                                     '<div class="widget">', '<div style="display: none" id=app>', "<dialog open>", '<div class="elementor-widget-container">'])
+def test_names_never_cut_what_holds_the_text(opening):
+    tag = re.match(r"<(\w+)", opening)[1]
+    page = f"<body><nav>a b</nav>{opening}<h1>Title</h1><p>{FIRST}</p><p>{SECOND}</p></{tag}><div class=ad>buy</div></body>"
+    assert htmltext.main_text(page) == " ".join(f"Title {FIRST}{SECOND}".split())
+
+
+def test_names_inside_an_article():
+    page = f"<article><h1>T</h1><p>{FIRST}</p><div class='notice-of-1848'><p>{SECOND}</p></div><math>x+1</math><div class='related-links'><p>See this other text</p></div></article>"
+    assert htmltext.main_text(page) == " ".join(f"T {FIRST}{SECOND} x+1".split())
+
+
+def test_remarks_go_however_long_they_are():
+    remarks = "".join(f"<div class=comment><p>{SECOND}</p></div>" for _ in range(9))
+    assert htmltext.main_text(f"<body><div class=post><p>{FIRST}</p></div><div id=comments>{remarks}</div></body>") == FIRST.strip()
+
+
+def test_headings_and_short_sections_without_article():
+    page = f"<body><div id=c><h1>Title</h1><div><p>{FIRST}</p><p>{SECOND}</p><p>{FIRST}</p></div><div><h2>Last</h2><p>Short one.</p><p>And two.</p></div></div></body>"
+    assert htmltext.main_text(page) == " ".join(f"Title {FIRST}{SECOND}{FIRST}Last Short one. And two.".split())
+    assert htmltext.main_text(f"<body><div><h1>Title</h1><div><div><p>{FIRST}</p><p>{SECOND}</p></div></div></div></body>") == " ".join(f"Title {FIRST}{SECOND}".split())
+
+
+def test_ties_long_and_deep_pages():
+    twice = f"<body><div><p>{FIRST}</p></div><div><p>{FIRST}</p></div></body>"
+    assert htmltext.main_text(twice) == htmltext.main_text(twice) and FIRST.strip() in htmltext.main_text(twice)
+    long = f"<body><article>{f'<p>{FIRST}</p>' * 5000}</article></body>"
+    assert len(htmltext.main_text(long)) == 5000 * len(FIRST) - 1
+    deep = "<body>" + "<div>" * 20_000 + f"<p>{FIRST}</p>" + "</div>" * 20_000 + "</span>" * 20_000 + "</body>"
+    assert htmltext.main_text(deep) == FIRST.strip()
+
+
+def test_densities_equal_a_plain_version():
+    rng = random.Random(11)
+
+    def tree(depth):
+        inner = "".join(rng.choice([f"<p>{prose(rng, rng.randint(1, 30))}</p>", f"<a href=x>{prose(rng, 3)}</a>", "<br>", prose(rng, 4) + " ", "<img>"]) if depth == 0 or rng.random() < 0.5
+                        else tree(depth - 1) for _ in range(rng.randint(1, 4)))
+        return f"<div>{inner}</div>"
+
+    for _ in range(40):
+        page = htmltext.Page()
+        page.feed(f"<body>{tree(4)}</body>")
+        page.close()
+        n = len(page.tags)
+        dense, sums = htmltext.densities(page, [False] * n)
+
+        def counts(i, linked=False):
+            """Characters, tags, link characters and link tags below an element, by walking it."""
+            c = t = lc = lt = 0
+            linked = linked or page.tags[i] == "a"
+            for part in page.parts[i]:
+                if isinstance(part, str):
+                    c += len(" ".join(part.split()))
+                else:
+                    a = counts(part, linked)
+                    c, t, lc, lt = c + a[0], t + a[1] + 1, lc + a[2], lt + a[3]
+            if page.tags[i] == "a":
+                return c, t, c, t + 1
+            return c, t, lc, lt
+
+        body = next(i for i, t in enumerate(page.tags) if t == "body")
+        bc, _, blc, _ = counts(body)
+
+        def plain(c, t, lc, lt):
+            if not c:
+                return 0.0
+            below = math.log(c / max(1, c - lc) * lc + (blc / bc if bc else 0) * c + math.e)
+            return c / max(1, t) * math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / math.log(max(below, math.e))
+
+        for i in range(n):
+            assert dense[i] == pytest.approx(plain(*counts(i)))
+            own = sum(len(" ".join(p.split())) for p in page.parts[i] if isinstance(p, str))
+            assert sums[i] == pytest.approx((plain(own, 1, 0, 0) if own else 0) + sum(plain(*counts(p)) for p in page.parts[i] if not isinstance(p, str)))
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, None, "<p>" * 3000 + "deep"), (1, "u", None)], "page_id long, url string, html string")
     assert rows_of(htmltext.extract(pages)) == [(1, "u", "", 0), (1, None, "deep", 4)]
