@@ -2,15 +2,18 @@
 
 A text's prefix array holds the polynomial hash, modulo a prime, of every prefix of its code points.
 It answers whether any two spans are equal in constant time, and binary search over spans
-finds the longest common extension of two places. A fingerprint keeps the hash of the whole text and,
-at geometrically spaced lengths, of its beginnings and of its ends; the same search over these
-kept lengths tells how much two texts share at both ends (``likeness``).
+finds the longest common extension of two places. A fingerprint keeps
 
-The near columns know both texts and count the middle as well: spans of ``SPAN`` code points chosen by
-their content (the least hash of every ``SPAN`` places next to each other) are looked up in the other
-text and extended both ways by binary search, so every common span of ``2 * SPAN - 1`` code points or
-more is seen, wherever it stands (``shared``). The chosen spans follow from the text and are not
-written into the fingerprint, whose length stays logarithmic.
+* length and hash of the whole text;
+* hashes of its beginnings and ends at geometrically spaced lengths, so that the same binary search tells how much two texts
+  share at both ends, as far as these lengths tell;
+* hash and length of spans that cover the text, cut where the text itself says so: in front of ``WINDOW`` code points whose hash ends in
+  ``level`` zero bits. The level is the least that leaves ``MOST`` cuts, so a fingerprint stays small and short texts are
+  cut finely. Each cut has its number of zero bits: hashes of neighbouring spans add up to the hash of both, so a
+  finely cut fingerprint can be brought to the level of a coarser one.
+
+``likeness`` compares two fingerprints and nothing else: the share of the longer text in equal spans, wherever they stand, or at both
+ends, if that is more. An edit costs the span it falls into.
 
 Neighbours in doc_id order come together in one shuffle: quantiles of doc_id cut the table into
 ranges, every range also gets the first row of the next one, and each task streams its sorted
@@ -23,6 +26,7 @@ comes the first; the next of a single row is itself; an empty table gives an emp
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -33,9 +37,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (1_000_003, 69_069_069)
 #: Kept lengths per doubling.
-PER_OCTAVE = 6
-#: Code points of a span that anchors a comparison, and places of which one is chosen.
-SPAN = 32
+PER_OCTAVE = 4
+#: Code points that decide a cut, zero bits of the finest level, and cuts of a fingerprint at most.
+WINDOW, FINEST, MOST = 5, 2, 192
+#: Longest span in one entry; a longer one is several, parted by cuts of no strength.
+LONGEST = (1 << 12) - 1
 LAST_ID = (1 << 63) - 1
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _inverses = np.ones(1, np.uint64)
@@ -64,7 +70,7 @@ def inverses(n: int) -> np.ndarray:
 class PrefixHash:
     """Prefix arrays of one text under both primes."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str = ""):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
         self.n = len(codes)
         self.sums = []
@@ -72,6 +78,16 @@ class PrefixHash:
             terms = codes * powers(k, self.n) % np.uint64(p)
             self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms) % np.uint64(p)]))
 
+    def replaced_tail(self, keep: int, other: PrefixHash, taken: int) -> PrefixHash:
+        """The arrays of the first ``keep`` code points followed by the first ``taken`` of another text, from these arrays alone."""
+        out = PrefixHash()
+        out.n, out.sums = keep + taken, []
+        for k, prime in enumerate(PRIMES):
+            p = np.uint64(prime)
+            tail = other.sums[k][1:taken + 1] * np.uint64(pow(BASES[k], keep, prime)) % p
+            out.sums.append(np.concatenate([self.sums[k][:keep + 1], (tail + self.sums[k][keep]) % p]))
+        return out
+
     def raw(self, k: int, start, end):
         """Sum of the terms of a span: its hash times BASE ** start."""
         p = np.uint64(PRIMES[k])
@@ -103,72 +119,6 @@ def longest_common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> in
     return low
 
 
-def longest_common_extension_back(a: PrefixHash, i: int, b: PrefixHash, j: int, most: int) -> int:
-    """How many code points agree before i and j, ``most`` at most."""
-    low, high = 0, min(i, j, most)
-    while low < high:
-        middle = (low + high + 1) // 2
-        if spans_equal(a, i - middle, b, j - middle, middle):
-            low = middle
-        else:
-            high = middle - 1
-    return low
-
-
-def anchors(h: PrefixHash) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the spans chosen by content, places ascending."""
-    n = h.n - SPAN + 1
-    if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    places = np.arange(n)
-    hashes = h.raw(0, places, places + SPAN) * inverses(n) % np.uint64(PRIMES[0])
-    keyed = hashes << np.uint64(32) | places.astype(np.uint64)
-    width = min(SPAN, n)
-    # Minimum of every ``width`` neighbours from running minima of blocks, forwards and backwards.
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max)
-    padded[:n] = keyed
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[:n - width + 1], ahead[width - 1:n])
-    least = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64), least >> np.uint64(32)
-
-
-def shared(a: PrefixHash, b: PrefixHash, anchors_a=None, anchors_b=None) -> float:
-    """Share of the longer text that stands in both: common beginning, end, and spans around equal anchors."""
-    if not a.n or not b.n:
-        return float(a.n == b.n)
-    begin = longest_common_extension(a, 0, b, 0)
-    if begin == a.n == b.n:
-        return 1.0
-    end = longest_common_extension_back(a, a.n, b, b.n, min(a.n, b.n) - begin)
-    inside_a, inside_b = np.zeros(a.n, bool), np.zeros(b.n, bool)
-    inside_a[:begin] = inside_b[:begin] = True
-    inside_a[a.n - end:] = inside_b[b.n - end:] = True
-    at_a, hash_a = anchors_a or anchors(a)
-    at_b, hash_b = anchors_b or anchors(b)
-    order = np.argsort(hash_b, kind="stable")
-    sorted_b, sorted_at = hash_b[order], at_b[order]
-    first, last = np.searchsorted(sorted_b, hash_a, "left"), np.searchsorted(sorted_b, hash_a, "right")
-    done_a, done_b = begin, begin
-    for k in np.flatnonzero((last > first) & (at_a + SPAN > begin) & (at_a < a.n - end)).tolist():
-        i = int(at_a[k])
-        if i + SPAN <= done_a:
-            continue
-        # The first place not yet passed in the other text, else its first place.
-        same = sorted_at[first[k]:last[k]]
-        j = int(same[min(int(np.searchsorted(same, done_b - (done_a - i if done_a > i else 0))), len(same) - 1)])
-        if not spans_equal(a, i, b, j, SPAN):
-            continue
-        back = longest_common_extension_back(a, i, b, j, min(i, j))
-        on = longest_common_extension(a, i, b, j)
-        inside_a[i - back:i + on] = True
-        inside_b[j - back:j + on] = True
-        done_a, done_b = i + on, j + on
-    return min(int(inside_a.sum()), int(inside_b.sum())) / max(a.n, b.n)
-
-
 def kept_lengths(n: int) -> np.ndarray:
     """1, 2, 3, ... then ``PER_OCTAVE`` lengths per doubling, up to n."""
     if n == 0:
@@ -177,25 +127,54 @@ def kept_lengths(n: int) -> np.ndarray:
     return np.unique(np.floor(2.0 ** (steps / PER_OCTAVE) + 1e-9).astype(np.int64))
 
 
-def _inverse_powers(k: int, exponents: np.ndarray) -> np.ndarray:
-    """BASE ** -e for each exponent: Fermat's BASE ** (p - 1 - e), by square and multiply on the whole array."""
-    p = np.uint64(PRIMES[k])
-    left = np.uint64(PRIMES[k] - 1) - exponents.astype(np.uint64) % np.uint64(PRIMES[k] - 1)
-    out, square = np.ones(len(exponents), np.uint64), np.uint64(BASES[k])
-    for bit in range(31):
-        out = np.where((left >> np.uint64(bit)) & np.uint64(1), out * square % p, out)
-        square = square * square % p
-    return out
+def cuts(h: PrefixHash) -> tuple[int, np.ndarray, np.ndarray]:
+    """Level, places and strengths of a text's cuts, places ascending."""
+    n = h.n - WINDOW + 1
+    if n < 2:
+        return FINEST, np.empty(0, np.int64), np.empty(0, np.int64)
+    p, places = np.uint64(PRIMES[0]), np.arange(n)
+    found = h.raw(0, places, places + WINDOW) * inverses(n) % p
+    mixed = found * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+    strength = np.bitwise_count((mixed & (~mixed + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+    strong = np.flatnonzero((strength >= FINEST) & np.concatenate([[False], found[1:] != found[:-1]]))  # runs are not cut
+    above = np.bincount(np.minimum(strength[strong], 15), minlength=16)[::-1].cumsum()[::-1]
+    level = next((k for k in range(FINEST, 16) if above[k] <= MOST), 16)
+    strong = strong[strength[strong] >= level]
+    return level, strong, np.minimum(strength[strong], 15)
+
+
+def _spans(h: PrefixHash) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Level, and hash, length and the strength of the cut in front, of every span."""
+    level, at, strength = cuts(h)
+    starts, strength = np.concatenate([[0], at]), np.concatenate([[15], strength])
+    sizes = np.diff(np.append(starts, h.n))
+    if len(sizes) and sizes.max() > LONGEST:
+        parts = -(-sizes // LONGEST)
+        first = np.cumsum(parts) - parts
+        inner = np.arange(parts.sum()) - np.repeat(first, parts)
+        starts = np.repeat(starts, parts) + inner * LONGEST
+        strength = np.where(inner == 0, np.repeat(strength, parts), 0)
+        sizes = np.diff(np.append(starts, h.n))
+    hashes = h.raw(0, starts, starts + sizes) * inverses(h.n)[starts] % np.uint64(PRIMES[0])
+    return level, hashes, sizes, strength
 
 
 def fingerprint(text: str | PrefixHash) -> str:
-    """``length.hash.beginnings.ends``; four hex digits per kept length."""
+    """``length.hash.beginnings.ends.level.spans``; four hex digits per kept length, six bytes in Base64 per span."""
     h = PrefixHash(text) if isinstance(text, str) else text
-    lengths = kept_lengths(h.n)
     whole = "".join(f"{int(s[-1]):08x}" for s in h.sums)
+    if not h.n:
+        return f"0.{whole}..." + f"{FINEST}."
+    lengths = kept_lengths(h.n)
     first = h.sums[0][lengths] & np.uint64(0xFFFF)
-    last = h.raw(0, h.n - lengths, np.full(len(lengths), h.n)) * _inverse_powers(0, h.n - lengths) % np.uint64(PRIMES[0]) & np.uint64(0xFFFF)
-    return ".".join([str(h.n), whole, *(part.astype(">u2").tobytes().hex() for part in (first, last))])
+    last = h.raw(0, h.n - lengths, h.n) * inverses(h.n)[h.n - lengths] % np.uint64(PRIMES[0]) & np.uint64(0xFFFF)
+    level, hashes, sizes, strength = _spans(h)
+    entries = np.empty(len(sizes), _ENTRY)
+    entries["hash"], entries["rest"] = hashes, sizes << 4 | strength
+    return ".".join([str(h.n), whole, *(part.astype(">u2").tobytes().hex() for part in (first, last)), str(level), base64.b64encode(entries.tobytes()).decode()])
+
+
+_ENTRY = np.dtype([("hash", "<u4"), ("rest", "<u2")])
 
 
 def _agreeing(a: str, b: str, lengths: np.ndarray) -> int:
@@ -210,17 +189,37 @@ def _agreeing(a: str, b: str, lengths: np.ndarray) -> int:
     return int(lengths[low - 1]) if low else 0
 
 
+def _at_level(packed: str, level: int) -> np.ndarray:
+    """Hash and length, as one number, of every span between cuts of the level."""
+    entries = np.frombuffer(base64.b64decode(packed), _ENTRY)
+    hashes, sizes, strength = entries["hash"].astype(np.uint64), (entries["rest"] >> 4).astype(np.int64), entries["rest"] & 15
+    strength[0] = 15
+    first = np.flatnonzero(strength >= min(level, 15)) if level < 16 else np.array([0])
+    if len(first) < len(sizes):
+        p, starts = np.uint64(PRIMES[0]), np.cumsum(sizes) - sizes
+        n = int(sizes.sum())
+        prefix = np.concatenate([[0], np.cumsum(hashes * powers(0, n)[starts] % p)]).astype(np.uint64)
+        ends = np.append(first[1:], len(sizes))
+        hashes = (prefix[ends] - prefix[first]) % p * inverses(n)[starts[first]] % p
+        sizes = np.add.reduceat(sizes, first)
+    return hashes << np.uint64(32) | sizes.astype(np.uint64)
+
+
 def likeness(a: str, b: str) -> float:
-    """Share of the longer text that both have at their beginnings and ends, as far as the fingerprints tell."""
+    """Share of the longer text that two texts have in common, as far as their fingerprints tell."""
     if a == b:
         return 1.0
-    (na, _, first_a, last_a), (nb, _, first_b, last_b) = a.split("."), b.split(".")
+    (na, _, first_a, last_a, level_a, spans_a), (nb, _, first_b, last_b, level_b, spans_b) = a.split("."), b.split(".")
     na, nb = int(na), int(nb)
     if not na or not nb:
         return 0.0
     lengths = kept_lengths(min(na, nb))
-    shared = _agreeing(first_a, first_b, lengths) + _agreeing(last_a, last_b, lengths)
-    return min(shared, min(na, nb)) / max(na, nb)
+    at_ends = _agreeing(first_a, first_b, lengths) + _agreeing(last_a, last_b, lengths)
+    level = max(int(level_a), int(level_b))
+    (one, n_one), (two, n_two) = (np.unique(_at_level(x, level), return_counts=True) for x in (spans_a, spans_b))
+    both, i, j = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    in_spans = int((np.minimum(n_one[i], n_two[j]) * (both & np.uint64(0xFFFFFFFF)).astype(np.int64)).sum())
+    return min(max(at_ends, in_spans), na, nb) / max(na, nb)
 
 
 def edited(text: str, following: str) -> str:
@@ -263,14 +262,14 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lent, i, text in zip(*(batch.column(c).to_pylist() for c in ("_part", "_lent", "_id", "text"))):
             text = text or ""
             own = PrefixHash(text)
-            own_print, own_anchors = fingerprint(own), anchors(own)
+            own_print = fingerprint(own)
             if held and held[0] == part:
-                _, before, before_text, before_hash, before_print, before_anchors = held
-                changed_text = edited(before_text, text)
-                changed = PrefixHash(changed_text)
-                out.append((before if before != LAST_ID else None, len(before_text), hashlib.sha256(changed_text.encode()).hexdigest(), before_print,
-                            fingerprint(changed), shared(before_hash, changed, before_anchors), shared(before_hash, own, before_anchors, own_anchors)))
-            held = None if lent else (part, i, text, own, own_print, own_anchors)
+                _, before, before_text, before_hash, before_print = held
+                tail = len(before_text) // 4
+                changed = fingerprint(before_hash.replaced_tail(len(before_text) - tail, own, min(tail, len(text))))
+                out.append((before if before != LAST_ID else None, len(before_text), hashlib.sha256(edited(before_text, text).encode()).hexdigest(), before_print,
+                            changed, likeness(before_print, changed), likeness(before_print, own_print)))
+            held = None if lent else (part, i, text, own, own_print)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=_OUT.names)
 
