@@ -6,23 +6,32 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from almsflow.operators.ids import positions
 from almsflow.operators.relational import union_all, without_pairs
 from almsflow.runtime import cut_lineage
 
-PRIME = 2147483647
+_HALF = (1 << 32) - 1
+#: Odd multipliers below 2^31, one a round, so that a product of 32-bit halves fits a long.
+MULTIPLIERS = (0x5851F42D, 0x4C957F2D, 0x2545F491, 0x61C88647, 0x7FEB352D, 0x3C6EF35F)
+
+
+def round_constants(seed: int) -> list[int]:
+    """What a seed adds to the key of each round."""
+    return [(seed * 0x9E3779B1 + i * 0x85EBCA6B) & _HALF for i in range(len(MULTIPLIERS))]
 
 
 def draw(a: Column, b: Column, seed: int) -> Column:
-    """Pseudo-random integer in [0, PRIME) from two integers and a seed.
+    """Pseudo-random integer in [0, 2^63) from two longs and a seed.
 
-    Raising to the fifth power permutes the residues of this prime, so the
-    result is as uniform as its input and no longer linear in ``b``. Plain
-    integer arithmetic: the same on every engine and every retry.
+    A counter-based generator: the halves of ``b`` pass six Feistel rounds whose keys are the halves of ``a``. For one ``a`` the
+    rounds permute all 2^64 counters, so no two values of ``b`` share a state, and different ``a`` have different keys in any
+    range. Plain integer arithmetic without overflow: the same on every engine and every retry.
     """
-    x = (F.pmod(a, F.lit(PRIME)) * 48271 + F.pmod(b, F.lit(PRIME)) * 16807 + seed) % PRIME
-    square = x * x % PRIME
-    return square * square % PRIME * x % PRIME
+    halves = lambda x: (x.cast("long").bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned(x.cast("long"), 32))
+    keys, (left, right) = halves(a), halves(b)
+    for i, (multiplier, constant) in enumerate(zip(MULTIPLIERS, round_constants(seed))):
+        mixed = right.bitwiseXOR(keys[i % 2]).bitwiseXOR(F.lit(constant)) * F.lit(multiplier)
+        left, right = right, left.bitwiseXOR(F.shiftright(mixed, 15).bitwiseAND(F.lit(_HALF)))
+    return F.shiftleft(left, 31).bitwiseOR(F.shiftright(right, 1))
 
 
 def _misses(donors: DataFrame, pairs: DataFrame, tried: Column, n_receivers: int, seed: int, chunk: int) -> DataFrame:
@@ -67,8 +76,6 @@ def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries:
     many attempts as the donor's odds call for; the few donors that fall short
     go through all of theirs.
     """
-    if n_receivers > PRIME:
-        raise ValueError("more receivers than the generator can address")
     want, n = F.col("want"), F.col("n")
     donors = (pairs.groupBy("donor_id").agg(F.count(F.lit(1)).alias("n"))
               .select("donor_id", "n", (n * ratio).alias("want"), (n * ratio * tries).alias("total")))
@@ -101,9 +108,39 @@ def with_split(samples: DataFrame, train_percent: int = 85, seed: int = 42) -> D
     return samples.withColumn("split", F.when(bucket < train_percent, "train").otherwise("val"))
 
 
+def smallest(rows: DataFrame, key: Column, share: float) -> tuple[int | None, int]:
+    """The least value of a key from [0, 2^63) with ``ceil(n * share)`` rows up to it, and how many rows of that value belong to these.
+
+    Counts rows by ever more bits of the key, 16 at a time: four passes at most, and 65,536 sums a pass come to the driver.
+    """
+    prefix, needed, shift, width = 0, None, 47, 16
+    while True:
+        own = rows if needed is None else rows.filter(F.shiftright(key, shift + width) == prefix)
+        counts = sorted(tuple(r) for r in own.groupBy(F.shiftright(key, shift).bitwiseAND(F.lit((1 << width) - 1)).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if needed is None:
+            needed = math.ceil(sum(n for _, n in counts) * share)
+            if not needed:
+                return None, 0
+        for part, n in counts:
+            if n >= needed:
+                break
+            needed -= n
+        prefix = prefix << width | part
+        if not shift:
+            return prefix, needed
+        shift, width = max(0, shift - 16), min(16, shift)
+
+
 def with_exact_split(samples: DataFrame, val_share: float = 0.15, seed: int = 42) -> DataFrame:
-    """Like :func:`with_split`, with exactly ``ceil(n * val_share)`` validation rows."""
-    key = [draw(F.col("donor_id"), F.col("receiver_id"), seed), F.col("donor_id"), F.col("receiver_id"), F.col("label")]
-    placed = positions(samples, [c.asc() for c in key], "_pos")
-    n_val = math.ceil(samples.count() * val_share)
-    return placed.withColumn("split", F.when(F.col("_pos") < n_val, "val").otherwise("train")).drop("_pos")
+    """Like :func:`with_split`, with exactly ``ceil(n * val_share)`` validation rows: those of the smallest draws.
+
+    The border comes from counts; only the rows of the one draw at the border are numbered. Nothing is sorted or written.
+    """
+    key = draw(F.col("donor_id"), F.col("receiver_id"), seed)
+    border, left = smallest(samples, key, val_share)
+    if border is None:
+        return samples.withColumn("split", F.lit("train"))
+    clear = samples.filter(key != border).withColumn("split", F.when(key < border, "val").otherwise("train"))
+    # One pair and its repeats, as good as always: the draw tells pairs apart.
+    turn = F.row_number().over(Window.orderBy("donor_id", "receiver_id", "label"))
+    return clear.unionByName(samples.filter(key == border).withColumn("split", F.when(turn <= left, "val").otherwise("train")))

@@ -77,10 +77,11 @@ def sql_lcs(a: str, b: str) -> str:
 
 
 def sql_draw(a: str, b: str, seed: int) -> str:
-    p = SM.PRIME
-    x = f"(((({a}) % {p}) * 48271 + (({b}) % {p}) * 16807 + {seed}) % {p})"
-    q = f"({x} * {x} % {p})"
-    return f"({q} * {q} % {p} * {x} % {p})"
+    keys, left, right = [f"(({a}) & 4294967295)", f"(({a}) >> 32)"], f"(({b}) & 4294967295)", f"(({b}) >> 32)"
+    for i, (multiplier, constant) in enumerate(zip(SM.MULTIPLIERS, SM.round_constants(seed))):
+        mixed = f"(xor(xor({right}, {keys[i % 2]}), {constant}::BIGINT) * {multiplier}::BIGINT)"
+        left, right = right, f"xor({left}, ({mixed} >> 15) & 4294967295)"
+    return f"(({left} << 31) | ({right} >> 1))"
 
 
 PAIRS_SQL = """

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -61,6 +62,34 @@ def test_dense_ids(spark):
     assert got == {r[0]: i for i, r in enumerate(order)}
 
 
+def plain_draw(a, b, seed):
+    keys, left, right = (a & 0xFFFFFFFF, a >> 32), b & 0xFFFFFFFF, b >> 32
+    for i, (multiplier, constant) in enumerate(zip(SM.MULTIPLIERS, SM.round_constants(seed))):
+        left, right = right, left ^ ((((right ^ keys[i % 2] ^ constant) * multiplier) >> 15) & 0xFFFFFFFF)
+    return left << 31 | right >> 1
+
+
+def test_draws(spark):
+    """The written generator, no shared draws of neighbours or of ids 2^31 - 1 or 2^32 apart, and uniform values."""
+    ids = [0, 1, 2, 2**31 - 1, 2**31, 2**32, 2**33 + 5, 2**62]
+    df = spark.createDataFrame([(a, b) for a in ids for b in range(500)], "a long, b long")
+    got = {(r.a, r.b): r.x for r in df.withColumn("x", SM.draw(F.col("a"), F.col("b"), 42)).collect()}
+    assert all(got[k] == plain_draw(*k, 42) for k in got) and len(set(got.values())) == len(got)
+    many = spark.range(200_000).select(SM.draw(F.col("id") % 7 + 2**32, F.col("id"), 1).alias("x"))
+    for part in (F.col("x") % 100, F.shiftright("x", 56) % 128, F.shiftright("x", 20) % 64):
+        counts = [r.n for r in many.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()]
+        even = 200_000 / len(counts)
+        chi = sum((n - even) ** 2 / even for n in counts)
+        assert abs(chi - (len(counts) - 1)) < 5 * (2 * len(counts)) ** 0.5
+
+
+def test_more_receivers_than_32_bits(spark):
+    pairs = spark.createDataFrame([(d, d * 3) for d in range(200)], "donor_id long, receiver_id long")
+    found = SM.negative_samples(pairs, 2**33)
+    top = found.agg(F.count(F.lit(1)), F.max("receiver_id"), F.countDistinct("receiver_id")).first()
+    assert top[0] == 1000 and 2**32 < top[1] < 2**33 and top[2] == 1000
+
+
 def test_negative_sampling_stops(spark):
     n = 100
     pairs = [(0, r) for r in range(n)] + [(1, r) for r in range(97)] + [(2, 5)]
@@ -69,8 +98,7 @@ def test_negative_sampling_stops(spark):
     assert sorted(runs[0]) == sorted(runs[1])  # any chunking or partitioning gives the same rows
     counts = {d: sum(1 for r in runs[0] if r.donor_id == d) for d in (0, 1, 2)}
     attempts = range(97 * 15)
-    p = SM.PRIME
-    draw = lambda d, a: pow((d * 48271 + a * 16807 + 42) % p, 5, p) % n
+    draw = lambda d, a: plain_draw(d, a, 42) % n
     assert counts[0] == 0 and counts[2] == 5
     assert counts[1] == min(97 * 5, sum(draw(1, a) >= 97 for a in attempts)) < 97 * 5
     assert not {tuple(r) for r in runs[0]} & set(pairs)
@@ -100,9 +128,17 @@ def test_training_lowers_loss_and_serves(spark, tmp_path):
     assert len(out) == 10 and sum((r.ein - 1000) % 4 == 3 for r in out) >= 8
 
 
-def test_exact_split(spark):
-    df = spark.createDataFrame([(i, i % 7, i % 2) for i in range(101)], "donor_id long, receiver_id long, label int")
-    assert SM.with_exact_split(df).filter("split = 'val'").count() == 16
+@pytest.mark.parametrize("share", [0, 0.15, 0.5, 1])
+def test_exact_split(spark, share):
+    rows = [(i, i % 7, i % 2) for i in range(101)] + [(500, 3, 1)] * 40
+    df = spark.createDataFrame(rows, "donor_id long, receiver_id long, label int").repartition(3)
+    got = SM.with_exact_split(df, share).collect()
+    order = sorted(rows, key=lambda r: (plain_draw(r[0], r[1], 42), *r))
+    n_val = math.ceil(len(rows) * share)
+    assert sorted(tuple(r) for r in got) == sorted([(*r, "val" if k < n_val else "train") for k, r in enumerate(order)])
+    assert SM.with_exact_split(df.limit(0), share).count() == 0
+    plan = SM.with_exact_split(df, share)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
     a, b = (sorted(map(tuple, SM.with_split(d).collect())) for d in (df, df.repartition(5)))
     assert a == b
 
