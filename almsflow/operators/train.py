@@ -3,9 +3,12 @@
 Donors and receivers are hashed into P blocks each. An epoch runs P strata; in
 stratum s, donor block i meets receiver block (i + s) mod P, so no two tasks of
 a stratum touch the same vector and all run at once (distributed SGD: Gemulla
-et al., KDD 2011). A block pair holding too many samples, as one very active
-donor causes, is cut into parts that start from the same vectors and are merged
-by a mean weighted with each part's samples per vector.
+et al., KDD 2011).
+
+There is one training rule for every size: the samples of a block pair form batches by a hash, and a batch makes one
+step. A block pair holding very many samples, as one very active donor causes, is trained by several tasks at once that take
+the same steps together: each owns some of the receivers and their samples, and all add up their shares
+of every batch's donor gradients (a barrier stage). Into how many tasks a pair is cut changes its time, not the model.
 
 Adam moments travel with the vectors. Only touched rows are updated in a step;
 a dense Adam would also move untouched rows by their momentum.
@@ -13,10 +16,13 @@ a dense Adam would also move untouched rows by their momentum.
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from almsflow.functions import vectors as V
@@ -41,7 +47,7 @@ class Settings:
     learning_rate: float = 0.001
     init_std: float = 0.01
     blocks: int | None = None  # None: as many as keep a block within BLOCK_BYTES
-    part_rows: int = 2_000_000  # most samples one task trains on
+    task_rows: int = 2_000_000  # samples above which a block pair is shared by several tasks; no matter for the model
     seed: int = 42
 
 
@@ -89,10 +95,9 @@ class _Side:
     def locate(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ids, ids)
 
-    def adam(self, where: np.ndarray, grads: np.ndarray, rate: float) -> None:
-        rows, back = np.unique(where, return_inverse=True)
-        total = np.zeros((len(rows), grads.shape[1]), dtype=np.float32)
-        np.add.at(total, back, grads)
+    def adam(self, rows: np.ndarray, total: np.ndarray, rate: float) -> None:
+        """One step of these rows with their summed gradients."""
+        total = total.astype(np.float32)
         self.t[rows] += 1
         m = self.m[rows] = BETA1 * self.m[rows] + (1 - BETA1) * total
         v = self.v[rows] = BETA2 * self.v[rows] + (1 - BETA2) * total * total
@@ -100,61 +105,139 @@ class _Side:
         self.vec[rows] -= rate * (m / (1 - BETA1**t)) / (np.sqrt(v / (1 - BETA2**t)) + EPS)
 
 
+def _summed(where: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients added up by row."""
+    rows, back = np.unique(where, return_inverse=True)
+    total = np.zeros((len(rows), grads.shape[1]))
+    np.add.at(total, back, grads)
+    return rows, total
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def batch_numbers(donor: np.ndarray, receiver: np.ndarray, label: np.ndarray, batches: int, seed: int, epoch: int) -> np.ndarray:
+    """The batch of every sample, as its ids, label and the epoch decide: the same whatever task holds it."""
+    key = np.uint64((seed * 0x9E3779B97F4A7C15 + epoch * 0xD1B54A32D192ED03) & (2**64 - 1))
+    with np.errstate(over="ignore"):
+        x = _mixed(_mixed(_mixed(donor.astype(np.uint64) + key) + receiver.astype(np.uint64)) + label.astype(np.uint64))
+    return (x % np.uint64(max(1, batches))).astype(np.int64)
+
+
+class _Samples:
+    """Samples of a block pair or of a part of it, batch by batch."""
+
+    def __init__(self, table: pa.Table, donors: _Side, receivers: _Side, batches: int, seed: int, epoch: int):
+        a, b, y = (table.column(c).to_numpy() for c in ("id", "other", "label"))
+        number = batch_numbers(a, b, y, batches, seed, epoch)
+        order = np.lexsort((y, b, a, number))  # rows arrive in any order after a retry
+        self.at = np.searchsorted(number[order], np.arange(batches + 1))
+        self.d, self.r, self.y = donors.locate(a[order]), receivers.locate(b[order]), y[order].astype(np.float32)
+
+    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = slice(self.at[k], self.at[k + 1])
+        return self.d[own], self.r[own], self.y[own]
+
+
+def _slopes(donors: _Side, receivers: _Side, d: np.ndarray, r: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Both sides' vectors, the slope of every sample's loss, and the loss."""
+    left, right = donors.vec[d], receivers.vec[r]
+    score = np.einsum("ij,ij->i", left, right)
+    loss = float(np.sum(np.maximum(score, 0) - score * label + np.log1p(np.exp(-np.abs(score)))))
+    return left, right, (1 / (1 + np.exp(-score)) - label)[:, None].astype(np.float64), loss
+
+
 def _list(matrix: np.ndarray) -> pa.Array:
     offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1).astype(np.float32)))
 
 
-def _trainer(s: Settings, epoch: int):
-    names = ["side", "id", "vec", "m", "v", "t", "weight", "loss"]
+_NAMES = ["side", "id", "vec", "m", "v", "t", "weight", "loss"]
+
+
+def _split(table: pa.Table, dim: int) -> tuple[_Side, _Side, pa.Table]:
+    kind = table.column("side").to_numpy(zero_copy_only=False)
+    donors, receivers = (_Side(table.filter(pa.array(kind == k)), dim) for k in ("d", "r"))
+    return donors, receivers, table.filter(pa.array(kind == "s"))
+
+
+def _result(sides: list[tuple[str, _Side]], rows: int, loss: float) -> pa.Table:
+    parts = [pa.table([pa.array([k] * len(x.ids)), pa.array(x.ids), _list(x.vec), _list(x.m), _list(x.v),
+                       pa.array(x.t), pa.array(np.zeros(len(x.ids), np.int64)), pa.nulls(len(x.ids), pa.float64())], names=_NAMES)
+             for k, x in sides if len(x.ids)]
+    nothing = _list(np.zeros((1, 0)))
+    parts.append(pa.table([pa.array(["loss"]), pa.array([0]), nothing, nothing, nothing, pa.array([0]),
+                           pa.array([rows]), pa.array([loss])], names=_NAMES))
+    return pa.concat_tables(parts)
 
+
+def _trainer(s: Settings, epoch: int):
     def train_block(key, table):  # annotations would switch Spark to another signature
-        kind = table.column("side").to_numpy(zero_copy_only=False)
-        donors, receivers = (_Side(table.filter(pa.array(kind == k)), s.dim) for k in ("d", "r"))
-        samples = table.filter(pa.array(kind == "s"))
-        a, b = samples.column("id").to_numpy(), samples.column("other").to_numpy()
-        y = samples.column("label").to_numpy().astype(np.float32)
-        # Sort before shuffling: rows arrive in any order after a retry.
-        order = np.lexsort((y, b, a))
-        rng = np.random.default_rng([s.seed, epoch, *(int(k.as_py()) for k in key)])
-        order = order[rng.permutation(len(order))]
-        di, ri, y = donors.locate(a[order]), receivers.locate(b[order]), y[order]
-        loss = 0.0
-        for start in range(0, len(y), s.batch):
-            d, r, label = (x[start:start + s.batch] for x in (di, ri, y))
-            left, right = donors.vec[d], receivers.vec[r]
-            score = np.einsum("ij,ij->i", left, right)
-            loss += float(np.sum(np.maximum(score, 0) - score * label + np.log1p(np.exp(-np.abs(score)))))
-            slope = ((1 / (1 + np.exp(-score)) - label) / len(label))[:, None].astype(np.float32)
-            donors.adam(d, slope * right, s.learning_rate)
-            receivers.adam(r, slope * left, s.learning_rate)
-        np.add.at(donors.weight, di, 1)
-        np.add.at(receivers.weight, ri, 1)
-        both = [(k, x) for k, x in (("d", donors), ("r", receivers)) if len(x.ids)]
-        parts = [pa.table([pa.array([k] * len(x.ids)), pa.array(x.ids), _list(x.vec), _list(x.m), _list(x.v),
-                           pa.array(x.t), pa.array(x.weight), pa.nulls(len(x.ids), pa.float64())], names=names)
-                 for k, x in both]
-        nothing = _list(np.zeros((1, 0)))
-        parts.append(pa.table([pa.array(["loss"]), pa.array([0]), nothing, nothing, nothing, pa.array([0]),
-                               pa.array([len(y)]), pa.array([loss])], names=names))
-        return pa.concat_tables(parts)
+        donors, receivers, given = _split(table, s.dim)
+        batches = -(-given.num_rows // s.batch)
+        samples, loss = _Samples(given, donors, receivers, batches, s.seed, epoch), 0.0
+        for k in range(batches):
+            d, r, label = samples.batch(k)
+            if not len(d):
+                continue
+            left, right, slope, lost = _slopes(donors, receivers, d, r, label)
+            loss += lost
+            mine, other = _summed(d, slope * right / len(d)), _summed(r, slope * left / len(d))
+            donors.adam(*mine, s.learning_rate)
+            receivers.adam(*other, s.learning_rate)
+        return _result([("d", donors), ("r", receivers)], given.num_rows, loss)
 
     return train_block
 
 
-def _merged(state: DataFrame, dim: int) -> DataFrame:
-    """One row per vector from the parts that trained it: a weighted mean, or the
-    unchanged vector where no part touched it."""
-    weight = F.greatest(F.sum("weight"), F.lit(1))
-    arrays = {}
-    for name in ("vec", "m", "v"):
-        sums = [(F.sum(F.col(name)[i] * F.col("weight")) / weight).cast("float") for i in range(dim)]
-        arrays[name] = F.when(F.sum("weight") == 0, F.first(name)).otherwise(F.array(*sums))
-    return state.groupBy("side", "id").agg(*[c.alias(n) for n, c in arrays.items()], F.max("t").alias("t"))
+def _packed(pair: int, count: int, ids: np.ndarray, total: np.ndarray) -> str:
+    return base64.b64encode(np.array([pair, count, len(ids)], np.int64).tobytes() + ids.astype(np.int64).tobytes() + total.astype(np.float64).tobytes()).decode()
+
 
+def _unpacked(message: str, dim: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    raw = base64.b64decode(message)
+    pair, count, n = np.frombuffer(raw, np.int64, 3).tolist()
+    return pair, count, np.frombuffer(raw, np.int64, n, 24), np.frombuffer(raw, np.float64, n * dim, 24 + 8 * n).reshape(n, dim)
 
-def _samples_in_parts(samples: DataFrame, s: Settings) -> tuple[DataFrame, dict[tuple[int, int], int]]:
-    """Samples with their block pair, written by stratum, and into how many parts each pair is cut.
+
+def _sharing_trainer(s: Settings, epoch: int, slots: list[tuple[int, int, int]]):
+    """For a barrier stage: task k has ``slots[k]``, its block pair, its part and the pair's number of batches.
+
+    Parts of a pair have all its donors and their own receivers. After each batch they exchange how many samples they had
+    of it and the sums of their donor gradients, add these up in the order of the parts, and so stay alike.
+    """
+    rounds = max(n for _, _, n in slots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        pair, part, n_batches = slots[context.partitionId()]
+        donors, receivers, given = _split(pa.Table.from_batches(list(batches)), s.dim)
+        samples, loss = _Samples(given, donors, receivers, n_batches, s.seed, epoch), 0.0
+        for k in range(rounds):
+            mine = other = None
+            if k < n_batches:
+                d, r, label = samples.batch(k)
+                left, right, slope, lost = _slopes(donors, receivers, d, r, label)
+                loss += lost
+                rows, total = _summed(d, slope * right)
+                mine, other = _packed(pair, len(d), donors.ids[rows], total), _summed(r, slope * left)
+            got = [_unpacked(m, s.dim) for m in context.allGather(mine or "") if m]
+            of_pair = [g for g in got if g[0] == pair]
+            count = sum(g[1] for g in of_pair)
+            if k < n_batches and count:
+                rows, total = _summed(np.concatenate([donors.locate(g[2]) for g in of_pair]), np.concatenate([g[3] for g in of_pair]))
+                donors.adam(rows, total / count, s.learning_rate)
+                receivers.adam(other[0], other[1] / count, s.learning_rate)
+        yield from _result([*([("d", donors)] if part == 0 else []), ("r", receivers)], given.num_rows, loss).combine_chunks().to_batches()
+
+    return run
+
+
+def _placed_samples(samples: DataFrame, s: Settings) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+    """Samples with their block pair, written by stratum, and how many each pair that needs several tasks has.
 
     A stratum reads only its own folder. The size table has at most blocks squared rows, so the driver may hold it.
     """
@@ -165,37 +248,49 @@ def _samples_in_parts(samples: DataFrame, s: Settings) -> tuple[DataFrame, dict[
     path = fresh_path(samples.sparkSession, "samples")
     placed.write.partitionBy("shift").parquet(path)
     placed = samples.sparkSession.read.schema(placed.schema).parquet(path)
-    sizes = placed.groupBy("db", "rb").count().collect()
-    return placed, {(x["db"], x["rb"]): -(-x["count"] // s.part_rows) for x in sizes}
+    sizes = placed.groupBy("db", "rb").count().filter(F.col("count") > s.task_rows).collect()
+    return placed, {(x["db"], x["rb"]): x["count"] for x in sizes}
 
 
-def _parts_of(parts: dict[tuple[int, int], int], db: Column, rb: Column, blocks: int) -> Column:
-    cut = {k: n for k, n in parts.items() if n > 1}
-    if not cut:
-        return F.lit(1)
-    entries = [F.lit(x) for (i, j), n in sorted(cut.items()) for x in (i * blocks + j, n)]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), db * blocks + rb), F.lit(1))
+def shared_slots(hot: dict[int, int], slots: int, s: Settings) -> list[tuple[int, int, int]]:
+    """Tasks of a stratum's barrier stage, from the sizes of its large pairs: (pair, part, batches) each; no more than can run at once."""
+    out = []
+    for pair, count in sorted(hot.items()):
+        parts = min(-(-count // s.task_rows), slots // len(hot))
+        if parts > 1:
+            out += [(pair, part, -(-count // s.batch)) for part in range(parts)]
+    return out
 
 
-def _stratum(state: DataFrame, placed: DataFrame, parts: dict[tuple[int, int], int], shift: int, epoch: int,
+def _stratum(state: DataFrame, placed: DataFrame, large: dict[tuple[int, int], int], shift: int, epoch: int,
              s: Settings) -> DataFrame:
-    p = s.blocks
-    cuts = {k: n for k, n in parts.items() if (k[1] - k[0]) % p == shift}
+    p, spark = s.blocks, state.sparkSession
     block = _block(F.col("id"), p)
     task = F.when(F.col("side") == "d", block).otherwise(F.pmod(block - shift, F.lit(p)))
     vectors = state.withColumn("task", task)
-    n_parts = _parts_of(cuts, F.col("task"), F.pmod(F.col("task") + shift, F.lit(p)), p)
-    copies = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-    mine = placed.filter(F.col("shift") == shift)
-    spread = F.pmod(F.xxhash64("id", "other"), _parts_of(cuts, F.col("db"), F.col("rb"), p)).cast("int")
     # Empty rather than null vectors: Arrow transfer of null lists is very slow.
     none = F.array().cast("array<float>")
-    rows = mine.select(F.lit("s").alias("side"), "id", "other", "label", F.col("db").alias("task"), spread.alias("part"),
-                       *[none.alias(c) for c in ("vec", "m", "v")])
+    rows = placed.filter(F.col("shift") == shift).select(
+        F.lit("s").alias("side"), "id", "other", "label", F.col("db").alias("task"), *[none.alias(c) for c in ("vec", "m", "v")])
+    both = vectors.unionByName(rows, allowMissingColumns=True)
+    # Tasks of a barrier stage start together, which executors that come and go do not allow.
+    fixed = spark.conf.get("spark.dynamicAllocation.enabled", "false") == "false"
+    slots = shared_slots({k[0]: n for k, n in large.items() if (k[1] - k[0]) % p == shift}, spark.sparkContext.defaultParallelism if fixed else 1, s)
+    pairs = {pair: sum(x[0] == pair for x in slots) for pair, _, _ in slots}
+    alone = both.filter(~F.col("task").isin(list(pairs))) if pairs else both
     # One partition per task; without a width the small rows would be folded into few tasks.
-    width = p + sum(n - 1 for n in cuts.values())
-    return (copies.unionByName(rows, allowMissingColumns=True).repartition(width, "task", "part")
-            .groupBy("task", "part").applyInArrow(_trainer(s, epoch * p + shift), _STEP))
+    out = cut_lineage(alone.repartition(p, "task").groupBy("task").applyInArrow(_trainer(s, epoch), _STEP))
+    if pairs:
+        first = {pair: min(i for i, x in enumerate(slots) if x[0] == pair) for pair in pairs}
+        table = F.create_map(*[F.lit(x) for pair, n in pairs.items() for x in (pair, F.struct(F.lit(first[pair]).alias("first"), F.lit(n).alias("n")))])
+        there = table[F.col("task")]
+        receiver = F.when(F.col("side") == "r", F.col("id")).otherwise(F.col("other"))
+        part = F.pmod(F.xxhash64(receiver, F.lit(1)), there["n"]).cast("int")
+        slot = F.when(F.col("side") == "d", F.sequence(there["first"], there["first"] + there["n"] - 1)).otherwise(F.array(there["first"] + part))
+        shared = both.filter(F.col("task").isin(list(pairs))).withColumn("slot", F.explode(slot))
+        # Written by itself: a barrier stage cannot be part of a union.
+        out = out.union(cut_lineage(shared.repartitionById(len(slots), "slot").drop("slot", "task").mapInArrow(_sharing_trainer(s, epoch, slots), _STEP, barrier=True)))
+    return out
 
 
 def evaluate(samples: DataFrame, state: DataFrame) -> DataFrame:
@@ -221,18 +316,16 @@ def train(train_set: DataFrame, val_set: DataFrame, donors: DataFrame, receivers
     ``(epoch, train_loss, val_loss, accuracy)`` with one row per epoch."""
     spark = train_set.sparkSession
     s = replace(settings, blocks=block_count(max(donors.count(), receivers.count()), settings))
-    placed, parts = _samples_in_parts(train_set, s)
+    placed, large = _placed_samples(train_set, s)
     state = cut_lineage(init_vectors(donors, "d", s).unionByName(init_vectors(receivers, "r", s)))
     history, best = [], float("inf")
     for epoch in range(1, s.epochs + 1):
         loss_sum = loss_rows = 0.0
         for shift in range(s.blocks):
-            out = cut_lineage(_stratum(state, placed, parts, shift, epoch, s))
+            out = _stratum(state, placed, large, shift, epoch, s)
             got = out.filter("side = 'loss'").agg(F.sum("loss"), F.sum("weight")).first()
             loss_sum, loss_rows = loss_sum + (got[0] or 0.0), loss_rows + (got[1] or 0)
-            state = out.filter("side <> 'loss'")
-            cut_here = any(n > 1 and (k[1] - k[0]) % s.blocks == shift for k, n in parts.items())
-            state = cut_lineage(_merged(state, s.dim)) if cut_here else state.drop("weight", "loss")
+            state = out.filter("side <> 'loss'").drop("weight", "loss")
         val = evaluate(val_set, state).first()
         history.append((epoch, loss_sum / max(loss_rows, 1), val["loss"], val["accuracy"]))
         tags = [f"epoch_{epoch}"] if epoch in KEPT_EPOCHS else []

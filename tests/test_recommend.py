@@ -118,8 +118,8 @@ def test_training_lowers_loss_and_serves(spark, tmp_path):
     rows = [(d, 1000 + r, "x", float(1 + (d * r) % 9)) for d in range(60) for r in range(40) if d % 4 == r % 4]
     grants = spark.createDataFrame([(a, b, None, g) for a, b, _, g in rows], "ein long, recipient_ein long, inferred_ein long, grant_amt double")
     grants.write.parquet(str(tmp_path / "grants"))
-    # part_rows forces block pairs to be cut, as a hot donor would
-    s = TR.Settings(dim=8, epochs=5, batch=32, learning_rate=0.05, init_std=0.1, blocks=2, part_rows=600)
+    # task_rows forces block pairs to be shared by tasks, as a hot donor would
+    s = TR.Settings(dim=8, epochs=5, batch=32, learning_rate=0.05, init_std=0.1, blocks=2, task_rows=600)
     history = J.run_train(spark, str(tmp_path / "grants"), str(tmp_path / "model"), s, negative_ratio=2).orderBy("epoch").collect()
     assert history[-1].val_loss < 0.6931 and history[-1].train_loss < history[0].train_loss
     tags = {p.name for p in (tmp_path / "model" / "vectors").iterdir() if p.is_dir()}
@@ -148,3 +148,56 @@ def test_blocks_follow_the_number_of_entities():
     assert TR.block_count(1000, s) == TR.FEWEST_BLOCKS and TR.block_count(10, TR.Settings(blocks=3)) == 3
     n = TR.block_count(100_000_000, s)
     assert 100_000_000 / n * 64 * 12 <= TR.BLOCK_BYTES < 100_000_000 / (n - 1) * 64 * 12
+
+
+def plain_training(samples, start, s):
+    """One block pair trained batch by batch with Adam, vector by vector."""
+    state = {k: [np.array(v, np.float32), np.zeros(s.dim, np.float32), np.zeros(s.dim, np.float32), 0] for k, v in start.items()}
+    losses = []
+    for epoch in range(1, s.epochs + 1):
+        a, b, y = (np.array(x) for x in zip(*samples))
+        n = -(-len(samples) // s.batch)
+        number, lost = TR.batch_numbers(a, b, y, n, s.seed, epoch), 0.0
+        for k in range(n):
+            grads, own = {}, [x for x, m in zip(samples, number) if m == k]
+            for d, r, label in own:
+                left, right = state["d", d][0].astype(float), state["r", r][0].astype(float)
+                score = left @ right
+                lost += max(score, 0) - score * label + math.log1p(math.exp(-abs(score)))
+                slope = (1 / (1 + math.exp(-score)) - label) / len(own)
+                grads["d", d] = grads.get(("d", d), 0) + slope * right
+                grads["r", r] = grads.get(("r", r), 0) + slope * left
+            for key, g in grads.items():
+                x = state[key]
+                x[3] += 1
+                x[1] = 0.9 * x[1] + 0.1 * g
+                x[2] = 0.999 * x[2] + 0.001 * g * g
+                x[0] = x[0] - s.learning_rate * (x[1] / (1 - 0.9 ** x[3])) / (np.sqrt(x[2] / (1 - 0.999 ** x[3])) + 1e-8)
+        losses.append(lost / len(samples))
+    return {k: x[0] for k, x in state.items()}, losses
+
+
+@pytest.mark.parametrize("task_rows", [10**9, 300, 80])
+def test_steps_equal_plain_adam_however_many_tasks_share_them(spark, tmp_path, task_rows):
+    """One hot donor, one block pair: 1, 2 and 4 tasks take the steps of the plain version."""
+    rnd = random.Random(3)
+    samples = [(0 if rnd.random() < 0.6 else rnd.randrange(1, 20), rnd.randrange(40), rnd.randrange(2)) for _ in range(500)]
+    samples += samples[:5]
+    s = TR.Settings(dim=4, epochs=3, batch=64, learning_rate=0.05, init_std=0.3, blocks=1, task_rows=task_rows)
+    df = spark.createDataFrame(samples, "donor_id long, receiver_id long, label int").repartition(3)
+    donors, receivers = spark.range(20).repartition(2), spark.range(41)
+    assert len(TR.shared_slots({0: 505}, 4, s) if 505 > task_rows else []) == {10**9: 0, 300: 2, 80: 4}[task_rows]
+    history = TR.train(df, df.limit(50), donors, receivers, str(tmp_path / "model"), s).orderBy("epoch").collect()
+    start = {(side, r.id): r.vec for side, ids in (("d", donors), ("r", receivers)) for r in TR.init_vectors(ids, side, s).collect()}
+    want, losses = plain_training(samples, start, s)
+    got = {(side, r.id): r.vec for side, side_df in zip("dr", TR.load_vectors(spark, str(tmp_path / "model"), "final")) for r in side_df.collect()}
+    assert got.keys() == want.keys()
+    assert max(np.abs(np.array(got[k]) - want[k]).max() for k in want) < 2e-4
+    assert [r.train_loss for r in history] == pytest.approx(losses, rel=1e-4)
+
+
+def test_shared_slots_fit_the_cluster():
+    s = TR.Settings(task_rows=100, batch=10)
+    assert TR.shared_slots({3: 1000}, 1, s) == [] and TR.shared_slots({3: 90}, 8, s) == []
+    assert [x[:2] for x in TR.shared_slots({3: 250, 5: 10_000}, 8, s)] == [(3, 0), (3, 1), (3, 2), (5, 0), (5, 1), (5, 2), (5, 3)]
+    assert TR.shared_slots({k: 1000 for k in range(9)}, 8, s) == []
