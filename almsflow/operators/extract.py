@@ -7,6 +7,7 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
@@ -24,52 +25,118 @@ _NS = f"{{{NAMESPACE}}}"
 _BATCH_ROWS, _BATCH_CHARS = 2000, 32_000_000  # what is handed to Arrow at a time
 
 
-def _first_by_tag(root: ET.Element) -> dict[str, ET.Element]:
-    """Tag -> its first element at any depth below ``root``, in document order."""
-    found: dict[str, ET.Element] = {}
-    below = root.iter()
-    next(below)  # the root itself is not its own descendant
-    for element in below:
-        found.setdefault(element.tag, element)
-    return found
+class _Index:
+    """Elements of a document in document order, and the places of each tag among them.
 
+    An element's descendants are a run of places, so its first descendant of a tag is found by binary
+    search, however deep records are nested in each other.
+    """
 
-def filing_rows(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) -> list[dict]:
-    """All dataset rows of one filing. Raises ValueError when it cannot be keyed."""
+    def __init__(self, root: ET.Element):
+        self.elements = list(root.iter())
+        self.places: dict[str, list[int]] = {}
+        for place, element in enumerate(self.elements):
+            self.places.setdefault(element.tag, []).append(place)
+
+    def first(self, tag: str, place: int, end: int) -> ET.Element | None:
+        """The first element of the tag behind ``place`` and before ``end``."""
+        own = self.places.get(tag)
+        if own is None:
+            return None
+        k = bisect_right(own, place)
+        return self.elements[own[k]] if k < len(own) and own[k] < end else None
+
+
+def filing_records(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) -> tuple[dict[str, str], list[tuple]]:
+    """Key of a filing and its dataset rows ``(dataset, seq, columns, texts)``. Raises ValueError when it cannot be keyed."""
     root = ET.fromstring(xml)
-    top = _first_by_tag(root)
-    found = {column: top.get(_NS + element) for column, element in METADATA.items()}
+    index = _Index(root)
+    end = len(index.elements)
+    found = {column: index.first(_NS + element, 0, end) for column, element in METADATA.items()}
     absent = [c for c, e in found.items() if e is None]
     if absent:
         raise ValueError(f"missing {', '.join(absent)}")
     stem = re.sub(r"(?<=.)\.[^.]*$", "", member.rsplit("/", 1)[-1])
     key = {c: e.text for c, e in found.items()} | {"filing_number": stem.split("_")[0], "zip_name": zip_name}
-    form, out, indexed = key["form"], [], {}
+    form, out, ends = key["form"], [], {}
     for spec in specs:
-        tag = _NS + spec.subroots.get(form, "")
-        if tag not in top:
+        records = index.places.get(_NS + spec.subroots.get(form, ""), ())
+        if not records:
             continue
-        names = [(column, _NS + by_form.get(form, "")) for column, by_form in spec.fields.items()]
-        for seq, record in enumerate(e for e in root.iter(tag) if e is not root):
-            # Datasets may share a record (one form body serves two of them).
-            below = indexed.get(record)
-            if below is None:
-                below = indexed[record] = _first_by_tag(record)
-            elements = [(column, below.get(name)) for column, name in names]
-            if spec.keep_empty or any(e is not None for _, e in elements):
-                fields = {c: None if e is None else e.text for c, e in elements}
-                out.append(key | {"dataset": spec.name, "seq": seq, "fields": fields, "member": member, "error": None})
-    return out
-
-
-def _rows_or_error(zip_name: str, member: str, xml: str | None, error: str | None, specs: Sequence[Spec]) -> list[dict]:
-    """Rows of a document, or one quarantine row saying why there are none."""
-    try:
-        if xml is None:
-            raise ValueError(error or "no content")
-        return filing_rows(zip_name, member, xml, specs)
-    except (ET.ParseError, ValueError) as problem:
-        return [{"zip_name": zip_name, "member": member, "error": f"{type(problem).__name__}: {problem}"}]
+        columns = tuple(spec.fields)
+        tags = [_NS + by_form.get(form, "") for by_form in spec.fields.values()]
+        for seq, place in enumerate(p for p in records if p):  # the root is no record
+            stop = ends.get(place)
+            if stop is None:  # datasets may share a record (one form body serves two of them)
+                stop = ends[place] = place + sum(1 for _ in index.elements[place].iter())
+            elements = [index.first(tag, place, stop) for tag in tags]
+            if spec.keep_empty or any(e is not None for e in elements):
+                out.append((spec.name, seq, columns, [None if e is None else e.text for e in elements]))
+    return key, out
+
+
+def filing_rows(zip_name: str, member: str, xml: str, specs: Sequence[Spec]) -> list[dict]:
+    """The dataset rows of one filing as dicts."""
+    key, records = filing_records(zip_name, member, xml, specs)
+    return [key | {"dataset": name, "seq": seq, "fields": dict(zip(columns, texts)), "member": member, "error": None} for name, seq, columns, texts in records]
+
+
+class _Rows:
+    """Dataset rows gathered column by column."""
+
+    KEYS = ("filing_number", "zip_name", "ein", "tax_yr", "form")
+
+    def __init__(self):
+        self.columns: dict[str, list] = {c: [] for c in ("dataset", "seq", *self.KEYS, "member", "error")}
+        self.offsets, self.names, self.texts, self.absent = [0], [], [], []
+
+    def __len__(self) -> int:
+        return len(self.absent)
+
+    def _put(self, values: dict, names: Sequence[str], texts: Sequence[str | None], absent: bool) -> None:
+        for c, held in self.columns.items():
+            held.append(values.get(c))
+        self.names.extend(names)
+        self.texts.extend(texts)
+        self.offsets.append(len(self.names))
+        self.absent.append(absent)
+
+    def add(self, zip_name: str, member: str | None, xml: str | None, error: str | None, specs: Sequence[Spec]) -> None:
+        """Rows of a document, or one quarantine row saying why there are none."""
+        try:
+            if xml is None:
+                raise ValueError(error or "no content")
+            key, records = filing_records(zip_name, member, xml, specs)
+        except (ET.ParseError, ValueError) as problem:
+            self.fail(zip_name, member, f"{type(problem).__name__}: {problem}")
+            return
+        for name, seq, columns, texts in records:
+            self._put(key | {"dataset": name, "seq": seq, "member": member}, columns, texts, False)
+
+    def fail(self, zip_name: str, member: str | None, error: str) -> None:
+        self._put({"zip_name": zip_name, "member": member, "error": error}, (), (), True)
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        # An absent map is null, which an offset array says by a null of its own.
+        offsets = pa.array([None if gone else at for at, gone in zip(self.offsets, [*self.absent, False])], pa.int32())
+        fields = pa.MapArray.from_arrays(offsets, pa.array(self.names, pa.string()), pa.array(self.texts, pa.string()))
+        return pa.RecordBatch.from_arrays([fields if f.name == "fields" else pa.array(self.columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def _row_batches(documents: Iterable[tuple], specs: Sequence[Spec], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of the rows of ``(zip_name, member, xml, error)`` documents; without a member, of a failed archive."""
+    rows, chars = _Rows(), 0
+    for zip_name, member, xml, error in documents:
+        if member is None:
+            rows.fail(zip_name, None, error or "no content")
+        else:
+            rows.add(zip_name, member, xml, error, specs)
+            chars += len(xml or "")
+        if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
+            yield rows.batch(schema)
+            rows, chars = _Rows(), 0
+    if len(rows):
+        yield rows.batch(schema)
 
 
 def _record_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -77,8 +144,6 @@ def _record_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.Reco
         columns = []
         for f in schema:
             values = [row.get(f.name) for row in batch]
-            if pa.types.is_map(f.type):
-                values = [None if v is None else list(v.items()) for v in values]
             columns.append(pa.array(values, f.type))
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -143,11 +208,12 @@ def extract(docs: DataFrame, specs: Sequence[Spec] = SPECS) -> DataFrame:
     document that could not be read. Other documents are unaffected."""
     specs = tuple(specs)
 
-    def rows(doc: dict) -> list[dict]:
-        return _rows_or_error(doc["zip_name"], doc["member"], doc["xml"], doc["error"], specs)
+    schema = to_arrow_schema(T.StructType.fromDDL(ROW_SCHEMA))
 
-    return (docs.select("zip_name", "member", "xml", "error")
-            .mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _row_batches((d for b in batches for d in zip(*(b.column(c).to_pylist() for c in ("zip_name", "member", "xml", "error")))), specs, schema)
+
+    return docs.select("zip_name", "member", "xml", "error").mapInArrow(run, ROW_SCHEMA)
 
 
 def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], specs: Sequence[Spec] = SPECS) -> DataFrame:
@@ -155,21 +221,27 @@ def extract_members(chunks: DataFrame, open_archive: Callable[[str], object], sp
     storage, so document text never passes through the JVM. A chunk with an error becomes one error row."""
     specs = tuple(specs)
 
-    def rows(chunk: dict) -> Iterator[dict]:
-        zip_name = chunk["path"].rsplit("/", 1)[-1]
-        if chunk["error"]:
-            yield {"zip_name": zip_name, "error": chunk["error"]}
+    schema = to_arrow_schema(T.StructType.fromDDL(ROW_SCHEMA))
+
+    def documents_of(path: str, members: Sequence[str] | None, error: str | None) -> Iterator[tuple]:
+        zip_name = path.rsplit("/", 1)[-1]
+        if error:
+            yield zip_name, None, None, error
             return
         try:
-            source = open_archive(chunk["path"])
+            source = open_archive(path)
         except OSError as problem:
-            yield {"zip_name": zip_name, "error": f"unreadable_archive: {problem}"}
+            yield zip_name, None, None, f"unreadable_archive: {problem}"
             return
         with source:
-            for doc in archive_documents(zip_name, source, list(chunk["members"])):
-                yield from _rows_or_error(doc["zip_name"], doc["member"], doc["xml"], doc["error"], specs)
+            for doc in archive_documents(zip_name, source, list(members)):
+                yield doc["zip_name"], doc["member"], doc["xml"], doc["error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunked = (c for b in batches for c in zip(*(b.column(x).to_pylist() for x in ("path", "members", "error"))))
+        return _row_batches((d for c in chunked for d in documents_of(*c)), specs, schema)
 
-    return chunks.select("path", "members", "error").mapInArrow(in_batches(rows, ROW_SCHEMA), ROW_SCHEMA)
+    return chunks.select("path", "members", "error").mapInArrow(run, ROW_SCHEMA)
 
 
 def quarantined(extracted: DataFrame) -> DataFrame:

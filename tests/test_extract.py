@@ -1,4 +1,6 @@
 import io
+import random
+import xml.etree.ElementTree as ET
 import zipfile
 
 import pytest
@@ -51,6 +53,25 @@ def test_any_depth_and_first_in_document_order():
     assert [r["fields"]["CityNm"] for r in rows(filing("990", nested))] == ["Ely", "Ada"]
 
 
+def test_nested_records_equal_a_plain_search():
+    rnd, tags = random.Random(8), ["RecipientTable", "CityNm", "CashGrantAmt", "BusinessNameLine1Txt", "Other"]
+
+    def element(depth):
+        tag = rnd.choice(tags)
+        inner = "".join(element(depth - 1) for _ in range(rnd.randrange(4))) if depth else str(rnd.randrange(100))
+        return f"<{tag}>{inner}</{tag}>"
+
+    spec = BY_NAME["grant_details"]
+    for _ in range(60):
+        xml = filing("990", "".join(element(5) for _ in range(3)))
+        want = []
+        for seq, record in enumerate(ET.fromstring(xml).iter(E._NS + "RecipientTable")):
+            found = {c: record.find(f".//{E._NS}{by_form['990']}") if by_form.get("990") else None for c, by_form in spec.fields.items()}
+            if any(e is not None for e in found.values()):
+                want.append((seq, {c: None if e is None else e.text for c, e in found.items()}))
+        assert [(r["seq"], r["fields"]) for r in rows(xml)] == want
+
+
 def archive(members, broken=False):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
