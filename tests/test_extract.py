@@ -6,7 +6,7 @@ import zipfile
 import pytest
 
 from almsflow.operators import extract as E
-from almsflow.plans import jobs as J
+from almsflow.plans import filingdocs as FD, jobs as J
 from almsflow.plans.specs import SPECS, Spec
 from almsflow.sources import archives, tables
 from almsflow.streaming.ingest import ingest_archives
@@ -213,3 +213,32 @@ def test_bad_keys_and_missing_tokens_on_the_job_path(spark):
     kept = E.dataset(extracted, spec, schema).collect()
     assert [r[name] for r in kept] == [None] and len(kept) == 1
     assert E.bad_keys(extracted, spec, schema).count() == 3
+
+
+def test_archives_are_small_and_read_in_one_pass(spark, monkeypatch):
+    """Archives of a bounded number of members, read one at a time, give the rows of the two-step way."""
+    docs = spark.createDataFrame([("z", f"{i}_public.xml", GOOD) for i in range(30)], "zip_name string, member string, xml string").coalesce(1)
+    monkeypatch.setattr(FD, "ARCHIVE_MEMBERS", 7)
+    packed = FD.zipped(docs)
+    assert sorted(len(zipfile.ZipFile(io.BytesIO(r.content)).namelist()) for r in packed.collect()) == [2, 7, 7, 7, 7]
+    df = packed.union(spark.createDataFrame([("/x/a.zip", archive(MEMBERS)), ("/x/b.zip", archive({}, True))], "path string, content binary"))
+    one, two = (sorted(map(str, d.collect())) for d in (E.extract_contents(df), E.extract(E.documents(df))))
+    assert one == two and len(one) == 36
+
+
+def test_wide_rows_equal_mapped_ones(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(archive(MEMBERS))
+    (tmp_path / "b.zip").write_bytes(archive({}, True))
+    listed = archives.zip_listing(spark, str(tmp_path))
+    fields = list(dict.fromkeys(f for s in SPECS for f in s.fields))
+    head = ["dataset", "seq", "filing_number", "zip_name", "ein", "tax_yr", "form", "member", "error"]
+    wide = archives.extract_archives(listed, SPECS, wide=True).select(*head, *fields).collect()
+    mapped = archives.extract_archives(listed, SPECS).selectExpr(*head, *[f"fields['{c}'] AS {c}" for c in fields]).collect()
+    assert sorted(map(str, wide)) == sorted(map(str, mapped)) and {r.dataset for r in wide} == {None, "grant_details"}
+
+
+def test_a_large_record_is_searched_like_a_small_one(monkeypatch):
+    xml = filing("990", "".join(f"<RecipientTable><A><CityNm>{i}</CityNm></A><CityNm/><CashGrantAmt>{i}</CashGrantAmt></RecipientTable>" for i in range(9)))
+    small = rows(xml)
+    monkeypatch.setattr(E, "_SMALL_RECORD", 1)
+    assert rows(xml) == small and [r["fields"]["CityNm"] for r in small] == [str(i) for i in range(9)]
