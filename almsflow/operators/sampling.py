@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from almsflow.operators.relational import union_all, without_pairs
 from almsflow.runtime import cut_lineage
 
 _HALF = (1 << 32) - 1
+#: Donors whose attempts a task holds at a time.
+IN_PLACE = 500
 #: Odd multipliers below 2^31, one a round, so that a product of 32-bit halves fits a long.
 MULTIPLIERS = (0x5851F42D, 0x4C957F2D, 0x2545F491, 0x61C88647, 0x7FEB352D, 0x3C6EF35F)
 
@@ -67,6 +73,62 @@ def _first_wanted(misses: DataFrame) -> DataFrame:
             .select("donor_id", "receiver_id"))
 
 
+def _likely(n: Column, want: Column, total: Column, n_receivers: int, tries: int) -> Column:
+    """About as many attempts as the donor's odds call for."""
+    odds = F.greatest(1 - n / F.lit(float(n_receivers)), F.lit(1.0 / tries))
+    return F.least(total, F.ceil(want / odds * 1.05 + 8))
+
+
+def _drawn(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
+    """:func:`draw` of whole arrays."""
+    half, (a, b) = np.uint64(_HALF), (x.astype(np.int64).view(np.uint64) for x in (a, b))
+    keys, left, right = (a & half, a >> np.uint64(32)), b & half, b >> np.uint64(32)
+    for i, (multiplier, constant) in enumerate(zip(MULTIPLIERS, round_constants(seed))):
+        mixed = (right ^ keys[i % 2] ^ np.uint64(constant)) * np.uint64(multiplier)
+        left, right = right, left ^ (mixed >> np.uint64(15) & half)
+    return (left << np.uint64(31) | right >> np.uint64(1)).astype(np.int64)
+
+
+def _first_misses(donors: np.ndarray, want: np.ndarray, tried: np.ndarray, real: np.ndarray, n_receivers: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the donor and receiver of the first ``want`` of ``tried`` attempts that hit none of the real pairs
+    (sorted ``place * n_receivers + receiver``), donor by donor in the order of the attempts."""
+    row = np.repeat(np.arange(len(donors)), tried)
+    attempt = np.arange(len(row)) - np.repeat(np.cumsum(tried) - tried, tried)
+    receiver = _drawn(donors[row], attempt, seed) % n_receivers
+    key = row * n_receivers + receiver
+    at = np.searchsorted(real, key)
+    miss = np.ones(len(key), bool)
+    miss[at < len(real)] = real[at[at < len(real)]] != key[at < len(real)]
+    row, receiver = row[miss], receiver[miss]
+    nth = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[nth < want[row]], receiver[nth < want[row]]
+
+
+def _in_place(donors: DataFrame, n_receivers: int, tries: int, seed: int) -> DataFrame:
+    """The first ``want`` misses of donors that have few pairs, whose receivers stand in their row: no attempt is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, IN_PLACE):
+                batch = whole.slice(at, IN_PLACE)
+                ids, want, tried, total = (batch.column(c).to_numpy().astype(np.int64) for c in ("donor_id", "want", "tried", "total"))
+                lists = batch.column("receivers")
+                known = lists.flatten().to_numpy().astype(np.int64)
+                own = np.repeat(np.arange(len(ids)), pc.list_value_length(lists).to_numpy())
+                fits = (known >= 0) & (known < n_receivers)
+                real = np.sort(own[fits] * n_receivers + known[fits])
+                row, receiver = _first_misses(ids, want, tried, real, n_receivers, seed)
+                short = (np.bincount(row, minlength=len(ids)) < want) & (tried < total)
+                if short.any():
+                    tried = np.where(short, total, tried)
+                    row, receiver = _first_misses(ids, want, tried, real, n_receivers, seed)
+                if len(row):
+                    yield pa.RecordBatch.from_arrays([batch.column("donor_id").take(pa.array(row)), pa.array(receiver)], names=["donor_id", "receiver_id"])
+
+    likely = _likely(F.col("n"), F.col("want"), F.col("total"), n_receivers, tries)
+    asked = donors.select("donor_id", "want", likely.cast("long").alias("tried"), "total", "receivers")
+    return asked.mapInArrow(run, f"donor_id {donors.schema['donor_id'].dataType.simpleString()}, receiver_id bigint")
+
+
 def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries: int = 3, seed: int = 42,
                      chunk: int = 4096) -> DataFrame:
     """``(donor_id, receiver_id)`` rows that are not real pairs, repeats allowed.
@@ -74,13 +136,29 @@ def negative_samples(pairs: DataFrame, n_receivers: int, ratio: int = 5, tries:
     A donor with n pairs makes up to ``n*ratio*tries`` attempts and keeps the
     first ``n*ratio`` that miss its real pairs. A first round makes about as
     many attempts as the donor's odds call for; the few donors that fall short
-    go through all of theirs.
+    go through all of theirs. Donors with at most ``chunk`` attempts make them in
+    their own row; only those with more are dealt over the cluster.
     """
     want, n = F.col("want"), F.col("n")
     donors = (pairs.groupBy("donor_id").agg(F.count(F.lit(1)).alias("n"))
               .select("donor_id", "n", (n * ratio).alias("want"), (n * ratio * tries).alias("total")))
-    odds = F.greatest(1 - n / F.lit(float(n_receivers)), F.lit(1.0 / tries))
-    likely = F.least(F.col("total"), F.ceil(want / odds * 1.05 + 8))
+    # A place and a receiver are one long in a task; with more receivers than that allows, all donors go the other way.
+    few = (F.col("total") <= chunk) & F.col("donor_id").isNotNull() & F.lit(n_receivers < (1 << 62) // IN_PLACE)
+    own = pairs.join(donors.filter(few).select("donor_id"), "donor_id", "left_semi").groupBy("donor_id").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set("receiver_id").alias("receivers")).select(
+        "donor_id", "n", (n * ratio).alias("want"), (n * ratio * tries).alias("total"), "receivers")
+    many = donors.filter(~few)
+    return _in_place(own, n_receivers, tries, seed).unionByName(_dealt(many, pairs, n_receivers, tries, seed, chunk))
+
+
+def _dealt(donors: DataFrame, pairs: DataFrame, n_receivers: int, tries: int, seed: int, chunk: int) -> DataFrame:
+    """The first ``want`` misses of donors with many pairs, their attempts in chunks."""
+    want = F.col("want")
+    donors = cut_lineage(donors)
+    if donors.isEmpty():
+        return pairs.select("donor_id", "receiver_id").limit(0)
+    pairs = pairs.join(donors.select("donor_id"), "donor_id", "left_semi")
+    likely = _likely(F.col("n"), want, F.col("total"), n_receivers, tries)
     first = cut_lineage(_misses(donors, pairs, likely, n_receivers, seed, chunk))
     got = first.groupBy("donor_id").agg(F.count(F.lit(1)).alias("got"))
     short = (donors.withColumn("tried", likely).join(got, "donor_id", "left")

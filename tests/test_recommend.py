@@ -201,3 +201,14 @@ def test_shared_slots_fit_the_cluster():
     assert TR.shared_slots({3: 1000}, 1, s) == [] and TR.shared_slots({3: 90}, 8, s) == []
     assert [x[:2] for x in TR.shared_slots({3: 250, 5: 10_000}, 8, s)] == [(3, 0), (3, 1), (3, 2), (5, 0), (5, 1), (5, 2), (5, 3)]
     assert TR.shared_slots({k: 1000 for k in range(9)}, 8, s) == []
+
+
+def test_few_attempts_are_made_in_place(spark):
+    """Donors with few pairs send no attempt through a shuffle, and draw what dealt attempts draw."""
+    rnd = random.Random(5)
+    pairs = [(d, rnd.randrange(60)) for d in range(40) for _ in range(rnd.randrange(1, 50))] + [(3, None), (None, 4), (7, -1), (7, 10**6)]
+    df = spark.createDataFrame(pairs, "donor_id long, receiver_id long")
+    a, b = (sorted(map(str, SM.negative_samples(df, 60, chunk=c).collect())) for c in (4096, 64))
+    assert a == b
+    some = spark.createDataFrame([p for p in pairs if p[0] is not None], "donor_id long, receiver_id long")
+    assert "Generate" not in SM.negative_samples(some, 60)._jdf.queryExecution().optimizedPlan().toString()
