@@ -85,3 +85,15 @@ def test_union_keeps_extra_columns(spark):
     a, b = spark.range(1).withColumn("x", F.lit(1)), spark.range(1)
     assert {(r.id, r.x) for r in R.union_all(a, b).collect()} == {(0, 1), (0, None)}
     assert R.union_all(a, b).columns == ["id", "x"]
+
+
+def test_combinations_are_made_in_pieces(spark, monkeypatch):
+    """Repeated ids, one of them very often: all combinations, in more tasks than the few rows would get."""
+    rows = [(i % 3 if i % 2 else 7, f"d{i}", float(i), None if i % 5 == 0 else f"e{i}", 2.0 * i) for i in range(60)] + [(None, "n", 1.0, "m", 2.0)] + [(7, "same", 1.0, "same", 1.0)] * 3
+    df = spark.createDataFrame(rows, "k int, Description1Txt string, Expenses1Amt double, Description2Txt string, Expenses2Amt double")
+    numbered = [[f"{s}{i}{t}" for i in (1, 2)] for s, t in (("Description", "Txt"), ("Expenses", "Amt"))]
+    monkeypatch.setattr(reshape, "PIECE", 50)
+    got = reshape.pair_to_rows(df, ["k"], *numbered, "melt_join")
+    assert "_piece" in got._jdf.queryExecution().optimizedPlan().toString()
+    want = [(a[0], a[j], b[j + 1]) for j in (1, 3) for a in rows for b in rows if a[j] is not None and a[0] is not None and a[0] == b[0]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
