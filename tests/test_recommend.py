@@ -212,3 +212,18 @@ def test_few_attempts_are_made_in_place(spark):
     assert a == b
     some = spark.createDataFrame([p for p in pairs if p[0] is not None], "donor_id long, receiver_id long")
     assert "Generate" not in SM.negative_samples(some, 60)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_follow_the_number_of_samples():
+    """Pairs of blocks that grow past a bound would be shared by tasks that meet at every batch."""
+    assert TR.enough_blocks(4, 16 * TR.PAIR_ROWS) == 4 and TR.enough_blocks(4, 0) == 4
+    n = TR.enough_blocks(4, 184 * TR.PAIR_ROWS)
+    assert 184 / n**2 <= 1 < 184 / (n - 1)**2
+
+
+def test_candidates_of_a_block_stand_in_memory_once():
+    rnd = np.random.default_rng(2)
+    held = [(rnd.permutation(10) * 3 + i, rnd.random((10, 4), np.float32)) for i in range(3)]
+    want = {i: v for ids, values in held for i, v in zip(ids.tolist(), values.astype(np.float64).tolist())}
+    ids, values = RC._block(held)
+    assert held == [] and ids.tolist() == sorted(want) and values.tolist() == [want[i] for i in sorted(want)]
