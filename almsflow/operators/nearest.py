@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from almsflow.functions.similarity import lcs_lengths
 from almsflow.runtime import cut_lineage
 
-LEFT_CHUNK, RIGHT_CHUNK = 4_096, 32_768
+#: A group of chunks is one task's work at least, so their product bounds the longest task.
+LEFT_CHUNK, RIGHT_CHUNK = 1_024, 4_096
 #: Pairs of one block looked at directly, meetings expanded at a time, strings scored together.
 SMALL, EXPANDED, TOGETHER = 256, 2_000_000, 20_000
 #: Ranges of the gram order that the suffix filter counts in.
 RANGES = 16
 #: Pairs of strings in the blocks of one task, about.
-PAIRS_PER_TASK = 20_000_000
+PAIRS_PER_TASK = 4_000_000
 _EPS = 1e-9
 
 

@@ -209,3 +209,9 @@ def test_few_page_titles_are_scored(spark):
         pairs += len(own) * len(other)
         tried += searched(own, other, 85)[1] if other else 0
     assert 0 < tried < pairs / 100
+
+
+def test_the_longest_task_of_a_block_is_bounded():
+    """A group of two chunks is never divided, so chunks must stay about as small as the work meant for a task."""
+    from almsflow.operators import nearest
+    assert nearest.LEFT_CHUNK * nearest.RIGHT_CHUNK <= 1.1 * nearest.PAIRS_PER_TASK <= 5_000_000
