@@ -2,7 +2,7 @@
 
 The longest common subsequence has no built-in expression, so it runs as an
 Arrow-batched function that scores a whole batch of pairs at once: one bit per
-position of the shorter string, one vector operation per position of the longer
+position of the first string, a few vector operations per position of the second
 (Hyyro's bit-parallel recurrence, 2004).
 """
 
@@ -14,73 +14,85 @@ from pyspark.sql import Column, functions as F, types as T
 
 from almsflow.functions.text import sorted_tokens
 
-_CELLS = 4_000_000  # mask cells held at once by one batch slice
-
-
-def _codes(texts: list[str], lengths: np.ndarray, width: int) -> np.ndarray:
-    """Code points plus one as an (n, width) matrix, padded with 0."""
-    out = np.zeros((len(texts), width), dtype=np.uint32)
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    out[np.arange(width) < lengths[:, None]] = flat + 1
-    return out
-
-
-def _lcs_slice(short: list[str], long: list[str]) -> np.ndarray:
-    n = len(short)
-    len_s, len_l = (np.array([len(t) for t in side]) for side in (short, long))
-    ws, wl = max(1, len_s.max()), max(1, len_l.max())
-    words = (ws + 63) // 64
-    a, b = _codes(short, len_s, ws), _codes(long, len_l, wl)
-    used = np.zeros(int(max(a.max(), b.max())) + 1, dtype=bool)
-    used[a], used[b], used[0] = True, True, True
-    dense = np.cumsum(used) - 1  # padding keeps number 0
-    a_ids, b_ids = dense[a], dense[b]
-    rows = np.arange(n)
-    masks = np.zeros((words, n, int(dense[-1]) + 1), dtype=np.uint64)
-    for pos in range(ws):
-        masks[pos // 64, rows, a_ids[:, pos]] |= np.uint64(1 << (pos % 64))
-    masks[:, :, 0] = 0
-    state = np.full((words, n), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for pos in range(wl):
-        carry = np.zeros(n, dtype=np.uint64)
-        ids = b_ids[:, pos]
-        for w in range(words):
-            row = state[w]
-            hit = masks[w, rows, ids]
-            total = row + (row & hit)
-            over = total < row
-            total = total + carry
-            carry = (over | (total < carry)).astype(np.uint64)
-            state[w] = total | (row & ~hit)
-    zeros = np.zeros(n, dtype=np.int64)
-    for w in range(words):
-        bits = np.clip(len_s - 64 * w, 0, 64)
-        keep = np.where(bits >= 64, np.uint64(0xFFFFFFFFFFFFFFFF),
-                        (np.uint64(1) << np.minimum(bits, 63).astype(np.uint64)) - np.uint64(1))
-        zeros += np.bitwise_count(~state[w] & keep)
-    return zeros
+_CELLS = 4_000_000  # mask cells held at once
+_TOGETHER = 8_192  # pairs scored at once, so that their state stays in the cache
+
+
+class Lcs:
+    """Longest common subsequences of pairs of rows of two lists of strings.
+
+    Where each character occurs in a left string is worked out once for all its pairs.
+    """
+
+    def __init__(self, left: list[str], right: list[str]):
+        (a, self.a_lengths, self.a_starts), (b, self.b_lengths, self.b_starts) = self._flat(left), self._flat(right)
+        known, self.a = np.unique(a, return_inverse=True)
+        near = np.searchsorted(known, b)
+        self.width = len(known) + 1
+        # A character that no left string has gets the last column, which stays empty.
+        self.b = np.where(np.append(known, -1)[near] == b, near, len(known))
+        self.words = (self.a_lengths + 63) // 64
+
+    @staticmethod
+    def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.array([len(t) for t in texts], np.int64)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        return codes, lengths, np.cumsum(lengths) - lengths
+
+    def lengths(self, l: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Of the pairs (l[0], r[0]), (l[1], r[1]), ..."""
+        out = np.zeros(len(l), np.int64)
+        rows = np.unique(l)
+        for words in np.unique(self.words[rows]).tolist():
+            own = rows[self.words[rows] == words] if words else rows[:0]  # an empty string shares nothing
+            step = max(1, _CELLS // (words * self.width or 1))
+            for part in (own[at:at + step] for at in range(0, len(own), step)):
+                number = np.full(len(self.words), -1)
+                number[part] = np.arange(len(part))
+                pairs = np.flatnonzero(number[l] >= 0)
+                pairs = pairs[np.argsort(-self.b_lengths[r[pairs]], kind="stable")]
+                masks = self._masks(part, words)
+                for at in range(0, len(pairs), _TOGETHER):
+                    some = pairs[at:at + _TOGETHER]
+                    out[some] = self._score(masks, number[l[some]], r[some])
+        return out
+
+    def _masks(self, rows: np.ndarray, words: int) -> np.ndarray:
+        """Per word, row and character (flat) a bit for every place of the character in the row."""
+        sizes = self.a_lengths[rows]
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        cell = (place // 64 * len(rows) + np.repeat(np.arange(len(rows)), sizes)) * self.width + self.a[np.repeat(self.a_starts[rows], sizes) + place]
+        masks = np.zeros(words * len(rows) * self.width, np.uint64)
+        np.add.at(masks, cell, np.uint64(1) << (place % 64).astype(np.uint64))  # all bits of a cell differ
+        return masks.reshape(words, -1)
+
+    def _score(self, masks: np.ndarray, rows: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Pairs in descending order of the right lengths, so that those not yet at their end come first."""
+        first, starts, lengths = rows * self.width, self.b_starts[r], self.b_lengths[r]
+        state = np.full((len(masks), len(r)), np.uint64(0xFFFFFFFFFFFFFFFF))
+        open_pairs = np.searchsorted(-lengths, -np.arange(lengths.max(initial=0)), side="left")
+        for place, n in enumerate(open_pairs.tolist()):
+            cell = first[:n] + self.b[starts[:n] + place]
+            carry = None
+            for word, own in enumerate(masks):
+                row = state[word, :n]
+                hit = row & own[cell]
+                total = row + hit
+                if len(masks) > 1:
+                    over = total < row
+                    if carry is not None:
+                        total = total + carry
+                        over |= total < carry
+                    carry = over.astype(np.uint64)
+                state[word, :n] = total | (row ^ hit)
+        # Bits behind the end of a left string occur in no mask and stay set.
+        return np.bitwise_count(~state).sum(axis=0, dtype=np.int64)
 
 
 def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
-    """LCS length of each pair; pairs of similar size are scored together."""
-    out = np.zeros(len(left), dtype=np.int64)
-    if not left:
-        return out
-    pairs = [(a, b) if len(a) <= len(b) else (b, a) for a, b in zip(left, right, strict=True)]
-    order = sorted(range(len(pairs)), key=lambda i: len(pairs[i][1]))
-    start = 0
-    while start < len(order):
-        # Sizes grow along `order`: take as many pairs as fit the mask budget.
-        stop = start + 1
-        while stop < len(order):
-            width = len(pairs[order[stop]][1])
-            if (stop - start + 1) * (width // 64 + 1) * 128 > _CELLS:
-                break
-            stop += 1
-        ids = order[start:stop]
-        out[ids] = _lcs_slice([pairs[i][0] for i in ids], [pairs[i][1] for i in ids])
-        start = stop
-    return out
+    """LCS length of each pair."""
+    each = np.arange(len(left))
+    return Lcs(left, right).lengths(each, each)
 
 
 @F.pandas_udf(T.IntegerType())

@@ -1,21 +1,22 @@
 """Best partners of strings under the indel score, inside blocks, without scoring all pairs.
 
-Two strings of lengths a, b that score t or more have a common subsequence of L >= t (a + b) / 200 characters.
-An adjacent pair of characters (a "gram") of the first survives unless it is broken, so the strings share at
-least 3 L - a - b - 1 grams, counted as a multiset. From this bound follow, in this order:
-
-* prefix filter: with grams ordered rare to common, the first grams of both strings meet (set-similarity join:
-  Chaudhuri et al. 2006, Xiao et al. 2008). Only prefixes are indexed;
-* length and position filter: what stands behind the place of the first meeting must suffice for the bound;
-* suffix filter: grams counted per range of the order differ by no more than the bound allows;
-* exact count: the shared grams are counted, and turned round they bound the score of the pair from above;
+Two strings of lengths a, b that score t or more have a common subsequence of L >= t (a + b) / 200 characters,
+and L is bounded from above by what the strings share as multisets:
+
+* lengths: L <= min(a, b);
+* characters: L is at most the number of shared characters;
+* adjacent pairs of characters ("grams"): a gram of the first survives unless it is broken, so the strings share at
+  least 3 L - a - b - 1 grams (count filter: Gravano et al. 2001), and L <= (shared + a + b + 1) / 3;
 * scoring stops: the partners of a string are scored in the order of that upper bound, and no longer once it
   falls below the best score found.
 
-No pair is lost at any threshold: lengths for which the bound guarantees no shared gram are paired by length.
+What all pairs of two chunks share is counted at once: a string is a row of zeros and ones, one column per character or
+gram and repetition, and the product of both sides' matrices holds the counts. Rare columns are cheaper pair by pair.
+No pair is lost at any threshold.
 
 A block's strings are dealt into chunks; every left chunk meets every right chunk in one group of bounded size,
-so a block that holds a third of all rows is spread like any other. Small groups are scored together.
+so a block that holds a third of all rows is spread like any other. Small groups are scored together. The number of
+pairs looked at stays the square of a block; what a pair costs is some tens of nanoseconds.
 """
 
 from __future__ import annotations
@@ -27,15 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from almsflow.functions.similarity import lcs_lengths
+from almsflow.functions.similarity import Lcs
 from almsflow.runtime import cut_lineage
 
 #: A group of chunks is one task's work at least, so their product bounds the longest task.
-LEFT_CHUNK, RIGHT_CHUNK = 1_024, 4_096
-#: Pairs of one block looked at directly, meetings expanded at a time, strings scored together.
+LEFT_CHUNK, RIGHT_CHUNK = 2_048, 2_048
+#: Pairs of one block looked at directly, pairs or meetings held at a time, strings scored together.
 SMALL, EXPANDED, TOGETHER = 256, 2_000_000, 20_000
-#: Ranges of the gram order that the suffix filter counts in.
-RANGES = 16
+#: Columns multiplied at a time, and the share of all pairs from which on a column is multiplied.
+COLUMNS, DENSE = 1_024, 1 / 200
 #: Pairs of strings in the blocks of one task, about.
 PAIRS_PER_TASK = 4_000_000
 _EPS = 1e-9
@@ -46,58 +47,30 @@ def needed(a, b, threshold: float):
     return np.ceil((a + b) * threshold / 200 - _EPS).astype(np.int64)
 
 
-def shared_at_least(a, b, threshold: float):
-    """Grams that two strings of these lengths share if they reach the threshold; none are certain at 0 or below."""
-    return 3 * needed(a, b, threshold) - a - b - 1
-
-
-def partner_lengths(n, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Shortest and longest string that can reach the threshold with strings of length n."""
-    if threshold <= 0:
-        return np.zeros_like(n), np.full_like(n, np.iinfo(np.int64).max)
-    return np.ceil(n * threshold / (200 - threshold) - _EPS).astype(np.int64), np.floor(n * (200 - threshold) / threshold + _EPS).astype(np.int64)
+def _repeated(items: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items with their number of repetition in the row (the k-th of an item in a row is an item of its own), and their rows."""
+    size = items.max(initial=0) + 1
+    both = np.sort(row * size + items)
+    index = np.arange(len(both))
+    fresh = np.concatenate([[True], both[1:] != both[:-1]])[:len(both)]
+    row, items = np.divmod(both, size)
+    return items << 20 | np.minimum(index - np.maximum.accumulate(np.where(fresh, index, 0)), (1 << 20) - 1), row
 
 
-def prefix_length(n: int, threshold: float) -> int:
-    """How many first grams of a string of length n have one in common with every partner's first grams."""
-    if threshold <= 0:
-        return n
-    low, high = (int(x[0]) for x in partner_lengths(np.array([n]), threshold))
-    partners = np.arange(low, high + 1)
-    return int(max((n - 1 - shared_at_least(n, partners, threshold) + 1).max(initial=0), 0))
+def _characters(*sides: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """Per side the characters of all texts (flat), numbered alike, and the text of each; and how many numbers there are."""
+    codes = [np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) for texts in sides]
+    used = np.zeros(max(int(c.max(initial=0)) for c in codes) + 1, bool)
+    for c in codes:
+        used[c] = True
+    number = np.cumsum(used) - 1
+    return [(number[c], np.repeat(np.arange(len(texts)), [len(t) for t in texts])) for c, texts in zip(codes, sides)], int(used.sum())
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Grams of all texts (flat; the k-th repetition of one in a text is a gram of its own), the text of each, and all lengths."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), lengths)
+def _grams(characters: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacent pairs of characters inside the texts, and the text of each."""
     inside = np.flatnonzero(owner[1:] == owner[:-1])
-    grams, row = codes[inside] << 41 | codes[inside + 1] << 20, owner[inside]
-    order = np.lexsort((grams, row))
-    grams, row, index = grams[order], row[order], np.arange(len(order))
-    fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])])[:len(grams)]
-    return grams | np.minimum(index - np.maximum.accumulate(np.where(fresh, index, 0)), (1 << 20) - 1), row, lengths
-
-
-class _Side:
-    """Ranked grams of the texts of one side, rows one after the other, rare grams first."""
-
-    def __init__(self, rank: np.ndarray, row: np.ndarray, lengths: np.ndarray, ranges: np.ndarray):
-        order = np.lexsort((rank, row))
-        self.rank, self.row, self.lengths = rank[order], row[order], lengths
-        self.counts = np.bincount(self.row, minlength=len(lengths))
-        self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self.place = np.arange(len(self.rank)) - self.starts[self.row]
-        known = self.rank >= 0
-        key = self.row[known] * RANGES + np.searchsorted(ranges, self.rank[known], side="right")
-        self.spread = np.bincount(key, minlength=len(lengths) * RANGES).reshape(-1, RANGES).astype(np.int32)
-        self.unknown = np.bincount(self.row[~known], minlength=len(lengths))
-
-    def prefix(self, threshold: float) -> np.ndarray:
-        """Places of the prefix grams."""
-        kept = {n: prefix_length(n, threshold) for n in np.unique(self.lengths).tolist()}
-        return np.flatnonzero(self.place < np.array([kept[n] for n in self.lengths.tolist()], np.int64)[self.row])
+    return characters[inside] * size + characters[inside + 1], owner[inside]
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -115,6 +88,49 @@ def _slices(weights: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+class _Shared:
+    """How many items every left row shares with every right row, as multisets."""
+
+    def __init__(self, left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], n_left: int, n_right: int):
+        self.n_right = n_right
+        sides = [_repeated(*left), _repeated(*right)]
+        common = np.intersect1d(sides[0][0], sides[1][0])
+        columns, counts = [], []
+        for items, row in sides:
+            at = np.searchsorted(common, items)
+            own = np.flatnonzero(common[np.minimum(at, len(common) - 1)] == items) if len(common) else np.empty(0, np.int64)
+            columns.append((at[own], row[own]))
+            counts.append(np.bincount(at[own], minlength=len(common)))
+        dense = counts[0] * counts[1] >= n_left * n_right * DENSE
+        number = np.cumsum(dense) - 1
+        self.width = int(dense.sum())
+        self.dense = [(number[c[dense[c]]], r[dense[c]]) for c, r in columns]
+        # Rare columns: the left entries in the order of their rows, the right entries in that of their columns.
+        (c, r), (rc, rr) = ((c[~dense[c]], r[~dense[c]]) for c, r in columns)
+        self.row, column = r, c
+        self.right = rr[np.argsort(rc, kind="stable")]
+        ends = np.cumsum(np.bincount(rc, minlength=len(common)))
+        self.sizes = counts[1][column]
+        self.starts = ends[column] - self.sizes
+
+    def of(self, begin: int, end: int) -> np.ndarray:
+        """The counts of the left rows from ``begin`` to before ``end``."""
+        out = np.zeros((end - begin, self.n_right), np.float32)
+        for low in range(0, self.width, COLUMNS):
+            part = []
+            for (column, row), first, n in zip(self.dense, (begin, 0), (end - begin, self.n_right)):
+                own = (column >= low) & (column < low + COLUMNS) & (row >= first) & (row < first + n)
+                part.append(np.zeros((n, min(COLUMNS, self.width - low)), np.float32))
+                part[-1][row[own] - first, column[own] - low] = 1
+            out += part[0] @ part[1].T
+        own = slice(*np.searchsorted(self.row, [begin, end]))
+        row, sizes, starts = self.row[own] - begin, self.sizes[own], self.starts[own]
+        for u, v in _slices(sizes, EXPANDED):
+            met = np.repeat(row[u:v] * self.n_right, sizes[u:v]) + self.right[_runs(starts[u:v], sizes[u:v])]
+            out += np.bincount(met, minlength=out.size).reshape(out.shape)
+        return out
+
+
 def candidates(left: list[str], right: list[str], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs (left row, right row, longest possible common subsequence) that may reach the threshold, each once."""
     a_all, b_all = (np.array([len(t) for t in side], np.int64) for side in (left, right))
@@ -124,72 +140,20 @@ def candidates(left: list[str], right: list[str], threshold: float) -> Iterator[
         keep = top >= needed(a_all[l], b_all[r], threshold)
         yield l[keep], r[keep], top[keep]
         return
-    grams, row, _ = _grams(right)
-    universe, number, count = np.unique(grams, return_inverse=True, return_counts=True)
-    rarest = np.argsort(count, kind="stable")
-    rank = np.empty(len(universe), np.int64)
-    rank[rarest] = np.arange(len(universe))
-    total = np.cumsum(count[rarest])
-    ranges = np.searchsorted(total, np.arange(1, RANGES) * (total[-1] if len(total) else 0) / RANGES)
-    indexed = _Side(rank[number], row, b_all, ranges)
-    grams, row, _ = _grams(left)
-    near = np.minimum(np.searchsorted(universe, grams), max(len(universe) - 1, 0))
-    found = (universe[near] == grams) if len(universe) else np.zeros(len(grams), bool)
-    asked = _Side(np.where(found, rank[near] if len(universe) else 0, -1), row, a_all, ranges)
-
-    entry = indexed.prefix(threshold)
-    entry = entry[np.argsort(indexed.rank[entry], kind="stable")]
-    begins = np.searchsorted(indexed.rank[entry], np.arange(len(universe) + 1))
-    first = asked.prefix(threshold)
-    first = first[asked.rank[first] >= 0]
-    meetings = begins[asked.rank[first] + 1] - begins[asked.rank[first]]
-    # Right rows by length, for pairs that need not share a gram.
-    by_length = np.argsort(b_all, kind="stable")
-    sorted_lengths = b_all[by_length]
-    lengths = np.unique(b_all)
-    loose = {}
-    for n in np.unique(a_all).tolist():
-        low, high = (int(x[0]) for x in partner_lengths(np.array([n]), threshold))
-        fits = lengths[(lengths >= low) & (lengths <= high)]
-        free = fits[shared_at_least(n, fits, threshold) <= 0]
-        loose[n] = np.concatenate([by_length[np.searchsorted(sorted_lengths, m):np.searchsorted(sorted_lengths, m, side="right")] for m in free.tolist()]) \
-            if len(free) else np.empty(0, np.int64)
-    weight = np.bincount(asked.row[first], meetings, len(left)) + np.array([len(loose[n]) for n in a_all.tolist()])
-    # A slice also has one flag per row and gram.
-    for begin, end in _slices(np.maximum(weight, EXPANDED * len(universe) / 32_000_000), EXPANDED):
-        own = first[(asked.row[first] >= begin) & (asked.row[first] < end)]
-        sizes = begins[asked.rank[own] + 1] - begins[asked.rank[own]]
-        there = entry[_runs(begins[asked.rank[own]], sizes)]
-        here = np.repeat(own, sizes)
-        l, r = asked.row[here], indexed.row[there]
-        a, b = a_all[l], b_all[r]
-        low, high = partner_lengths(a, threshold)
-        behind = 1 + np.minimum(asked.counts[l] - 1 - asked.place[here], indexed.counts[r] - 1 - indexed.place[there])
-        must = shared_at_least(a, b, threshold)
-        keep = (b >= low) & (b <= high) & (must > 0) & (behind >= must)
-        pairs = np.unique(l[keep] * len(right) + r[keep])
-        free = [loose[n] for n in a_all[begin:end].tolist()]
-        free_l = np.repeat(np.arange(begin, end), [len(x) for x in free])
-        l, r = np.concatenate([pairs // len(right), free_l]), np.concatenate([pairs % len(right), *free])
-        a, b = a_all[l], b_all[r]
-        must = shared_at_least(a, b, threshold)
-        differing = np.abs(asked.spread[l] - indexed.spread[r]).sum(axis=1) + asked.unknown[l]
-        keep = differing <= asked.counts[l] + indexed.counts[r] - 2 * must
-        l, r, a, b = l[keep], r[keep], a[keep], b[keep]
-        has = np.zeros((end - begin, len(universe) + 1), bool)
-        mine = slice(asked.starts[begin], asked.starts[end])
-        has[asked.row[mine] - begin, asked.rank[mine]] = True  # unknown grams fall into the last column
-        has[:, -1] = False
-        shared = np.zeros(len(l), np.int64)
-        some = np.flatnonzero(indexed.counts[r])
-        for u, v in _slices(indexed.counts[r[some]], EXPANDED):
-            part = some[u:v]
-            sizes = indexed.counts[r[part]]
-            hit = has[np.repeat(l[part] - begin, sizes), indexed.rank[_runs(indexed.starts[r[part]], sizes)]]
-            shared[part] = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
-        top = np.minimum((shared + a + b + 1) // 3, np.minimum(a, b))
-        keep = top >= needed(a, b, threshold)
-        yield l[keep], r[keep], top[keep]
+    (own, other), size = _characters(left, right)
+    characters = _Shared(own, other, len(left), len(right))
+    grams = _Shared(_grams(*own, size), _grams(*other, size), len(left), len(right))
+    rows = max(1, EXPANDED // len(right))
+    for begin in range(0, len(left), rows):
+        end = min(begin + rows, len(left))
+        a, b = a_all[begin:end, None], b_all[None]
+        must = needed(a, b, threshold)
+        shared = characters.of(begin, end)
+        l, r = np.nonzero(shared >= must)
+        # A bound from the characters alone already implies that of the lengths.
+        top = np.minimum(shared[l, r].astype(np.int64), (grams.of(begin, end)[l, r].astype(np.int64) + a_all[begin + l] + b_all[r] + 1) // 3)
+        keep = top >= must[l, r]
+        yield begin + l[keep], r[keep], top[keep]
 
 
 def score_of(lcs, a, b) -> np.ndarray:
@@ -207,14 +171,14 @@ def best_of(left: list[str], right: list[str], l, r, top, threshold: float) -> t
     turn = np.arange(len(l)) - np.searchsorted(l, l)
     best = np.full(len(left), float(threshold))
     score = np.full(len(l), -1.0)
-    low, width, tried = 0, 1, 0
+    low, width, tried, common = 0, 1, 0, Lcs(left, right)
     while True:
         now = np.flatnonzero((turn >= low) & (limit >= best[l] - _EPS))
         if not len(now):
             break
         now = now[turn[now] < low + width]
         if len(now):
-            score[now] = score_of(lcs_lengths([left[i] for i in l[now]], [right[i] for i in r[now]]), a[now], b[now])
+            score[now] = score_of(common.lengths(l[now], r[now]), a[now], b[now])
             np.maximum.at(best, l[now], score[now])
             tried += len(now)
         low, width = low + width, 2 * width

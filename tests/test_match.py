@@ -215,3 +215,41 @@ def test_the_longest_task_of_a_block_is_bounded():
     """A group of two chunks is never divided, so chunks must stay about as small as the work meant for a task."""
     from almsflow.operators import nearest
     assert nearest.LEFT_CHUNK * nearest.RIGHT_CHUNK <= 1.1 * nearest.PAIRS_PER_TASK <= 5_000_000
+
+
+def test_characters_bound_the_pairs_of_few_syllables():
+    """Titles of the same few syllables share most grams; the characters they share rule out half of what is left, or more."""
+    rnd = random.Random(5)
+    syllables = "th on er ha st re nd ou ea en wh ti or at es".split()
+    titles = [" ".join(sorted("".join(rnd.choices(syllables, k=rnd.randint(1, 4))) for _ in range(11)))[:60] for _ in range(700)]
+    left, right = titles[:300], titles[300:]
+    for threshold, most in ((85, 0.1), (75, 0.8)):
+        l, r, top = (np.concatenate(x) for x in zip(*N.candidates(left, right, threshold)))
+        assert 0 < len(l) < most * len(left) * len(right)
+        for i in range(0, len(l), 997):
+            assert lcs_plain(left[l[i]], right[r[i]]) <= top[i]
+
+
+@pytest.mark.parametrize("columns,dense", [(1_024, 1 / 200), (7, 0.0), (1_024, 2.0), (3, 0.05)])
+def test_shared_items_are_counted_like_multisets(monkeypatch, columns, dense):
+    """By products of matrices, in slices of columns, pair by pair, and by both."""
+    from collections import Counter
+    monkeypatch.setattr(N, "COLUMNS", columns)
+    monkeypatch.setattr(N, "DENSE", dense)
+    rnd = random.Random(2)
+    left, right = (["", *("".join(rnd.choices("AABCÉ😀|", k=rnd.randint(0, 12))) for _ in range(n))] for n in (30, 50))
+    sides, size = N._characters(left, right)
+    kinds = [(sides, lambda t: Counter(t)), ([N._grams(*s, size) for s in sides], lambda t: Counter(zip(t, t[1:])))]
+    for (own, other), counter in kinds:
+        got = N._Shared(own, other, len(left), len(right)).of(3, 20)
+        assert got.tolist() == [[(counter(x) & counter(y)).total() for y in right] for x in left[3:20]]
+
+
+def test_pairs_of_rows_are_scored_like_single_pairs(monkeypatch):
+    monkeypatch.setattr(S, "_CELLS", 300)
+    monkeypatch.setattr(S, "_TOGETHER", 7)
+    rnd = random.Random(3)
+    left, right = (["", *("".join(rnd.choices("ABCÉ ", k=rnd.choice([1, 20, 63, 64, 65, 128, 150]))) for _ in range(20))] for _ in range(2))
+    l, r = (x.ravel() for x in np.indices((len(left), len(right))))
+    assert S.Lcs(left, right).lengths(l, r).tolist() == [lcs_plain(left[i], right[j]) for i, j in zip(l, r)]
+    assert S.Lcs([], []).lengths(l[:0], r[:0]).tolist() == []
