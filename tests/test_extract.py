@@ -242,3 +242,50 @@ def test_a_large_record_is_searched_like_a_small_one(monkeypatch):
     small = rows(xml)
     monkeypatch.setattr(E, "_SMALL_RECORD", 1)
     assert rows(xml) == small and [r["fields"]["CityNm"] for r in small] == [str(i) for i in range(9)]
+
+
+class _Counted(io.BytesIO):
+    reads = 0
+
+    def read(self, *size):
+        type(self).reads += 1
+        return super().read(*size)
+
+
+def test_neighbouring_members_come_with_one_read():
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(300):
+            z.writestr(f"{i}.xml", f"<a>{i}</a>" * 20)
+    source = _Counted(held.getvalue())
+    got = list(E.archive_documents("z.zip", source))
+    assert [d["xml"] for d in got] == [f"<a>{i}</a>" * 20 for i in range(300)] and all(d["error"] is None for d in got)
+    assert _Counted.reads < 30
+
+
+def _one_by_one(content, names):
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        return [E.read_member(z, n) for n in names]
+
+
+@pytest.mark.parametrize("ahead", [1, 2_000, 4 << 20])
+def test_odd_members_read_like_one_by_one(monkeypatch, ahead):
+    monkeypatch.setattr(E, "_READ_AHEAD", ahead)
+    rnd, held = random.Random(5), io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(60):
+            text = "".join(rnd.choices("abc <>&\u00e9", k=rnd.choice([0, 1, 50, 5_000])))
+            kind = rnd.choice([zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+            z.writestr(rnd.choice([f"{i}.xml", f"d/\u00e9{i}.xml"]), text, kind)
+    content = held.getvalue()
+    names = zipfile.ZipFile(io.BytesIO(content)).namelist()
+    seen = set()
+    for trial in range(40):
+        broken = bytearray(content)
+        for _ in range(trial):
+            broken[rnd.randrange(len(content) - 8_000)] ^= 1 << rnd.randrange(8)
+        order = rnd.sample(names, len(names)) if trial % 2 else names
+        got = [(d["xml"], d["error"]) for d in E.archive_documents("z.zip", io.BytesIO(bytes(broken)), order)]
+        assert got == _one_by_one(bytes(broken), order)
+        seen |= {e.split(":")[0] for _, e in got if e}
+    assert "unreadable_member" in seen
