@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
 import pyarrow as pa
@@ -107,15 +107,36 @@ def _body(form: str) -> Column:
     return F.concat(*[_group(root, parts) for root, parts in groups.items()])
 
 
-def _records(form: str) -> Column:
-    """The records of one line item."""
+def _tags(names: Mapping[str, str]) -> tuple[Column, Column]:
+    """Opening and closing tag of an element whose name depends on the form."""
+    first, *others = dict.fromkeys(names.values())
+
+    def chosen(start: str) -> Column:
+        forms = {name: [f for f, own in names.items() if own == name] for name in others}
+        return (reduce(lambda acc, name: acc.when(F.col("form").isin(forms[name]), F.lit(f"{start}{name}>")), others, F)
+                .otherwise(F.lit(f"{start}{first}>")) if others else F.lit(f"{start}{first}>"))
+
+    return chosen("<"), chosen("</")
+
+
+def _of_forms(names: Mapping[str, str], inner: list[Column], among: Iterable[str] = ()) -> Column:
+    """An element that only some forms have, empty on others and when a part is null. Of forms ``among`` it is only asked there."""
+    opened, closed = _tags(names)
+    whole = F.concat(opened, *inner, closed)
+    return F.coalesce(whole if set(among) == set(names) else F.when(F.col("form").isin([*names]), whole), F.lit(""))
+
+
+def _records() -> Column:
+    """The records of one line item.
+
+    Every value stands in the expression once, and not once per form: the JVM leaves methods above 8,000 bytes uncompiled.
+    """
     parts = []
     for name, values in LINE_VALUES.items():
         spec = BY_NAME[name]
-        if form in spec.subroots:
-            parts.append(_group(spec.subroots[form], [
-                _element(spec.fields[c][form], F.expr(v)) for c, v in values.items() if spec.fields[c].get(form)]))
-    return F.concat(*parts) if parts else F.lit("")
+        elements = (({f: spec.fields[c][f] for f in spec.subroots if spec.fields[c].get(f)}, v) for c, v in values.items())
+        parts.append(_of_forms(spec.subroots, [_of_forms(names, [_escaped(F.expr(v))], spec.subroots) for names, v in elements if names]))
+    return F.concat(*parts)
 
 
 #: Filings written and read by one task, archives made from a batch of documents, and tasks that write archives per slot.
@@ -132,14 +153,15 @@ def filing_documents(orders: DataFrame, customer: DataFrame, lineitem: DataFrame
     filings = base(orders, customer).repartition(width, "filing_number")
     lines = orders.sparkSession.sql(LINES_SQL.format(base="SELECT * FROM {b}", lineitem="{lineitem}"),
                                     b=filings, lineitem=lineitem.repartition(width, "l_orderkey"))
-    records = lines.select("filing_number", _by_form(_records).alias("record"))
-    listed = records.groupBy("filing_number").agg(F.array_join(F.array_sort(F.collect_list("record")), "").alias("records"))
+    listed = lines.select("filing_number", _records().alias("record")).groupBy("filing_number").agg(F.collect_list("record").alias("records"))
+    # Sorting the list here, not in the aggregate, also keeps the long expression below out of the stage's one method.
+    records = F.array_join(F.array_sort("records"), "")
     header = _group("ReturnHeader", [
         _element("TaxYr", F.col("tax_yr").cast("string")), _element("ReturnTypeCd", F.col("form")),
         _group("Filer", [_element("EIN", F.col("ein").cast("string")),
                          *[_element(c, F.expr(v)) for c, v in FILING_VALUES["filing_details"].items()]])])
     xml = F.concat(F.lit(f'<?xml version="1.0" encoding="utf-8"?><Return xmlns="{NAMESPACE}">'), header,
-                   _group("ReturnData", [_by_form(_body), F.coalesce("records", F.lit(""))]), F.lit("</Return>"))
+                   _group("ReturnData", [_by_form(_body), F.coalesce(records, F.lit(""))]), F.lit("</Return>"))
     return (filings.join(listed, "filing_number", "left")
             .select("zip_name", F.concat(F.col("filing_number").cast("string"), F.lit("_public.xml")).alias("member"),
                     xml.alias("xml"), F.lit(None).cast("string").alias("error")))

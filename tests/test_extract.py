@@ -1,7 +1,9 @@
 import io
 import random
+import re
 import xml.etree.ElementTree as ET
 import zipfile
+from datetime import datetime
 
 import pytest
 
@@ -289,3 +291,31 @@ def test_odd_members_read_like_one_by_one(monkeypatch, ahead):
         assert got == _one_by_one(bytes(broken), order)
         seen |= {e.split(":")[0] for _, e in got if e}
     assert "unreadable_member" in seen
+
+
+def test_documents_are_built_by_compiled_methods(spark, capsys):
+    """A stage whose one generated method is above 8,000 bytes is interpreted, several times as slow."""
+    orders = spark.createDataFrame([(i, i % 2, "O", 10.5, datetime(1995, 1, 2), f"{i}-X") for i in range(1, 6)],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    customer = spark.createDataFrame([(i, "A & <B>", 3, 7.5, "M") for i in range(2)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    lineitem = spark.createDataFrame([(i, n, n, n, 2.0, 5.5, "R") for i in range(1, 5) for n in (2, 3)],
+                                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string")
+    docs = FD.filing_documents(orders, customer, lineitem)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs.explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+    texts = {r["member"]: r["xml"] for r in docs.collect()}
+    person = "<PersonNm>Worker {}</PersonNm>{}<ZIPCd>{}</ZIPCd><{}>R</{}><CompensationAmt>2</CompensationAmt>"
+    assert texts["1_public.xml"].endswith("".join(
+        f"<RecipientTable><BusinessNameLine1Txt>Fund {n}</BusinessNameLine1Txt><RecipientPersonNm>Person {n}</RecipientPersonNm><RecipientEIN>{n}</RecipientEIN>"
+        f"<CityNm>Saint R</CityNm><StateAbbreviationCd>ny</StateAbbreviationCd><ZIPCd>{n}</ZIPCd><PurposeOfGrantTxt>R</PurposeOfGrantTxt><CashGrantAmt>5</CashGrantAmt></RecipientTable>"
+        f"<ContractorCompensationGrp>{person.format(n, firm, n, 'ServicesDesc', 'ServicesDesc')}</ContractorCompensationGrp>"
+        for n, firm in ((2, ""), (3, "<BusinessNameLine1Txt>Firm 3</BusinessNameLine1Txt>"))) + "</ReturnData></Return>")
+    assert "RecipientEIN" not in texts["2_public.xml"] and "<Amt>5</Amt>" in texts["2_public.xml"] and texts["2_public.xml"].count("<GrantOrContributionPdDurYrGrp>") == 2
+    assert "RecipientPersonNm" not in texts["3_public.xml"] and "<ServiceTypeTxt>R</ServiceTypeTxt>" in texts["3_public.xml"]
+    assert texts["4_public.xml"].endswith("<ReturnData></ReturnData></Return>") and "A &amp; &lt;B&gt;" in texts["4_public.xml"]
+    assert texts["5_public.xml"].count("<RecipientTable>") == 0  # no line items
