@@ -178,7 +178,7 @@ def export_extracted(spark: SparkSession, output: str, path: str, form: str = "c
 
 def read_exported(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """The compiled datasets' tables from a folder of CSV files per archive, and the records that do not fit."""
-    found = {spec.name: read_csv(spark, path, schema, f"{spec.name}__*.csv") for spec, schema in EXTRACTED}
+    found = {spec.name: read_csv(spark, path, schema, f"{spec.name}__*.csv", keep=True) for spec, schema in EXTRACTED}
     bad = [rejected.select(F.regexp_extract("file", r"__([^/]*)\.csv$", 1).alias("zip_name"), F.lit(None).cast("string").alias("member"),
                            F.concat(F.lit(f"bad_record: {name} "), "record").alias("error")) for name, (_, rejected) in found.items()]
     return {name: rows for name, (rows, _) in found.items()}, reduce(DataFrame.unionByName, bad)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import csv
 import io
+import math
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from almsflow.sources.files import landed, listing, open_path
 
 RANGE_BYTES = 16 << 20
-#: Records turned into one Arrow batch, and parsing tasks per slot of the cluster at most.
-BATCH, TASKS_PER_SLOT = 4_096, 64
+#: Records turned into one Arrow batch, and parsing tasks per slot of the cluster at most, and at least where there are that many ranges.
+BATCH, TASKS_PER_SLOT, TASKS_AT_LEAST = 4_096, 64, 4
 RECORD, FIELD, PLAIN, QUOTED, AFTER = range(5)
 _BOM = b"\xef\xbb\xbf"
 #: The rest of a quoted field with its closing quote, if that comes; and a quoted field where one can open.
@@ -115,19 +116,26 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def regions(spark: SparkSession, directory: str, pattern: str = "*.csv", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``(path, first, stop)``: the non-empty files of a folder, cut between records into pieces of about ``range_bytes``."""
     files = landed(listing(spark, directory, pattern))
-    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("first")
-    ranges = files.select("path", "length", first).select("path", "first", F.least(F.col("first") + range_bytes, "length").alias("stop"))
+    count, total, longest = files.agg(F.sum(F.ceil(F.col("length") / range_bytes)), F.sum("length"), F.max("length")).first()
     # Explicit widths: the rows are tiny, the reading behind them is not.
-    width = _width(spark, files, range_bytes)
+    width = _width(spark, count or 0, total or 0, range_bytes)
+    # A file of one range begins with a record and ends with one, whatever it holds.
+    whole = files.filter(F.col("length") <= range_bytes).select("path", F.lit(0).cast("long").alias("first"), F.col("length").alias("stop"))
+    if (longest or 0) <= range_bytes:
+        return whole.repartition(width, "path")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("first")
+    ranges = (files.filter(F.col("length") > range_bytes).select("path", "length", first)
+              .select("path", "first", F.least(F.col("first") + range_bytes, "length").alias("stop")))
     scanned = ranges.repartition(width, "path", "first").mapInArrow(_scan_ranges, _SCAN)
     # One narrow row per range; a file's ranges meet to be run through in order.
     found = scanned.repartition(width, "path").sortWithinPartitions("path", "first").mapInArrow(_regions, _REGION)
-    return found.repartition(width, "path", "first")
+    return found.unionByName(whole).repartition(width, "path", "first")
 
 
-def _width(spark: SparkSession, files: DataFrame, range_bytes: int) -> int:
-    count = files.agg(F.coalesce(F.sum(F.ceil(F.col("length") / range_bytes)), F.lit(0))).first()[0]
-    return int(min(max(1, count), TASKS_PER_SLOT * spark.sparkContext.defaultParallelism))
+def _width(spark: SparkSession, ranges: int, total: int, range_bytes: int) -> int:
+    """Reading tasks: enough for the bytes and for the slots, and no more for many small files, of which a task reads several."""
+    slots = spark.sparkContext.defaultParallelism
+    return int(min(max(1, ranges), max(TASKS_AT_LEAST * slots, math.ceil(total / range_bytes)), TASKS_PER_SLOT * slots))
 
 
 def header_of(path: str) -> tuple[list[str] | None, int]:

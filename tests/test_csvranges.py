@@ -86,3 +86,25 @@ def test_record_over_many_ranges_and_no_path_list(spark, tmp_path):
     assert sorted((r.id, r.one, r.two) for r in good.collect()) == [(1, big, "a"), (2, "b", big), (3, None, None)]
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert "binaryfile" in plan.lower() and "content" not in plan
+
+
+def test_small_files_share_tasks_and_are_parsed_once(spark, tmp_path):
+    for i in range(60):
+        write(tmp_path / f"{i}.csv", [("id", "one", "two"), (i, 'a"\nb', "x"), ("no number", "c", "y")])
+    cut = C.regions(spark, str(tmp_path))
+    assert cut.rdd.getNumPartitions() <= C.TASKS_AT_LEAST * spark.sparkContext.defaultParallelism < 60
+    # Nothing has to be scanned for where records begin: only large files pass through Python before they are parsed.
+    assert "MapInArrow" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.first, r.stop) for r in cut.collect()) == sorted((0, (tmp_path / f"{i}.csv").stat().st_size) for i in range(60))
+    good, bad = csvfiles.read_csv(spark, str(tmp_path), SCHEMA, required=("id",), keep=True)
+    assert sorted((r.id, r.one, r.two) for r in good.collect()) == [(i, 'a"\nb', "x") for i in range(60)] and bad.count() == 60
+    assert not any("MapInArrow" in x._jdf.queryExecution().executedPlan().toString() for x in (good, bad))
+
+
+def test_small_and_large_files_of_one_folder(spark, tmp_path):
+    want = [(i, "x" * (i % 7) + "\n", "y") for i in range(900)]
+    write(tmp_path / "large.csv", [("id", "one", "two"), *want[:800]])
+    for i in range(800, 900):
+        write(tmp_path / f"{i}.csv", [("two", "one", "id"), want[i][::-1]])
+    good, bad = csvfiles.read_csv(spark, str(tmp_path), SCHEMA, required=("id",), range_bytes=1000)
+    assert sorted((r.id, r.one, r.two) for r in good.collect()) == want and bad.isEmpty()
