@@ -237,7 +237,7 @@ def _record_batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.Reco
         yield pack(batch)
 
 
-class _Ahead:
+class Ahead:
     """Members of an archive, neighbours with one read: opening a small one by itself costs more than inflating it.
 
     Only plain deflated members whose header, size and checksum agree with the directory come from here; what is odd or
@@ -280,7 +280,7 @@ class _Ahead:
         return text if whole else None
 
 
-def read_member(archive: zipfile.ZipFile | _Ahead, name: str) -> tuple[str | None, str | None]:
+def read_member(archive: zipfile.ZipFile | Ahead, name: str) -> tuple[str | None, str | None]:
     """Text of one member with undecodable bytes dropped, or a reason it cannot be read."""
     try:
         return archive.read(name).decode("utf-8", errors="ignore"), None
@@ -299,7 +299,7 @@ def archive_documents(zip_name: str, source, members: Sequence[str] | None = Non
     try:
         with zipfile.ZipFile(source) as archive:
             names = members if members is not None else [i.filename for i in xml_members(archive)]
-            ahead = _Ahead(archive, source)
+            ahead = Ahead(archive, source)
             for name in names:
                 xml, error = read_member(ahead, name)
                 yield {"zip_name": zip_name, "member": name, "xml": xml, "error": error}

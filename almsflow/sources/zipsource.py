@@ -2,7 +2,8 @@
 
 ``spark.read.format("xml_archives").load(folder)`` has the rows of :func:`almsflow.sources.archives.scan_documents`. Planning lists the
 folder once and opens no archive: large archives are cut by byte offset, and a member belongs to the slice its entry begins in;
-small ones share a partition. Tests of ``zip_name`` and ``member`` reach the listing and the archives' directories. A read with a schema
+small ones share a partition. Where ``partitionBytes`` would give more than ``MOST_PARTITIONS``, neighbouring slices share a partition of up to
+``PARTITION_BYTES``. Tests of ``zip_name`` and ``member`` reach the listing and the archives' directories. A read with a schema
 without ``xml`` inflates nothing.
 
 ``spark.readStream`` takes each archive in once. An offset is a number of entries in a log next to the stream (option
@@ -25,11 +26,13 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStre
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from almsflow.operators.extract import DOCUMENT_SCHEMA, read_member, xml_members
+from almsflow.operators.extract import DOCUMENT_SCHEMA, Ahead, read_member, xml_members
 from almsflow.sources.files import entries, open_path, replace_file
 
 FORMAT = "xml_archives"
 PARTITION_BYTES = 128 << 20
+#: Partitions from which on they grow: starting a task costs as much as reading a hundred documents.
+MOST_PARTITIONS = 2_048
 _BATCH_ROWS, _BATCH_CHARS = 2_000, 32_000_000
 
 
@@ -37,7 +40,7 @@ _BATCH_ROWS, _BATCH_CHARS = 2_000, 32_000_000
 class _Slice(InputPartition):
     """Parts of archives: path, and which of how many slices."""
 
-    parts: list[tuple[str, int, int, int]]  # path, size, slice, slices
+    parts: list[tuple[str, int, int, int, int]]  # path, size, first slice, the one behind the last, slices
 
 
 @dataclass(frozen=True)
@@ -73,32 +76,35 @@ def _name(path: str) -> str:
 
 
 def _planned(archives: Sequence[tuple[str, int]], partition_bytes: int) -> list[_Slice]:
-    """Partitions of about ``partition_bytes``: slices of large archives, groups of small ones."""
+    """Partitions of about ``partition_bytes``, or more where these would be too many: slices of large archives, groups of small ones."""
+    total = sum(length for _, length in archives)
+    together = max(1, -(-min(total // MOST_PARTITIONS, PARTITION_BYTES) // partition_bytes))
     out, held, size = [], [], 0
     for path, length in archives:
         slices = -(-length // partition_bytes)
-        if slices > 1:
-            out += [_Slice([(path, length, k, slices)]) for k in range(slices)]
+        if slices > together:
+            out += [_Slice([(path, length, k, min(k + together, slices), slices)]) for k in range(0, slices, together)]
             continue
-        held.append((path, length, 0, 1))
+        held.append((path, length, 0, slices, slices))
         size += length
-        if size >= partition_bytes:
+        if size >= together * partition_bytes:
             out.append(_Slice(held))
             held, size = [], 0
     return [*out, _Slice(held)] if held else out
 
 
-def _rows(part: tuple[str, int, int, int], tests: Sequence[_Test], with_xml: bool) -> Iterator[dict]:
-    path, size, k, slices = part
+def _rows(part: tuple[str, int, int, int, int], tests: Sequence[_Test], with_xml: bool) -> Iterator[dict]:
+    path, size, first, stop, slices = part
     member_tests = [t for t in tests if t.column == "member"]
     try:
         with open_path(path) as source, zipfile.ZipFile(source) as archive:
+            ahead = Ahead(archive, source)
             for info in xml_members(archive):
-                if info.header_offset * slices // size == k and all(t.holds(info.filename) for t in member_tests):
-                    xml, error = read_member(archive, info.filename) if with_xml else (None, None)
+                if first <= info.header_offset * slices // size < stop and all(t.holds(info.filename) for t in member_tests):
+                    xml, error = read_member(ahead, info.filename) if with_xml else (None, None)
                     yield {"zip_name": _name(path), "member": info.filename, "xml": xml, "error": error}
     except (zipfile.BadZipFile, OSError, ValueError) as problem:
-        if k == 0 and not member_tests:
+        if first == 0 and not member_tests:
             yield {"zip_name": _name(path), "error": f"unreadable_archive: {problem}"}
 
 

@@ -83,3 +83,21 @@ def test_stream_takes_every_archive_once(spark, land, tmp_path):
     reader = zipsource._StreamReader({"path": str(land), "log": log}, spark.read.parquet(out).schema)
     assert sorted(p[0].rsplit("/", 1)[-1] for s in reader.partitions({"entries": 0}, {"entries": 1}) for p in s.parts) == ["a.zip", "b.zip", "c.zip"]
     assert reader.latestOffset() == {"entries": 3} == reader.latestOffset()
+
+
+def test_many_slices_share_partitions(spark, land, monkeypatch):
+    """However small the slices are asked to be, the number of partitions stays bounded, and no member is lost or doubled."""
+    sized = [(f"/x/{i}.zip", 1 << 20) for i in range(7_000)]
+    planned = zipsource._planned(sized, 64 << 10)
+    assert len(planned) <= zipsource.MOST_PARTITIONS
+    spans = sorted(p for s in planned for p in s.parts)
+    assert sum(stop - first for _, _, first, stop, _ in spans) == 7_000 * 16 and {p[0] for p in spans} == {p for p, _ in sized}
+    assert len(zipsource._planned(sized[:100], 64 << 10)) == 1600  # few ones are left as they were asked for
+    large = zipsource._planned([("/x/large.zip", zipsource.MOST_PARTITIONS << 21)], 64 << 10)
+    assert [p.parts[0][2] for p in large[1:]] == [p.parts[0][3] for p in large[:-1]] and len(large) == zipsource.MOST_PARTITIONS
+    schema = archives.scan_documents(spark, str(land)).schema
+    monkeypatch.setattr(zipsource, "MOST_PARTITIONS", 3)
+    reader = zipsource._Reader({"path": str(land), "partitionBytes": "50"}, schema)
+    parts = reader.partitions()
+    got = sorted((tuple(r.values()) for s in parts for b in reader.read(s) for r in b.to_pylist()), key=str)
+    assert len(parts) <= 6 and got == rows_of(archives.scan_documents(spark, str(land)))
