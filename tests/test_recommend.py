@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almsflow.operators import ids as I, recommend as RC, sampling as SM, train as TR
 from almsflow.plans import jobs as J
+from almsflow.runtime import cut_lineage, remove
 
 
 def vecs(spark, n, dim=8, seed=1):
@@ -227,3 +228,35 @@ def test_candidates_of_a_block_stand_in_memory_once():
     want = {i: v for ids, values in held for i, v in zip(ids.tolist(), values.astype(np.float64).tolist())}
     ids, values = RC._block(held)
     assert held == [] and ids.tolist() == sorted(want) and values.tolist() == [want[i] for i in sorted(want)]
+
+
+def test_training_leaves_the_model_only(spark, tmp_path, monkeypatch):
+    """States of earlier strata and placed samples do not pile up, however many strata there are."""
+    root, held = tmp_path / "shared", []
+    monkeypatch.setattr(TR, "fresh_path", lambda spark, name: str(root / name))
+    evaluate = TR.evaluate
+    monkeypatch.setattr(TR, "evaluate", lambda *a: held.append(sorted(p.name for p in (root / "training").iterdir())) or evaluate(*a))
+    rnd = random.Random(3)
+    samples = spark.createDataFrame([(rnd.randrange(20), rnd.randrange(15), i % 2) for i in range(200)], "donor_id long, receiver_id long, label int")
+    donors, receivers = (spark.range(n) for n in (20, 15))
+    s = TR.Settings(dim=4, epochs=2, batch=32, blocks=3)
+    history = TR.train(samples, samples.limit(40), donors, receivers, str(tmp_path / "model"), s)
+    assert history.count() == 2 and held == [["samples", f"state-{epoch}-2"] for epoch in (1, 2)]
+    assert not (root / "training").exists()
+    assert [v.count() for v in TR.load_vectors(spark, str(tmp_path / "model"))] == [20, 15]
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    kept = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    wide = spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 5).alias("k")).count()
+
+    def files():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in local.mkString("\n").split("\n") if "shuffle" in f}
+
+    before = files()
+    copy = cut_lineage(wide, str(tmp_path / "copy"))
+    assert files() <= before and sorted(r["count"] for r in copy.collect()) == [200] * 5
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == kept
+    remove(spark, str(tmp_path / "copy"))
+    assert not (tmp_path / "copy").exists()
