@@ -6,6 +6,7 @@ import zipfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from almsflow.operators import extract as E
 from almsflow.plans import filingdocs as FD, jobs as J
@@ -319,3 +320,21 @@ def test_documents_are_built_by_compiled_methods(spark, capsys):
     assert "RecipientPersonNm" not in texts["3_public.xml"] and "<ServiceTypeTxt>R</ServiceTypeTxt>" in texts["3_public.xml"]
     assert texts["4_public.xml"].endswith("<ReturnData></ReturnData></Return>") and "A &amp; &lt;B&gt;" in texts["4_public.xml"]
     assert texts["5_public.xml"].count("<RecipientTable>") == 0  # no line items
+
+
+def test_documents_of_some_filings_alone(spark):
+    """The documents of a lot are built by themselves: no copy of all has to lie on disk, and both lots are the whole."""
+    when = datetime(1995, 1, 2)
+    orders = spark.createDataFrame([(i, 0, s, 10.5, when, f"{1 + i % 3}-X") for i, s in enumerate(["O", "F", "F", "P", None, "O"], 1)] + [(2, 0, "O", 9.5, when, "1-X")],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    customer = spark.createDataFrame([(0, "A", 3, 7.5, "M")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    lineitem = spark.createDataFrame([(i, n, n, n, 2.0, 5.5, "R") for i in range(1, 6) for n in (2, 3)],
+                                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string")
+    first = F.col("zip_name").like("batch_O%")
+    whole = FD.filing_documents(orders, customer, lineitem)
+    for only, other in ((first, ["batch_F%", "batch_P%"]), (~first, ["batch_O%"])):
+        got = FD.filing_documents(orders, customer, lineitem, only)
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.filter(only).collect()))
+        assert not got.filter(F.col("zip_name").like(other[0])).count()
+    lots = FD.filing_documents(orders, customer, lineitem, first).union(FD.filing_documents(orders, customer, lineitem, ~first)).select("zip_name", "member")
+    assert sorted(map(tuple, lots.collect())) == sorted(map(tuple, whole.filter("zip_name IS NOT NULL").select("zip_name", "member").collect()))
